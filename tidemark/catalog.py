@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import fingerprint_shard, record_id
-from tidemark.operators import batches, filters
+from tidemark.operators import batches, filters, fleet, tracks
+from tidemark.operators import events as port_events_ops
 from tidemark.sources import views
 from tidemark.sources.tables import read_table, scan_columns
 
@@ -134,7 +135,94 @@ def shard_batches(spark, d):
     return batches.shard_batches(li, "l_shipdate", 3, 1000, "fingerprint", bucket_seconds=30 * 86400)
 
 
+
+# ------------------------------------------------------------ track analytics
+
+def _port_events(spark, d):
+    return views.port_events(_events(spark, d))
+
+
+def _vessel_updates(spark, d):
+    return views.vessel_updates(read_table(spark, d, "orders"), read_table(spark, d, "customer"),
+                                read_table(spark, d, "nation"))
+
+
+def _fleet(spark, d):
+    return fleet.latest_by_key(_vessel_updates(spark, d))
+
+
+@query
+def nearest_port(spark, d):
+    return tracks.nearest_port(_positions(spark, d)).select("event_id", "nearest_port", "port_distance_nm")
+
+
+@query
+def track_legs(spark, d):
+    return tracks.track_legs(_positions(spark, d))
+
+
+@query
+def dead_reckon(spark, d):
+    return tracks.dead_reckon_check(_positions(spark, d))
+
+
+@query
+def port_stay(spark, d):
+    return tracks.port_stays(_positions(spark, d))
+
+
+@query
+def event_position_match(spark, d):
+    return tracks.event_position_match(_port_events(spark, d), _positions(spark, d))
+
+
+@query
+def join_synced_tables(spark, d):
+    return tracks.join_synced_tables(_positions(spark, d), _fleet(spark, d))
+
+
+@query
+def status_from_event(spark, d):
+    return port_events_ops.with_status(_port_events(spark, d))
+
+
+@query
+def event_transition_check(spark, d):
+    return port_events_ops.transition_check(_port_events(spark, d))
+
+
+@query
+def port_calls(spark, d):
+    return port_events_ops.port_calls(_port_events(spark, d))
+
+
+@query
+def port_event_stats(spark, d):
+    return port_events_ops.port_event_stats(_port_events(spark, d))
+
+
+@query
+def latest_by_key(spark, d):
+    return _fleet(spark, d)
+
+
+@query
+def attribute_changes(spark, d):
+    return fleet.attribute_changes(_vessel_updates(spark, d))
+
+
+@query
+def fleet_stats(spark, d):
+    return fleet.fleet_stats(_fleet(spark, d), as_of_year=2024)
+
+
+@query
+def tonnage_columns(spark, d):
+    return fleet.tonnage_columns(_fleet(spark, d))
+
+
 # registered names without the helper suffix
 for _k in [k for k in QUERIES if k.endswith("_q")]:
     QUERIES[_k[:-2]] = QUERIES.pop(_k)
+
 FLAGSHIP = "next_batch"

@@ -136,3 +136,186 @@ register("shard_batches", f"""
 WITH s AS (SELECT l_orderkey, l_linenumber, l_shipdate, {fp_shard_sql('l_shipdate', 3)} AS shard FROM lineitem),
 r AS (SELECT *, rank() OVER (PARTITION BY shard ORDER BY l_shipdate) AS ts_rank FROM s)
 SELECT *, CAST(ceil(ts_rank / 1000) AS BIGINT) AS batch_no FROM r""")
+
+
+# --------------------------------------------------------- geometry in SQL
+
+def _rad(x: str) -> str:
+    return f"(({x}) * pi() / 180)"
+
+
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    dlat = _rad(f"({lat2}) - ({lat1})")
+    dlon = _rad(f"({lon2}) - ({lon1})")
+    a = (f"(sin({dlat} / 2) * sin({dlat} / 2) + cos({_rad(lat1)}) * cos({_rad(lat2)})"
+         f" * sin({dlon} / 2) * sin({dlon} / 2))")
+    return f"(6371.0 * (2 * atan2(sqrt({a}), sqrt(1 - {a}))) * 0.539957)"
+
+
+def bearing_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    dlon = _rad(f"({lon2}) - ({lon1})")
+    y = f"(sin({dlon}) * cos({_rad(lat2)}))"
+    x = f"(cos({_rad(lat1)}) * sin({_rad(lat2)}) - sin({_rad(lat1)}) * cos({_rad(lat2)}) * cos({dlon}))"
+    return f"((atan2({y}, {x}) * 180 / pi() + 360) % 360)"
+
+
+def dead_reckon_sql(lat: str, lon: str, brg: str, nm: str) -> tuple[str, str]:
+    d = f"(({nm}) * 1.852 / 6371.0)"
+    th, p1, l1 = _rad(brg), _rad(lat), _rad(lon)
+    p2 = f"asin(sin({p1}) * cos({d}) + cos({p1}) * sin({d}) * cos({th}))"
+    l2 = f"({l1} + atan2(sin({th}) * sin({d}) * cos({p1}), cos({d}) - sin({p1}) * sin({p2})))"
+    return f"({p2} * 180 / pi())", f"({l2} * 180 / pi())"
+
+
+MAJOR_PORTS_SQL = """major_ports(port, plat, plon) AS (VALUES
+  ('Singapore', 1.2644, 103.8223), ('Shanghai', 31.2304, 121.4737), ('Hong Kong', 22.3193, 114.1694),
+  ('Busan', 35.1796, 129.0756), ('Guangzhou', 23.1291, 113.2644), ('Qingdao', 36.0671, 120.3826),
+  ('Tokyo', 35.6528, 139.8394), ('Port Klang', 3.0041, 101.3653), ('Kaohsiung', 22.6163, 120.2997),
+  ('Tianjin', 39.0842, 117.201), ('Rotterdam', 51.9225, 4.4792), ('Antwerp', 51.2194, 4.4025),
+  ('Hamburg', 53.5511, 9.9937), ('Valencia', 39.4699, -0.3763), ('Piraeus', 37.9472, 23.6472),
+  ('Felixstowe', 51.9542, 1.3511), ('Dubai', 25.2769, 55.2963), ('Jeddah', 21.5433, 39.1728),
+  ('Los Angeles', 33.7405, -118.272), ('Long Beach', 33.7683, -118.1956),
+  ('New York/New Jersey', 40.67, -74.04), ('Savannah', 32.0809, -81.0912), ('Houston', 29.7604, -95.3698),
+  ('Vancouver', 49.2827, -123.1207), ('Santos', -23.9618, -46.3322), ('Manzanillo', 19.0544, -104.3188),
+  ('Cape Town', -33.9249, 18.4241), ('Durban', -29.8587, 31.0218), ('Lagos', 6.4526, 3.3958))"""
+
+SAMPLE_PORTS_SQL = """sample_ports(port_id, plat, plon) AS (VALUES
+  ('SFO', 37.7749, -122.4194), ('LAX', 33.7405, -118.272), ('SEA', 47.6062, -122.3321),
+  ('SIN', 1.2644, 103.8223), ('SHA', 31.2304, 121.4737))"""
+
+LEGS = """legs AS (
+  SELECT *, lag(event_id) OVER w AS prev_event_id, lag(ts) OVER w AS prev_ts,
+         lag(latitude) OVER w AS plat, lag(longitude) OVER w AS plon, lag(speed_knots) OVER w AS pspeed
+  FROM positions WINDOW w AS (PARTITION BY mmsi ORDER BY ts, event_id))"""
+
+FLEET = """fleet AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY last_updated DESC, version_key DESC) AS rn
+    FROM vessel_updates) WHERE rn = 1)"""
+
+_hours = "((epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9)"
+_dist = haversine_sql("plat", "plon", "latitude", "longitude")
+
+register("nearest_port", with_(POSITIONS, MAJOR_PORTS_SQL) + f"""
+SELECT event_id, nearest_port, port_distance_nm FROM (
+  SELECT event_id, port AS nearest_port, d AS port_distance_nm,
+         row_number() OVER (PARTITION BY event_id ORDER BY d, port) AS rn
+  FROM (SELECT event_id, port, round({haversine_sql('latitude', 'longitude', 'plat', 'plon')}, 6) AS d
+        FROM positions, major_ports)) WHERE rn = 1""")
+
+register("track_legs", with_(POSITIONS, LEGS) + f"""
+SELECT mmsi, event_id, prev_event_id, ts, round({_dist}, 6) AS distance_nm, round({_hours}, 6) AS hours,
+       round(CASE WHEN {_hours} > 0 THEN {_dist} / {_hours} END, 6) AS implied_knots,
+       round({bearing_sql('plat', 'plon', 'latitude', 'longitude')}, 6) AS bearing_deg
+FROM legs WHERE prev_ts IS NOT NULL""")
+
+_plat, _plon = dead_reckon_sql("plat", "plon", bearing_sql("plat", "plon", "latitude", "longitude"),
+                               f"pspeed * {_hours}")
+register("dead_reckon", with_(POSITIONS, LEGS) + f"""
+SELECT mmsi, event_id, ts, round({_plat}, 6) AS predicted_lat, round({_plon}, 6) AS predicted_lon,
+       round({haversine_sql(_plat, _plon, 'latitude', 'longitude')}, 6) AS error_nm,
+       {haversine_sql(_plat, _plon, 'latitude', 'longitude')} > 50.0 AS outlier
+FROM legs WHERE prev_ts IS NOT NULL""")
+
+register("port_stay", with_(POSITIONS) + """,
+r AS (SELECT *, status IN ('AT_ANCHOR', 'MOORED') AS rest FROM positions),
+c AS (SELECT *, CASE WHEN lag(rest) OVER w IS NULL OR lag(rest) OVER w <> rest THEN 1 ELSE 0 END AS chg
+      FROM r WINDOW w AS (PARTITION BY mmsi ORDER BY ts, event_id)),
+g AS (SELECT *, sum(chg) OVER (PARTITION BY mmsi ORDER BY ts, event_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM c),
+s AS (SELECT mmsi, run, min(ts) AS stay_start, max(ts) AS stay_end, count(*) AS fixes
+      FROM g WHERE rest GROUP BY mmsi, run)
+SELECT mmsi, stay_start, stay_end, fixes,
+       round((epoch_us(stay_end) - epoch_us(stay_start)) / 3.6e9, 6) AS duration_hours,
+       (epoch_us(stay_end) - epoch_us(stay_start)) / 3.6e9 >= 12 AS complete
+FROM s""")
+
+register("event_position_match", with_(POSITIONS, PORT_EVENTS, SAMPLE_PORTS_SQL) + f""",
+m AS (
+  SELECT e.event_id, e.vessel_mmsi, e.event_time, e.port_id, p.event_id AS fix_id, p.latitude, p.longitude,
+         abs(epoch_us(p.ts) - epoch_us(e.event_time)) AS dt
+  FROM port_events e JOIN positions p
+    ON p.mmsi = e.vessel_mmsi AND p.event_id <> e.event_id
+   AND abs(epoch_us(p.ts) - epoch_us(e.event_time)) <= 21600000000
+  WHERE e.event_type = 'ARRIVAL'),
+b AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY dt, fix_id) AS rn FROM m)
+SELECT event_id, vessel_mmsi, event_time, b.port_id, fix_id, dt / 1e6 AS dt_seconds,
+       round({haversine_sql('latitude', 'longitude', 'plat', 'plon')}, 6) AS distance_nm
+FROM b JOIN sample_ports s ON s.port_id = b.port_id WHERE rn = 1""")
+
+register("join_synced_tables", with_(POSITIONS, VESSEL_UPDATES, FLEET) + """
+SELECT p.*, f.vessel_type AS meta_vessel_type, f.flag, f.status AS meta_status, f.length
+FROM positions p LEFT JOIN fleet f ON p.mmsi = f.mmsi""")
+
+register("status_from_event", with_(PORT_EVENTS) + """
+SELECT *, coalesce(CASE event_type WHEN 'ARRIVAL' THEN 'Arriving' WHEN 'DEPARTURE' THEN 'Departing'
+  WHEN 'BERTHED' THEN 'Moored' WHEN 'ANCHORED' THEN 'At anchor'
+  WHEN 'UNDERWAY' THEN 'Under way using engine' END, 'Unknown') AS status FROM port_events""")
+
+register("event_transition_check", with_(PORT_EVENTS) + """,
+t AS (SELECT *, coalesce(lag(event_type) OVER (PARTITION BY vessel_mmsi ORDER BY event_time, event_id),
+                         'UNDERWAY') AS prev_event_type FROM port_events)
+SELECT event_id, vessel_mmsi, event_time, prev_event_type, event_type,
+       CASE prev_event_type
+         WHEN 'UNDERWAY' THEN event_type IN ('ARRIVAL', 'ANCHORED')
+         WHEN 'ARRIVAL' THEN event_type IN ('BERTHED')
+         WHEN 'BERTHED' THEN event_type IN ('DEPARTURE')
+         WHEN 'ANCHORED' THEN event_type IN ('UNDERWAY', 'ARRIVAL')
+         WHEN 'DEPARTURE' THEN event_type IN ('UNDERWAY')
+         ELSE event_type IN ('ARRIVAL') END AS legal
+FROM t""")
+
+register("port_calls", with_(PORT_EVENTS) + """,
+c AS (SELECT *, sum(CASE WHEN event_type = 'ARRIVAL' THEN 1 ELSE 0 END)
+          OVER (PARTITION BY vessel_mmsi ORDER BY event_time, event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS call_no FROM port_events),
+g AS (SELECT vessel_mmsi, call_no,
+             min(CASE WHEN event_type = 'ARRIVAL' THEN event_time END) AS arrived_at,
+             arg_min(CASE WHEN event_type = 'ARRIVAL' THEN port_id END,
+                     CASE WHEN event_type = 'ARRIVAL' THEN event_time END) AS port_id,
+             min(CASE WHEN event_type = 'BERTHED' THEN event_time END) AS berthed_at,
+             min(CASE WHEN event_type = 'DEPARTURE' THEN event_time END) AS departed_at,
+             count(*) AS events
+      FROM c WHERE call_no > 0 GROUP BY vessel_mmsi, call_no)
+SELECT *, round((epoch_us(departed_at) - epoch_us(arrived_at)) / 3.6e9, 6) AS dwell_hours FROM g""")
+
+register("port_event_stats", with_(PORT_EVENTS) + """
+SELECT CASE WHEN grouping(event_type) = 0 THEN 'type' WHEN grouping(port_id) = 0 THEN 'port'
+            WHEN grouping(vessel_mmsi) = 0 THEN 'vessel' ELSE 'total' END AS dimension,
+       coalesce(event_type, port_id, CAST(vessel_mmsi AS VARCHAR)) AS key,
+       count(*) AS events, min(event_time) AS first_event, max(event_time) AS last_event,
+       (epoch_us(max(event_time)) - epoch_us(min(event_time))) // 1000 AS duration_ms
+FROM port_events GROUP BY GROUPING SETS ((), (event_type), (port_id), (vessel_mmsi))""")
+
+register("latest_by_key", with_(VESSEL_UPDATES, FLEET) + """
+SELECT mmsi, last_updated, version_key, status, owner, home_port, vessel_type, flag, length, beam, year_built
+FROM fleet""")
+
+register("attribute_changes", with_(VESSEL_UPDATES) + """,
+v AS (SELECT mmsi, version_key, last_updated, status, owner, home_port,
+             lag(version_key) OVER w AS pk, lag(status) OVER w AS ps, lag(owner) OVER w AS po,
+             lag(home_port) OVER w AS ph, lead(last_updated) OVER w AS valid_to
+      FROM vessel_updates WINDOW w AS (PARTITION BY mmsi ORDER BY last_updated, version_key)),
+x AS (SELECT *, concat_ws(',', CASE WHEN status IS DISTINCT FROM ps THEN 'status' END,
+                               CASE WHEN owner IS DISTINCT FROM po THEN 'owner' END,
+                               CASE WHEN home_port IS DISTINCT FROM ph THEN 'home_port' END) AS chg FROM v)
+SELECT mmsi, version_key, last_updated AS valid_from, valid_to, status, owner, home_port,
+       CASE WHEN pk IS NULL THEN 'initial' WHEN chg = '' THEN NULL ELSE chg END AS changed_fields
+FROM x""")
+
+register("fleet_stats", with_(VESSEL_UPDATES, FLEET) + """
+SELECT CASE WHEN grouping(vessel_type) = 0 THEN 'type' WHEN grouping(flag) = 0 THEN 'flag' ELSE 'total' END
+         AS dimension,
+       coalesce(vessel_type, flag) AS key, count(*) AS vessels,
+       CAST(coalesce(floor(avg(2024 - year_built)), 0) AS BIGINT) AS avg_age,
+       CAST(coalesce(floor(avg(length)), 0) AS BIGINT) AS avg_length,
+       min(last_updated) AS first_update, max(last_updated) AS last_update
+FROM fleet GROUP BY GROUPING SETS ((), (vessel_type), (flag))""")
+
+register("tonnage_columns", with_(VESSEL_UPDATES, FLEET) + """
+SELECT mmsi, vessel_type, length, beam, CAST(floor(0.2::DOUBLE * length * beam * 10) AS BIGINT) AS gross_tonnage,
+       CAST(floor(length * coalesce(CASE vessel_type WHEN 'Container Ship' THEN 1.5 WHEN 'Bulk Carrier' THEN 2.0
+         WHEN 'Tanker' THEN 2.5 WHEN 'Cargo Ship' THEN 1.2 WHEN 'Passenger Ship' THEN 0.5
+         WHEN 'Fishing Vessel' THEN 0.3 WHEN 'Tug' THEN 0.2 WHEN 'Naval Vessel' THEN 0.8
+         WHEN 'Yacht' THEN 0.1 WHEN 'Other' THEN 1.0 END::DOUBLE, 1.0::DOUBLE) * 10) AS BIGINT) AS deadweight
+FROM fleet""")
