@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import fingerprint_shard, record_id
-from tidemark.operators import batches, filters, fleet, tracks
+from tidemark.functions import convert
+from tidemark.functions.keys import shard_of, with_record_id
+from tidemark.operators import batches, control, filters, fleet, monitor, reconcile, tracks
+from tidemark.plans import sync as sync_plan
+from tidemark.plans.specs import TableSpec, specs_frame
+from tidemark.plans.sync import SyncStore
+from tidemark.sources import sinks
 from tidemark.operators import events as port_events_ops
 from tidemark.sources import views
 from tidemark.sources.tables import read_table, scan_columns
@@ -221,6 +227,286 @@ def tonnage_columns(spark, d):
     return fleet.tonnage_columns(_fleet(spark, d))
 
 
+
+# ------------------------------------------------------------ sync and control
+
+EVENTS_SPEC = TableSpec("events", "events", "ts", "events_copy", n_shards=3)
+CHECKPOINT_TABLES = (("events", "events", "ts", 3), ("orders", "orders", "o_orderdate", 2),
+                     ("lineitem", "lineitem", "l_shipdate", 4))
+_SYNC_RUNS: dict = {}
+
+
+def _feed(spark, d):
+    return views.defective_feed(_events(spark, d))
+
+
+def _synced(spark, d) -> SyncStore:
+    """One catch-up sync of the defective feed per application and input
+    folder; the queries below read its target and control tables."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SYNC_RUNS:
+        store = SyncStore.fresh(spark, "catalog-sync")
+        sync_plan.incremental_sync(spark, EVENTS_SPEC, _feed(spark, d), store, AS_OF, batch_size=None)
+        _SYNC_RUNS[key] = store
+    return _SYNC_RUNS[key]
+
+
+def _checkpoints(spark, d, as_of=AS_OF, seq=1):
+    """Checkpoints after every row of three tables was synced, per shard."""
+    out = None
+    for table_id, name, ts_col, n in CHECKPOINT_TABLES:
+        t = read_table(spark, d, name).where(F.col(ts_col).isNotNull())
+        t = t.withColumn("shard", shard_of(F.col(ts_col), n))
+        cp = control.advance_checkpoint(t, table_id, ts_col, as_of, seq, node_col="shard")
+        out = cp if out is None else out.unionByName(cp)
+    return out
+
+
+def _specs(spark):
+    return specs_frame(spark, [TableSpec(t, n, c, f"{t}_copy", n_shards=k) for t, n, c, k in CHECKPOINT_TABLES]
+                       + [TableSpec("pending", "pending", "ts", "pending_copy", n_shards=1)])
+
+
+@query
+def incremental_sync(spark, d):
+    return _synced(spark, d).read_target(spark, EVENTS_SPEC.target)
+
+
+@query
+def dedupe_replay(spark, d):
+    """Replay the whole feed into the synced target with fresh control tables:
+    every row is pulled again, none is written twice."""
+    first = _synced(spark, d)
+    replay = SyncStore.fresh(spark, "replay")
+    sinks.keyed_write(sync_plan.stamp_synced(_feed(spark, d).where(F.col("ts").isNotNull()), "ts", AS_OF),
+                      first.target(EVENTS_SPEC.target), "ts")
+    sync_plan.incremental_sync(spark, EVENTS_SPEC, _feed(spark, d), replay, AS_OF)
+    return first.read_target(spark, EVENTS_SPEC.target)
+
+
+@query
+def keyed_write(spark, d):
+    store = SyncStore.fresh(spark, "keyed")
+    keyed = sync_plan.stamp_synced(_feed(spark, d).where(F.col("ts").isNotNull()), "ts", AS_OF)
+    sinks.keyed_write(keyed, store.target("t"), "ts")
+    sinks.keyed_write(keyed.unionByName(keyed), store.target("t"), "ts")
+    return store.read_target(spark, "t")
+
+
+@query
+def stamp_synced(spark, d):
+    return sync_plan.stamp_synced(_events(spark, d), "ts", AS_OF)
+
+
+@query
+def quarantine_split(spark, d):
+    return convert.quarantine_split(_feed(spark, d), "ts").select("event_id", "reason")
+
+
+@query
+def quarantine_log(spark, d):
+    audit = _synced(spark, d).read_audit(spark)
+    return audit.where(F.col("status") == "skipped").select(
+        "table_id", "node_id", "status", "reason",
+        F.get_json_object("record_sample", "$.event_id").cast("bigint").alias("event_id"))
+
+
+@query
+def skip_summary(spark, d):
+    return control.skip_summary(_synced(spark, d).read_audit(spark))
+
+
+@query
+def ingest_totals(spark, d):
+    return control.ingest_totals(_synced(spark, d).read_batches(spark))
+
+
+@query
+def sync_throughput(spark, d):
+    b = _synced(spark, d).read_batches(spark)
+    return b.groupBy("table_id").agg(
+        F.sum("rows_pulled").alias("rows"), F.sum("seconds").alias("seconds"),
+        (F.sum("rows_pulled") / F.sum("seconds")).alias("rows_per_sec"),
+        F.avg("rows_pulled").alias("rows_per_batch"))
+
+
+@query
+def advance_checkpoint(spark, d):
+    return _checkpoints(spark, d)
+
+
+@query
+def upsert_checkpoint(spark, d):
+    ev = _events(spark, d)
+    ev = ev.withColumn("shard", shard_of(F.col("ts"), 3))
+    old = control.advance_checkpoint(ev.where(F.col("ts") < "2024-01-15"), "events", "ts",
+                                     "2024-01-15 00:00:00", 1, node_col="shard")
+    new = control.advance_checkpoint(ev.where(F.col("ts") >= "2024-01-15"), "events", "ts", AS_OF, 2,
+                                     node_col="shard", previous=old)
+    other = _checkpoints(spark, d).where(F.col("table_id") != "events")
+    return control.upsert_checkpoint(old.unionByName(other), new)
+
+
+@query
+def load_checkpoint(spark, d):
+    return control.load_checkpoint(_checkpoints(spark, d), "lineitem", 6, spark)
+
+
+@query
+def lag_view(spark, d):
+    return control.lag_view(_checkpoints(spark, d), AS_OF)
+
+
+@query
+def sync_phase(spark, d):
+    lag = control.lag_seconds(F.col("last_timestamp"), AS_OF)
+    return _checkpoints(spark, d).select("checkpoint_id", F.round(lag, 3).alias("lag_seconds"),
+                                         control.sync_phase(lag).alias("phase"))
+
+
+@query
+def batch_size(spark, d):
+    lag = control.lag_seconds(F.col("last_timestamp"), AS_OF)
+    ph = control.sync_phase(lag)
+    size = F.when(F.col("table_id") == "orders", control.batch_size_for(ph, {"initial": 5000})) \
+        .otherwise(control.batch_size_for(ph))
+    return _checkpoints(spark, d).select("checkpoint_id", ph.alias("phase"), size.alias("batch_size"))
+
+
+@query
+def poll_interval(spark, d):
+    ph = control.sync_phase(control.lag_seconds(F.col("last_timestamp"), AS_OF))
+    return _checkpoints(spark, d).select("checkpoint_id", ph.alias("phase"),
+                                         control.poll_interval_for(ph).alias("poll_interval_s"))
+
+
+@query
+def checkpoint_listing(spark, d):
+    return batches.checkpoint_listing(_checkpoints(spark, d))
+
+
+@query
+def status_view(spark, d):
+    return control.status_view(_specs(spark), _checkpoints(spark, d), AS_OF)
+
+
+@query
+def progress_check(spark, d):
+    cps = _checkpoints(spark, d)
+    # shard 1 of lineitem last synced 11 minutes before as_of: stalled
+    cps = cps.withColumn("last_sync_time", F.when(F.col("checkpoint_id") == "lineitem_1",
+                                                  F.lit("2024-01-30 23:49:00").cast("timestamp"))
+                         .otherwise(F.col("last_sync_time")))
+    return monitor.progress_check(_specs(spark), cps, AS_OF)
+
+
+@query
+def freshness_check(spark, d):
+    as_of = "2024-01-30 23:59:00"
+    parts = [monitor.freshness_check(t, read_table(spark, d, n), c, as_of) for t, n, c, _ in CHECKPOINT_TABLES]
+    parts.append(monitor.freshness_missing(spark, "pending"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query
+def phantom_records(spark, d):
+    return reconcile.phantom_records(_target(spark, d), with_record_id(_events(spark, d), "ts"), "ts")
+
+
+@query
+def missing_records(spark, d):
+    return reconcile.missing_records(with_record_id(_events(spark, d), "ts"), _target(spark, d), "ts")
+
+
+@query
+def full_reconcile(spark, d):
+    return reconcile.full_reconcile(with_record_id(_events(spark, d), "ts"), _target(spark, d), "ts")
+
+
+@query
+def spot_check(spark, d):
+    src = with_record_id(_events(spark, d), "ts")
+    tgt = _target(spark, d)
+    t_sample = reconcile.newest_sample(tgt.select("id", "ts"), "ts", 5)
+    ph = reconcile.phantom_records(tgt, src, "ts", sample=5)
+    s_sample = src.where(F.col("ts") >= F.lit(AS_OF).cast("timestamp") - F.expr("INTERVAL 36 HOURS")) \
+        .orderBy("ts", "id").limit(50)
+    mi = reconcile.missing_records(src, tgt, "ts", sample=50, as_of=AS_OF, lookback="36 hours")
+    return monitor.spot_check("events", ph, mi, t_sample, s_sample)
+
+
+@query
+def count_drift(spark, d):
+    return reconcile.count_drift(_events(spark, d), _target(spark, d), "ts", 3, ok_below=30, alert_above=40)
+
+
+@query
+def late_rows(spark, d):
+    target = _target(spark, d)
+    return reconcile.late_rows(with_record_id(_events(spark, d), "ts"), target, "ts", "2024-01-20 00:00:00",
+                               "2 days").select("id", "event_id", "ts")
+
+
+def _checks(spark, d):
+    prog = progress_check(spark, d).where(F.col("table_id") != "pending").groupBy("table_id").agg(
+        F.lit("progress").alias("check"),
+        F.when(F.bool_and(F.col("status") == "healthy"), "healthy").otherwise("lagging").alias("status"))
+    fresh = freshness_check(spark, d).select("table_id", "check", "status")
+    spot = spot_check(spark, d).select("table_id", "check", "status")
+    return prog.unionByName(fresh).unionByName(spot)
+
+
+@query
+def health_rollup(spark, d):
+    return monitor.health_rollup(_checks(spark, d))
+
+
+@query
+def validation_run(spark, d):
+    return monitor.validation_audit_row(_checks(spark, d), AS_OF, "catalog")
+
+
+@query
+def alerts(spark, d):
+    cps = _checkpoints(spark, d)
+    prog = monitor.progress_check(_specs(spark), cps, AS_OF)
+    drift = reconcile.count_drift(_events(spark, d), _target(spark, d), "ts", 3)
+    return monitor.alerts(prog, drift, cps, "2024-01-31 00:10:00")
+
+
+@query
+def shard_balance(spark, d):
+    ev = _events(spark, d).withColumn("shard", shard_of(F.col("ts"), 3, "micros"))
+    return monitor.shard_balance(ev, "shard", 3)
+
+
+@query
+def monitoring_aggregates(spark, d):
+    store = _synced(spark, d)
+    return monitor.monitoring_aggregates(store.read_audit(spark), store.read_batches(spark),
+                                         store.read_checkpoints(spark), AS_OF)
+
+
+@query
+def multi_table_sync(spark, d):
+    store = SyncStore.fresh(spark, "multi")
+    specs = [TableSpec("events", "events", "ts", "events_copy", n_shards=2),
+             TableSpec("orders", "orders", "o_orderdate", "orders_copy", n_shards=1),
+             TableSpec("lineitem", "lineitem", "l_shipdate", "lineitem_copy", n_shards=2,
+                       columns=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"])]
+    sources = {s.table_id: read_table(spark, d, s.source) for s in specs}
+    return sync_plan.multi_table_sync(spark, specs, sources, store, AS_OF)
+
+
+@query
+def audit_recent(spark, d):
+    audit = _synced(spark, d).read_audit(spark)
+    return batches.audit_recent(audit, "2024-01-31 06:00:00", 24).select("table_id", "status", "reason", "timestamp")
+
+
 # registered names without the helper suffix
 for _k in [k for k in QUERIES if k.endswith("_q")]:
     QUERIES[_k[:-2]] = QUERIES.pop(_k)

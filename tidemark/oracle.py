@@ -319,3 +319,208 @@ SELECT mmsi, vessel_type, length, beam, CAST(floor(0.2::DOUBLE * length * beam *
          WHEN 'Fishing Vessel' THEN 0.3 WHEN 'Tug' THEN 0.2 WHEN 'Naval Vessel' THEN 0.8
          WHEN 'Yacht' THEN 0.1 WHEN 'Other' THEN 1.0 END::DOUBLE, 1.0::DOUBLE) * 10) AS BIGINT) AS deadweight
 FROM fleet""")
+
+
+# ------------------------------------------------------------ sync and control
+
+def _lag(ts: str, as_of: str = AS_OF) -> str:
+    return f"((epoch_us(TIMESTAMP '{as_of}') - epoch_us({ts})) / 1e6)"
+
+
+def _phase(lag: str) -> str:
+    return f"(CASE WHEN {lag} > 3600 THEN 'initial' WHEN {lag} > 300 THEN 'catchup' ELSE 'steady' END)"
+
+
+def _batch(phase: str, initial: int = 10000) -> str:
+    return f"(CASE {phase} WHEN 'initial' THEN {initial} WHEN 'catchup' THEN 1000 WHEN 'steady' THEN 500 ELSE 1000 END)"
+
+
+def _poll(phase: str) -> str:
+    return f"(CASE {phase} WHEN 'initial' THEN 1 WHEN 'catchup' THEN 5 WHEN 'steady' THEN 30 ELSE 10 END)"
+
+
+def _cp_rows(table_id: str, table: str, ts: str, n: int) -> str:
+    return (f"SELECT '{table_id}' AS table_id, {fp_shard_sql(ts, n)} AS node_id, max({ts}) AS last_timestamp, "
+            f"count(*) AS n FROM {table} WHERE {ts} IS NOT NULL GROUP BY 2")
+
+
+def checkpoints_sql(as_of: str = AS_OF) -> str:
+    raw = " UNION ALL ".join([_cp_rows("events", "events", "ts", 3), _cp_rows("orders", "orders", "o_orderdate", 2),
+                              _cp_rows("lineitem", "lineitem", "l_shipdate", 4)])
+    ph = _phase(_lag("last_timestamp", as_of))
+    return f"""cps AS (
+  SELECT table_id || '_' || CAST(node_id AS VARCHAR) AS checkpoint_id, table_id, node_id, last_timestamp,
+         n AS records_ingested, n AS records_pulled, TIMESTAMP '{as_of}' AS last_sync_time,
+         {ph} AS phase, {_batch(ph)} AS batch_size, 1 AS seq
+  FROM ({raw}))"""
+
+
+CPS = checkpoints_sql()
+SPECS = """specs(table_id, n_shards) AS (VALUES ('events', 3), ('orders', 2), ('lineitem', 4), ('pending', 1))"""
+SHARDS = """shards AS (SELECT table_id, n_shards, r.range AS node_id FROM specs, range(n_shards) r)"""
+TARGET = target_sql()
+SOURCE = source_keyed_sql()
+
+register("incremental_sync", with_(FEED, TARGET) + "SELECT * FROM target")
+register("dedupe_replay", with_(FEED, TARGET) + "SELECT * FROM target")
+register("keyed_write", with_(FEED, TARGET) + "SELECT * FROM target")
+register("stamp_synced", with_(SOURCE) + f"SELECT *, TIMESTAMP '{AS_OF}' AS _synced_at FROM source")
+register("quarantine_split", with_(FEED) + "SELECT event_id, CASE WHEN ts IS NULL THEN 'missing_ts' END AS reason FROM feed")
+register("quarantine_log", with_(FEED) + """
+SELECT 'events' AS table_id, 0 AS node_id, 'skipped' AS status, 'missing_ts' AS reason, event_id
+FROM feed WHERE ts IS NULL""")
+register("skip_summary", with_(FEED) + """
+SELECT 'events' AS table_id, 'missing_ts' AS reason, count(*) AS skipped FROM feed WHERE ts IS NULL""")
+register("ingest_totals", with_(FEED) + f""",
+s AS (SELECT CASE WHEN ts IS NULL THEN 0 ELSE {fp_shard_sql('ts', 3)} END AS node_id, ts FROM feed)
+SELECT 'events' AS table_id, node_id, count(*) AS records_pulled, count(ts) AS records_ingested,
+       count(*) - count(ts) AS records_quarantined, 1 AS batches
+FROM s GROUP BY node_id""")
+register("advance_checkpoint", with_(CPS) + "SELECT * FROM cps")
+
+_ph_new = _phase(_lag("last_timestamp"))
+register("upsert_checkpoint", with_(CPS) + f""",
+o AS (SELECT {fp_shard_sql('ts', 3)} AS node_id, max(ts) AS mts, count(*) AS n FROM events
+      WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
+nw AS (SELECT {fp_shard_sql('ts', 3)} AS node_id, max(ts) AS mts, count(*) AS n FROM events
+       WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
+e AS (SELECT 'events_' || CAST(node_id AS VARCHAR) AS checkpoint_id, 'events' AS table_id, node_id,
+             greatest(nw.mts, o.mts) AS last_timestamp, o.n + nw.n AS records_ingested,
+             o.n + nw.n AS records_pulled, TIMESTAMP '{AS_OF}' AS last_sync_time FROM nw JOIN o USING (node_id))
+SELECT *, {_ph_new} AS phase, {_batch(_ph_new)} AS batch_size, 2 AS seq FROM e
+UNION ALL SELECT * FROM cps WHERE table_id <> 'events'""")
+
+register("load_checkpoint", with_(CPS) + """
+SELECT 'lineitem' AS table_id, s.node_id, coalesce(c.last_timestamp, TIMESTAMP '1970-01-01 00:00:00') AS cursor,
+       c.last_timestamp IS NULL AS restarted, coalesce(c.records_ingested, 0) AS records_ingested,
+       coalesce(c.records_pulled, 0) AS records_pulled
+FROM (SELECT range AS node_id FROM range(6)) s
+LEFT JOIN cps c ON c.table_id = 'lineitem' AND c.node_id = s.node_id""")
+
+_L = _lag("last_timestamp")
+register("lag_view", with_(CPS) + f"""
+SELECT checkpoint_id, table_id, node_id, last_timestamp, round({_L}, 3) AS lag_seconds, {_phase(_L)} AS phase,
+       {_batch(_phase(_L))} AS batch_size, {_poll(_phase(_L))} AS poll_interval_s FROM cps""")
+register("sync_phase", with_(CPS) + f"""
+SELECT checkpoint_id, round({_L}, 3) AS lag_seconds, {_phase(_L)} AS phase FROM cps""")
+register("batch_size", with_(CPS) + f"""
+SELECT checkpoint_id, {_phase(_L)} AS phase,
+       CASE WHEN table_id = 'orders' THEN {_batch(_phase(_L), 5000)} ELSE {_batch(_phase(_L))} END AS batch_size
+FROM cps""")
+register("poll_interval", with_(CPS) + f"""
+SELECT checkpoint_id, {_phase(_L)} AS phase, {_poll(_phase(_L))} AS poll_interval_s FROM cps""")
+register("checkpoint_listing", with_(CPS) + "SELECT * FROM cps ORDER BY table_id, node_id")
+register("status_view", with_(CPS, SPECS, SHARDS) + f"""
+SELECT s.table_id, s.node_id, s.n_shards AS cluster_size,
+       CASE WHEN c.last_timestamp IS NULL THEN 'initial' ELSE {_phase(_L)} END AS phase,
+       c.last_timestamp AS cursor, round({_L}, 3) AS lag_seconds
+FROM shards s LEFT JOIN cps c ON c.table_id = s.table_id AND c.node_id = s.node_id""")
+
+_since = f"((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(sync_time)) / 1000)"
+PROGRESS = f"""progress AS (
+  SELECT s.table_id, s.node_id, 'progress' AS "check",
+         CASE WHEN sync_time IS NULL THEN 'no_checkpoint' WHEN {_since} > 600000 THEN 'stalled'
+              WHEN {_L} > 3600 THEN 'severely_lagging' WHEN {_L} > 300 THEN 'lagging' ELSE 'healthy' END AS status,
+         round({_L}, 3) AS lag_seconds, records_ingested, phase
+  FROM shards s LEFT JOIN (
+    SELECT *, CASE WHEN checkpoint_id = 'lineitem_1' THEN TIMESTAMP '2024-01-30 23:49:00'
+                   ELSE last_sync_time END AS sync_time FROM cps) c
+    ON c.table_id = s.table_id AND c.node_id = s.node_id)"""
+register("progress_check", with_(CPS, SPECS, SHARDS, PROGRESS) + "SELECT * FROM progress")
+
+_FRESH_AS_OF = "2024-01-30 23:59:00"
+
+
+def _fresh(table_id: str, table: str, ts: str) -> str:
+    lat = f"max({ts}) FILTER (WHERE {ts} > TIMESTAMP '{_FRESH_AS_OF}' - INTERVAL 5 MINUTE)"
+    return (f"SELECT '{table_id}' AS table_id, 'smoke_test' AS \"check\", "
+            f"CASE WHEN {lat} IS NULL THEN 'no_recent_data' ELSE 'healthy' END AS status, "
+            f"{lat} AS latest_timestamp, round({_lag(lat, _FRESH_AS_OF)}, 3) AS lag_seconds FROM {table}")
+
+
+FRESH = ("fresh AS (" + " UNION ALL ".join([
+    _fresh("events", "events", "ts"), _fresh("orders", "orders", "o_orderdate"),
+    _fresh("lineitem", "lineitem", "l_shipdate"),
+    "SELECT 'pending', 'smoke_test', 'table_not_found', NULL::TIMESTAMP, NULL::DOUBLE"]) + ")")
+register("freshness_check", with_(FRESH) + "SELECT * FROM fresh")
+
+register("phantom_records", with_(FEED, TARGET, SOURCE) + """
+SELECT id, ts, 'phantom_record' AS issue FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.id = t.id)""")
+register("missing_records", with_(FEED, TARGET, SOURCE) + """
+SELECT id, ts, 'missing_record' AS issue FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE s.id = t.id)""")
+register("full_reconcile", with_(FEED, TARGET, SOURCE) + """
+SELECT coalesce(s.id, t.id) AS id, coalesce(s.ts, t.ts) AS ts,
+       CASE WHEN s.id IS NULL THEN 'phantom_record' WHEN t.id IS NULL THEN 'missing_record' ELSE 'ok' END AS status
+FROM source s FULL OUTER JOIN target t ON s.id = t.id""")
+
+SPOT = f"""ts5 AS (SELECT id, ts FROM target ORDER BY ts DESC, id DESC LIMIT 5),
+ss AS (SELECT id, ts FROM source WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 36 HOUR ORDER BY ts, id LIMIT 50),
+spot AS (
+  SELECT 'events' AS table_id, 'spot_check' AS "check",
+         CASE WHEN (SELECT count(*) FROM ts5) = 0 THEN 'no_data'
+              WHEN ph + mi = 0 THEN 'healthy' ELSE 'issues_found' END AS status,
+         (SELECT count(*) FROM ts5) + (SELECT count(*) FROM ss) AS samples_checked,
+         ph AS phantom_records, mi AS missing_records
+  FROM (SELECT (SELECT count(*) FROM ts5 WHERE id NOT IN (SELECT id FROM source)) AS ph,
+               (SELECT count(*) FROM ss WHERE id NOT IN (SELECT id FROM target)) AS mi))"""
+register("spot_check", with_(FEED, TARGET, SOURCE, SPOT) + "SELECT * FROM spot")
+
+register("count_drift", with_(FEED, TARGET) + f""",
+s AS (SELECT {fp_shard_sql('ts', 3)} AS shard, count(*) AS source_count FROM events WHERE ts IS NOT NULL GROUP BY 1),
+t AS (SELECT {fp_shard_sql('ts', 3)} AS shard, count(*) AS target_count FROM target GROUP BY 1)
+SELECT coalesce(s.shard, t.shard) AS shard, coalesce(source_count, 0) AS source_count,
+       coalesce(target_count, 0) AS target_count,
+       abs(coalesce(source_count, 0) - coalesce(target_count, 0)) AS delta,
+       CASE WHEN abs(coalesce(source_count, 0) - coalesce(target_count, 0)) < 30 THEN 'ok'
+            WHEN abs(coalesce(source_count, 0) - coalesce(target_count, 0)) > 40 THEN 'alert' ELSE 'drift' END AS status
+FROM s FULL OUTER JOIN t ON s.shard = t.shard""")
+
+register("late_rows", with_(FEED, TARGET, SOURCE) + """
+SELECT id, event_id, ts FROM source s
+WHERE ts > TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 2 DAY AND ts <= TIMESTAMP '2024-01-20 00:00:00'
+  AND NOT EXISTS (SELECT 1 FROM target t WHERE t.id = s.id)""")
+
+CHECKS = """checks AS (
+  SELECT table_id, 'progress' AS "check",
+         CASE WHEN bool_and(status = 'healthy') THEN 'healthy' ELSE 'lagging' END AS status
+  FROM progress WHERE table_id <> 'pending' GROUP BY table_id
+  UNION ALL SELECT table_id, "check", status FROM fresh
+  UNION ALL SELECT table_id, "check", status FROM spot)"""
+register("health_rollup", with_(FEED, TARGET, SOURCE, SPOT, CPS, SPECS, SHARDS, PROGRESS, FRESH, CHECKS) + """,
+pt AS (SELECT table_id, bool_and(status IN ('healthy', 'ok')) AS ok, count(*) AS checks FROM checks GROUP BY table_id)
+SELECT table_id, checks, CASE WHEN ok THEN 'healthy' ELSE 'issues_detected' END AS overall_status FROM pt
+UNION ALL
+SELECT NULL, sum(checks), CASE WHEN bool_and(ok) THEN 'healthy' ELSE 'issues_detected' END FROM pt""")
+
+_ALERT_AS_OF = "2024-01-31 00:10:00"
+register("alerts", with_(FEED, TARGET, CPS, SPECS, SHARDS, PROGRESS.replace(
+    "WHEN checkpoint_id = 'lineitem_1' THEN TIMESTAMP '2024-01-30 23:49:00'", "WHEN FALSE THEN NULL")) + f""",
+s AS (SELECT {fp_shard_sql('ts', 3)} AS shard, count(*) AS sc FROM events WHERE ts IS NOT NULL GROUP BY 1),
+t AS (SELECT {fp_shard_sql('ts', 3)} AS shard, count(*) AS tc FROM target GROUP BY 1),
+drift AS (SELECT coalesce(s.shard, t.shard) AS shard, abs(coalesce(sc, 0) - coalesce(tc, 0)) AS delta
+          FROM s FULL OUTER JOIN t ON s.shard = t.shard)
+SELECT NULL AS table_id, shard AS node_id, 'count_drift' AS alert, CAST(delta AS DOUBLE) AS value FROM drift
+WHERE delta > 1000
+UNION ALL
+SELECT table_id, node_id, 'lag', CAST(lag_seconds AS DOUBLE) FROM progress WHERE lag_seconds > 1800
+UNION ALL
+SELECT table_id, node_id, 'no_checkpoint_update',
+       (epoch_us(TIMESTAMP '{_ALERT_AS_OF}') - epoch_us(last_sync_time)) / 1e6 FROM cps
+WHERE (epoch_us(TIMESTAMP '{_ALERT_AS_OF}') - epoch_us(last_sync_time)) / 1e6 > 300""")
+
+register("shard_balance", """
+WITH c AS (SELECT epoch_us(ts) % 3 AS shard, count(*) AS rows FROM events GROUP BY 1),
+a AS (SELECT r.range AS shard, coalesce(c.rows, 0) AS rows FROM range(3) r LEFT JOIN c ON c.shard = r.range),
+m AS (SELECT *, sum(rows) OVER () / 3.0 AS share FROM a)
+SELECT shard, rows, round(CASE WHEN share > 0 THEN abs(rows - share) / share ELSE 0 END, 6) AS deviation,
+       CASE WHEN share > 0 THEN abs(rows - share) / share ELSE 0 END <= 0.10 AS balanced FROM m""")
+
+register("multi_table_sync", """
+SELECT 'events' AS table_id, 'ok' AS status, count(*) AS pulled, count(*) AS written, 0 AS quarantined,
+       NULL AS error FROM events
+UNION ALL SELECT 'orders', 'ok', count(*), count(*), 0, NULL FROM orders
+UNION ALL SELECT 'lineitem', 'ok', count(*), count(*), 0, NULL FROM lineitem""")
+
+register("audit_recent", with_(FEED) + f"""
+SELECT 'events' AS table_id, 'skipped' AS status, 'missing_ts' AS reason, TIMESTAMP '{AS_OF}' AS timestamp
+FROM feed WHERE ts IS NULL""")
