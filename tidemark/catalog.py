@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import fingerprint_shard, record_id
 from tidemark.functions import convert
 from tidemark.functions.keys import shard_of, with_record_id
-from tidemark.operators import batches, control, filters, fleet, monitor, reconcile, tracks
+from tidemark.operators import batches, control, coverage, filters, fleet, monitor, profile, reconcile, schema_plan, tracks
+from tidemark.session import fresh_path
+from tidemark.streaming import stream
 from tidemark.plans import sync as sync_plan
 from tidemark.plans.specs import TableSpec, specs_frame
 from tidemark.plans.sync import SyncStore
@@ -507,6 +509,257 @@ def audit_recent(spark, d):
     return batches.audit_recent(audit, "2024-01-31 06:00:00", 24).select("table_id", "status", "reason", "timestamp")
 
 
+
+# ------------------------------------------------------------ profiles
+
+@query
+def count_partition(spark, d):
+    return profile.count_partition(_events(spark, d), "ts", 4, method="micros")
+
+
+@query
+def table_profile(spark, d):
+    return profile.table_profile(_positions(spark, d), exact=True)
+
+
+@query
+def table_profile_approx(spark, d):
+    return profile.table_profile(_positions(spark, d), exact=False)
+
+
+@query
+def table_size(spark, d):
+    parts = [profile.table_size(read_table(spark, d, n), n) for n in ("events", "orders", "lineitem")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def data_range(spark, d):
+    return profile.data_range(_events(spark, d), "ts")
+
+
+@query
+def verify_tables(spark, d):
+    tables = {"events": (lambda: read_table(spark, d, "events"), "ts"),
+              "orders": (lambda: read_table(spark, d, "orders"), "o_orderdate"),
+              "lineitem": (lambda: read_table(spark, d, "lineitem"), "l_shipdate"),
+              "vessel_metadata": (lambda: read_table(spark, d, "vessel_metadata"), "last_updated")}
+    v = profile.verify_tables(spark, tables)
+    return v.select("table_name", "oldest", "newest", "total_records", "has_data", "days_covered",
+                    F.col("error").isNotNull().alias("failed"))
+
+
+@query
+def type_distribution(spark, d):
+    return profile.type_distribution(_positions(spark, d))
+
+
+@query
+def active_by_type(spark, d):
+    return profile.active_by_type(_positions(spark, d), AS_OF, "6 hours")
+
+
+@query
+def count_avg_by_type(spark, d):
+    return profile.count_avg_by_type(_positions(spark, d), AS_OF, "6 hours")
+
+
+@query
+def port_activity_topk(spark, d):
+    return profile.port_activity_topk(_positions(spark, d), AS_OF, "3 days", 10)
+
+
+# ------------------------------------------------------------ sinks and conversion
+
+def _json_dir(spark, df, files=4):
+    path = fresh_path(spark, "ndjson")
+    sinks.write_ndjson(df.repartition(files, "event_id"), path)
+    return path
+
+
+@query
+def append_load(spark, d):
+    ev = _events(spark, d)
+    src = _json_dir(spark, ev)
+    target = fresh_path(spark, "append")
+    sinks.append_load(sinks.load_ndjson(spark, src, ev.schema), target, require_rows=True)
+    return spark.read.parquet(target)
+
+
+@query
+def strict_stream_append(spark, d):
+    ev = _events(spark, d)
+    src = _json_dir(spark, ev)
+    target = fresh_path(spark, "strict")
+    q = stream.strict_stream_append(spark, src, ev.schema, target, fresh_path(spark, "strict-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query
+def insert_method(spark, d):
+    ev = _events(spark, d)
+    target = fresh_path(spark, "insert")
+    sinks.insert(ev.where(F.col("event_id") % 2 == 0), target, "batch")
+    sinks.insert(ev.where(F.col("event_id") % 2 == 1), target, "stream")
+    return spark.read.parquet(target)
+
+
+@query
+def create_partitioned_table(spark, d):
+    ev = _events(spark, d)
+    target = fresh_path(spark, "partitioned")
+    cluster = [c for c in schema_plan.layout_columns(ev.schema, "ts") if c != "ts"]
+    sinks.create_partitioned_table(ev, target, "ts", cluster)
+    t = spark.read.parquet(target)
+    return filters.range_scan_window(t, "ts", "2024-01-10", "2024-01-12", day_col=sinks.DAY_COL)
+
+
+@query
+def truncate_keep_schema(spark, d):
+    ev = _events(spark, d)
+    target = fresh_path(spark, "truncate")
+    ev.write.parquet(target)
+    return sinks.truncate_keep_schema(spark, target, ev.schema)
+
+
+def _string_events(ev, junk_ts_mod=None):
+    eid = F.col("event_id")
+    ts_text = (F.when(eid % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+               .when(eid % 3 == 1, F.unix_millis("ts").cast("string"))
+               .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    if junk_ts_mod:
+        ts_text = F.when(eid % junk_ts_mod == 0, F.lit("not a time")).otherwise(ts_text)
+    return ev.select(eid.cast("string").alias("event_id"), ts_text.alias("ts"),
+                     F.col("user_id").cast("string").alias("user_id"), "event_type",
+                     F.when(eid % 50 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
+                     "props")
+
+
+SOURCE_FIELDS = [
+    {"name": "event_id", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "ts", "type": "TIMESTAMP", "mode": "REQUIRED"},
+    {"name": "user_id", "type": "INT64"},
+    {"name": "event_type", "type": "STRING"},
+    {"name": "value", "type": "NUMERIC"},
+    {"name": "props", "type": "JSON"},
+]
+
+
+@query
+def type_projection(spark, d):
+    return convert.type_projection(_string_events(_events(spark, d)), convert.build_schema(SOURCE_FIELDS))
+
+
+@query
+def normalize_ts(spark, d):
+    s = _string_events(_events(spark, d), junk_ts_mod=7)
+    return s.select(F.col("event_id").cast("bigint").alias("event_id"),
+                    convert.normalize_ts(F.col("ts")).alias("ts_norm"))
+
+
+# ------------------------------------------------------------ coverage and windows
+
+def _partitioned_events(spark, d):
+    target = fresh_path(spark, "events-by-day")
+    sinks.create_partitioned_table(_events(spark, d), target, "ts", ["user_id"])
+    return target
+
+
+def _key(df):
+    return sync_plan.stamp_synced(df, "ts", AS_OF)
+
+
+@query
+def retention_delete(spark, d):
+    path = _partitioned_events(spark, d)
+    coverage.retention_delete(spark, path, "ts", AS_OF, 10)
+    return spark.read.parquet(path).drop(sinks.DAY_COL)
+
+
+@query
+def range_retained(spark, d):
+    return coverage.retained(_events(spark, d), "ts", AS_OF, 10)
+
+
+@query
+def backfill_plan(spark, d):
+    tables = {"events": (lambda: read_table(spark, d, "events"), "ts"),
+              "orders": (lambda: read_table(spark, d, "orders"), "o_orderdate"),
+              "lineitem": (lambda: read_table(spark, d, "lineitem"), "l_shipdate"),
+              "vessel_metadata": (lambda: read_table(spark, d, "vessel_metadata"), "last_updated")}
+    return coverage.backfill_plan(profile.verify_tables(spark, tables), 40, AS_OF)
+
+
+@query
+def backfill_load(spark, d):
+    ev = _events(spark, d)
+    target = fresh_path(spark, "backfill")
+    sinks.keyed_write(_key(ev.where(F.col("ts") >= "2024-01-15")), target, "ts")
+    plan = coverage.backfill_plan(profile.data_range(spark.read.parquet(target), "ts"), 30, AS_OF).first()
+    coverage.backfill_load(spark, ev, target, "ts", plan["backfill_from"], plan["backfill_to"], _key)
+    return spark.read.parquet(target).select("id", "event_id", "ts")
+
+
+@query
+def coverage_gaps(spark, d):
+    return coverage.coverage_gaps(read_table(spark, d, "orders"), "o_orderdate", "1994-12-25", "2001-08-10")
+
+
+@query
+def rolling_window(spark, d):
+    ev = _events(spark, d)
+    target = fresh_path(spark, "rolling")
+    sinks.keyed_write(_key(ev.where(F.col("ts") >= "2024-01-20")), target, "ts")
+    coverage.rolling_window(spark, ev, target, "ts", 15, AS_OF, _key)
+    return spark.read.parquet(target).select("id", "event_id", "ts")
+
+
+@query
+def apply_migration(spark, d):
+    ev = _events(spark, d)
+    existing = ev.where(F.col("ts") < "2024-01-15")
+    incoming = ev.where(F.col("ts") >= "2024-01-15").select(
+        "event_id", "ts", "user_id", "event_type", F.col("value").cast("string").alias("value"), "props",
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    return schema_plan.apply_migration(existing, incoming)
+
+
+# ------------------------------------------------------------ streaming
+
+def _feed_dir(spark, d, files=4):
+    path = fresh_path(spark, "feed")
+    _feed(spark, d).repartition(files, "event_id").write.parquet(path)
+    return path
+
+
+@query
+def stream_sync(spark, d):
+    src = _feed_dir(spark, d)
+    schema = spark.read.parquet(src).schema
+    store = SyncStore.fresh(spark, "stream")
+    q = stream.stream_sync(spark, src, schema, "ts", store, "events_copy", "events", AS_OF,
+                           fresh_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return store.read_target(spark, "events_copy")
+
+
+@query
+def rate_by_interval(spark, d):
+    return stream.rate_by_interval(_events(spark, d), "ts", "1 hour")
+
+
+@query
+def rate_by_interval_stream(spark, d):
+    src = fresh_path(spark, "rate-src")
+    _events(spark, d).repartition(4, "event_id").write.parquet(src)
+    out = fresh_path(spark, "rate-out")
+    q = stream.rate_by_interval_stream(spark, src, spark.read.parquet(src).schema, "ts", out,
+                                       fresh_path(spark, "rate-ckpt"))
+    q.awaitTermination()
+    return stream.rate_table(spark, out)
+
+
 # registered names without the helper suffix
 for _k in [k for k in QUERIES if k.endswith("_q")]:
     QUERIES[_k[:-2]] = QUERIES.pop(_k)

@@ -79,6 +79,7 @@ def normalize_ts(c: Column, source_type: T.DataType | None = None) -> Column:
         return F.timestamp_millis(c.cast("bigint"))
     s = F.trim(c.cast("string"))
     iso = F.coalesce(
+        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),

@@ -524,3 +524,112 @@ UNION ALL SELECT 'lineitem', 'ok', count(*), count(*), 0, NULL FROM lineitem""")
 register("audit_recent", with_(FEED) + f"""
 SELECT 'events' AS table_id, 'skipped' AS status, 'missing_ts' AS reason, TIMESTAMP '{AS_OF}' AS timestamp
 FROM feed WHERE ts IS NULL""")
+
+
+# ------------------------------------------------------------ profiles
+
+register("count_partition", "SELECT epoch_us(ts) % 4 AS shard, count(*) AS rows FROM events GROUP BY 1")
+register("table_profile", with_(POSITIONS) + """
+SELECT count(*) AS total_records, count(DISTINCT mmsi) AS unique_vessels, count(DISTINCT vessel_type) AS vessel_types,
+       min(ts) AS oldest_record, max(ts) AS newest_record,
+       count(DISTINCT (latitude, longitude)) AS unique_positions FROM positions""")
+
+
+def _range(table: str, ts: str, name: str | None = None) -> str:
+    head = f"'{name}' AS table_name, " if name else ""
+    return (f"SELECT {head}min({ts}) AS oldest, max({ts}) AS newest, count(*) AS total_records, "
+            f"count(*) > 0 AS has_data, "
+            f"coalesce(CAST(floor((epoch_us(max({ts})) - epoch_us(min({ts}))) / 86400000000) AS BIGINT), 0) "
+            f"AS days_covered FROM {table}")
+
+
+register("data_range", _range("events", "ts"))
+RANGES = ("ranges AS (" + " UNION ALL ".join([
+    _range("events", "ts", "events"), _range("orders", "o_orderdate", "orders"),
+    _range("lineitem", "l_shipdate", "lineitem"),
+    "SELECT 'vessel_metadata', NULL::TIMESTAMP, NULL::TIMESTAMP, 0, false, 0"]) + ")")
+register("verify_tables", with_(RANGES) + """
+SELECT *, table_name = 'vessel_metadata' AS failed FROM ranges""")
+register("type_distribution", with_(POSITIONS) + "SELECT vessel_type, count(*) AS count FROM positions GROUP BY 1")
+register("active_by_type", with_(POSITIONS) + f"""
+SELECT vessel_type, count(DISTINCT mmsi) AS vessel_count, round(avg(speed_knots), 6) AS avg_speed FROM positions
+WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 6 HOUR GROUP BY 1""")
+register("count_avg_by_type", with_(POSITIONS) + f"""
+SELECT vessel_type, count(*) AS count, round(avg(speed_knots), 6) AS avg_speed FROM positions
+WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 6 HOUR GROUP BY 1""")
+register("port_activity_topk", with_(POSITIONS) + f"""
+SELECT destination AS port, count(*) AS vessel_count FROM positions
+WHERE status IN ('AT_ANCHOR', 'MOORED') AND ts >= TIMESTAMP '{AS_OF}' - INTERVAL 3 DAY
+GROUP BY 1 ORDER BY vessel_count DESC, port LIMIT 10""")
+
+# ------------------------------------------------------------ sinks and conversion
+
+register("append_load", "SELECT * FROM events")
+register("strict_stream_append", "SELECT * FROM events")
+register("insert_method", "SELECT * FROM events")
+register("create_partitioned_table", """
+SELECT *, CAST(ts AS DATE) AS _day FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'""")
+register("truncate_keep_schema", "SELECT * FROM events WHERE false")
+
+_TS_BACK = """CASE WHEN event_id % 3 = 0 THEN ts
+            WHEN event_id % 3 = 1 THEN make_timestamp((epoch_us(ts) // 1000) * 1000)
+            ELSE date_trunc('second', ts) END"""
+register("type_projection", f"""
+SELECT event_id, {_TS_BACK} AS ts, user_id, event_type,
+       CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(value AS DECIMAL(38,9)) END AS value, props,
+       CASE WHEN event_id % 50 = 0 THEN 'value' END AS _conversion_error
+FROM events""")
+register("normalize_ts", f"""
+SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE {_TS_BACK} END AS ts_norm FROM events""")
+
+# ------------------------------------------------------------ coverage and windows
+
+register("retention_delete", f"SELECT * FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY")
+register("range_retained", f"SELECT * FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY")
+register("backfill_plan", with_(RANGES) + f""",
+p AS (SELECT table_name, has_data, oldest,
+             CASE WHEN NOT has_data THEN 40 WHEN 40 - days_covered > 1 THEN floor(40 - days_covered) END AS days
+      FROM ranges)
+SELECT table_name, CASE WHEN days IS NULL THEN 'none' ELSE 'backfill' END AS action,
+       CASE WHEN days IS NOT NULL THEN
+         (CASE WHEN NOT has_data THEN TIMESTAMP '{AS_OF}' ELSE oldest END) - to_days(CAST(days AS INTEGER)) END
+         AS backfill_from,
+       CASE WHEN days IS NOT NULL THEN (CASE WHEN NOT has_data THEN TIMESTAMP '{AS_OF}' ELSE oldest END) END
+         AS backfill_to,
+       CAST(coalesce(days, 0) AS BIGINT) AS days
+FROM p""")
+
+
+def _window_keep(first_ts: str, target_days: int) -> str:
+    return f"""r AS (SELECT min(ts) AS oldest,
+                  floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000) AS dc
+           FROM events WHERE ts >= TIMESTAMP '{first_ts}'),
+lo AS (SELECT CASE WHEN {target_days} - dc > 1
+                   THEN oldest - to_days(CAST(floor({target_days} - dc) AS INTEGER)) ELSE oldest END AS lo FROM r)"""
+
+
+register("backfill_load", with_(SOURCE, _window_keep("2024-01-15 00:00:00", 30)) + """
+SELECT id, event_id, ts FROM source WHERE ts >= (SELECT lo FROM lo)""")
+register("rolling_window", with_(SOURCE, _window_keep("2024-01-20 00:00:00", 15)) + f"""
+SELECT id, event_id, ts FROM source
+WHERE ts >= (SELECT lo FROM lo) AND ts >= TIMESTAMP '{AS_OF}' - INTERVAL 15 DAY""")
+register("coverage_gaps", """
+SELECT CAST(d AS DATE) AS day FROM range(TIMESTAMP '1994-12-25', TIMESTAMP '2001-08-11', INTERVAL 1 DAY) t(d)
+WHERE CAST(d AS DATE) NOT IN (SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders)""")
+register("apply_migration", """
+SELECT event_id, ts, user_id, event_type, value, props, NULL::VARCHAR AS value_v2, NULL::BIGINT AS k
+FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+UNION ALL
+SELECT event_id, ts, user_id, event_type, NULL, props, CAST(value AS VARCHAR),
+       CAST(json_extract_string(props, '$.k') AS BIGINT)
+FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""")
+
+# ------------------------------------------------------------ streaming
+
+register("stream_sync", with_(FEED, TARGET) + "SELECT * FROM target")
+_RATE = """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
+       AS window_end, count(*) AS events FROM events WHERE ts IS NOT NULL GROUP BY 1, 2"""
+register("rate_by_interval", _RATE)
+register("rate_by_interval_stream", _RATE)

@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 DAY_COL = "_day"
 MAX_RECORDS_PER_FILE = 1_000_000
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 class LoadError(RuntimeError):
@@ -26,8 +27,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def load_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SNK1 read side: NDJSON with an explicit schema, no inference, FAILFAST."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """SNK1 read side: NDJSON with an explicit schema, no inference, FAILFAST,
+    timestamps at microsecond precision."""
+    return spark.read.schema(schema).options(**JSON_OPTIONS).option("mode", "FAILFAST").json(path)
+
+
+def write_ndjson(df: DataFrame, path: str, files: int | None = None) -> None:
+    """NDJSON files (ISO-8601 timestamps with microseconds), e.g. a load job's input."""
+    out = df.repartition(files) if files else df
+    out.write.options(**JSON_OPTIONS).json(path)
 
 
 def append_load(df: DataFrame, target_path: str, require_rows: bool = False,
@@ -42,7 +50,7 @@ def append_load(df: DataFrame, target_path: str, require_rows: bool = False,
 def strict_parse(spark: SparkSession, raw: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
     """SNK2 check: parse JSON lines with the schema and flag rows with
     unknown keys or values of the wrong type (FAILFAST does not see unknown keys)."""
-    parsed = F.from_json(F.col(text_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = F.from_json(F.col(text_col), schema, dict(JSON_OPTIONS, mode="PERMISSIVE"))
     known = F.array(*[F.lit(n) for n in schema.names])
     unknown = F.array_except(F.json_object_keys(F.col(text_col)), known)
     bad_type = F.exists(
