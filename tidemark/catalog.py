@@ -276,14 +276,13 @@ def incremental_sync(spark, d):
 
 @query
 def dedupe_replay(spark, d):
-    """Replay the whole feed into the synced target with fresh control tables:
-    every row is pulled again, none is written twice."""
+    """Replay the whole feed into the synced target with fresh control tables
+    (lost checkpoints): every row is pulled and keyed again, none is written twice."""
     first = _synced(spark, d)
-    replay = SyncStore.fresh(spark, "replay")
-    sinks.keyed_write(sync_plan.stamp_synced(_feed(spark, d).where(F.col("ts").isNotNull()), "ts", AS_OF),
-                      first.target(EVENTS_SPEC.target), "ts")
-    sync_plan.incremental_sync(spark, EVENTS_SPEC, _feed(spark, d), replay, AS_OF)
-    return first.read_target(spark, EVENTS_SPEC.target)
+    replay = SyncStore.fresh(spark, "replay", target_root=f"{first.root}/target")
+    res = sync_plan.incremental_sync(spark, EVENTS_SPEC, _feed(spark, d), replay, AS_OF)
+    assert sum(r["written"] for r in res) == 0, "replay wrote rows twice"
+    return replay.read_target(spark, EVENTS_SPEC.target)
 
 
 @query

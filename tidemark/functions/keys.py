@@ -59,11 +59,14 @@ def record_id(df: DataFrame, ts_col: str, columns: Sequence[str] | None = None)
     return hash_id(canonical_record(df, ts_col, columns))
 
 
-def with_record_id(df: DataFrame, ts_col: str, id_col: str = "id") -> DataFrame:
-    """Key every row; a source column named like the key is kept as ``source_<id>``."""
+def with_record_id(df: DataFrame, ts_col: str, id_col: str = "id", exclude: Sequence[str] = ()) -> DataFrame:
+    """Key every row over its record columns (all but ``exclude``, which are
+    bookkeeping columns); a source column named like the key is kept as
+    ``source_<id>``."""
     if id_col in df.columns:
         df = df.withColumnRenamed(id_col, f"source_{id_col}")
-    return df.select(record_id(df, ts_col).alias(id_col), *df.columns)
+    cols = [c for c in df.columns if c not in set(exclude)]
+    return df.select(record_id(df, ts_col, cols).alias(id_col), *df.columns)
 
 
 def micros_shard(ts: Column, n: int, sign_safe: bool = True) -> Column:

@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 from tidemark.functions.convert import quarantine_split, type_projection
 from tidemark.functions.keys import shard_of, with_record_id
 from tidemark.operators import control
-from tidemark.operators.batches import next_batch
 from tidemark.operators.filters import ts_lit
 from tidemark.plans.specs import TableSpec, validate_specs
 from tidemark.session import fresh_path
@@ -47,13 +46,15 @@ class SyncStore:
     """Layout of targets and control tables below one shared root."""
 
     root: str
+    target_root: str | None = None
 
     @staticmethod
-    def fresh(spark: SparkSession, name: str = "sync") -> SyncStore:
-        return SyncStore(fresh_path(spark, name))
+    def fresh(spark: SparkSession, name: str = "sync", target_root: str | None = None) -> SyncStore:
+        return SyncStore(fresh_path(spark, name), target_root)
 
     def target(self, name: str) -> str:
-        return f"{self.root}/target/{name}"
+        base = (self.target_root or f"{self.root}/target").rstrip("/")
+        return f"{base}/{name}"
 
     @property
     def checkpoints(self) -> str:
@@ -102,76 +103,116 @@ def quarantine_audit(rejected: DataFrame, table_id: str, node_id: int, as_of, se
         F.lit(None).cast("string").alias("check_results"), F.lit(None).cast("string").alias("message"))
 
 
-def stamp_synced(df: DataFrame, ts_col: str, as_of) -> DataFrame:
-    """Key every row (M4) and stamp ``_synced_at`` (a parameter, never the clock)."""
-    return with_record_id(df, ts_col).withColumn("_synced_at", ts_lit(as_of))
+def stamp_synced(df: DataFrame, ts_col: str, as_of, exclude=()) -> DataFrame:
+    """Key every row (M4, over the record columns only) and stamp
+    ``_synced_at`` (a parameter, never the clock)."""
+    return with_record_id(df, ts_col, exclude=exclude).withColumn("_synced_at", ts_lit(as_of))
+
+
+def _case_by_node(values: dict, default=None):
+    expr = None
+    for node, v in values.items():
+        lit = F.lit(v)
+        expr = F.when(F.col("node_id") == node, lit) if expr is None else expr.when(F.col("node_id") == node, lit)
+    return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
 
 def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
-               shard: int = 0, batch_size: int | None = None, seq: int | None = None,
-               target_schema: T.StructType | None = None, start=control.DEFAULT_START) -> dict:
-    """One cycle for one shard; returns the batch's counters."""
+               batch_size: int | None = None, seq: int | None = None, target_schema: T.StructType | None = None,
+               start=control.DEFAULT_START) -> list[dict]:
+    """One cycle over every shard of a table in one plan.
+
+    The shard is a logical column (F1/F4); each shard has its own cursor
+    (S3), so the pull is ``ts > cursor(shard)``, cut per shard at the tie-safe
+    batch end (O1) when ``batch_size`` is given.  Returns one counter dict per
+    shard that pulled rows (empty when caught up)."""
     t0 = time.time()
     seq = seq if seq is not None else store.next_seq(spark)
     checkpoints = store.read_checkpoints(spark)
-    cur = control.load_checkpoint(checkpoints, spec.table_id, spec.n_shards, spark, start) \
-        .where(F.col("node_id") == shard).select("cursor", "restarted").first()
-    cursor, first_cycle = cur["cursor"], bool(cur["restarted"])
+    curs = control.load_checkpoint(checkpoints, spec.table_id, spec.n_shards, spark, start).collect()
+    cursor = {r["node_id"]: r["cursor"] for r in curs}
+    restarted = {r["node_id"]: bool(r["restarted"]) for r in curs}
+    prev = {r["node_id"]: (r["records_ingested"], r["records_pulled"]) for r in curs}
+    prev_ts = {r["node_id"]: (None if r["restarted"] else r["cursor"]) for r in curs}
+
     src = scan_columns(source, spec.columns, spec.ts_col)
     if target_schema is not None:
         src = type_projection(src, target_schema)
-    if batch_size is None:
-        batch = src.where(F.col(spec.ts_col) > F.lit(cursor))
-        if spec.n_shards > 1:
-            batch = batch.where(shard_of(F.col(spec.ts_col), spec.n_shards, spec.shard_method) == shard)
-    else:
-        batch = next_batch(src, spec.ts_col, batch_size, cursor, spec.n_shards, shard,
-                           shard_method=spec.shard_method)
-    if first_cycle and shard == 0:
-        # rows without a timestamp can never pass a cursor: report them once
-        batch = batch.unionByName(src.where(F.col(spec.ts_col).isNull()))
-    tagged = quarantine_split(batch, spec.ts_col, "_conversion_error")
-    stage_path = store.staging(spec.table_id, shard, seq)
+    ts = F.col(spec.ts_col)
+    node = shard_of(ts, spec.n_shards, spec.shard_method) if spec.n_shards > 1 else F.lit(0)
+    src = src.withColumn("node_id", node.cast("int"))
+    pulled = src.where(ts > _case_by_node(cursor))
+    if batch_size is not None:
+        his = {}
+        for n in range(spec.n_shards):
+            part = pulled.where(F.col("node_id") == n).select(spec.ts_col).orderBy(ts).limit(batch_size)
+            his[n] = part.agg(F.max(spec.ts_col)).first()[0]  # bounded top-k per shard
+        his = {n: h for n, h in his.items() if h is not None}
+        pulled = pulled.where(ts <= _case_by_node(his)) if his else pulled.limit(0)
+    if restarted.get(0):
+        # rows without a timestamp can never pass a cursor: shard 0 reports them once
+        pulled = pulled.unionByName(src.where(ts.isNull()).withColumn("node_id", F.lit(0)))
+    tagged = quarantine_split(pulled, spec.ts_col, "_conversion_error")
+    stage_path = store.staging(spec.table_id, 0, seq)
     tagged.write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
-    stats = staged.agg(F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"),
-                       F.min(spec.ts_col).alias("lo"), F.max(spec.ts_col).alias("hi")).first()
-    if stats["pulled"] == 0:
-        return {"table_id": spec.table_id, "node_id": shard, "pulled": 0, "written": 0, "rejected": 0,
-                "seq": seq, "seconds": time.time() - t0}
+    valid_ts = F.when(F.col("reason").isNull(), ts)
+    stats = staged.groupBy("node_id").agg(
+        F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"),
+        F.min(valid_ts).alias("lo"), F.max(valid_ts).alias("hi"),
+        F.collect_set(F.to_date(valid_ts)).alias("days")).collect()  # one row per shard
+    if not stats:
+        return []
+    days = sorted({d for r in stats for d in r["days"]})
     valid = staged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
-    keyed = stamp_synced(valid, spec.ts_col, as_of)
-    written = sinks.keyed_write(keyed, store.target(spec.target), spec.ts_col)
-    if stats["rejected"]:
-        quarantine_audit(staged.where(F.col("reason").isNotNull()), spec.table_id, shard, as_of, seq) \
+    nodes = [r["node_id"] for r in stats]
+    written = sinks.keyed_write(stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"]),
+                                store.target(spec.target), spec.ts_col,
+                                days=days, count_by="node_id", count_values=nodes)
+    if any(r["rejected"] for r in stats):
+        rej = staged.where(F.col("reason").isNotNull())
+        quarantine_audit(rej.drop("node_id"), spec.table_id, 0, as_of, seq) \
             .write.mode("append").parquet(store.audit)
-    cp = control.advance_checkpoint(staged.where(F.col(spec.ts_col).isNotNull()), spec.table_id, spec.ts_col,
-                                    as_of, seq, node_id=shard, previous=checkpoints)
     seconds = time.time() - t0
-    phase = cp.select("phase").first()
-    spark.createDataFrame([(spec.table_id, shard, seq, stats["pulled"], written, stats["rejected"], stats["lo"],
-                            stats["hi"], phase[0] if phase else None, None, seconds)], BATCH_LOG_SCHEMA) \
-        .withColumn("as_of", ts_lit(as_of)).write.mode("append").parquet(store.batches)
-    if stats["hi"] is not None:
-        cp.write.mode("append").parquet(store.checkpoints)
-    return {"table_id": spec.table_id, "node_id": shard, "pulled": stats["pulled"], "written": written,
-            "rejected": stats["rejected"], "seq": seq, "seconds": seconds}
+    as_of_ts = spark.range(1).select(ts_lit(as_of)).first()[0]
+    cp_rows, log_rows, out = [], [], []
+    for r in stats:
+        n = r["node_id"]
+        ing, pul = prev.get(n, (0, 0))
+        ingested = r["pulled"] - r["rejected"]
+        last = max([t for t in (r["hi"], prev_ts.get(n)) if t is not None], default=None)
+        lag = (as_of_ts - last).total_seconds() if last is not None else None
+        phase = ("steady" if lag is None else "initial" if lag > control.CATCHUP_THRESHOLD_S
+                 else "catchup" if lag > control.STEADY_THRESHOLD_S else "steady")
+        size = spec.batch_sizes.get(phase, control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE))
+        if last is not None:
+            cp_rows.append((f"{spec.table_id}_{n}", spec.table_id, n, last, ing + ingested, pul + r["pulled"],
+                            as_of_ts, phase, size, seq))
+        log_rows.append((spec.table_id, n, seq, r["pulled"], written[n], r["rejected"], r["lo"], r["hi"], phase,
+                         as_of_ts, seconds))
+        out.append({"table_id": spec.table_id, "node_id": n, "pulled": r["pulled"], "written": written[n],
+                    "rejected": r["rejected"], "seq": seq, "seconds": seconds})
+    spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA).write.mode("append").parquet(store.batches)
+    if cp_rows:  # the cursor moves only after data and audit are committed
+        spark.createDataFrame(cp_rows, control.CHECKPOINT_SCHEMA).write.mode("append").parquet(store.checkpoints)
+    return out
 
 
 def incremental_sync(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
                      batch_size: int | None = None, max_cycles: int | None = None, **kw) -> list[dict]:
-    """S1 run: cycles per shard until a shard is caught up (empty batch)."""
-    out = []
-    for shard in range(spec.n_shards):
-        cycles = 0
-        while max_cycles is None or cycles < max_cycles:
-            r = sync_cycle(spark, spec, source, store, as_of, shard, batch_size, **kw)
-            cycles += 1
-            if r["pulled"] == 0:
-                break
-            out.append(r)
-            if batch_size is None:
-                break
+    """S1 run: cycles until every shard is caught up (an empty cycle), or
+    ``max_cycles``.  Without ``batch_size`` one cycle takes everything."""
+    out, cycles = [], 0
+    seq = store.next_seq(spark)
+    while max_cycles is None or cycles < max_cycles:
+        r = sync_cycle(spark, spec, source, store, as_of, batch_size, seq=seq, **kw)
+        cycles += 1
+        seq += 1
+        if not r:
+            break
+        out.extend(r)
+        if batch_size is None:
+            break
     return out
 
 

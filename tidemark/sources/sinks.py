@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -91,7 +93,8 @@ def create_partitioned_table(df: DataFrame, target_path: str, ts_col: str, clust
 
 
 def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id",
-                day_col: str = DAY_COL) -> int:
+                day_col: str = DAY_COL, days: Sequence | None = None, count_by: str | None = None,
+                count_values: Sequence = ()):
     """SNK4 + S10: write rows by primary key, idempotently; returns the
     number of rows that were new.
 
@@ -99,19 +102,29 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
     target are skipped.  The key is a hash over the timestamp and record, so
     an existing duplicate has the same timestamp: the probe of the target is
     restricted to the batch's day partitions (partition pruning), never the
-    whole table."""
+    whole table.  ``days`` (the batch's distinct days) may be passed when the
+    caller already knows them; the new-row count is observed during the write
+    (with ``count_by``, a column not written, per value of ``count_values``:
+    the result is then a dict value -> new rows)."""
     spark = batch.sparkSession
     b = with_day(batch.dropDuplicates([key]), ts_col, day_col)
-    days = [r[0] for r in b.select(day_col).distinct().collect()]  # distinct days of one batch: bounded
+    if days is None:
+        days = [r[0] for r in b.select(day_col).distinct().collect()]  # distinct days of one batch: bounded
     if not days:
-        return 0
-    schema = b.schema
-    existing = read_or_empty(spark, target_path, schema).where(F.col(day_col).isin(days))
-    before = existing.count()
-    new = b.join(existing.select(key), key, "left_anti")
-    new.write.mode("append").partitionBy(day_col).parquet(target_path)
-    after = spark.read.schema(schema).parquet(target_path).where(F.col(day_col).isin(days)).count()
-    return after - before
+        return {v: 0 for v in count_values} if count_by else 0
+    stored = b.drop(count_by) if count_by else b
+    existing = read_or_empty(spark, target_path, stored.schema).where(F.col(day_col).isin(list(days)))
+    obs = Observation(f"keyed_write_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if count_by:
+        metrics += [F.sum(F.when(F.col(count_by) == F.lit(v), 1).otherwise(0)).alias(f"n_{i}")
+                    for i, v in enumerate(count_values)]
+    new = b.join(existing.select(key), key, "left_anti").observe(obs, *metrics)
+    (new.drop(count_by) if count_by else new).write.mode("append").partitionBy(day_col).parquet(target_path)
+    got = obs.get
+    if count_by:
+        return {v: int(got[f"n_{i}"] or 0) for i, v in enumerate(count_values)}
+    return int(got["rows"])
 
 
 def truncate_keep_schema(spark: SparkSession, target_path: str, schema: T.StructType,
