@@ -63,16 +63,20 @@ def _r6(c):
 def nearest_port(df: DataFrame, lat_col: str = "latitude", lon_col: str = "longitude",
                  ports: Sequence[tuple[str, float, float]] = MAJOR_PORTS) -> DataFrame:
     """Nearest port of every row by great-circle distance.  The port list
-    is a fixed, bounded literal, so it is evaluated as one array expression
-    per row (no join, no shuffle)."""
+    is a fixed, bounded literal, so it is evaluated as plain column
+    expressions per row (``least`` of the distances, then the first port in
+    name order at that distance): no join, no shuffle, whole-stage codegen."""
     lat, lon = F.col(lat_col), F.col(lon_col)
-    cand = F.array(*[
-        F.struct(_r6(haversine_nm(lat, lon, F.lit(plat), F.lit(plon))).alias("d"), F.lit(name).alias("port"))
-        for name, plat, plon in ports
-    ])
-    best = F.array_min(cand)
-    return df.withColumn("_best", best).select(
-        *df.columns, F.col("_best.port").alias("nearest_port"), F.col("_best.d").alias("port_distance_nm"))
+    ordered = sorted(ports)
+    dists = [_r6(haversine_nm(lat, lon, F.lit(plat), F.lit(plon))) for _, plat, plon in ordered]
+    out = df.select(*df.columns, *[d.alias(f"_d{i}") for i, d in enumerate(dists)])
+    best = F.least(*[F.col(f"_d{i}") for i in range(len(ordered))])
+    name = None
+    for i, (pname, _, _) in enumerate(ordered):
+        cond = F.col(f"_d{i}") == F.col("port_distance_nm")
+        name = F.when(cond, F.lit(pname)) if name is None else name.when(cond, F.lit(pname))
+    out = out.withColumn("port_distance_nm", best)
+    return out.select(*df.columns, name.alias("nearest_port"), "port_distance_nm")
 
 
 def track_legs(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts", tiebreak: str = "event_id",

@@ -230,9 +230,10 @@ def multi_table_sync(spark: SparkSession, specs: Sequence[TableSpec], sources: M
         except Exception as exc:  # noqa: BLE001 - per-table isolation
             log.exception("sync of %s failed", spec.table_id)
             msg = f"{type(exc).__name__}: {exc}"[:500]
-            spark.createDataFrame([(f"error-{spec.table_id}", None, spec.table_id, None, "error", msg, None, None,
+            stamp = spark.range(1).select(ts_lit(as_of)).first()[0]
+            spark.createDataFrame([(f"error-{spec.table_id}", stamp, spec.table_id, None, "error", msg, None, None,
                                     None, None, None, msg)], control.AUDIT_SCHEMA) \
-                .withColumn("timestamp", ts_lit(as_of)).write.mode("append").parquet(store.audit)
+                .write.mode("append").parquet(store.audit)
             return (spec.table_id, "error", 0, 0, 0, msg)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -50,9 +50,20 @@ def as_instant(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("timestamp").alias(c) if c in ntz else F.col(c) for c in df.columns])
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard: a scan with fewer input splits than the
+    cluster has cores (one large row group, a handful of files) is spread
+    round-robin over ``defaultParallelism`` partitions, so per-row work
+    (hashing, trigonometry) is not done by a single task.  Large inputs have
+    far more splits than cores and are left untouched (no extra shuffle)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
     ensure_utc(spark)
-    return as_instant(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = as_instant(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spread(df) if parallel else df
 
 
 def scan_columns(df: DataFrame, columns=None, ts_col: str | None = None) -> DataFrame:
