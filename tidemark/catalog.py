@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import fingerprint_shard, record_id
-from tidemark.functions import convert
+from tidemark.functions import convert, geo
 from tidemark.functions.keys import shard_of, with_record_id
 from tidemark.operators import batches, control, coverage, filters, fleet, monitor, profile, reconcile, schema_plan, tracks
 from tidemark.session import fresh_path
@@ -759,6 +759,28 @@ def rate_by_interval_stream(spark, d):
     return stream.rate_table(spark, out)
 
 
+
+# ------------------------------------------------------------ geometry columns
+
+REFERENCE_POINT = ("Singapore", 1.2644, 103.8223)
+
+
+@query
+def haversine_nm(spark, d):
+    _, plat, plon = REFERENCE_POINT
+    p = _positions(spark, d)
+    return p.select("event_id", F.round(geo.haversine_nm(F.col("latitude"), F.col("longitude"), F.lit(plat),
+                                                         F.lit(plon)), 6).alias("distance_nm"))
+
+
+@query
+def bearing_deg(spark, d):
+    _, plat, plon = REFERENCE_POINT
+    p = _positions(spark, d)
+    return p.select("event_id", F.round(geo.bearing_deg(F.col("latitude"), F.col("longitude"), F.lit(plat),
+                                                        F.lit(plon)), 6).alias("bearing_deg"))
+
+
 # registered names without the helper suffix
 for _k in [k for k in QUERIES if k.endswith("_q")]:
     QUERIES[_k[:-2]] = QUERIES.pop(_k)

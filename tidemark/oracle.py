@@ -633,3 +633,22 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1
        AS window_end, count(*) AS events FROM events WHERE ts IS NOT NULL GROUP BY 1, 2"""
 register("rate_by_interval", _RATE)
 register("rate_by_interval_stream", _RATE)
+
+
+# ------------------------------------------------------------ geometry columns and monitoring
+
+register("haversine_nm", with_(POSITIONS) + f"""
+SELECT event_id, round({haversine_sql('latitude', 'longitude', '1.2644', '103.8223')}, 6) AS distance_nm
+FROM positions""")
+register("bearing_deg", with_(POSITIONS) + f"""
+SELECT event_id, round({bearing_sql('latitude', 'longitude', '1.2644', '103.8223')}, 6) AS bearing_deg
+FROM positions""")
+
+_SHARD_LAST = f"""sl AS (SELECT {fp_shard_sql('ts', 3)} AS node_id, max(ts) AS last_ts FROM feed
+       WHERE ts IS NOT NULL GROUP BY 1)"""
+register("monitoring_aggregates", with_(FEED, _SHARD_LAST) + f"""
+SELECT 'errors_by_table' AS metric, 'events' AS key, CAST(count(*) AS DOUBLE) AS value FROM feed WHERE ts IS NULL
+UNION ALL
+SELECT 'batches_by_phase', {_phase(_lag('last_ts'))}, CAST(count(*) AS DOUBLE) FROM sl GROUP BY 2
+UNION ALL
+SELECT 'avg_lag_by_shard', CAST(node_id AS VARCHAR), round({_lag('last_ts')}, 3) FROM sl""")
