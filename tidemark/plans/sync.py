@@ -24,6 +24,7 @@ from tidemark.functions.convert import quarantine_split, type_projection
 from tidemark.functions.keys import shard_of, with_record_id
 from tidemark.operators import control
 from tidemark.operators.filters import ts_lit
+from tidemark.operators.sequence import latest_per_key
 from tidemark.plans.specs import TableSpec, validate_specs
 from tidemark.session import fresh_path
 from tidemark.sources import sinks
@@ -76,10 +77,14 @@ class SyncStore:
         return control.upsert_checkpoint(log_, spark.createDataFrame([], control.CHECKPOINT_SCHEMA))
 
     def read_audit(self, spark: SparkSession) -> DataFrame:
-        return sinks.read_or_empty(spark, self.audit, control.AUDIT_SCHEMA)
+        """Audit rows; ids are deterministic (table, shard, cycle, record hash),
+        so a cycle or micro-batch that ran twice after a failure counts once."""
+        return sinks.read_or_empty(spark, self.audit, control.AUDIT_SCHEMA).dropDuplicates(["id"])
 
     def read_batches(self, spark: SparkSession) -> DataFrame:
-        return sinks.read_or_empty(spark, self.batches, BATCH_LOG_SCHEMA)
+        """Batch log, one row per (table, shard, cycle) even after a re-run."""
+        log_ = sinks.read_or_empty(spark, self.batches, BATCH_LOG_SCHEMA)
+        return latest_per_key(log_, ["table_id", "node_id", "batch_id"], "as_of", ["seconds"])
 
     def read_target(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.target(name)).drop(sinks.DAY_COL)
@@ -109,6 +114,18 @@ def stamp_synced(df: DataFrame, ts_col: str, as_of, exclude=()) -> DataFrame:
     return with_record_id(df, ts_col, exclude=exclude).withColumn("_synced_at", ts_lit(as_of))
 
 
+def _as_datetime(spark: SparkSession, as_of):
+    if isinstance(as_of, str):
+        import datetime as _dt
+        try:
+            return _dt.datetime.fromisoformat(as_of)
+        except ValueError:
+            pass
+    if not isinstance(as_of, str):
+        return as_of
+    return spark.range(1).select(ts_lit(as_of)).first()[0]
+
+
 def _case_by_node(values: dict, default=None):
     expr = None
     for node, v in values.items():
@@ -154,7 +171,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         pulled = pulled.unionByName(src.where(ts.isNull()).withColumn("node_id", F.lit(0)))
     tagged = quarantine_split(pulled, spec.ts_col, "_conversion_error")
     stage_path = store.staging(spec.table_id, 0, seq)
-    tagged.write.mode("overwrite").parquet(stage_path)
+    tagged.hint("rebalance").write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
     valid_ts = F.when(F.col("reason").isNull(), ts)
     stats = staged.groupBy("node_id").agg(
@@ -174,7 +191,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         quarantine_audit(rej.drop("node_id"), spec.table_id, 0, as_of, seq) \
             .write.mode("append").parquet(store.audit)
     seconds = time.time() - t0
-    as_of_ts = spark.range(1).select(ts_lit(as_of)).first()[0]
+    as_of_ts = _as_datetime(spark, as_of)
     cp_rows, log_rows, out = [], [], []
     for r in stats:
         n = r["node_id"]

@@ -119,8 +119,11 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
     if count_by:
         metrics += [F.sum(F.when(F.col(count_by) == F.lit(v), 1).otherwise(0)).alias(f"n_{i}")
                     for i, v in enumerate(count_values)]
-    new = b.join(existing.select(key), key, "left_anti").observe(obs, *metrics)
-    (new.drop(count_by) if count_by else new).write.mode("append").partitionBy(day_col).parquet(target_path)
+    # rebalance on the day: AQE coalesces small day slices into few files and splits a hot day;
+    # the metrics are observed above that shuffle, on exactly the rows written
+    new = b.join(existing.select(key), key, "left_anti").hint("rebalance", day_col).observe(obs, *metrics)
+    out = new.drop(count_by) if count_by else new
+    out.write.mode("append").partitionBy(day_col).parquet(target_path)
     got = obs.get
     if count_by:
         return {v: int(got[f"n_{i}"] or 0) for i, v in enumerate(count_values)}
