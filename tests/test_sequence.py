@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.sequence import latest_per_key, neighbor_row, rank_within, running_sum
+from tidemark.operators.sequence import latest_per_key, neighbor_row, neighbor_rows, rank_within, running_sum
 
 
 def _skewed(spark):
@@ -29,6 +29,15 @@ def test_neighbor_rows_match_lag_lead(spark):
         assert _same(got, want)
 
 
+def test_neighbor_rows_both_directions(spark):
+    df = _skewed(spark)
+    w = Window.partitionBy("k").orderBy("ts", "tb")
+    got = neighbor_rows(df, ["k"], "ts", ["tb"], ["v"], bucket_seconds=7200) \
+        .select("k", "tb", F.col("prev.tb").alias("p"), F.col("next.tb").alias("n"))
+    want = df.select("k", "tb", F.lag("tb").over(w).alias("p"), F.lead("tb").over(w).alias("n"))
+    assert _same(got, want)
+
+
 def test_running_sum_matches_window(spark):
     df = _skewed(spark)
     w = Window.partitionBy("k").orderBy("ts", "tb").rowsBetween(Window.unboundedPreceding, 0)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookups import deadweight, gross_tonnage
-from tidemark.operators.sequence import latest_per_key, neighbor_row
+from tidemark.operators.sequence import latest_per_key, neighbor_rows
 
 TRACKED_ATTRIBUTES = ("status", "owner", "home_port")
 
@@ -25,8 +25,7 @@ def attribute_changes(updates: DataFrame, key: str = "mmsi", ts_col: str = "last
     previous version (``initial`` for the first)."""
     attrs = list(attributes)
     u = updates.select(key, ts_col, tiebreak, *attrs)
-    u = neighbor_row(u, [key], ts_col, [tiebreak], attrs, out="_prev", direction=-1, bucket_seconds=bucket_seconds)
-    u = neighbor_row(u, [key], ts_col, [tiebreak], [], out="_next", direction=1, bucket_seconds=bucket_seconds)
+    u = neighbor_rows(u, [key], ts_col, [tiebreak], attrs, prev="_prev", next_="_next", bucket_seconds=bucket_seconds)
     changed = F.concat_ws(",", *[F.when(~F.col(a).eqNullSafe(F.col(f"_prev.{a}")), F.lit(a)) for a in attrs])
     changed = F.when(F.col("_prev").isNull(), F.lit("initial")).when(changed == "", F.lit(None)).otherwise(changed)
     return u.select(key, tiebreak, F.col(ts_col).alias("valid_from"), F.col(f"_next.{ts_col}").alias("valid_to"),

@@ -7,10 +7,11 @@ core.  The helpers here split each key into time buckets:
 * the window runs over ``(key, bucket)``, so a hot key spreads over many
   tasks;
 * what crosses a bucket border (the last row of the previous bucket, the
-  running total of earlier buckets) is read from a per-bucket aggregate
-  (one row per key and bucket, partially aggregated before the shuffle),
-  whose window per key is small;
-* the two are joined back on ``(key, bucket)``.
+  running total of earlier buckets) is taken from one edge row per key and
+  bucket, picked in the same window pass, and shifted or summed across
+  buckets by a small window per key;
+* the two are joined back on ``(key, bucket)``; the rows already have that
+  partitioning, so only the small edge frame moves.
 
 The results equal the plain window over the whole key (tests compare them
 with DuckDB's ``lag``/``lead``/``sum() over``/``rank()``).
@@ -49,36 +50,66 @@ def neighbor_row(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequ
                  bucket_seconds: int = 3600) -> DataFrame:
     """Add struct column ``out`` = (ts, *tiebreak, *cols) of the previous
     (``direction=-1``, like ``lag``) or next (``+1``, like ``lead``) row of the
-    same key in ``(ts, *tiebreak)`` order; null at the ends."""
+    same key in ``(ts, *tiebreak)`` order; null at the ends.
+
+    One shuffle of the rows on ``(key, bucket)``; the bucket edge rows (last
+    row of a bucket for ``lag``, first for ``lead``) are picked in the same
+    window pass, shifted across buckets per key (one row per bucket) and
+    joined back on ``(key, bucket)``, whose partitioning the rows already have."""
     keys, tiebreak, cols = list(keys), list(tiebreak), list(cols)
     fields = [ts_col] + tiebreak + [c for c in cols if c not in tiebreak and c != ts_col]
     rec = F.struct(*[F.col(c) for c in fields])
     order = [F.col(c) for c in [ts_col] + tiebreak]
-    b = _with_bucket(df, ts_col, bucket_seconds)
+    b = _with_bucket(df, ts_col, bucket_seconds).withColumn("_rec", rec)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    b = b.withColumn(out, F.lag("_rec", 1).over(w) if direction < 0 else F.lead("_rec", 1).over(w)) \
+        .withColumn("_other", F.lead("_rec", 1).over(w) if direction < 0 else F.lag("_rec", 1).over(w))
+    edges = b.where(F.col("_other").isNull()).select(*keys, BUCKET, F.col("_rec").alias("_edge"))
+    wb = Window.partitionBy(*keys).orderBy(BUCKET)
     shift = F.lag if direction < 0 else F.lead
-    b = b.withColumn(out, shift(rec, 1).over(w))
-    edge = F.max(rec) if direction < 0 else F.min(rec)
-    per_bucket = b.groupBy(*keys, BUCKET).agg(edge.alias("_edge"))
+    carry = edges.select(*keys, BUCKET, shift("_edge", 1).over(wb).alias("_carry"))
+    j = _join_on(b.drop("_other"), carry, keys, "left")
+    return j.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_rec", BUCKET)
+
+
+def neighbor_rows(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
+                  cols: Sequence[str], prev: str = "prev", next_: str = "next",
+                  bucket_seconds: int = 3600) -> DataFrame:
+    """Previous and next row (see :func:`neighbor_row`) in one pass: one
+    shuffle of the rows, one small frame of first/last rows per bucket."""
+    keys, tiebreak, cols = list(keys), list(tiebreak), list(cols)
+    fields = [ts_col] + tiebreak + [c for c in cols if c not in tiebreak and c != ts_col]
+    order = [F.col(c) for c in [ts_col] + tiebreak]
+    b = _with_bucket(df, ts_col, bucket_seconds).withColumn("_rec", F.struct(*[F.col(c) for c in fields]))
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    b = b.withColumn(prev, F.lag("_rec", 1).over(w)).withColumn(next_, F.lead("_rec", 1).over(w))
+    edges = b.where(F.col(prev).isNull() | F.col(next_).isNull()).groupBy(*keys, BUCKET).agg(
+        F.min("_rec").alias("_first"), F.max("_rec").alias("_last"))  # at most two rows per bucket
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
-    carry = per_bucket.select(*keys, BUCKET, shift("_edge", 1).over(wb).alias("_carry"))
+    carry = edges.select(*keys, BUCKET, F.lag("_last", 1).over(wb).alias("_cp"),
+                         F.lead("_first", 1).over(wb).alias("_cn"))
     j = _join_on(b, carry, keys, "left")
-    return j.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", BUCKET)
+    return j.withColumn(prev, F.coalesce(F.col(prev), F.col("_cp"))) \
+        .withColumn(next_, F.coalesce(F.col(next_), F.col("_cn"))).drop("_cp", "_cn", "_rec", BUCKET)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
                 value: Column, out: str, bucket_seconds: int = 3600) -> DataFrame:
     """``sum(value) over (partition by keys order by ts, tiebreak rows
-    between unbounded preceding and current row)`` as column ``out``."""
+    between unbounded preceding and current row)`` as column ``out``.
+    Bucket totals come from the same window pass (one row per bucket is
+    kept), their prefix sums per key from a window over those rows."""
     keys, tiebreak = list(keys), list(tiebreak)
     order = [F.col(c) for c in [ts_col] + tiebreak]
     b = _with_bucket(df, ts_col, bucket_seconds).withColumn("_v", value)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    b = b.withColumn("_local", F.sum("_v").over(w))
-    totals = b.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_tot"))
+    wp = Window.partitionBy(*keys, BUCKET)
+    w = wp.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    b = b.withColumn("_local", F.sum("_v").over(w)).withColumn("_tot", F.sum("_v").over(wp)) \
+        .withColumn("_first", F.row_number().over(wp.orderBy(*order)) == 1)
+    totals = b.where("_first").select(*keys, BUCKET, "_tot")
     wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, BUCKET, F.coalesce(F.sum("_tot").over(wb), F.lit(0)).alias("_off"))
-    j = _join_on(b, offsets, keys, "left")
+    j = _join_on(b.drop("_tot", "_first"), offsets, keys, "left")
     return j.withColumn(out, F.col("_local") + F.col("_off")).drop("_v", "_local", "_off", BUCKET)
 
 
@@ -88,12 +119,14 @@ def rank_within(df: DataFrame, keys: Sequence[str], ts_col: str, out: str = "ran
     share a rank (ties always fall into one bucket)."""
     keys = list(keys)
     b = _with_bucket(df, ts_col, bucket_seconds)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(F.col(ts_col))
-    b = b.withColumn("_local", F.rank().over(w))
-    counts = b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    wp = Window.partitionBy(*keys, BUCKET)
+    w = wp.orderBy(F.col(ts_col))
+    b = b.withColumn("_local", F.rank().over(w)).withColumn("_n", F.count(F.lit(1)).over(wp)) \
+        .withColumn("_first", F.row_number().over(w) == 1)
+    counts = b.where("_first").select(*keys, BUCKET, "_n")
     wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
-    j = _join_on(b, offsets, keys, "left")
+    j = _join_on(b.drop("_n", "_first"), offsets, keys, "left")
     return j.withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint")).drop("_local", "_off", BUCKET)
 
 
