@@ -31,7 +31,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="tidemark-")
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by the cluster")
+        path = tempfile.mkdtemp(prefix="tidemark-")  # local mode only (tests)
         spark.conf.set(CHECKPOINT_CONF, path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

@@ -87,8 +87,9 @@ def create_partitioned_table(df: DataFrame, target_path: str, ts_col: str, clust
     prune on the cluster columns."""
     out = with_day(df, ts_col, day_col)
     keys = [F.col(day_col)] + [F.col(c) for c in cluster_cols]
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without an explicit count the range partitions are sized by AQE from the data volume
+    out = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
+    out = out.sortWithinPartitions(*keys)
     out.write.mode(mode).partitionBy(day_col).parquet(target_path)
 
 
