@@ -68,7 +68,7 @@ def nearest_port(df: DataFrame, lat_col: str = "latitude", lon_col: str = "longi
     name order at that distance): no join, no shuffle, whole-stage codegen."""
     lat, lon = F.col(lat_col), F.col(lon_col)
     ordered = sorted(ports)
-    dists = [_r6(haversine_nm(lat, lon, F.lit(plat), F.lit(plon))) for _, plat, plon in ordered]
+    dists = [haversine_nm(lat, lon, F.lit(plat), F.lit(plon)) for _, plat, plon in ordered]
     out = df.select(*df.columns, *[d.alias(f"_d{i}") for i, d in enumerate(dists)])
     best = F.least(*[F.col(f"_d{i}") for i in range(len(ordered))])
     name = None
@@ -76,7 +76,7 @@ def nearest_port(df: DataFrame, lat_col: str = "latitude", lon_col: str = "longi
         cond = F.col(f"_d{i}") == F.col("port_distance_nm")
         name = F.when(cond, F.lit(pname)) if name is None else name.when(cond, F.lit(pname))
     out = out.withColumn("port_distance_nm", best)
-    return out.select(*df.columns, name.alias("nearest_port"), "port_distance_nm")
+    return out.select(*df.columns, name.alias("nearest_port"), _r6(F.col("port_distance_nm")).alias("port_distance_nm"))
 
 
 def track_legs(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts", tiebreak: str = "event_id",

@@ -197,10 +197,10 @@ _hours = "((epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9)"
 _dist = haversine_sql("plat", "plon", "latitude", "longitude")
 
 register("nearest_port", with_(POSITIONS, MAJOR_PORTS_SQL) + f"""
-SELECT event_id, nearest_port, port_distance_nm FROM (
+SELECT event_id, nearest_port, round(port_distance_nm, 6) AS port_distance_nm FROM (
   SELECT event_id, port AS nearest_port, d AS port_distance_nm,
          row_number() OVER (PARTITION BY event_id ORDER BY d, port) AS rn
-  FROM (SELECT event_id, port, round({haversine_sql('latitude', 'longitude', 'plat', 'plon')}, 6) AS d
+  FROM (SELECT event_id, port, {haversine_sql('latitude', 'longitude', 'plat', 'plon')} AS d
         FROM positions, major_ports)) WHERE rn = 1""")
 
 register("track_legs", with_(POSITIONS, LEGS) + f"""
