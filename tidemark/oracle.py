@@ -266,9 +266,9 @@ SELECT event_id, vessel_mmsi, event_time, prev_event_type, event_type,
 FROM t""")
 
 register("port_calls", with_(PORT_EVENTS) + """,
-c AS (SELECT *, sum(CASE WHEN event_type = 'ARRIVAL' THEN 1 ELSE 0 END)
+c AS (SELECT *, CAST(sum(CASE WHEN event_type = 'ARRIVAL' THEN 1 ELSE 0 END)
           OVER (PARTITION BY vessel_mmsi ORDER BY event_time, event_id
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS call_no FROM port_events),
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS call_no FROM port_events),
 g AS (SELECT vessel_mmsi, call_no,
              min(CASE WHEN event_type = 'ARRIVAL' THEN event_time END) AS arrived_at,
              arg_min(CASE WHEN event_type = 'ARRIVAL' THEN port_id END,
@@ -340,7 +340,7 @@ def _poll(phase: str) -> str:
 
 
 def _cp_rows(table_id: str, table: str, ts: str, n: int) -> str:
-    return (f"SELECT '{table_id}' AS table_id, {fp_shard_sql(ts, n)} AS node_id, max({ts}) AS last_timestamp, "
+    return (f"SELECT '{table_id}' AS table_id, CAST({fp_shard_sql(ts, n)} AS INTEGER) AS node_id, max({ts}) AS last_timestamp, "
             f"count(*) AS n FROM {table} WHERE {ts} IS NOT NULL GROUP BY 2")
 
 
@@ -351,13 +351,13 @@ def checkpoints_sql(as_of: str = AS_OF) -> str:
     return f"""cps AS (
   SELECT table_id || '_' || CAST(node_id AS VARCHAR) AS checkpoint_id, table_id, node_id, last_timestamp,
          n AS records_ingested, n AS records_pulled, TIMESTAMP '{as_of}' AS last_sync_time,
-         {ph} AS phase, {_batch(ph)} AS batch_size, 1 AS seq
+         {ph} AS phase, {_batch(ph)} AS batch_size, CAST(1 AS BIGINT) AS seq
   FROM ({raw}))"""
 
 
 CPS = checkpoints_sql()
 SPECS = """specs(table_id, n_shards) AS (VALUES ('events', 3), ('orders', 2), ('lineitem', 4), ('pending', 1))"""
-SHARDS = """shards AS (SELECT table_id, n_shards, r.range AS node_id FROM specs, range(n_shards) r)"""
+SHARDS = """shards AS (SELECT table_id, n_shards, CAST(r.range AS INTEGER) AS node_id FROM specs, range(n_shards) r)"""
 TARGET = target_sql()
 SOURCE = source_keyed_sql()
 
@@ -372,29 +372,29 @@ FROM feed WHERE ts IS NULL""")
 register("skip_summary", with_(FEED) + """
 SELECT 'events' AS table_id, 'missing_ts' AS reason, count(*) AS skipped FROM feed WHERE ts IS NULL""")
 register("ingest_totals", with_(FEED) + f""",
-s AS (SELECT CASE WHEN ts IS NULL THEN 0 ELSE {fp_shard_sql('ts', 3)} END AS node_id, ts FROM feed)
+s AS (SELECT CAST(CASE WHEN ts IS NULL THEN 0 ELSE {fp_shard_sql('ts', 3)} END AS INTEGER) AS node_id, ts FROM feed)
 SELECT 'events' AS table_id, node_id, count(*) AS records_pulled, count(ts) AS records_ingested,
-       count(*) - count(ts) AS records_quarantined, 1 AS batches
+       count(*) - count(ts) AS records_quarantined, CAST(1 AS BIGINT) AS batches
 FROM s GROUP BY node_id""")
 register("advance_checkpoint", with_(CPS) + "SELECT * FROM cps")
 
 _ph_new = _phase(_lag("last_timestamp"))
 register("upsert_checkpoint", with_(CPS) + f""",
-o AS (SELECT {fp_shard_sql('ts', 3)} AS node_id, max(ts) AS mts, count(*) AS n FROM events
+o AS (SELECT CAST({fp_shard_sql('ts', 3)} AS INTEGER) AS node_id, max(ts) AS mts, count(*) AS n FROM events
       WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
-nw AS (SELECT {fp_shard_sql('ts', 3)} AS node_id, max(ts) AS mts, count(*) AS n FROM events
+nw AS (SELECT CAST({fp_shard_sql('ts', 3)} AS INTEGER) AS node_id, max(ts) AS mts, count(*) AS n FROM events
        WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
 e AS (SELECT 'events_' || CAST(node_id AS VARCHAR) AS checkpoint_id, 'events' AS table_id, node_id,
              greatest(nw.mts, o.mts) AS last_timestamp, o.n + nw.n AS records_ingested,
              o.n + nw.n AS records_pulled, TIMESTAMP '{AS_OF}' AS last_sync_time FROM nw JOIN o USING (node_id))
-SELECT *, {_ph_new} AS phase, {_batch(_ph_new)} AS batch_size, 2 AS seq FROM e
+SELECT *, {_ph_new} AS phase, {_batch(_ph_new)} AS batch_size, CAST(2 AS BIGINT) AS seq FROM e
 UNION ALL SELECT * FROM cps WHERE table_id <> 'events'""")
 
 register("load_checkpoint", with_(CPS) + """
 SELECT 'lineitem' AS table_id, s.node_id, coalesce(c.last_timestamp, TIMESTAMP '1970-01-01 00:00:00') AS cursor,
        c.last_timestamp IS NULL AS restarted, coalesce(c.records_ingested, 0) AS records_ingested,
        coalesce(c.records_pulled, 0) AS records_pulled
-FROM (SELECT range AS node_id FROM range(6)) s
+FROM (SELECT CAST(range AS INTEGER) AS node_id FROM range(6)) s
 LEFT JOIN cps c ON c.table_id = 'lineitem' AND c.node_id = s.node_id""")
 
 _L = _lag("last_timestamp")
@@ -490,7 +490,7 @@ register("health_rollup", with_(FEED, TARGET, SOURCE, SPOT, CPS, SPECS, SHARDS,
 pt AS (SELECT table_id, bool_and(status IN ('healthy', 'ok')) AS ok, count(*) AS checks FROM checks GROUP BY table_id)
 SELECT table_id, checks, CASE WHEN ok THEN 'healthy' ELSE 'issues_detected' END AS overall_status FROM pt
 UNION ALL
-SELECT NULL, sum(checks), CASE WHEN bool_and(ok) THEN 'healthy' ELSE 'issues_detected' END FROM pt""")
+SELECT NULL, CAST(sum(checks) AS BIGINT), CASE WHEN bool_and(ok) THEN 'healthy' ELSE 'issues_detected' END FROM pt""")
 
 _ALERT_AS_OF = "2024-01-31 00:10:00"
 register("alerts", with_(FEED, TARGET, CPS, SPECS, SHARDS, PROGRESS.replace(
@@ -499,7 +499,7 @@ s AS (SELECT {fp_shard_sql('ts', 3)} AS shard, count(*) AS sc FROM events WHERE
 t AS (SELECT {fp_shard_sql('ts', 3)} AS shard, count(*) AS tc FROM target GROUP BY 1),
 drift AS (SELECT coalesce(s.shard, t.shard) AS shard, abs(coalesce(sc, 0) - coalesce(tc, 0)) AS delta
           FROM s FULL OUTER JOIN t ON s.shard = t.shard)
-SELECT NULL AS table_id, shard AS node_id, 'count_drift' AS alert, CAST(delta AS DOUBLE) AS value FROM drift
+SELECT NULL AS table_id, CAST(shard AS INTEGER) AS node_id, 'count_drift' AS alert, CAST(delta AS DOUBLE) AS value FROM drift
 WHERE delta > 1000
 UNION ALL
 SELECT table_id, node_id, 'lag', CAST(lag_seconds AS DOUBLE) FROM progress WHERE lag_seconds > 1800
@@ -516,8 +516,8 @@ SELECT shard, rows, round(CASE WHEN share > 0 THEN abs(rows - share) / share ELS
        CASE WHEN share > 0 THEN abs(rows - share) / share ELSE 0 END <= 0.10 AS balanced FROM m""")
 
 register("multi_table_sync", """
-SELECT 'events' AS table_id, 'ok' AS status, count(*) AS pulled, count(*) AS written, 0 AS quarantined,
-       NULL AS error FROM events
+SELECT 'events' AS table_id, 'ok' AS status, count(*) AS pulled, count(*) AS written,
+       CAST(0 AS BIGINT) AS quarantined, CAST(NULL AS VARCHAR) AS error FROM events
 UNION ALL SELECT 'orders', 'ok', count(*), count(*), 0, NULL FROM orders
 UNION ALL SELECT 'lineitem', 'ok', count(*), count(*), 0, NULL FROM lineitem""")
 
