@@ -131,3 +131,35 @@ def test_drop_table_is_idempotent(spark):
     assert sinks.drop_table(spark, path)
     assert sinks.drop_table(spark, path)
     assert sinks.read_or_empty(spark, path, T.StructType([T.StructField("id", T.LongType())])).count() == 0
+
+
+def test_stream_resumes_from_checkpoint(spark):
+    ev = read_table(spark, SF_SMALL, "events")
+    src = fresh_path(spark, "t-resume-src")
+    ev.repartition(2, "event_id").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    store = S.SyncStore.fresh(spark, "t-resume")
+    ckpt = fresh_path(spark, "t-resume-ckpt")
+    q1 = stream.stream_sync(spark, src, schema, "ts", store, "copy", "events", AS_OF, ckpt)
+    q1.awaitTermination()
+    first = [p["numInputRows"] for p in q1.recentProgress]
+    assert sum(first) == ev.count()
+    q2 = stream.stream_sync(spark, src, schema, "ts", store, "copy", "events", AS_OF, ckpt)
+    q2.awaitTermination()
+    assert sum(p["numInputRows"] for p in q2.recentProgress) == 0
+    assert store.read_target(spark, "copy").count() == ev.count()
+    prog = stream.progress_frame(spark, q1)
+    assert prog.agg(F.sum("rows")).first()[0] == ev.count()
+
+
+def test_rate_stream_equals_batch(spark):
+    ev = read_table(spark, SF_SMALL, "events")
+    src = fresh_path(spark, "t-rate-src")
+    ev.repartition(3, "event_id").write.parquet(src)
+    out = fresh_path(spark, "t-rate-out")
+    q = stream.rate_by_interval_stream(spark, src, spark.read.parquet(src).schema, "ts", out,
+                                       fresh_path(spark, "t-rate-ckpt"), interval="1 day")
+    q.awaitTermination()
+    got = stream.rate_table(spark, out)
+    want = stream.rate_by_interval(ev, "ts", "1 day")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

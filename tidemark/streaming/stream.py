@@ -36,7 +36,10 @@ def stream_sync(spark: SparkSession, source_dir: str, schema: T.StructType, ts_c
         .load(source_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        tagged = quarantine_split(batch, ts_col)
+        # the micro-batch is read from the source once: staged per epoch (a replay overwrites it)
+        stage = store.staging(table_id, 0, epoch) + "-stream"
+        quarantine_split(batch, ts_col).write.mode("overwrite").parquet(stage)
+        tagged = spark.read.parquet(stage)
         valid = tagged.where(F.col("reason").isNull()).drop("reason")
         sinks.keyed_write(stamp_synced(valid, ts_col, as_of), store.target(target), ts_col)
         rejected = tagged.where(F.col("reason").isNotNull())
@@ -56,7 +59,9 @@ def strict_stream_append(spark: SparkSession, source_dir: str, schema: T.StructT
     raw = spark.readStream.format("text").load(source_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        sinks.strict_stream_batch(sinks.strict_parse(spark, batch, schema), target_path, schema)
+        stage = f"{target_path}-staging/epoch={epoch}"  # read the micro-batch once (check + write)
+        sinks.strict_parse(spark, batch, schema).write.mode("overwrite").parquet(stage)
+        sinks.strict_stream_batch(spark.read.parquet(stage), target_path, schema)
 
     return _start(raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint),
                   available_now, None)
