@@ -157,18 +157,21 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         src = type_projection(src, target_schema)
     ts = F.col(spec.ts_col)
     node = shard_of(ts, spec.n_shards, spec.shard_method) if spec.n_shards > 1 else F.lit(0)
-    src = src.withColumn("node_id", node.cast("int"))
-    pulled = src.where(ts > _case_by_node(cursor))
+    # rows without a timestamp have no shard and can never pass a cursor: shard 0 reports them once
+    src = src.withColumn("node_id", F.coalesce(node, F.lit(0)).cast("int"))
+    after = ts > _case_by_node(cursor)
     if batch_size is not None:
-        his = {}
-        for n in range(spec.n_shards):
-            part = pulled.where(F.col("node_id") == n).select(spec.ts_col).orderBy(ts).limit(batch_size)
-            his[n] = part.agg(F.max(spec.ts_col)).first()[0]  # bounded top-k per shard
-        his = {n: h for n, h in his.items() if h is not None}
-        pulled = pulled.where(ts <= _case_by_node(his)) if his else pulled.limit(0)
+        cand = src.where(after)
+        cuts = [cand.where(F.col("node_id") == n).select("node_id", spec.ts_col).orderBy(ts).limit(batch_size)
+                for n in range(spec.n_shards)]  # one bounded top-k per shard, all in one job
+        top = cuts[0]
+        for c in cuts[1:]:
+            top = top.unionByName(c)
+        his = {r["node_id"]: r["hi"] for r in top.groupBy("node_id").agg(F.max(spec.ts_col).alias("hi")).collect()}
+        after = (after & (ts <= _case_by_node(his))) if his else F.lit(False)
     if restarted.get(0):
-        # rows without a timestamp can never pass a cursor: shard 0 reports them once
-        pulled = pulled.unionByName(src.where(ts.isNull()).withColumn("node_id", F.lit(0)))
+        after = after | ts.isNull()
+    pulled = src.where(after)
     tagged = quarantine_split(pulled, spec.ts_col, "_conversion_error")
     stage_path = store.staging(spec.table_id, 0, seq)
     tagged.hint("rebalance").write.mode("overwrite").parquet(stage_path)
