@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,4 +69,4 @@ def legal_next(prev_state: Column) -> Column:
     return F.coalesce(map_lit(LEGAL_NEXT_EVENT)[prev_state], F.array(*[F.lit(x) for x in FALLBACK_NEXT]))
 
 
-__all__ = ["chain", "status_from_event", "gross_tonnage", "deadweight", "legal_next", "map_lit"]
+__all__ = ["status_from_event", "gross_tonnage", "deadweight", "legal_next", "map_lit"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import shard_of
-from tidemark.operators.filters import check_shard, cursor_filter, recent_filter, shard_filter, ts_lit
+from tidemark.operators.filters import check_shard, cursor_filter, recent_filter, shard_filter
 from tidemark.operators.sequence import rank_within
 from tidemark.sources.tables import scan_columns
 
@@ -72,5 +72,3 @@ def shard_batches(df: DataFrame, ts_col: str, n_shards: int, batch_size: int,
     return r.withColumn("batch_no", F.ceil(F.col("ts_rank") / F.lit(batch_size)).cast("bigint"))
 
 
-__all__ = ["next_batch", "latest_n", "audit_recent", "chronological_output", "checkpoint_listing",
-           "shard_batches", "ts_lit"]

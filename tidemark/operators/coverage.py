@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.filters import range_scan_window, ts_lit
 from tidemark.operators.profile import data_range
@@ -129,5 +128,5 @@ def rolling_window(spark: SparkSession, archive: DataFrame, target_path: str, ts
     return {"action": plan["action"], "days": plan["days"], "written": written, "deleted": ret["deleted"]}
 
 
-__all__ = ["T", "retained", "retention_delete", "retention_all", "backfill_plan", "backfill_load",
+__all__ = ["retained", "retention_delete", "retention_all", "backfill_plan", "backfill_load",
            "coverage_gaps", "rolling_window"]

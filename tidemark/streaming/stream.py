@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import quarantine_split
-from tidemark.operators.filters import ts_lit
 from tidemark.operators.sequence import latest_per_key
 from tidemark.plans.sync import SyncStore, quarantine_audit, stamp_synced
 from tidemark.sources import sinks
@@ -111,4 +110,4 @@ def progress_frame(spark: SparkSession, query) -> DataFrame:
 
 
 __all__ = ["stream_sync", "strict_stream_append", "rate_by_interval", "rate_by_interval_stream", "rate_table",
-           "progress_frame", "ts_lit"]
+           "progress_frame"]
