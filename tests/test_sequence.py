@@ -1,4 +1,6 @@
-"""Bucket-split ordered helpers equal plain windows, also with one hot key."""
+"""Bucket-split ordered helpers equal plain windows, also with one hot key or burst."""
+
+import pytest
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -15,40 +17,53 @@ def _skewed(spark):
     return df.unionByName(df.where(F.col("id") % 11 == 0).withColumn("tb", F.col("tb") + 100000))
 
 
+def _burst(spark):
+    # one key, one instant: a third of the rows share key 0 and the same timestamp
+    df = _skewed(spark)
+    return df.withColumn("ts", F.when(F.col("k") == 0, F.lit("2024-01-05 00:00:00").cast("timestamp"))
+                         .otherwise(F.col("ts")))
+
+
 def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_neighbor_rows_match_lag_lead(spark):
-    df = _skewed(spark)
+@pytest.mark.parametrize("bucket", [3600, None])
+@pytest.mark.parametrize("fixture", ["skewed", "burst"])
+def test_neighbor_rows_match_lag_lead(spark, bucket, fixture):
+    df = _skewed(spark) if fixture == "skewed" else _burst(spark)
     w = Window.partitionBy("k").orderBy("ts", "tb")
     for direction, fn in ((-1, F.lag), (1, F.lead)):
-        got = neighbor_row(df, ["k"], "ts", ["tb"], ["v"], out="n", direction=direction, bucket_seconds=3600) \
+        got = neighbor_row(df, ["k"], "ts", ["tb"], ["v"], out="n", direction=direction, bucket_seconds=bucket) \
             .select("k", "tb", F.col("n.tb").alias("ntb"), F.col("n.v").alias("nv"))
         want = df.select("k", "tb", fn("tb").over(w).alias("ntb"), fn("v").over(w).alias("nv"))
         assert _same(got, want)
 
 
-def test_neighbor_rows_both_directions(spark):
-    df = _skewed(spark)
+@pytest.mark.parametrize("bucket", [7200, None])
+def test_neighbor_rows_both_directions(spark, bucket):
+    df = _burst(spark)
     w = Window.partitionBy("k").orderBy("ts", "tb")
-    got = neighbor_rows(df, ["k"], "ts", ["tb"], ["v"], bucket_seconds=7200) \
+    got = neighbor_rows(df, ["k"], "ts", ["tb"], ["v"], bucket_seconds=bucket) \
         .select("k", "tb", F.col("prev.tb").alias("p"), F.col("next.tb").alias("n"))
     want = df.select("k", "tb", F.lag("tb").over(w).alias("p"), F.lead("tb").over(w).alias("n"))
     assert _same(got, want)
 
 
-def test_running_sum_matches_window(spark):
-    df = _skewed(spark)
+@pytest.mark.parametrize("bucket", [3600, None])
+def test_running_sum_matches_window(spark, bucket):
+    df = _burst(spark)
     w = Window.partitionBy("k").orderBy("ts", "tb").rowsBetween(Window.unboundedPreceding, 0)
-    got = running_sum(df, ["k"], "ts", ["tb"], F.col("v"), "s", 3600).select("k", "tb", "s")
+    got = running_sum(df, ["k"], "ts", ["tb"], F.col("v"), "s", bucket).select("k", "tb", "s")
     want = df.select("k", "tb", F.sum("v").over(w).alias("s"))
     assert _same(got, want)
 
 
-def test_rank_matches_window(spark):
-    df = _skewed(spark)
-    got = rank_within(df, ["k"], "ts", "r", 3600).select("k", "tb", "r")
+@pytest.mark.parametrize("bucket", [3600, None])
+@pytest.mark.parametrize("fixture", ["skewed", "burst"])
+def test_rank_matches_window(spark, bucket, fixture):
+    df = _skewed(spark) if fixture == "skewed" else _burst(spark)
+    got = rank_within(df, ["k"], "ts", "r", bucket).select("k", "tb", "r")
     want = df.select("k", "tb", F.rank().over(Window.partitionBy("k").orderBy("ts")).cast("bigint").alias("r"))
     assert _same(got, want)
 

@@ -140,7 +140,7 @@ def chronological_output(spark, d):
 @query
 def shard_batches(spark, d):
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    return batches.shard_batches(li, "l_shipdate", 3, 1000, "fingerprint", bucket_seconds=30 * 86400)
+    return batches.shard_batches(li, "l_shipdate", 3, 1000, "fingerprint")
 
 
 

@@ -62,7 +62,7 @@ def checkpoint_listing(checkpoints: DataFrame) -> DataFrame:
 
 
 def shard_batches(df: DataFrame, ts_col: str, n_shards: int, batch_size: int,
-                  shard_method: str = "fingerprint", bucket_seconds: int = 86400) -> DataFrame:
+                  shard_method: str = "fingerprint", bucket_seconds: int | None = None) -> DataFrame:
     """Number every batch of every shard at once (instead of polling):
     ``batch = ceil(rank / batch_size)`` with ``rank()`` over the shard in
     timestamp order, so rows tied on ``ts`` share a batch.  A shard is a

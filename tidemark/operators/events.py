@@ -15,7 +15,7 @@ def with_status(events: DataFrame, type_col: str = "event_type") -> DataFrame:
 
 
 def transition_check(events: DataFrame, key: str = "vessel_mmsi", ts_col: str = "event_time",
-                     tiebreak: str = "event_id", bucket_seconds: int = 6 * 3600) -> DataFrame:
+                     tiebreak: str = "event_id", bucket_seconds: int | None = None) -> DataFrame:
     """Every event with its predecessor (initial state UNDERWAY) and
     whether the transition is legal."""
     p = neighbor_row(events, [key], ts_col, [tiebreak], ["event_type"], out="_prev", direction=-1,
@@ -26,7 +26,7 @@ def transition_check(events: DataFrame, key: str = "vessel_mmsi", ts_col: str =
 
 
 def port_calls(events: DataFrame, key: str = "vessel_mmsi", ts_col: str = "event_time",
-               tiebreak: str = "event_id", bucket_seconds: int = 6 * 3600) -> DataFrame:
+               tiebreak: str = "event_id", bucket_seconds: int | None = None) -> DataFrame:
     """ARRIVAL -> BERTHED -> DEPARTURE assembled into calls.  A call runs
     from one ARRIVAL to the next; the first BERTHED and DEPARTURE in it are
     taken; incomplete calls keep NULLs."""

@@ -19,7 +19,7 @@ def latest_by_key(updates: DataFrame, key: str = "mmsi", ts_col: str = "last_upd
 
 def attribute_changes(updates: DataFrame, key: str = "mmsi", ts_col: str = "last_updated",
                       tiebreak: str = "version_key", attributes=TRACKED_ATTRIBUTES,
-                      bucket_seconds: int = 30 * 86400) -> DataFrame:
+                      bucket_seconds: int | None = None) -> DataFrame:
     """Every version with ``valid_from``/``valid_to`` (next version's
     time, NULL for the current one) and the attributes that changed from the
     previous version (``initial`` for the first)."""

@@ -5,7 +5,9 @@ task; a key holding a third of the table would then be sorted by a single
 core.  The helpers here split each key into time buckets:
 
 * the window runs over ``(key, bucket)``, so a hot key spreads over many
-  tasks;
+  tasks; buckets are either fixed time slices or (default) the partitions
+  of a range partitioning on the ordering key, whose sampled bounds also
+  split a burst of rows at one instant;
 * what crosses a bucket border (the last row of the previous bucket, the
   running total of earlier buckets) is taken from one edge row per key and
   bucket, picked in the same window pass, and shifted or summed across
@@ -32,8 +34,17 @@ def bucket_of(ts: Column, bucket_seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
 
 
-def _with_bucket(df: DataFrame, ts_col: str, bucket_seconds: int) -> DataFrame:
-    return df.withColumn(BUCKET, bucket_of(F.col(ts_col), bucket_seconds))
+def _with_bucket(df: DataFrame, ts_col: str, bucket_seconds: int | None,
+                 order: Sequence[str] = (), keys: Sequence[str] = ()) -> DataFrame:
+    """Bucket rows of every key.  ``bucket_seconds`` = fixed time buckets;
+    ``None`` = data-driven buckets: the rows are range-partitioned on
+    ``(*keys, ts, *order)`` and the range partition is the bucket, so the
+    sampled range bounds split a hot key, and a burst (one key, one instant,
+    many rows) too, over several tasks.  Buckets keep the ordering key's order."""
+    if bucket_seconds is not None:
+        return df.withColumn(BUCKET, bucket_of(F.col(ts_col), bucket_seconds))
+    ranged = df.repartitionByRange(*[F.col(c) for c in list(keys) + [ts_col] + list(order)])
+    return ranged.withColumn(BUCKET, F.spark_partition_id().cast("bigint"))
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -47,7 +58,7 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -
 
 def neighbor_row(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
                  cols: Sequence[str], out: str = "prev", direction: int = -1,
-                 bucket_seconds: int = 3600) -> DataFrame:
+                 bucket_seconds: int | None = None) -> DataFrame:
     """Add struct column ``out`` = (ts, *tiebreak, *cols) of the previous
     (``direction=-1``, like ``lag``) or next (``+1``, like ``lead``) row of the
     same key in ``(ts, *tiebreak)`` order; null at the ends.
@@ -60,7 +71,7 @@ def neighbor_row(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequ
     fields = [ts_col] + tiebreak + [c for c in cols if c not in tiebreak and c != ts_col]
     rec = F.struct(*[F.col(c) for c in fields])
     order = [F.col(c) for c in [ts_col] + tiebreak]
-    b = _with_bucket(df, ts_col, bucket_seconds).withColumn("_rec", rec)
+    b = _with_bucket(df, ts_col, bucket_seconds, tiebreak, keys).withColumn("_rec", rec)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     b = b.withColumn(out, F.lag("_rec", 1).over(w) if direction < 0 else F.lead("_rec", 1).over(w)) \
         .withColumn("_other", F.lead("_rec", 1).over(w) if direction < 0 else F.lag("_rec", 1).over(w))
@@ -74,13 +85,13 @@ def neighbor_row(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequ
 
 def neighbor_rows(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
                   cols: Sequence[str], prev: str = "prev", next_: str = "next",
-                  bucket_seconds: int = 3600) -> DataFrame:
+                  bucket_seconds: int | None = None) -> DataFrame:
     """Previous and next row (see :func:`neighbor_row`) in one pass: one
     shuffle of the rows, one small frame of first/last rows per bucket."""
     keys, tiebreak, cols = list(keys), list(tiebreak), list(cols)
     fields = [ts_col] + tiebreak + [c for c in cols if c not in tiebreak and c != ts_col]
     order = [F.col(c) for c in [ts_col] + tiebreak]
-    b = _with_bucket(df, ts_col, bucket_seconds).withColumn("_rec", F.struct(*[F.col(c) for c in fields]))
+    b = _with_bucket(df, ts_col, bucket_seconds, tiebreak, keys).withColumn("_rec", F.struct(*[F.col(c) for c in fields]))
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     b = b.withColumn(prev, F.lag("_rec", 1).over(w)).withColumn(next_, F.lead("_rec", 1).over(w))
     edges = b.where(F.col(prev).isNull() | F.col(next_).isNull()).groupBy(*keys, BUCKET).agg(
@@ -94,14 +105,14 @@ def neighbor_rows(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Seq
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
-                value: Column, out: str, bucket_seconds: int = 3600) -> DataFrame:
+                value: Column, out: str, bucket_seconds: int | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by ts, tiebreak rows
     between unbounded preceding and current row)`` as column ``out``.
     Bucket totals come from the same window pass (one row per bucket is
     kept), their prefix sums per key from a window over those rows."""
     keys, tiebreak = list(keys), list(tiebreak)
     order = [F.col(c) for c in [ts_col] + tiebreak]
-    b = _with_bucket(df, ts_col, bucket_seconds).withColumn("_v", value)
+    b = _with_bucket(df, ts_col, bucket_seconds, tiebreak, keys).withColumn("_v", value)
     wp = Window.partitionBy(*keys, BUCKET)
     w = wp.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = b.withColumn("_local", F.sum("_v").over(w)).withColumn("_tot", F.sum("_v").over(wp)) \
@@ -114,20 +125,21 @@ def running_sum(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Seque
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], ts_col: str, out: str = "rank",
-                bucket_seconds: int = 3600) -> DataFrame:
-    """``rank() over (partition by keys order by ts)``: rows tied on ``ts``
-    share a rank (ties always fall into one bucket)."""
+                bucket_seconds: int | None = None) -> DataFrame:
+    """``rank() over (partition by keys order by ts)``.
+
+    Ties collapse first: rows are counted per ``(key, ts)`` (a partial
+    aggregate, so even a tie group holding a third of the table is one row),
+    the exclusive running count over those distinct values gives the rank,
+    and it is joined back on ``(key, ts)`` (AQE splits a hot tie group)."""
     keys = list(keys)
-    b = _with_bucket(df, ts_col, bucket_seconds)
-    wp = Window.partitionBy(*keys, BUCKET)
-    w = wp.orderBy(F.col(ts_col))
-    b = b.withColumn("_local", F.rank().over(w)).withColumn("_n", F.count(F.lit(1)).over(wp)) \
-        .withColumn("_first", F.row_number().over(w) == 1)
-    counts = b.where("_first").select(*keys, BUCKET, "_n")
-    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
-    j = _join_on(b.drop("_n", "_first"), offsets, keys, "left")
-    return j.withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint")).drop("_local", "_off", BUCKET)
+    counts = df.groupBy(*keys, ts_col).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_sum(counts, keys, ts_col, [], F.col("_n"), "_incl", bucket_seconds)
+    ranks = ranked.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(ts_col).alias("_k_ts"),
+                          (F.col("_incl") - F.col("_n") + 1).cast("bigint").alias(out))
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(ranks[f"_k_{k}"]) for k in keys] +
+                  [df[ts_col].eqNullSafe(ranks["_k_ts"])])
+    return df.join(ranks, cond, "left").drop(*[f"_k_{k}" for k in keys], "_k_ts")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],

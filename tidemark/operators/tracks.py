@@ -80,7 +80,7 @@ def nearest_port(df: DataFrame, lat_col: str = "latitude", lon_col: str = "longi
 
 
 def track_legs(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts", tiebreak: str = "event_id",
-               bucket_seconds: int = 6 * 3600) -> DataFrame:
+               bucket_seconds: int | None = None) -> DataFrame:
     """Consecutive fixes per vessel -> distance (nm), hours, implied
     knots and initial bearing of every leg."""
     p = neighbor_row(positions, [key], ts_col, [tiebreak], ["latitude", "longitude", "speed_knots"],
@@ -98,7 +98,7 @@ def track_legs(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts", tieb
 
 
 def dead_reckon_check(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts", tiebreak: str = "event_id",
-                      outlier_nm: float = 50.0, bucket_seconds: int = 6 * 3600) -> DataFrame:
+                      outlier_nm: float = 50.0, bucket_seconds: int | None = None) -> DataFrame:
     """M3 applied: project every fix from the previous one (its reported speed
     over the elapsed time, along the leg's bearing) and measure the error
     against the actual fix; flag errors above ``outlier_nm``."""
@@ -119,7 +119,7 @@ def dead_reckon_check(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts
 
 def port_stays(positions: DataFrame, key: str = "mmsi", ts_col: str = "ts", tiebreak: str = "event_id",
                status_col: str = "status", rest_statuses: Sequence[str] = REST_STATUSES,
-               min_hours: float = MIN_PORT_STAY_HOURS, bucket_seconds: int = 6 * 3600) -> DataFrame:
+               min_hours: float = MIN_PORT_STAY_HOURS, bucket_seconds: int | None = None) -> DataFrame:
     """Runs of consecutive at-rest fixes per vessel (gaps and islands);
     a stay is complete when it lasts at least ``min_hours``."""
     rest = F.col(status_col).isin(list(rest_statuses))
