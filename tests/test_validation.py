@@ -107,3 +107,28 @@ def test_count_drift_thresholds(spark):
     assert r["status"] == "drift"
     r = reconcile.count_drift(src, src.limit(1199), "ts").first()
     assert r["status"] == "ok"
+
+
+def test_validation_run_plan(spark):
+    from tests.conftest import SF_SMALL
+    from tidemark.plans import sync as S
+    from tidemark.plans import validation as V
+    from tidemark.sources import views
+    from tidemark.sources.tables import read_table
+
+    ev = read_table(spark, SF_SMALL, "events")
+    feed = views.defective_feed(ev)
+    store = S.SyncStore.fresh(spark, "t-validate")
+    spec = TableSpec("events", "events", "ts", "copy", n_shards=2)
+    S.incremental_sync(spark, spec, feed, store, "2024-01-31 00:00:00")
+    missing = TableSpec("other", "events", "ts", "never_synced")
+    checks, rollup = V.validation_run(spark, [spec, missing], {"events": ev, "other": ev}, store,
+                                      "2024-01-31 00:00:00", "t1", sample=50)
+    got = {(r["table_id"], r["check"]): r["status"] for r in checks.collect()}
+    assert got[("other", "progress")] == "no_checkpoint"
+    assert got[("other", "smoke_test")] == "table_not_found"
+    assert got[("events", "spot_check")] in ("healthy", "issues_found")
+    overall = {r["table_id"]: r["overall_status"] for r in rollup.collect()}
+    assert overall[None] == "issues_detected"
+    audit = store.read_audit(spark).where(F.col("id") == "validation-t1").collect()
+    assert len(audit) == 1 and audit[0]["status"] == "issues_detected" and "spot_check" in audit[0]["check_results"]

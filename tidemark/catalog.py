@@ -15,6 +15,7 @@ from tidemark.operators import batches, control, coverage, filters, fleet, monit
 from tidemark.session import fresh_path
 from tidemark.streaming import stream
 from tidemark.plans import sync as sync_plan
+from tidemark.plans import validation as validation_plan
 from tidemark.plans.specs import TableSpec, specs_frame
 from tidemark.plans.sync import SyncStore
 from tidemark.sources import sinks
@@ -467,7 +468,12 @@ def health_rollup(spark, d):
 
 @query
 def validation_run(spark, d):
-    return monitor.validation_audit_row(_checks(spark, d), AS_OF, "catalog")
+    """V4 plan over the synced copy of the defective feed: checks, rollup and
+    the audit row (returned; the store keeps its own copy)."""
+    store = _synced(spark, d)
+    checks, _ = validation_plan.validation_run(spark, [EVENTS_SPEC], {"events": _feed(spark, d)}, store, AS_OF,
+                                               "catalog", sample=5, write_audit=False)
+    return monitor.validation_audit_row(checks, AS_OF, "catalog")
 
 
 @query
