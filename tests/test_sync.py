@@ -163,3 +163,32 @@ def test_rate_stream_equals_batch(spark):
     got = stream.rate_table(spark, out)
     want = stream.rate_by_interval(ev, "ts", "1 day")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_auto_batch_size_follows_phase(spark):
+    ev = read_table(spark, SF_SMALL, "events")
+    store = S.SyncStore.fresh(spark, "t-auto")
+    spec = TableSpec("events", "events", "ts", "copy", n_shards=1, batch_sizes={"initial": 400})
+    first = S.sync_cycle(spark, spec, ev, store, AS_OF, batch_size="auto")
+    assert first[0]["pulled"] == 400  # no cursor yet: initial phase, overridden size (no ties in events)
+    res = S.incremental_sync(spark, spec, ev, store, AS_OF, batch_size="auto")
+    assert sum(r["pulled"] for r in res) == ev.count() - 400
+
+
+def test_sync_with_type_conversion_quarantines_failures(spark):
+    from tidemark.catalog import SOURCE_FIELDS, _string_events
+    from tidemark.functions import convert
+
+    ev = read_table(spark, SF_SMALL, "events")
+    raw = _string_events(ev, junk_ts_mod=7)
+    store = S.SyncStore.fresh(spark, "t-typed")
+    spec = TableSpec("typed", "events", "ts", "copy")
+    target_schema = convert.build_schema(SOURCE_FIELDS)
+    S.incremental_sync(spark, spec, raw, store, AS_OF, target_schema=target_schema)
+    reasons = {r["reason"]: r["count"] for r in store.read_audit(spark).groupBy("reason").count().collect()}
+    junk_ts = ev.where(F.col("event_id") % 7 == 0).count()
+    bad_value = ev.where((F.col("event_id") % 50 == 0) & (F.col("event_id") % 7 != 0)).count()
+    assert reasons == {"missing_ts": junk_ts, "processing_error: value": bad_value}
+    target = store.read_target(spark, "copy")
+    assert target.count() == ev.count() - junk_ts - bad_value
+    assert dict(target.dtypes)["value"] == "decimal(38,9)" and dict(target.dtypes)["ts"] == "timestamp"

@@ -126,6 +126,22 @@ def _as_datetime(spark: SparkSession, as_of):
     return spark.range(1).select(ts_lit(as_of)).first()[0]
 
 
+def _phase_of(cursor, as_of_ts) -> str:
+    """S5 on the driver for one cursor value (no cursor yet: initial)."""
+    if cursor is None:
+        return "initial"
+    lag = (as_of_ts - cursor).total_seconds()
+    if lag > control.CATCHUP_THRESHOLD_S:
+        return "initial"
+    return "catchup" if lag > control.STEADY_THRESHOLD_S else "steady"
+
+
+def _phase_batch_size(spec: TableSpec, cursor, as_of_ts) -> int:
+    """Batch size of the phase, the table's override first."""
+    phase = _phase_of(cursor, as_of_ts)
+    return int(spec.batch_sizes.get(phase, control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE)))
+
+
 def _case_by_node(values: dict, default=None):
     expr = None
     for node, v in values.items():
@@ -135,14 +151,15 @@ def _case_by_node(values: dict, default=None):
 
 
 def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
-               batch_size: int | None = None, seq: int | None = None, target_schema: T.StructType | None = None,
+               batch_size: int | str | None = None, seq: int | None = None, target_schema: T.StructType | None = None,
                start=control.DEFAULT_START) -> list[dict]:
     """One cycle over every shard of a table in one plan.
 
     The shard is a logical column (F1/F4); each shard has its own cursor
     (S3), so the pull is ``ts > cursor(shard)``, cut per shard at the tie-safe
-    batch end (O1) when ``batch_size`` is given.  Returns one counter dict per
-    shard that pulled rows (empty when caught up)."""
+    batch end (O1) when ``batch_size`` is given (``"auto"``: each shard's
+    size follows its phase, S5/S6).  Returns one counter dict per shard that
+    pulled rows (empty when caught up)."""
     t0 = time.time()
     seq = seq if seq is not None else store.next_seq(spark)
     checkpoints = store.read_checkpoints(spark)
@@ -152,6 +169,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     prev = {r["node_id"]: (r["records_ingested"], r["records_pulled"]) for r in curs}
     prev_ts = {r["node_id"]: (None if r["restarted"] else r["cursor"]) for r in curs}
 
+    as_of_ts = _as_datetime(spark, as_of)
     src = scan_columns(source, spec.columns, spec.ts_col)
     if target_schema is not None:
         src = type_projection(src, target_schema)
@@ -160,9 +178,15 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     # rows without a timestamp have no shard and can never pass a cursor: shard 0 reports them once
     src = src.withColumn("node_id", F.coalesce(node, F.lit(0)).cast("int"))
     after = ts > _case_by_node(cursor)
+    if batch_size == "auto":
+        # Each shard's batch follows its phase (lag of its cursor), per-table overrides first
+        sizes = {n: _phase_batch_size(spec, cursor[n] if not restarted[n] else None, as_of_ts)
+                 for n in range(spec.n_shards)}
+    elif batch_size is not None:
+        sizes = {n: int(batch_size) for n in range(spec.n_shards)}
     if batch_size is not None:
         cand = src.where(after)
-        cuts = [cand.where(F.col("node_id") == n).select("node_id", spec.ts_col).orderBy(ts).limit(batch_size)
+        cuts = [cand.where(F.col("node_id") == n).select("node_id", spec.ts_col).orderBy(ts).limit(sizes[n])
                 for n in range(spec.n_shards)]  # one bounded top-k per shard, all in one job
         top = cuts[0]
         for c in cuts[1:]:
@@ -194,17 +218,14 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         quarantine_audit(rej.drop("node_id"), spec.table_id, 0, as_of, seq) \
             .write.mode("append").parquet(store.audit)
     seconds = time.time() - t0
-    as_of_ts = _as_datetime(spark, as_of)
     cp_rows, log_rows, out = [], [], []
     for r in stats:
         n = r["node_id"]
         ing, pul = prev.get(n, (0, 0))
         ingested = r["pulled"] - r["rejected"]
         last = max([t for t in (r["hi"], prev_ts.get(n)) if t is not None], default=None)
-        lag = (as_of_ts - last).total_seconds() if last is not None else None
-        phase = ("steady" if lag is None else "initial" if lag > control.CATCHUP_THRESHOLD_S
-                 else "catchup" if lag > control.STEADY_THRESHOLD_S else "steady")
-        size = spec.batch_sizes.get(phase, control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE))
+        phase = _phase_of(last, as_of_ts)
+        size = _phase_batch_size(spec, last, as_of_ts)
         if last is not None:
             cp_rows.append((f"{spec.table_id}_{n}", spec.table_id, n, last, ing + ingested, pul + r["pulled"],
                             as_of_ts, phase, size, seq))
@@ -219,7 +240,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
 
 
 def incremental_sync(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
-                     batch_size: int | None = None, max_cycles: int | None = None, **kw) -> list[dict]:
+                     batch_size: int | str | None = None, max_cycles: int | None = None, **kw) -> list[dict]:
     """S1 run: cycles until every shard is caught up (an empty cycle), or
     ``max_cycles``.  Without ``batch_size`` one cycle takes everything."""
     out, cycles = [], 0
