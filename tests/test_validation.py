@@ -18,7 +18,7 @@ def _cp(spark, rows):
 
 
 def _row(node, last_ts, last_sync):
-    return (f"t_{node}", "t", node, last_ts, 10, 10, last_sync, "steady", 500, 1)
+    return (f"t_{node}", "t", node, last_ts, 10, 10, last_sync, "steady", 500, 1, 5)
 
 
 def test_progress_statuses(spark):

@@ -260,7 +260,7 @@ def _checkpoints(spark, d, as_of=AS_OF, seq=1):
     for table_id, name, ts_col, n in CHECKPOINT_TABLES:
         t = read_table(spark, d, name).where(F.col(ts_col).isNotNull())
         t = t.withColumn("shard", shard_of(F.col(ts_col), n))
-        cp = control.advance_checkpoint(t, table_id, ts_col, as_of, seq, node_col="shard")
+        cp = control.advance_checkpoint(t, table_id, ts_col, as_of, seq, node_col="shard", n_shards=n)
         out = cp if out is None else out.unionByName(cp)
     return out
 
@@ -342,18 +342,26 @@ def upsert_checkpoint(spark, d):
     ev = _events(spark, d)
     ev = ev.withColumn("shard", shard_of(F.col("ts"), 3))
     old = control.advance_checkpoint(ev.where(F.col("ts") < "2024-01-15"), "events", "ts",
-                                     "2024-01-15 00:00:00", 1, node_col="shard")
+                                     "2024-01-15 00:00:00", 1, node_col="shard", n_shards=3)
     new = control.advance_checkpoint(ev.where(F.col("ts") >= "2024-01-15"), "events", "ts", AS_OF, 2,
-                                     node_col="shard", previous=old)
+                                     node_col="shard", previous=old, n_shards=3)
     other = _checkpoints(spark, d).where(F.col("table_id") != "events")
     return control.upsert_checkpoint(old.unionByName(other), new)
 
 
 @query
 def load_checkpoint(spark, d):
+    """Re-shard: lineitem's checkpoints were written for 4 shards, 6 are asked for."""
     return control.load_checkpoint(_checkpoints(spark, d), "lineitem", 6, spark)
 
 
+@query
+def load_checkpoint_same_layout(spark, d):
+    """Same layout with one shard's checkpoint missing: it starts at the default start."""
+    cps = _checkpoints(spark, d).where(F.col("checkpoint_id") != "events_1")
+    return control.load_checkpoint(cps, "events", 3, spark)
+
+
 @query
 def lag_view(spark, d):
     return control.lag_view(_checkpoints(spark, d), AS_OF)

@@ -23,6 +23,7 @@ CHECKPOINT_SCHEMA = T.StructType([
     T.StructField("phase", T.StringType(), True),
     T.StructField("batch_size", T.IntegerType(), True),
     T.StructField("seq", T.LongType(), False),
+    T.StructField("n_shards", T.IntegerType(), False),
 ])
 
 AUDIT_SCHEMA = T.StructType([
@@ -82,7 +83,7 @@ def poll_interval_for(phase: Column, steady_s: int | None = None) -> Column:
 
 def advance_checkpoint(batch: DataFrame, table_id: str, ts_col: str, as_of, seq: int,
                        node_col: str | None = None, node_id: int = 0, ingested_col: str | None = None,
-                       previous: DataFrame | None = None) -> DataFrame:
+                       previous: DataFrame | None = None, n_shards: int = 1) -> DataFrame:
     """New checkpoint rows from one batch: cursor = newest ``ts`` of the
     batch per node, counts added to the previous totals (``pulled`` counts
     every row, ``ingested`` only valid rows), stamped with ``as_of``; phase and
@@ -109,7 +110,7 @@ def advance_checkpoint(batch: DataFrame, table_id: str, ts_col: str, as_of, seq:
         (F.coalesce("_p_ing", F.lit(0)) + F.col("ingested")).cast("bigint").alias("records_ingested"),
         (F.coalesce("_p_pull", F.lit(0)) + F.col("pulled")).cast("bigint").alias("records_pulled"),
         ts_lit(as_of).alias("last_sync_time"), phase.alias("phase"), batch_size_for(phase).alias("batch_size"),
-        F.lit(seq).cast("bigint").alias("seq"))
+        F.lit(seq).cast("bigint").alias("seq"), F.lit(n_shards).cast("int").alias("n_shards"))
 
 
 def upsert_checkpoint(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -121,18 +122,27 @@ def upsert_checkpoint(old: DataFrame, new: DataFrame) -> DataFrame:
 def load_checkpoint(checkpoints: DataFrame, table_id: str, n_shards: int, spark_session,
                     start=DEFAULT_START) -> DataFrame:
     """S3: the cursor of every shard of ``table_id``; a missing checkpoint starts
-    at ``start``; an unparseable stored cursor (string) restarts at ``start``."""
+    at ``start``; an unparseable stored cursor (string) restarts at ``start``.
+
+    Re-shard rule: checkpoints written for another shard count do not belong
+    to the new shards (rows moved between shards), so a new shard without
+    its own checkpoint starts at the minimum of those old cursors; the keyed
+    write absorbs the rows pulled again."""
     shards = spark_session.range(n_shards).select(F.col("id").cast("int").alias("node_id"))
     cp = checkpoints.where(F.col("table_id") == table_id)
     ts_type = dict((f.name, f.dataType) for f in cp.schema.fields)["last_timestamp"]
     stored = F.col("last_timestamp")
     if isinstance(ts_type, T.StringType):
         stored = F.try_to_timestamp(stored)
-    cp = cp.select("node_id", stored.alias("_stored"), "records_ingested", "records_pulled")
-    j = shards.join(cp, "node_id", "left")
-    return j.select(F.lit(table_id).alias("table_id"), "node_id",
-                    F.coalesce(F.col("_stored"), ts_lit(start)).alias("cursor"),
-                    F.col("_stored").isNull().alias("restarted"),
+    layout = F.col("n_shards") if "n_shards" in cp.columns else F.lit(n_shards)
+    cp = cp.select("node_id", stored.alias("_stored"), "records_ingested", "records_pulled",
+                   (layout != F.lit(n_shards)).alias("_other_layout"))
+    floor = cp.where(F.col("_other_layout")).agg(F.min("_stored")).scalar()  # scalar subquery
+    own = cp.where(~F.col("_other_layout")).drop("_other_layout")
+    j = shards.join(own, "node_id", "left")
+    cursor = F.coalesce(F.col("_stored"), floor, ts_lit(start))
+    return j.select(F.lit(table_id).alias("table_id"), "node_id", cursor.alias("cursor"),
+                    (F.col("_stored").isNull() & floor.isNull()).alias("restarted"),
                     F.coalesce("records_ingested", F.lit(0)).cast("bigint").alias("records_ingested"),
                     F.coalesce("records_pulled", F.lit(0)).cast("bigint").alias("records_pulled"))
 

@@ -341,7 +341,7 @@ def _poll(phase: str) -> str:
 
 def _cp_rows(table_id: str, table: str, ts: str, n: int) -> str:
     return (f"SELECT '{table_id}' AS table_id, CAST({fp_shard_sql(ts, n)} AS INTEGER) AS node_id, max({ts}) AS last_timestamp, "
-            f"count(*) AS n FROM {table} WHERE {ts} IS NOT NULL GROUP BY 2")
+            f"count(*) AS n, CAST({n} AS INTEGER) AS n_shards FROM {table} WHERE {ts} IS NOT NULL GROUP BY 2")
 
 
 def checkpoints_sql(as_of: str = AS_OF) -> str:
@@ -351,7 +351,7 @@ def checkpoints_sql(as_of: str = AS_OF) -> str:
     return f"""cps AS (
   SELECT table_id || '_' || CAST(node_id AS VARCHAR) AS checkpoint_id, table_id, node_id, last_timestamp,
          n AS records_ingested, n AS records_pulled, TIMESTAMP '{as_of}' AS last_sync_time,
-         {ph} AS phase, {_batch(ph)} AS batch_size, CAST(1 AS BIGINT) AS seq
+         {ph} AS phase, {_batch(ph)} AS batch_size, CAST(1 AS BIGINT) AS seq, n_shards
   FROM ({raw}))"""
 
 
@@ -387,15 +387,21 @@ nw AS (SELECT CAST({fp_shard_sql('ts', 3)} AS INTEGER) AS node_id, max(ts) AS mt
 e AS (SELECT 'events_' || CAST(node_id AS VARCHAR) AS checkpoint_id, 'events' AS table_id, node_id,
              greatest(nw.mts, o.mts) AS last_timestamp, o.n + nw.n AS records_ingested,
              o.n + nw.n AS records_pulled, TIMESTAMP '{AS_OF}' AS last_sync_time FROM nw JOIN o USING (node_id))
-SELECT *, {_ph_new} AS phase, {_batch(_ph_new)} AS batch_size, CAST(2 AS BIGINT) AS seq FROM e
+SELECT *, {_ph_new} AS phase, {_batch(_ph_new)} AS batch_size, CAST(2 AS BIGINT) AS seq,
+       CAST(3 AS INTEGER) AS n_shards FROM e
 UNION ALL SELECT * FROM cps WHERE table_id <> 'events'""")
 
 register("load_checkpoint", with_(CPS) + """
-SELECT 'lineitem' AS table_id, s.node_id, coalesce(c.last_timestamp, TIMESTAMP '1970-01-01 00:00:00') AS cursor,
+SELECT 'lineitem' AS table_id, CAST(range AS INTEGER) AS node_id,
+       (SELECT min(last_timestamp) FROM cps WHERE table_id = 'lineitem') AS cursor, false AS restarted,
+       CAST(0 AS BIGINT) AS records_ingested, CAST(0 AS BIGINT) AS records_pulled
+FROM range(6)""")
+register("load_checkpoint_same_layout", with_(CPS) + """
+SELECT 'events' AS table_id, s.node_id, coalesce(c.last_timestamp, TIMESTAMP '1970-01-01 00:00:00') AS cursor,
        c.last_timestamp IS NULL AS restarted, coalesce(c.records_ingested, 0) AS records_ingested,
        coalesce(c.records_pulled, 0) AS records_pulled
-FROM (SELECT CAST(range AS INTEGER) AS node_id FROM range(6)) s
-LEFT JOIN cps c ON c.table_id = 'lineitem' AND c.node_id = s.node_id""")
+FROM (SELECT CAST(range AS INTEGER) AS node_id FROM range(3)) s
+LEFT JOIN cps c ON c.table_id = 'events' AND c.node_id = s.node_id AND c.node_id <> 1""")
 
 _L = _lag("last_timestamp")
 register("lag_view", with_(CPS) + f"""
