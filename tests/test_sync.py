@@ -197,11 +197,11 @@ def test_sync_with_type_conversion_quarantines_failures(spark):
 def test_reshard_keeps_every_row(spark):
     li = read_table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     store = S.SyncStore.fresh(spark, "t-reshard")
-    two = TableSpec("li", "lineitem", "l_shipdate", "copy", n_shards=2)
+    two = TableSpec("li", "lineitem", "l_shipdate", "copy", n_shards=2, partition_grain="month")
     S.incremental_sync(spark, two, li, store, AS_OF, batch_size=1500, max_cycles=1)
     partial = store.read_target(spark, "copy").count()
     assert 0 < partial < li.count()
-    three = TableSpec("li", "lineitem", "l_shipdate", "copy", n_shards=3)
+    three = TableSpec("li", "lineitem", "l_shipdate", "copy", n_shards=3, partition_grain="month")
     S.incremental_sync(spark, three, li, store, AS_OF, batch_size=2500)
     target = store.read_target(spark, "copy")
     assert target.count() == li.count() and target.select("id").distinct().count() == li.count()

@@ -509,9 +509,9 @@ def monitoring_aggregates(spark, d):
 def multi_table_sync(spark, d):
     store = SyncStore.fresh(spark, "multi")
     specs = [TableSpec("events", "events", "ts", "events_copy", n_shards=2),
-             TableSpec("orders", "orders", "o_orderdate", "orders_copy", n_shards=1),
+             TableSpec("orders", "orders", "o_orderdate", "orders_copy", n_shards=1, partition_grain="month"),
              TableSpec("lineitem", "lineitem", "l_shipdate", "lineitem_copy", n_shards=2,
-                       columns=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"])]
+                       columns=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"], partition_grain="month")]
     sources = {s.table_id: read_table(spark, d, s.source) for s in specs}
     return sync_plan.multi_table_sync(spark, specs, sources, store, AS_OF)
 

@@ -17,7 +17,9 @@ class SpecError(ValueError):
 @dataclass(frozen=True)
 class TableSpec:
     """One synchronised table: its id, source, timestamp column, selected
-    columns, target name, sharding and batch sizes (overrides by phase)."""
+    columns, target name, sharding, batch sizes (overrides by phase) and the
+    partition grain of its target (``day``, or ``month`` for long low-rate
+    tables)."""
 
     table_id: str
     source: str
@@ -27,7 +29,7 @@ class TableSpec:
     n_shards: int = 1
     shard_method: str = "fingerprint"
     batch_sizes: dict = field(default_factory=dict)
-    partition_day: bool = True
+    partition_grain: str = "day"
 
     def selected(self) -> list[str]:
         return normalize_columns(self.columns, self.ts_col)

@@ -204,7 +204,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     stats = staged.groupBy("node_id").agg(
         F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"),
         F.min(valid_ts).alias("lo"), F.max(valid_ts).alias("hi"),
-        F.collect_set(F.to_date(valid_ts)).alias("days")).collect()  # one row per shard
+        F.collect_set(sinks.partition_value(valid_ts, spec.partition_grain)).alias("days")).collect()  # per shard
     if not stats:
         return []
     days = sorted({d for r in stats for d in r["days"]})
@@ -212,7 +212,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     nodes = [r["node_id"] for r in stats]
     written = sinks.keyed_write(stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"]),
                                 store.target(spec.target), spec.ts_col,
-                                days=days, count_by="node_id", count_values=nodes)
+                                days=days, count_by="node_id", count_values=nodes, grain=spec.partition_grain)
     if any(r["rejected"] for r in stats):
         rej = staged.where(F.col("reason").isNotNull())
         quarantine_audit(rej.drop("node_id"), spec.table_id, 0, as_of, seq) \

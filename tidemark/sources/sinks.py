@@ -74,8 +74,18 @@ def strict_stream_batch(batch: DataFrame, target_path: str, schema: T.StructType
     return 0
 
 
-def with_day(df: DataFrame, ts_col: str, day_col: str = DAY_COL) -> DataFrame:
-    return df.withColumn(day_col, F.to_date(F.col(ts_col)))
+def partition_value(ts, grain: str = "day"):
+    """Partition column value of a timestamp: its day, or the first day of
+    its month (for long, low-rate tables where day directories would be tiny)."""
+    if grain == "day":
+        return F.to_date(ts)
+    if grain == "month":
+        return F.trunc(F.to_date(ts), "month")
+    raise ValueError(f"unknown partition grain {grain!r}")
+
+
+def with_day(df: DataFrame, ts_col: str, day_col: str = DAY_COL, grain: str = "day") -> DataFrame:
+    return df.withColumn(day_col, partition_value(F.col(ts_col), grain))
 
 
 def create_partitioned_table(df: DataFrame, target_path: str, ts_col: str, cluster_cols: Sequence[str] = (),
@@ -95,7 +105,7 @@ def create_partitioned_table(df: DataFrame, target_path: str, ts_col: str, clust
 
 def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id",
                 day_col: str = DAY_COL, days: Sequence | None = None, count_by: str | None = None,
-                count_values: Sequence = ()):
+                count_values: Sequence = (), grain: str = "day"):
     """SNK4 + S10: write rows by primary key, idempotently; returns the
     number of rows that were new.
 
@@ -103,12 +113,13 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
     target are skipped.  The key is a hash over the timestamp and record, so
     an existing duplicate has the same timestamp: the probe of the target is
     restricted to the batch's day partitions (partition pruning), never the
-    whole table.  ``days`` (the batch's distinct days) may be passed when the
+    whole table.  ``grain`` is the partition granularity (``day``/``month``);
+    ``days`` (the batch's distinct partition values) may be passed when the
     caller already knows them; the new-row count is observed during the write
     (with ``count_by``, a column not written, per value of ``count_values``:
     the result is then a dict value -> new rows)."""
     spark = batch.sparkSession
-    b = with_day(batch.dropDuplicates([key]), ts_col, day_col)
+    b = with_day(batch.dropDuplicates([key]), ts_col, day_col, grain)
     if days is None:
         days = [r[0] for r in b.select(day_col).distinct().collect()]  # distinct days of one batch: bounded
     if not days:
