@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,12 +185,11 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     elif batch_size is not None:
         sizes = {n: int(batch_size) for n in range(spec.n_shards)}
     if batch_size is not None:
-        cand = src.where(after)
-        cuts = [cand.where(F.col("node_id") == n).select("node_id", spec.ts_col).orderBy(ts).limit(sizes[n])
-                for n in range(spec.n_shards)]  # one bounded top-k per shard, all in one job
-        top = cuts[0]
-        for c in cuts[1:]:
-            top = top.unionByName(c)
+        # per-shard top-k in one scan: row_number <= k is planned as WindowGroupLimit, which keeps
+        # only k rows per shard in every map task before the shuffle
+        rn = F.row_number().over(Window.partitionBy("node_id").orderBy(ts))
+        top = src.where(after).select("node_id", spec.ts_col).withColumn("_rn", rn) \
+            .where((F.col("_rn") <= F.lit(max(sizes.values()))) & (F.col("_rn") <= _case_by_node(sizes)))
         his = {r["node_id"]: r["hi"] for r in top.groupBy("node_id").agg(F.max(spec.ts_col).alias("hi")).collect()}
         after = (after & (ts <= _case_by_node(his))) if his else F.lit(False)
     if restarted.get(0):
