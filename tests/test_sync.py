@@ -205,3 +205,12 @@ def test_reshard_keeps_every_row(spark):
     S.incremental_sync(spark, three, li, store, AS_OF, batch_size=2500)
     target = store.read_target(spark, "copy")
     assert target.count() == li.count() and target.select("id").distinct().count() == li.count()
+
+
+def test_shard_with_only_missing_timestamps_terminates(spark):
+    ev = read_table(spark, SF_SMALL, "events").limit(30).withColumn("ts", F.lit(None).cast("timestamp"))
+    store = S.SyncStore.fresh(spark, "t-nulls")
+    spec = TableSpec("nulls", "events", "ts", "copy")
+    res = S.incremental_sync(spark, spec, ev, store, AS_OF, batch_size=10, max_cycles=5)
+    assert len(res) == 1 and res[0]["pulled"] == 30 and res[0]["rejected"] == 30
+    assert store.read_audit(spark).count() == 30

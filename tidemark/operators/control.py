@@ -122,7 +122,8 @@ def upsert_checkpoint(old: DataFrame, new: DataFrame) -> DataFrame:
 def load_checkpoint(checkpoints: DataFrame, table_id: str, n_shards: int, spark_session,
                     start=DEFAULT_START) -> DataFrame:
     """S3: the cursor of every shard of ``table_id``; a missing checkpoint starts
-    at ``start``; an unparseable stored cursor (string) restarts at ``start``.
+    at ``start`` (``restarted``: no checkpoint row at all); an unparseable or
+    empty stored cursor restarts at ``start``.
 
     Re-shard rule: checkpoints written for another shard count do not belong
     to the new shards (rows moved between shards), so a new shard without
@@ -142,7 +143,7 @@ def load_checkpoint(checkpoints: DataFrame, table_id: str, n_shards: int, spark_
     j = shards.join(own, "node_id", "left")
     cursor = F.coalesce(F.col("_stored"), floor, ts_lit(start))
     return j.select(F.lit(table_id).alias("table_id"), "node_id", cursor.alias("cursor"),
-                    (F.col("_stored").isNull() & floor.isNull()).alias("restarted"),
+                    (F.col("records_pulled").isNull() & floor.isNull()).alias("restarted"),
                     F.coalesce("records_ingested", F.lit(0)).cast("bigint").alias("records_ingested"),
                     F.coalesce("records_pulled", F.lit(0)).cast("bigint").alias("records_pulled"))
 

@@ -225,9 +225,9 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         last = max([t for t in (r["hi"], prev_ts.get(n)) if t is not None], default=None)
         phase = _phase_of(last, as_of_ts)
         size = _phase_batch_size(spec, last, as_of_ts)
-        if last is not None:
-            cp_rows.append((f"{spec.table_id}_{n}", spec.table_id, n, last, ing + ingested, pul + r["pulled"],
-                            as_of_ts, phase, size, seq, spec.n_shards))
+        # written even without a valid timestamp: the shard has then reported its rows without one
+        cp_rows.append((f"{spec.table_id}_{n}", spec.table_id, n, last, ing + ingested, pul + r["pulled"],
+                        as_of_ts, phase, size, seq, spec.n_shards))
         log_rows.append((spec.table_id, n, seq, r["pulled"], written[n], r["rejected"], r["lo"], r["hi"], phase,
                          as_of_ts, seconds))
         out.append({"table_id": spec.table_id, "node_id": n, "pulled": r["pulled"], "written": written[n],
