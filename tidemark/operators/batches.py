@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import shard_of
 from tidemark.operators.filters import check_shard, cursor_filter, recent_filter, shard_filter
-from tidemark.operators.sequence import rank_within
+from tidemark.operators.sequence import running_sum
 from tidemark.sources.tables import scan_columns
 
 
@@ -65,10 +65,17 @@ def shard_batches(df: DataFrame, ts_col: str, n_shards: int, batch_size: int,
                   shard_method: str = "fingerprint", bucket_seconds: int | None = None) -> DataFrame:
     """Number every batch of every shard at once (instead of polling):
     ``batch = ceil(rank / batch_size)`` with ``rank()`` over the shard in
-    timestamp order, so rows tied on ``ts`` share a batch.  A shard is a
-    ``1/n`` slice of the table, hence the bucket-split rank."""
-    s = df.where(F.col(ts_col).isNotNull()).withColumn("shard", shard_of(F.col(ts_col), n_shards, shard_method))
-    r = rank_within(s, ["shard"], ts_col, "ts_rank", bucket_seconds)
-    return r.withColumn("batch_no", F.ceil(F.col("ts_rank") / F.lit(batch_size)).cast("bigint"))
-
-
+    timestamp order, so rows tied on ``ts`` share a batch.
+
+    The shard is a function of the timestamp, so rows are first counted per
+    timestamp (a partial aggregate: a tie group of any size is one row),
+    the shard hash runs on those distinct values only, the exclusive running
+    count per shard (skew-safe, see ``sequence``) gives the rank, and the
+    rows join it back on the timestamp."""
+    rows = df.where(F.col(ts_col).isNotNull())
+    counts = rows.groupBy(ts_col).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("shard", shard_of(F.col(ts_col), n_shards, shard_method))
+    ranked = running_sum(counts, ["shard"], ts_col, [], F.col("_n"), "_incl", bucket_seconds)
+    ranks = ranked.select(ts_col, "shard", (F.col("_incl") - F.col("_n") + 1).cast("bigint").alias("ts_rank"))
+    return rows.join(ranks, ts_col).withColumn(
+        "batch_no", F.ceil(F.col("ts_rank") / F.lit(batch_size)).cast("bigint"))
