@@ -636,6 +636,17 @@ def truncate_keep_schema(spark, d):
     return sinks.truncate_keep_schema(spark, target, ev.schema)
 
 
+@query
+def drop_table(spark, d):
+    """SNK8: a full copy is written, dropped twice (idempotent), and reads back empty."""
+    ev = _events(spark, d)
+    target = fresh_path(spark, "drop")
+    ev.write.parquet(target)
+    sinks.drop_table(spark, target)
+    sinks.drop_table(spark, target)
+    return sinks.read_or_empty(spark, target, ev.schema)
+
+
 def _string_events(ev, junk_ts_mod=None):
     eid = F.col("event_id")
     ts_text = (F.when(eid % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))

@@ -577,6 +577,7 @@ register("create_partitioned_table", """
 SELECT *, CAST(ts AS DATE) AS _day FROM events
 WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'""")
 register("truncate_keep_schema", "SELECT * FROM events WHERE false")
+register("drop_table", "SELECT * FROM events WHERE false")
 
 _TS_BACK = """CASE WHEN event_id % 3 = 0 THEN ts
             WHEN event_id % 3 = 1 THEN make_timestamp((epoch_us(ts) // 1000) * 1000)
