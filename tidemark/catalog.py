@@ -484,6 +484,15 @@ def validation_run(spark, d):
     return monitor.validation_audit_row(checks, AS_OF, "catalog")
 
 
+@query
+def validation_checks(spark, d):
+    """The checks of the V4 plan (progress, freshness, spot check) for the synced feed."""
+    store = _synced(spark, d)
+    checks, _ = validation_plan.validation_run(spark, [EVENTS_SPEC], {"events": _feed(spark, d)}, store, AS_OF,
+                                               "catalog-checks", sample=5, write_audit=False)
+    return checks
+
+
 @query
 def alerts(spark, d):
     cps = _checkpoints(spark, d)

@@ -659,3 +659,26 @@ UNION ALL
 SELECT 'batches_by_phase', {_phase(_lag('last_ts'))}, CAST(count(*) AS DOUBLE) FROM sl GROUP BY 2
 UNION ALL
 SELECT 'avg_lag_by_shard', CAST(node_id AS VARCHAR), round({_lag('last_ts')}, 3) FROM sl""")
+
+
+# ------------------------------------------------------------ validation plan checks
+
+_FEED_KEYED = f"""fk AS (SELECT {record_id_sql('ts')} AS id, ts FROM feed)"""
+register("validation_checks", with_(FEED, TARGET, _FEED_KEYED) + f""",
+sl AS (SELECT {fp_shard_sql('ts', 3)} AS node_id, max(ts) AS last_ts FROM feed WHERE ts IS NOT NULL GROUP BY 1),
+p AS (SELECT CASE WHEN {_lag('last_ts')} > 3600 THEN 2 WHEN {_lag('last_ts')} > 300 THEN 1 ELSE 0 END AS sev FROM sl),
+t5 AS (SELECT id, ts FROM target ORDER BY ts DESC, id DESC LIMIT 5),
+s5 AS (SELECT id, ts FROM fk WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR ORDER BY ts, id LIMIT 5),
+sp AS (SELECT (SELECT count(*) FROM t5) AS tn,
+              (SELECT count(*) FROM t5 WHERE id NOT IN (SELECT id FROM fk)) +
+              (SELECT count(*) FROM s5 WHERE id NOT IN (SELECT id FROM target)) AS issues)
+SELECT 'events' AS table_id, 'progress' AS "check",
+       CASE max(sev) WHEN 2 THEN 'severely_lagging' WHEN 1 THEN 'lagging' ELSE 'healthy' END AS status FROM p
+UNION ALL
+SELECT 'events', 'smoke_test',
+       CASE WHEN max(ts) FILTER (WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 5 MINUTE) IS NULL
+            THEN 'no_recent_data' ELSE 'healthy' END FROM target
+UNION ALL
+SELECT 'events', 'spot_check', CASE WHEN tn = 0 THEN 'no_data' WHEN issues = 0 THEN 'healthy'
+                                    ELSE 'issues_found' END FROM sp"""
+)

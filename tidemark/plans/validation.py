@@ -31,13 +31,15 @@ def _status_row(spark: SparkSession, table_id: str, check: str, status: str) ->
 
 def table_checks(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
                  checkpoints: DataFrame, sample: int = 5, source_lookback: str = "1 hour") -> DataFrame:
-    """V1-V3 for one table as (table_id, check, status) rows."""
+    """V1-V3 for one table as (table_id, check, status) rows; the progress of
+    a table is its worst shard (no_checkpoint > stalled > severely_lagging >
+    lagging > healthy)."""
     one = specs_frame(spark, [spec])
+    severity = F.when(F.col("status") == "no_checkpoint", 4).when(F.col("status") == "stalled", 3) \
+        .when(F.col("status") == "severely_lagging", 2).when(F.col("status") == "lagging", 1).otherwise(0)
     prog = monitor.progress_check(one, checkpoints, as_of).groupBy("table_id").agg(
         F.lit("progress").alias("check"),
-        F.when(F.bool_and(F.col("status") == "healthy"), "healthy")
-        .otherwise(F.first(F.when(F.col("status") != "healthy", F.col("status")), ignorenulls=True))
-        .alias("status"))
+        F.max(F.struct(severity.alias("s"), F.col("status").alias("status")))["status"].alias("status"))
     try:
         target = store.read_target(spark, spec.target)
     except Exception:  # noqa: BLE001 - an absent target is a status
