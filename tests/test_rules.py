@@ -154,3 +154,13 @@ def test_quarantine_reasons(spark):
                                 (3, "2024-01-01 00:00:00", None)], "k long, ts string, _conversion_error string")
     got = {r["k"]: r["reason"] for r in convert.quarantine_split(df, "ts", "_conversion_error").collect()}
     assert got == {1: "missing_ts", 2: "processing_error: value", 3: None}
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidemark.session import cluster_conf
+
+    big = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+    small = cluster_conf(10 * 1024 ** 2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -61,3 +61,28 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tidem
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Spark settings sized for a run over ``input_bytes`` on a cluster.
+
+    Shuffle partitions: enough that each holds about ``target_partition_bytes``
+    (so sorts and aggregates of one partition fit an executor core's share of
+    memory without spilling), and at least 2 waves of the cluster's cores;
+    AQE then coalesces small partitions and splits skewed ones at run time.
+    Input splits of 256 MB keep the scan task count in the same range."""
+    cores = max(1, executors * cores_per_executor)
+    by_volume = -(-int(input_bytes) // target_partition_bytes)
+    partitions = max(2 * cores, by_volume)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.session.timeZone": "UTC",
+    }
