@@ -132,3 +132,14 @@ def test_validation_run_plan(spark):
     assert overall[None] == "issues_detected"
     audit = store.read_audit(spark).where(F.col("id") == "validation-t1").collect()
     assert len(audit) == 1 and audit[0]["status"] == "issues_detected" and "spot_check" in audit[0]["check_results"]
+
+
+def test_retention_on_month_partitions_keeps_boundary_month(spark):
+    cut = T0 - dt.timedelta(days=10)  # 2024-01-21 12:00
+    df = spark.createDataFrame([(1, cut), (2, cut - dt.timedelta(seconds=1)), (3, T0),
+                                (4, dt.datetime(2023, 12, 30))], "k long, ts timestamp")
+    path = fresh_path(spark, "t-retention-month")
+    sinks.with_day(df, "ts", grain="month").write.partitionBy(sinks.DAY_COL).parquet(path)
+    r = coverage.retention_delete(spark, path, "ts", AS_OF, 10, grain="month")
+    assert r["deleted"] == 2
+    assert sorted(x["k"] for x in spark.read.parquet(path).collect()) == [1, 3]

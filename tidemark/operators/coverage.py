@@ -32,13 +32,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def retention_delete(spark: SparkSession, table_path: str, ts_col: str, as_of,
-                     days: int = DEFAULT_RETENTION_DAYS, day_col: str = sinks.DAY_COL) -> dict:
-    """R1 on a day-partitioned table: count what goes (before deleting), drop
-    whole day partitions older than the cutoff day, and rewrite only the
-    boundary day (its kept rows are staged in the shared folder first, then
-    the partition is replaced).  Returns the cutoff and deleted count."""
+                     days: int = DEFAULT_RETENTION_DAYS, day_col: str = sinks.DAY_COL,
+                     grain: str = "day") -> dict:
+    """R1 on a partitioned table (``grain`` = day or month partitions): count
+    what goes (before deleting), drop whole partitions older than the
+    cutoff's partition, and rewrite only the boundary partition (its kept
+    rows are staged in the shared folder first, then the partition is
+    replaced).  Returns the cutoff and deleted count."""
     schema = spark.read.parquet(table_path).schema
-    cut = spark.range(1).select(cutoff(as_of, days).alias("c"), F.to_date(cutoff(as_of, days)).alias("d")).first()
+    cut = spark.range(1).select(cutoff(as_of, days).alias("c"),
+                                sinks.partition_value(cutoff(as_of, days), grain).alias("d")).first()
     c_ts, c_day = cut["c"], cut["d"]
     table = spark.read.schema(schema).parquet(table_path)
     deleted = table.where((F.col(day_col) <= F.lit(c_day)) & (F.col(ts_col) < F.lit(c_ts))).count()
@@ -62,12 +65,14 @@ def retention_delete(spark: SparkSession, table_path: str, ts_col: str, as_of,
 
 def retention_all(spark: SparkSession, tables: Mapping[str, tuple], as_of,
                   days: int = DEFAULT_RETENTION_DAYS) -> DataFrame:
-    """R1 over many tables (name -> (path, ts column)); a failing table is
-    reported with its error and the others proceed."""
+    """R1 over many tables (name -> (path, ts column[, grain])); a failing
+    table is reported with its error and the others proceed."""
     rows = []
-    for name, (path, ts_col) in tables.items():
+    for name, spec in tables.items():
+        path, ts_col = spec[0], spec[1]
+        grain = spec[2] if len(spec) > 2 else "day"
         try:
-            r = retention_delete(spark, path, ts_col, as_of, days)
+            r = retention_delete(spark, path, ts_col, as_of, days, grain=grain)
             rows.append((name, r["cutoff"], r["deleted"], None))
         except Exception as exc:  # noqa: BLE001 - per-table isolation
             rows.append((name, None, 0, f"{type(exc).__name__}: {exc}"[:500]))
@@ -90,12 +95,12 @@ def backfill_plan(ranges: DataFrame, target_days: int, as_of) -> DataFrame:
 
 
 def backfill_load(spark: SparkSession, archive: DataFrame, target_path: str, ts_col: str, lo, hi,
-                  key_builder) -> int:
+                  key_builder, grain: str = "day") -> int:
     """Fill ``[lo, hi)`` of the target from an archive/source table
     (F13 range scan, no cursor), keyed and written idempotently (S10).
     ``key_builder`` adds the key and stamp columns.  Returns rows written."""
     rows = range_scan_window(archive, ts_col, lo, hi)
-    return sinks.keyed_write(key_builder(rows), target_path, ts_col)
+    return sinks.keyed_write(key_builder(rows), target_path, ts_col, grain=grain)
 
 
 def coverage_gaps(df: DataFrame, ts_col: str, start: str, end: str) -> DataFrame:
@@ -110,7 +115,7 @@ def coverage_gaps(df: DataFrame, ts_col: str, start: str, end: str) -> DataFrame
 
 
 def rolling_window(spark: SparkSession, archive: DataFrame, target_path: str, ts_col: str, target_days: int,
-                   as_of, key_builder) -> dict:
+                   as_of, key_builder, grain: str = "day") -> dict:
     """Keep exactly ``target_days``: profile (A4) -> plan (R2) -> backfill
     (R3) -> retention (R1)."""
     try:
@@ -123,8 +128,8 @@ def rolling_window(spark: SparkSession, archive: DataFrame, target_path: str, ts
     written = 0
     if plan["action"] == "backfill":
         written = backfill_load(spark, archive, target_path, ts_col, plan["backfill_from"], plan["backfill_to"],
-                                key_builder)
-    ret = retention_delete(spark, target_path, ts_col, as_of, target_days)
+                                key_builder, grain)
+    ret = retention_delete(spark, target_path, ts_col, as_of, target_days, grain=grain)
     return {"action": plan["action"], "days": plan["days"], "written": written, "deleted": ret["deleted"]}
 
 
