@@ -124,10 +124,15 @@ def dynamic_search(df: DataFrame, conditions: Sequence[tuple] = (), order_by: Se
     return out.limit(limit) if limit is not None else out
 
 
-def range_scan_window(df: DataFrame, ts_col: str, lo, hi, day_col: str | None = None) -> DataFrame:
-    """half-open ``[lo, hi)``; with a day partition column the same range
-    is stated on it too, so directory pruning applies."""
+def range_scan_window(df: DataFrame, ts_col: str, lo, hi, day_col: str | None = None,
+                      grain: str = "day") -> DataFrame:
+    """half-open ``[lo, hi)``; with a partition column (day or month
+    values, see ``grain``) the same range is stated on it too, so directory
+    pruning applies."""
+    from tidemark.sources.sinks import partition_value
+
     pred = (F.col(ts_col) >= ts_lit(lo)) & (F.col(ts_col) < ts_lit(hi))
     if day_col is not None:
-        pred = pred & (F.col(day_col) >= F.to_date(ts_lit(lo))) & (F.col(day_col) <= F.to_date(ts_lit(hi)))
+        pred = pred & (F.col(day_col) >= partition_value(ts_lit(lo), grain)) \
+            & (F.col(day_col) <= partition_value(ts_lit(hi), grain))
     return df.where(pred)
