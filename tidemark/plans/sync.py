@@ -162,6 +162,7 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     pulled rows (empty when caught up)."""
     t0 = time.time()
     seq = seq if seq is not None else store.next_seq(spark)
+    spark.sparkContext.setJobDescription(f"sync {spec.table_id} cycle {seq}")
     checkpoints = store.read_checkpoints(spark)
     curs = control.load_checkpoint(checkpoints, spec.table_id, spec.n_shards, spark, start).collect()
     cursor = {r["node_id"]: r["cursor"] for r in curs}
@@ -263,6 +264,8 @@ def multi_table_sync(spark: SparkSession, specs: Sequence[TableSpec], sources: M
     validate_specs(specs)
 
     def run(spec):
+        # each table's jobs go to their own scheduler pool (isolated under the FAIR scheduler)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sync-{spec.table_id}")
         try:
             res = incremental_sync(spark, spec, sources[spec.table_id], store, as_of, batch_size)
             return (spec.table_id, "ok", sum(r["pulled"] for r in res), sum(r["written"] for r in res),
