@@ -20,9 +20,11 @@ kept; repeated rows are packed each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,79 +37,111 @@ CAPACITY = 1024
 EXACT = (2, 4, 8)
 LAST_CLASS = 32
 FAN_IN = 64
-CACHE_WORDS = 400_000
+CACHE_WORDS = 400_000  # per generation: about 100 MB for both
 
-# The end id and the id of a line feed in the 50,257-id byte-level vocabulary
+# Fixed values of the byte-level vocabulary: end id, special token, pre-token pattern
 END_ID = 0
-NEWLINE_ID = 198
 SPECIAL = "<|endoftext|>"
+PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PROBES = ("a\nb", " The quick, brown fox's 3.50 jumps!", "\nÄpfel über  日本語", " qzxv'll")
 
 #: texts in which a cut before every space or line feed might split a run of white space
 _ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$")
+#: texts in which commas and full stops may belong to a longer mark
+_ODD_MARKS = re.compile(r"[^\w\s]{2}|_|[ \n][.,]|^[.,]")
+
+
+def byte_symbols() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 bytes for themselves, the others from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "sequence_id long, offset long, worker long")
 
 
 class WordEncoder:
-    """ids of whole texts by the ``tokenizers`` library, word by word.
+    """ids of whole texts as the ``tokenizers`` library gives them, word by word.
 
     Byte-level pre-tokens never run from a visible character into white
-    space, so a text is cut before each space and line feed; equal words are
-    encoded once and kept (the store is emptied when it is full).  A text
-    with other white space or the special token goes to the library whole."""
+    space, nor from a letter or digit into a mark, so a text is cut before
+    each space and line feed, and before commas and full stops that stand
+    alone.  Equal words are encoded once and kept in two generations: when
+    the young one is full it becomes the old one, from which words in use
+    come back.  New words go through ``tiktoken``'s merges over the same
+    file's vocabulary (ids are merge ranks there), several times faster for
+    single words; if the two libraries differ on a probe, and for texts that
+    hold the special token, ``tokenizers`` does the work."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.cache_words = cache_words
-        probe = self.tok.encode("a\nb", add_special_tokens=False).ids
-        self.by_word = len(probe) == 3 and probe[1] == NEWLINE_ID
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {t["content"] for t in spec["added_tokens"]}
+        symbols = byte_symbols()
+        try:
+            ranks = {bytes(symbols[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+            fast = tiktoken.Encoding("words", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+            agrees = all(fast.encode_ordinary(t) == self._library(t) for t in PROBES)
+        except (KeyError, ValueError):  # not a byte-level vocabulary
+            agrees = False
+        self.by_word = agrees
+        self._ids = fast.encode_ordinary if agrees else self._library
+
+    def _library(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
 
     def _raw(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self._ids(text)).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Encode unseen words in one call: each on a line of its own, cut at the line feeds' ids."""
-        import numpy as np
-
-        if len(self.cache) + len(words) > self.cache_words:
-            self.cache.clear()
-        lines = "\n".join([w[1:] if w[0] == "\n" else " " + w for w in words])
-        ids = np.asarray(self.tok.encode(lines, add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == NEWLINE_ID)
-        if len(cuts) != len(words) - 1:  # cannot happen with words free of white space; stay right if it does
-            for w in words:
-                self.cache[w] = self._raw(w if w[0] == "\n" else " " + w)
-            return
-        lead = np.asarray([NEWLINE_ID], dtype="<u4").tobytes()
-        begin = 0
-        for w, end in zip(words, [*cuts.tolist(), len(ids)]):
-            self.cache[w] = (lead if w[0] == "\n" else b"") + ids[begin:end].tobytes()
-            begin = end + 1
+        for w in words:
+            self.young[w] = self._raw(w[1:] if w[:1] == "\r" else w if w[:1] == "\n" else " " + w)
+
+    def _fill(self, words: list[str]) -> None:
+        """Put all of ``words`` into the young generation."""
+        if len(self.young) > self.cache_words:
+            self.old, self.young = self.young, {}
+        new = []
+        for w in dict.fromkeys(words):
+            if w not in self.young:
+                kept = self.old.get(w)
+                if kept is None:
+                    new.append(w)
+                else:
+                    self.young[w] = kept
+        if new:
+            self._learn(new)
 
     def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for text in texts:
             if not text:
                 yield b""
-            elif not self.by_word or SPECIAL in text or _ODD_SPACE.search(text):
+            elif SPECIAL in text:
+                yield array("I", self._library(text)).tobytes()
+            elif not self.by_word or _ODD_SPACE.search(text):
                 yield self._raw(text)
             else:
-                first, *words = text.replace("\n", " \n").split(" ")
+                parts = text.replace("\n", " \n")
+                if not _ODD_MARKS.search(text):
+                    parts = parts.replace(",", " \r,").replace(".", " \r.")
+                first, *words = parts.split(" ")
                 try:
-                    yield self._raw(first) + b"".join(map(self.cache.__getitem__, words))
+                    rest = list(map(self.young.__getitem__, words))
                 except KeyError:
-                    self._learn(list(dict.fromkeys(w for w in words if w not in self.cache)))
-                    try:
-                        yield self._raw(first) + b"".join(map(self.cache.__getitem__, words))
-                    except KeyError:  # the store was emptied half-way through a very long text
-                        yield self._raw(text)
+                    self._fill(words)
+                    rest = list(map(self.young.__getitem__, words))
+                yield self._raw(first) + b"".join(rest)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
