@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -15,13 +16,24 @@ from tidemark.session import ensure_utc, fresh_path
 ARROW_ROWS = 256  # rows per Arrow batch: bounds a Python worker's memory when texts are long
 
 
+def worker_path(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, whatever
+    the working folder (on a cluster: where it is installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
+    worker_path(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Arrow batches of few rows: a batch of texts must fit a worker's memory."""
+    worker_path(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
@@ -101,3 +113,26 @@ def _unpack(b: bytes, width: int) -> np.ndarray:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def kth_largest(df: DataFrame, key: str, k: int, bins: int = 1024) -> float | None:
+    """The k-th largest non-null value of a double column, exactly: each pass
+    counts the values in ``bins`` equal bins of the range that holds it and
+    goes on with one bin, until that bin holds a single value.  ``bins``
+    rows, whatever the input, come to the driver."""
+    rows = df.where(F.col(key).isNotNull())
+    lo, hi, n = rows.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not n or k < 1:
+        return None
+    k = min(k, n)
+    while lo < hi:
+        inside = rows.where(F.col(key).between(lo, hi))
+        cell = F.least(F.floor((F.col(key) - lo) / ((hi - lo) / bins)), F.lit(bins - 1))
+        found = inside.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
+                                                       F.max(key).alias("hi")).collect()
+        for r in sorted(found, key=lambda r: -r["cell"]):
+            if r["n"] >= k:
+                lo, hi = r["lo"], r["hi"]
+                break
+            k -= r["n"]
+    return lo

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import harmonic, trie_dedup
+from tidemark.llm import harmonic, importance, kd_shards, spm_backtrack, trie_dedup
 from tidemark.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +45,21 @@ def op5_patricia_dedup(spark: SparkSession, d: str) -> DataFrame:
 @_register("op7_harmonic_packing")
 def op7_harmonic_packing(spark: SparkSession, d: str) -> DataFrame:
     return harmonic.pack_documents(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@_register("op6_kd_shards")
+def op6_kd_shards(spark: SparkSession, d: str) -> DataFrame:
+    placed = kd_shards.kd_shards(table(spark, d, "documents"), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_register("op8_importance_resampling")
+def op8_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return importance.resample(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@_register("op4_spm_backtracking")
+def op4_spm_backtracking(spark: SparkSession, d: str) -> DataFrame:
+    coded = spm_backtrack.encode_documents(table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
