@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import harmonic, importance, kd_shards, spm_backtrack, trie_dedup
+from tidemark.llm import harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup
 from tidemark.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op8_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
 def op4_spm_backtracking(spark: SparkSession, d: str) -> DataFrame:
     coded = spm_backtrack.encode_documents(table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_register("op10_multimatch_jaccard")
+def op10_multimatch_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return multimatch.jaccard_components(table(spark, d, "documents"))
