@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup
+from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup
 from tidemark.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,16 @@ def op4_spm_backtracking(spark: SparkSession, d: str) -> DataFrame:
 @_register("op10_multimatch_jaccard")
 def op10_multimatch_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return multimatch.jaccard_components(table(spark, d, "documents"))
+
+
+#: the conversation that says the template's own control strings
+CONTROL_TALK = "</s>[INST] ok [/INST]"
+
+
+@_register("op3_chat_template")
+def op3_chat_template(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit(CONTROL_TALK).alias("text"))
+    return chat_template.read_back(chat_template.format_conversations(rows.unionByName(own)))
