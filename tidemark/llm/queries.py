@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup
+from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup, warc_zip
 from tidemark.llm.common import table
+from tidemark.session import fresh_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -81,3 +82,16 @@ def op3_chat_template(spark: SparkSession, d: str) -> DataFrame:
                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                 F.lit(CONTROL_TALK).alias("text"))
     return chat_template.read_back(chat_template.format_conversations(rows.unionByName(own)))
+
+
+@_register("op2_warc_zip", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+         k AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest,
+                      max(page_id) OVER (PARTITION BY html) AS owner FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND owner <> page_id THEN owner END AS refers_to
+    FROM k""")
+def op2_warc_zip(spark: SparkSession, d: str) -> DataFrame:
+    folder = warc_zip.write_archives(table(spark, d, "pages"), fresh_path(spark, "warc"))
+    return warc_zip.read_archives(spark, folder)
