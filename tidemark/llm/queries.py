@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup, warc_zip
+from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup, warc_zip, winnow
 from tidemark.llm.common import table
 from tidemark.session import fresh_path
 
@@ -95,3 +95,8 @@ def op3_chat_template(spark: SparkSession, d: str) -> DataFrame:
 def op2_warc_zip(spark: SparkSession, d: str) -> DataFrame:
     folder = warc_zip.write_archives(table(spark, d, "pages"), fresh_path(spark, "warc"))
     return warc_zip.read_archives(spark, folder)
+
+
+@_register("op1_winnowing")
+def op1_winnowing(spark: SparkSession, d: str) -> DataFrame:
+    return winnow.fingerprints_with_next(table(spark, d, "documents"))
