@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup, warc_zip, winnow
+from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
 from tidemark.llm.common import table
 from tidemark.session import fresh_path
 
@@ -100,3 +100,8 @@ def op2_warc_zip(spark: SparkSession, d: str) -> DataFrame:
 @_register("op1_winnowing")
 def op1_winnowing(spark: SparkSession, d: str) -> DataFrame:
     return winnow.fingerprints_with_next(table(spark, d, "documents"))
+
+
+@_register("op9_wrapper_text")
+def op9_wrapper_text(spark: SparkSession, d: str) -> DataFrame:
+    return wrappers.extract_main_text(table(spark, d, "pages"))
