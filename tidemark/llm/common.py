@@ -136,3 +136,10 @@ def kth_largest(df: DataFrame, key: str, k: int, bins: int = 1024) -> float | No
                 break
             k -= r["n"]
     return lo
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose doc_id is in ``kept`` (null ids match)."""
+    name = free_name(docs.columns, "_kept_id")
+    ids = kept.select(F.col("doc_id").cast("long").alias(name)).distinct()
+    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")

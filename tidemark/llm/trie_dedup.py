@@ -233,9 +233,3 @@ def _solved(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[]] * 6
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                       names=["term", "keep_id", "group_size", "terms", "folded", "len"])
-
-
-def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose doc_id is in ``kept`` (null ids match)."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).dropDuplicates()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(ids["_kept_id"]), "left_semi")
