@@ -9,16 +9,27 @@ but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import harmonic, trie_dedup
-from tidemark.llm.common import staged, table
+from tidemark.llm import harmonic, importance, multimatch, trie_dedup
+from tidemark.llm.common import rows_of, staged, table
 from tidemark.llm.queries import tokenizer_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling rejects go: junk and toxic texts, by the labels it learns from."""
+    return importance.select_documents(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal up to the case of A-Z, the document with the largest doc_id stays."""
-    kept = trie_dedup.trie_dedup(docs).where("kept").select("doc_id")
-    return trie_dedup.rows_of(docs, kept)
+    return rows_of(docs, trie_dedup.trie_dedup(docs).where("kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by links of 0.75 or more on five-word shingles, the one with the smallest doc_id stays."""
+    groups = multimatch.jaccard_components(docs)
+    return rows_of(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +37,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return harmonic.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [("exact_dedup", exact_dedup), ("packing", packing)]
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", packing)]
 
 #: the trained classifier of the first stage and the tokenizer of the last have no SQL form
 ORACLE_SQL = None
