@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import sequence
 from tidemark.operators.sequence import latest_per_key, neighbor_row, neighbor_rows, rank_within, running_sum
 
 
@@ -74,3 +75,35 @@ def test_latest_per_key(spark):
     w = Window.partitionBy("k").orderBy(F.col("ts").desc(), F.col("tb").desc())
     want = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("k", "tb", "v")
     assert _same(got, want)
+
+
+def _large(spark):
+    """400,000 rows, a third of them in one key and half of those at one instant."""
+    ts = (F.lit(1704067200) + (F.col("id") * 7919) % (20 * 86400)).cast("timestamp")
+    return spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("k"),
+        F.when(F.col("id") % 6 == 0, F.lit("2024-01-05 00:00:00").cast("timestamp")).otherwise(ts).alias("ts"),
+        F.col("id").alias("tb"), (F.col("id") % 7).alias("v"), F.concat(F.lit("carried "), F.col("id") % 13).alias("extra"))
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_many_buckets_and_a_carried_column(spark, aqe):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions",
+                                             "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "48k")
+    try:
+        df = _large(spark)
+        buckets = sequence._with_bucket(df, "ts", None, ["tb"], ["k"])
+        assert buckets.where("k = 0").select(sequence.BUCKET).distinct().count() > 4
+        w = Window.partitionBy("k").orderBy("ts", "tb")
+        got = running_sum(df, ["k"], "ts", ["tb"], F.col("v"), "s").select("tb", "extra", "s")
+        assert _same(got, df.select("tb", "extra", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s")))
+        got = neighbor_row(df, ["k"], "ts", ["tb"], ["v"], out="n").select("tb", "extra", F.col("n.tb").alias("p"))
+        assert _same(got, df.select("tb", "extra", F.lag("tb").over(w).alias("p")))
+        got = neighbor_rows(df, ["k"], "ts", ["tb"], ["v"]).select("tb", "extra", F.col("prev.tb").alias("p"), F.col("next.tb").alias("n"))
+        assert _same(got, df.select("tb", "extra", F.lag("tb").over(w).alias("p"), F.lead("tb").over(w).alias("n")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -34,6 +34,7 @@ SCALAR_TYPES: dict[str, T.DataType] = {
     "GEOGRAPHY": T.StringType(),
     "JSON": T.StringType(),
 }
+MAX_MILLIS = 9_223_372_036_854_775  # beyond it, microseconds leave 64 bits
 NESTED_TYPES = ("RECORD", "STRUCT")
 
 
@@ -84,8 +85,11 @@ def normalize_ts(c: Column, source_type: T.DataType | None = None) -> Column:
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
+        # without a pattern: a space and a fraction of any length, date-only text
+        F.when(s.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), F.try_to_timestamp(s)),
     )
-    epoch = F.when(s.rlike("^-?[0-9]{1,15}$"), F.timestamp_millis(s.try_cast("bigint")))
+    millis = s.try_cast("bigint")
+    epoch = F.when(s.rlike("^-?[0-9]{1,16}$") & (F.abs(millis) <= MAX_MILLIS), F.timestamp_millis(millis))
     return F.coalesce(iso, epoch)
 
 

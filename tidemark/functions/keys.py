@@ -16,39 +16,51 @@ from pyspark.sql import types as T
 MAX_SAFE_INTEGER = 9007199254740991
 TWO_POW_63 = 9223372036854775808
 TWO_POW_64 = 18446744073709551616
-NULL_TOKEN = "\\N"
+NULL_MARK = "-"
+HASH_COL = "_record_hash"
 
 
 def canonical_text(c: Column, dt: T.DataType) -> Column:
-    """Engine-independent text of one value (nulls become a sentinel)."""
+    """Engine-independent text of one value, led by its length; nulls have a
+    mark that no value has.  Different values give different texts: a double
+    is written as a decimal only if that decimal is the same double."""
     if isinstance(dt, T.TimestampType):
         s = F.unix_micros(c).cast("string")
     elif isinstance(dt, T.TimestampNTZType):
         s = F.unix_micros(c.cast("timestamp")).cast("string")
     elif isinstance(dt, T.DateType):
         s = F.unix_date(c).cast("string")
-    elif isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-        s = c.try_cast(T.DecimalType(38, 9)).cast("string")
+    elif isinstance(dt, (T.DoubleType, T.FloatType)):
+        exact = c.try_cast(T.DecimalType(38, 9))
+        s = F.when(exact.cast("double") == c, exact.cast("string")).otherwise(c.cast("string"))
+    elif isinstance(dt, T.BinaryType):
+        s = F.hex(c)
     elif isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
-        s = F.to_json(c)
+        s = F.to_json(c, {"ignoreNullFields": "false"})
     else:
         s = c.cast("string")
-    return F.coalesce(s, F.lit(NULL_TOKEN))
+    return F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit(NULL_MARK))
 
 
 def canonical_record(df: DataFrame, ts_col: str, columns: Sequence[str] | None = None) -> Column:
-    """``<ts micros>|<v1>|<v2>|...`` over the record's columns in schema order."""
+    """Texts of the timestamp and of the record's columns, in schema order.
+    Each part carries its length, so no two records share a text."""
     cols = list(columns) if columns is not None else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = [canonical_text(F.col(ts_col), types[ts_col])]
     parts += [canonical_text(F.col(c), types[c]) for c in cols]
-    return F.concat_ws("|", *parts)
+    return F.concat(*parts)
 
 
-def hash_id(text: Column) -> Column:
-    """M4: first 8 bytes of SHA-256 as a signed big-endian int64, absolute
+def record_hash(df: DataFrame, ts_col: str, columns: Sequence[str] | None = None) -> Column:
+    """The full SHA-256 of the record (hex): identity beyond the 53-bit id."""
+    return F.sha2(canonical_record(df, ts_col, columns), 256)
+
+
+def hash_id(sha_hex: Column) -> Column:
+    """M4: first 8 bytes of a SHA-256 as a signed big-endian int64, absolute
     value, rounded to double, modulo 2^53-1, as bigint."""
-    unsigned = F.conv(F.substring(F.sha2(text, 256), 1, 16), 16, 10).cast(T.DecimalType(20, 0))
+    unsigned = F.conv(F.substring(sha_hex, 1, 16), 16, 10).cast(T.DecimalType(20, 0))
     two63 = F.lit(str(TWO_POW_63)).cast(T.DecimalType(20, 0))
     two64 = F.lit(str(TWO_POW_64)).cast(T.DecimalType(20, 0))
     magnitude = F.when(unsigned >= two63, two64 - unsigned).otherwise(unsigned)
@@ -56,17 +68,22 @@ def hash_id(text: Column) -> Column:
 
 
 def record_id(df: DataFrame, ts_col: str, columns: Sequence[str] | None = None) -> Column:
-    return hash_id(canonical_record(df, ts_col, columns))
+    return hash_id(record_hash(df, ts_col, columns))
 
 
-def with_record_id(df: DataFrame, ts_col: str, id_col: str = "id", exclude: Sequence[str] = ()) -> DataFrame:
+def with_record_id(df: DataFrame, ts_col: str, id_col: str = "id", exclude: Sequence[str] = (),
+                   keep_hash: bool = False) -> DataFrame:
     """Key every row over its record columns (all but ``exclude``, which are
     bookkeeping columns); a source column named like the key is kept as
-    ``source_<id>``."""
+    ``source_<id>``.  ``keep_hash`` also keeps the whole hash, computed once."""
     if id_col in df.columns:
         df = df.withColumnRenamed(id_col, f"source_{id_col}")
-    cols = [c for c in df.columns if c not in set(exclude)]
-    return df.select(record_id(df, ts_col, cols).alias(id_col), *df.columns)
+    columns = df.columns
+    cols = [c for c in columns if c not in set(exclude)]
+    if not keep_hash:
+        return df.select(record_id(df, ts_col, cols).alias(id_col), *columns)
+    hashed = df.withColumn(HASH_COL, record_hash(df, ts_col, cols))
+    return hashed.select(hash_id(F.col(HASH_COL)).alias(id_col), *columns, HASH_COL)
 
 
 def micros_shard(ts: Column, n: int, sign_safe: bool = True) -> Column:

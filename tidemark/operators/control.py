@@ -114,16 +114,18 @@ def advance_checkpoint(batch: DataFrame, table_id: str, ts_col: str, as_of, seq:
 
 
 def upsert_checkpoint(old: DataFrame, new: DataFrame) -> DataFrame:
-    """SNK5: put by key, last write wins (newest ``last_sync_time``, then ``seq``)."""
+    """SNK5: put by key, last write wins: the highest ``seq``, then the newest
+    ``last_sync_time`` (which may go back: it is the caller's ``as_of``)."""
     both = old.select(*CHECKPOINT_SCHEMA.names).unionByName(new.select(*CHECKPOINT_SCHEMA.names))
-    return latest_per_key(both, ["checkpoint_id"], "last_sync_time", ["seq"]).select(*CHECKPOINT_SCHEMA.names)
+    return latest_per_key(both, ["checkpoint_id"], "seq", ["last_sync_time"]).select(*CHECKPOINT_SCHEMA.names)
 
 
 def load_checkpoint(checkpoints: DataFrame, table_id: str, n_shards: int, spark_session,
                     start=DEFAULT_START) -> DataFrame:
     """S3: the cursor of every shard of ``table_id``; a missing checkpoint starts
     at ``start`` (``restarted``: no checkpoint row at all); an unparseable or
-    empty stored cursor restarts at ``start``.
+    empty stored cursor restarts at ``start``.  With ``start=None`` such a shard
+    has no cursor: nothing bounds it from below.
 
     Re-shard rule: checkpoints written for another shard count do not belong
     to the new shards (rows moved between shards), so a new shard without
@@ -141,7 +143,7 @@ def load_checkpoint(checkpoints: DataFrame, table_id: str, n_shards: int, spark_
     floor = cp.where(F.col("_other_layout")).agg(F.min("_stored")).scalar()  # scalar subquery
     own = cp.where(~F.col("_other_layout")).drop("_other_layout")
     j = shards.join(own, "node_id", "left")
-    cursor = F.coalesce(F.col("_stored"), floor, ts_lit(start))
+    cursor = F.coalesce(F.col("_stored"), floor, *([ts_lit(start)] if start is not None else []))
     return j.select(F.lit(table_id).alias("table_id"), "node_id", cursor.alias("cursor"),
                     (F.col("records_pulled").isNull() & floor.isNull()).alias("restarted"),
                     F.coalesce("records_ingested", F.lit(0)).cast("bigint").alias("records_ingested"),

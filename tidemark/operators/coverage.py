@@ -36,9 +36,11 @@ def retention_delete(spark: SparkSession, table_path: str, ts_col: str, as_of,
                      grain: str = "day") -> dict:
     """R1 on a partitioned table (``grain`` = day or month partitions): count
     what goes (before deleting), drop whole partitions older than the
-    cutoff's partition, and rewrite only the boundary partition (its kept
-    rows are staged in the shared folder first, then the partition is
-    replaced).  Returns the cutoff and deleted count."""
+    cutoff's partition, and rewrite only the boundary partition.  Kept rows
+    are staged and replace the boundary partition first, by a dynamic
+    partition overwrite; old partitions are dropped last.  A run that breaks
+    off loses no kept row, and the next run finishes.  Returns the cutoff and
+    deleted count."""
     schema = spark.read.parquet(table_path).schema
     cut = spark.range(1).select(cutoff(as_of, days).alias("c"),
                                 sinks.partition_value(cutoff(as_of, days), grain).alias("d")).first()
@@ -52,14 +54,14 @@ def retention_delete(spark: SparkSession, table_path: str, ts_col: str, as_of,
     keep_path = fresh_path(spark, "retention-boundary")
     boundary.where(F.col(ts_col) >= F.lit(c_ts)).write.mode("overwrite").parquet(keep_path)
     fs, root, jvm = _fs(spark, table_path)
+    kept = spark.read.schema(schema).parquet(keep_path)
+    if kept.isEmpty():
+        old_days.append(c_day)  # nothing of the boundary partition stays
+    else:
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(table_path)
     for d in old_days:
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{day_col}={d.isoformat()}"), True)
-    bpath = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{day_col}={c_day.isoformat()}")
-    if fs.exists(bpath):
-        fs.delete(bpath, True)
-    kept = spark.read.parquet(keep_path)
-    if not kept.isEmpty():
-        kept.write.mode("append").partitionBy(day_col).parquet(table_path)
+    sinks.drop_table(spark, keep_path)
     return {"cutoff": c_ts, "deleted": deleted}
 
 

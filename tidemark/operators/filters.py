@@ -38,7 +38,7 @@ def cursor_filter(df: DataFrame, ts_col: str, cursor) -> DataFrame:
 
 def existence_probe(probe: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """the probe rows that exist in ``source`` on ``keys`` (batched semi join)."""
-    return probe.join(source.select(*keys).distinct(), list(keys), "left_semi")
+    return probe.join(source.select(*keys), list(keys), "left_semi")
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -84,7 +84,7 @@ def status_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 def pk_lookup(df: DataFrame, key_col: str, keys) -> DataFrame:
     """rows by primary key; a frame of keys becomes a semi join."""
     if isinstance(keys, DataFrame):
-        k = keys.select(F.col(keys.columns[0]).alias(key_col)).distinct()
+        k = keys.select(F.col(keys.columns[0]).alias(key_col))
         return df.join(k, key_col, "left_semi")
     if isinstance(keys, (list, tuple, set)):
         return df.where(F.col(key_col).isin(list(keys)))

@@ -26,17 +26,25 @@ def phantom_records(target: DataFrame, source_keys: DataFrame, ts_col: str, samp
     """Target rows (the ``sample`` newest, or all) without a source
     counterpart -> ``phantom_record`` issues.  A bounded sample is broadcast."""
     t = newest_sample(target.select(key, ts_col), ts_col, sample, key)
-    return _absent(t, source_keys, key, bounded=sample is not None).select(
+    return _absent(t, source_keys, key, ts_col, sample).select(
         key, ts_col, F.lit("phantom_record").alias("issue"))
 
 
-def _absent(probe: DataFrame, other: DataFrame, key: str, bounded: bool) -> DataFrame:
-    """Rows of ``probe`` whose key is not in ``other``.  A bounded probe (a
-    sample) is broadcast into a semi join that streams ``other`` without
-    shuffling it; the (small) matches are then removed from the probe."""
-    if not bounded:
+MAX_BROADCAST_SAMPLE = 100_000  # rows of (key, timestamp)
+
+
+def _absent(probe: DataFrame, other: DataFrame, key: str, ts_col: str, sample: int | None) -> DataFrame:
+    """Rows of ``probe`` whose key is not in ``other``.  The key hashes the
+    timestamp too, so a sample is looked up in its own time range only (the
+    range reaches the scan of ``other``, below its key expressions), in a
+    semi join that streams ``other``; the few matches are removed from the
+    sample."""
+    if sample is None:
         return probe.join(other.select(key), key, "left_anti")
-    found = other.select(key).join(F.broadcast(probe.select(key)), key, "left_semi")
+    lo, hi = probe.agg(F.min(ts_col)).scalar(), probe.agg(F.max(ts_col)).scalar()
+    near = other.where((F.col(ts_col) >= lo) & (F.col(ts_col) <= hi))
+    keys = F.broadcast(probe.select(key)) if sample <= MAX_BROADCAST_SAMPLE else probe.select(key)
+    found = near.select(key).join(keys, key, "left_semi")
     return probe.join(found, key, "left_anti")
 
 
@@ -52,20 +60,24 @@ def missing_records(source_keys: DataFrame, target: DataFrame, ts_col: str, samp
         s = recent_filter(s, ts_col, as_of, lookback)
     if sample is not None:
         s = s.orderBy(F.col(ts_col), F.col(key)).limit(sample)
-    return _absent(s, target, key, bounded=sample is not None).select(
+    return _absent(s, target, key, ts_col, sample).select(
         key, ts_col, F.lit("missing_record").alias("issue"))
 
 
 def full_reconcile(source_keys: DataFrame, target: DataFrame, ts_col: str, key: str = "id") -> DataFrame:
-    """Both directions over whole tables in one full outer join on the id:
-    every id with ``status`` in (``ok``, ``missing_record``, ``phantom_record``).
-    Both sides shuffle on the id once; AQE splits skewed partitions."""
-    s = source_keys.select(key, F.col(ts_col).alias("_s_ts"), F.lit(True).alias("_in_s"))
-    t = target.select(key, F.col(ts_col).alias("_t_ts"), F.lit(True).alias("_in_t"))
-    j = s.join(t, key, "full_outer")
-    status = (F.when(F.col("_in_s").isNull(), "phantom_record")
-              .when(F.col("_in_t").isNull(), "missing_record").otherwise("ok"))
-    return j.select(key, F.coalesce("_s_ts", "_t_ts").alias(ts_col), status.alias("status"))
+    """Both directions over whole tables: one row per id with ``status`` in
+    (``ok``, ``missing_record``, ``phantom_record``).  The sides are united and
+    aggregated on the id (partial aggregates, one shuffle of slim rows), so
+    repeated ids give one row and a hot id is folded before the shuffle."""
+    s = source_keys.select(key, F.col(ts_col).alias("_s_ts"), F.lit(None).cast("timestamp").alias("_t_ts"),
+                           F.lit(1).alias("_in_s"), F.lit(0).alias("_in_t"))
+    t = target.select(key, F.lit(None).cast("timestamp").alias("_s_ts"), F.col(ts_col).alias("_t_ts"),
+                      F.lit(0).alias("_in_s"), F.lit(1).alias("_in_t"))
+    g = s.unionByName(t).groupBy(key).agg(F.max("_s_ts").alias("_s_ts"), F.max("_t_ts").alias("_t_ts"),
+                                          F.max("_in_s").alias("_in_s"), F.max("_in_t").alias("_in_t"))
+    status = (F.when(F.col("_in_s") == 0, "phantom_record")
+              .when(F.col("_in_t") == 0, "missing_record").otherwise("ok"))
+    return g.select(key, F.coalesce("_s_ts", "_t_ts").alias(ts_col), status.alias("status"))
 
 
 def reconcile_summary(recon: DataFrame) -> DataFrame:

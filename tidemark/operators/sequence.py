@@ -7,7 +7,9 @@ core.  The helpers here split each key into time buckets:
 * the window runs over ``(key, bucket)``, so a hot key spreads over many
   tasks; buckets are either fixed time slices or (default) the partitions
   of a range partitioning on the ordering key, whose sampled bounds also
-  split a burst of rows at one instant;
+  split a burst of rows at one instant.  The bucket number is written with
+  the rows before it is used: the partitioning is sampled, so it must not be
+  planned a second time for the edge rows;
 * what crosses a bucket border (the last row of the previous bucket, the
   running total of earlier buckets) is taken from one edge row per key and
   bucket, picked in the same window pass, and shifted or summed across
@@ -27,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import fresh_path
+
 BUCKET = "_tm_bucket"
 
 
@@ -40,11 +44,16 @@ def _with_bucket(df: DataFrame, ts_col: str, bucket_seconds: int | None,
     ``None`` = data-driven buckets: the rows are range-partitioned on
     ``(*keys, ts, *order)`` and the range partition is the bucket, so the
     sampled range bounds split a hot key, and a burst (one key, one instant,
-    many rows) too, over several tasks.  Buckets keep the ordering key's order."""
+    many rows) too, over several tasks.  Buckets keep the ordering key's order.
+    The rows are written with their bucket below the shared folder and read
+    back, so every branch of the plan sees the same buckets."""
     if bucket_seconds is not None:
         return df.withColumn(BUCKET, bucket_of(F.col(ts_col), bucket_seconds))
     ranged = df.repartitionByRange(*[F.col(c) for c in list(keys) + [ts_col] + list(order)])
-    return ranged.withColumn(BUCKET, F.spark_partition_id().cast("bigint"))
+    numbered = ranged.withColumn(BUCKET, F.spark_partition_id().cast("bigint"))
+    path = fresh_path(df.sparkSession, "sequence")
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -16,14 +16,15 @@ def _text(col: str, kind: str) -> str:
     if kind == "ts":
         s = f"CAST(epoch_us({col}) AS VARCHAR)"
     elif kind == "double":
-        s = f"CAST(TRY_CAST({col} AS DECIMAL(38,9)) AS VARCHAR)"
+        exact = f"TRY_CAST({col} AS DECIMAL(38,9))"
+        s = f"CASE WHEN CAST({exact} AS DOUBLE) = {col} THEN CAST({exact} AS VARCHAR) ELSE CAST({col} AS VARCHAR) END"
     else:
         s = f"CAST({col} AS VARCHAR)"
-    return f"coalesce({s}, '\\N')"
+    return f"coalesce(CAST(length({s}) AS VARCHAR) || ':' || {s}, '-')"
 
 
 def record_id_sql(ts_col: str, cols=EVENT_COLS) -> str:
-    text = " || '|' || ".join([_text(ts_col, "ts")] + [_text(c, k) for c, k in cols])
+    text = " || ".join([_text(ts_col, "ts")] + [_text(c, k) for c, k in cols])
     u = f"('0x' || substr(sha256({text}), 1, 16))::UBIGINT"
     mag = f"(CASE WHEN {u} >= 9223372036854775808 THEN 18446744073709551616::HUGEINT - {u} ELSE {u}::HUGEINT END)"
     return f"(({mag})::DOUBLE::HUGEINT % 9007199254740991::HUGEINT)::BIGINT"

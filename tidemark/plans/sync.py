@@ -12,16 +12,18 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import quarantine_split, type_projection
-from tidemark.functions.keys import shard_of, with_record_id
+from tidemark.functions.keys import HASH_COL, shard_of, with_record_id
 from tidemark.operators import control
 from tidemark.operators.filters import ts_lit
 from tidemark.operators.sequence import latest_per_key
@@ -70,48 +72,101 @@ class SyncStore:
         return f"{self.root}/control/batches"
 
     def staging(self, table_id: str, node: int, seq: int) -> str:
-        return f"{self.root}/staging/{table_id}/node={node}/seq={seq}"
+        return f"{self.root}/staging/{quote(table_id, safe='')}/node={node}/seq={seq}"
+
+    def folder(self, log_root: str, table_id: str, part) -> str:
+        """Control rows of one table and cycle have a folder of their own:
+        jobs that run at a time never share a folder's commit, and a cycle
+        that runs twice overwrites its own rows."""
+        return f"{log_root}/{quote(str(table_id), safe='')}/{part}"
+
+    def read_log(self, spark: SparkSession, log_root: str, schema: T.StructType) -> DataFrame:
+        return sinks.read_or_empty(spark, log_root, schema, folders=True)
 
     def read_checkpoints(self, spark: SparkSession) -> DataFrame:
-        log_ = sinks.read_or_empty(spark, self.checkpoints, control.CHECKPOINT_SCHEMA)
+        log_ = self.read_log(spark, self.checkpoints, control.CHECKPOINT_SCHEMA)
         return control.upsert_checkpoint(log_, spark.createDataFrame([], control.CHECKPOINT_SCHEMA))
 
     def read_audit(self, spark: SparkSession) -> DataFrame:
-        """Audit rows; ids are deterministic (table, shard, cycle, record hash),
-        so a cycle or micro-batch that ran twice after a failure counts once."""
-        return sinks.read_or_empty(spark, self.audit, control.AUDIT_SCHEMA).dropDuplicates(["id"])
+        """Audit rows; ids are deterministic (table, whole record, occurrence), so a cycle or micro-batch that ran twice after a failure counts once."""
+        return self.read_log(spark, self.audit, control.AUDIT_SCHEMA).dropDuplicates(["id"])
 
     def read_batches(self, spark: SparkSession) -> DataFrame:
         """Batch log, one row per (table, shard, cycle) even after a re-run."""
-        log_ = sinks.read_or_empty(spark, self.batches, BATCH_LOG_SCHEMA)
+        log_ = self.read_log(spark, self.batches, BATCH_LOG_SCHEMA)
         return latest_per_key(log_, ["table_id", "node_id", "batch_id"], "as_of", ["seconds"])
 
     def read_target(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.target(name)).drop(sinks.DAY_COL)
+        return spark.read.parquet(self.target(name)).drop(sinks.DAY_COL, HASH_COL)
+
+    def next_seq(self, spark: SparkSession, table_id: str | None = None) -> int:
+        """Next cycle number (of a table: other tables' cycles do not matter)."""
+        rows = self.read_log(spark, self.checkpoints, control.CHECKPOINT_SCHEMA)
+        if table_id is not None:
+            rows = rows.where(F.col("table_id") == table_id)
+        return int(rows.agg(F.max("seq")).first()[0] or 0) + 1
+
+
+def _rejected_hash(rejected: DataFrame):
+    """Hash of the whole rejected record (all columns, nulls kept)."""
+    return F.sha2(_record_json(rejected), 256)
 
-    def next_seq(self, spark: SparkSession) -> int:
-        m = sinks.read_or_empty(spark, self.checkpoints, control.CHECKPOINT_SCHEMA).agg(F.max("seq")).first()[0]
-        return int(m or 0) + 1
 
+def _record_json(rejected: DataFrame):
+    cols = [c for c in rejected.columns if c not in ("reason", "_conversion_error", "node_id")]
+    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
 
-def quarantine_audit(rejected: DataFrame, table_id: str, node_id: int, as_of, seq: int) -> DataFrame:
+
+def quarantine_audit(rejected: DataFrame, table_id: str, node_id: int, as_of, cycle: str = "",
+                     known: DataFrame | None = None) -> DataFrame:
     """One audit row per quarantined record (status ``skipped``, reason,
-    first 500 characters of the record as JSON, nulls kept)."""
-    cols = [c for c in rejected.columns if c not in ("reason", "_conversion_error")]
-    sample = F.substring(F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}), 1, 500)
-    rid = F.concat(F.lit(f"skip-{table_id}-{node_id}-{seq}-"), F.substring(F.sha2(sample, 256), 1, 16))
-    return rejected.select(
+    first 500 characters of the record as JSON, nulls kept).
+
+    The id is the hash of the whole record and its occurrence number: equal
+    records are counted (a partial aggregate) and numbered, after the
+    occurrences that ``known`` (record_hash, occurrences) has already.
+    ``cycle`` tells apart deliveries that may repeat a record (stream epochs)."""
+    groups = rejected.select(_rejected_hash(rejected).alias("record_hash"), "reason",
+                             F.substring(_record_json(rejected), 1, 500).alias("record_sample"))
+    groups = groups.groupBy("record_hash", "reason", "record_sample").agg(F.count(F.lit(1)).alias("n"))
+    if known is not None:
+        groups = groups.join(known, "record_hash", "left")
+        groups = groups.withColumn("first", F.coalesce("occurrences", F.lit(0)) + 1)
+    else:
+        groups = groups.withColumn("first", F.lit(1).cast("bigint"))
+    each = groups.withColumn("occurrence", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
+    rid = F.concat(F.lit(f"skip-{table_id}-{cycle}-"), "record_hash", F.lit("-"), F.col("occurrence").cast("string"))
+    return each.select(
         rid.alias("id"), ts_lit(as_of).alias("timestamp"), F.lit(table_id).alias("table_id"),
         F.lit(node_id).cast("int").alias("node_id"), F.lit("skipped").alias("status"), F.col("reason"),
-        sample.alias("record_sample"), F.lit(None).cast("bigint").alias("source_count"),
+        "record_sample", F.lit(None).cast("bigint").alias("source_count"),
         F.lit(None).cast("bigint").alias("target_count"), F.lit(None).cast("bigint").alias("delta"),
         F.lit(None).cast("string").alias("check_results"), F.lit(None).cast("string").alias("message"))
 
 
-def stamp_synced(df: DataFrame, ts_col: str, as_of, exclude=()) -> DataFrame:
+def _known_rejects(audit: DataFrame, table_id: str) -> DataFrame:
+    """Occurrences of each rejected record that the audit table has: (record_hash, occurrences)."""
+    mine = audit.where((F.col("table_id") == table_id) & (F.col("status") == "skipped"))
+    part = lambda i: F.regexp_extract("id", "-([0-9a-f]{64})-([0-9]+)$", i)
+    return mine.select(part(1).alias("record_hash"), part(2).cast("bigint").alias("k")).groupBy("record_hash").agg(
+        F.max("k").alias("occurrences"))
+
+
+def _unreported(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows beyond the occurrences that are reported already: equal rows are
+    folded and counted, and only the surplus is given out again."""
+    cols = rows.columns
+    folded = rows.select(_rejected_hash(rows).alias("record_hash"), F.struct(*cols).alias("r")).groupBy("record_hash").agg(
+        F.first("r").alias("r"), F.count(F.lit(1)).alias("n"))
+    surplus = folded.join(known, "record_hash", "left").withColumn("left", F.col("n") - F.coalesce("occurrences", F.lit(0)))
+    surplus = surplus.where("left > 0").withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("left"))))
+    return surplus.select("r.*")
+
+
+def stamp_synced(df: DataFrame, ts_col: str, as_of, exclude=(), keep_hash: bool = False) -> DataFrame:
     """Key every row (M4, over the record columns only) and stamp
     ``_synced_at`` (a parameter, never the clock)."""
-    return with_record_id(df, ts_col, exclude=exclude).withColumn("_synced_at", ts_lit(as_of))
+    return with_record_id(df, ts_col, exclude=exclude, keep_hash=keep_hash).withColumn("_synced_at", ts_lit(as_of))
 
 
 def _as_datetime(spark: SparkSession, as_of):
@@ -152,16 +207,20 @@ def _case_by_node(values: dict, default=None):
 
 def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
                batch_size: int | str | None = None, seq: int | None = None, target_schema: T.StructType | None = None,
-               start=control.DEFAULT_START) -> list[dict]:
+               start=None) -> list[dict]:
     """One cycle over every shard of a table in one plan.
 
     The shard is a logical column (F1/F4); each shard has its own cursor
     (S3), so the pull is ``ts > cursor(shard)``, cut per shard at the tie-safe
     batch end (O1) when ``batch_size`` is given (``"auto"``: each shard's
-    size follows its phase, S5/S6).  Returns one counter dict per shard that
-    pulled rows (empty when caught up)."""
+    size follows its phase, S5/S6).  A shard without a checkpoint starts at
+    ``start``; by default nothing bounds it.  Rows whose timestamp is missing
+    can never pass a cursor: every cycle looks for those that the audit table
+    does not have yet, and shard 0 reports them.  Returns one counter dict per
+    shard that pulled rows (empty when caught up); in each, pulled = written
+    + duplicates + rejected."""
     t0 = time.time()
-    seq = seq if seq is not None else store.next_seq(spark)
+    seq = seq if seq is not None else store.next_seq(spark, spec.table_id)
     spark.sparkContext.setJobDescription(f"sync {spec.table_id} cycle {seq}")
     checkpoints = store.read_checkpoints(spark)
     curs = control.load_checkpoint(checkpoints, spec.table_id, spec.n_shards, spark, start).collect()
@@ -176,9 +235,12 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         src = type_projection(src, target_schema)
     ts = F.col(spec.ts_col)
     node = shard_of(ts, spec.n_shards, spec.shard_method) if spec.n_shards > 1 else F.lit(0)
-    # rows without a timestamp have no shard and can never pass a cursor: shard 0 reports them once
     src = src.withColumn("node_id", F.coalesce(node, F.lit(0)).cast("int"))
-    after = ts > _case_by_node(cursor)
+    bounded = {n: c for n, c in cursor.items() if c is not None}
+    after = ts.isNotNull()
+    if bounded:
+        open_nodes = F.col("node_id").isin([n for n in cursor if n not in bounded])
+        after = (ts > _case_by_node(bounded)) | (open_nodes & ts.isNotNull()) if len(bounded) < len(cursor) else ts > _case_by_node(bounded)
     if batch_size == "auto":
         # Each shard's batch follows its phase (lag of its cursor), per-table overrides first
         sizes = {n: _phase_batch_size(spec, cursor[n] if not restarted[n] else None, as_of_ts)
@@ -193,9 +255,8 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
             .where((F.col("_rn") <= F.lit(max(sizes.values()))) & (F.col("_rn") <= _case_by_node(sizes)))
         his = {r["node_id"]: r["hi"] for r in top.groupBy("node_id").agg(F.max(spec.ts_col).alias("hi")).collect()}
         after = (after & (ts <= _case_by_node(his))) if his else F.lit(False)
-    if restarted.get(0):
-        after = after | ts.isNull()
-    pulled = src.where(after)
+    known = _known_rejects(store.read_audit(spark), spec.table_id)
+    pulled = src.where(after).unionByName(_unreported(src.where(ts.isNull()), known))
     tagged = quarantine_split(pulled, spec.ts_col, "_conversion_error")
     stage_path = store.staging(spec.table_id, 0, seq)
     tagged.hint("rebalance").write.mode("overwrite").parquet(stage_path)
@@ -210,13 +271,15 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     days = sorted({d for r in stats for d in r["days"]})
     valid = staged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
     nodes = [r["node_id"] for r in stats]
-    written = sinks.keyed_write(stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"]),
+    written = sinks.keyed_write(stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"], keep_hash=True),
                                 store.target(spec.target), spec.ts_col,
                                 days=days, count_by="node_id", count_values=nodes, grain=spec.partition_grain)
     if any(r["rejected"] for r in stats):
         rej = staged.where(F.col("reason").isNotNull())
-        quarantine_audit(rej.drop("node_id"), spec.table_id, 0, as_of, seq) \
-            .write.mode("append").parquet(store.audit)
+        no_ts, other = rej.where(ts.isNull()), rej.where(ts.isNotNull())
+        rows = quarantine_audit(no_ts.drop("node_id"), spec.table_id, 0, as_of, known=known).unionByName(
+            quarantine_audit(other.drop("node_id"), spec.table_id, 0, as_of))
+        rows.write.mode("overwrite").parquet(store.folder(store.audit, spec.table_id, seq))
     seconds = time.time() - t0
     cp_rows, log_rows, out = [], [], []
     for r in stats:
@@ -232,19 +295,24 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         log_rows.append((spec.table_id, n, seq, r["pulled"], written[n], r["rejected"], r["lo"], r["hi"], phase,
                          as_of_ts, seconds))
         out.append({"table_id": spec.table_id, "node_id": n, "pulled": r["pulled"], "written": written[n],
-                    "rejected": r["rejected"], "seq": seq, "seconds": seconds})
-    spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA).write.mode("append").parquet(store.batches)
-    if cp_rows:  # the cursor moves only after data and audit are committed
-        spark.createDataFrame(cp_rows, control.CHECKPOINT_SCHEMA).write.mode("append").parquet(store.checkpoints)
+                    "duplicates": ingested - written[n], "rejected": r["rejected"], "seq": seq, "seconds": seconds,
+                    "cursor": last})
+    spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        store.folder(store.batches, spec.table_id, seq))
+    # the cursor moves only after data and audit are committed
+    spark.createDataFrame(cp_rows, control.CHECKPOINT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        store.folder(store.checkpoints, spec.table_id, seq))
+    sinks.drop_table(spark, stage_path)  # committed everywhere: the stage is not needed again
     return out
 
 
 def incremental_sync(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
                      batch_size: int | str | None = None, max_cycles: int | None = None, **kw) -> list[dict]:
     """S1 run: cycles until every shard is caught up (an empty cycle), or
-    ``max_cycles``.  Without ``batch_size`` one cycle takes everything."""
-    out, cycles = [], 0
-    seq = store.next_seq(spark)
+    ``max_cycles``.  Without ``batch_size`` one cycle takes everything.  A
+    cycle that neither moves a cursor nor reports a row ends the run."""
+    out, cycles, before = [], 0, {}
+    seq = store.next_seq(spark, spec.table_id)
     while max_cycles is None or cycles < max_cycles:
         r = sync_cycle(spark, spec, source, store, as_of, batch_size, seq=seq, **kw)
         cycles += 1
@@ -252,31 +320,38 @@ def incremental_sync(spark: SparkSession, spec: TableSpec, source: DataFrame, st
         if not r:
             break
         out.extend(r)
-        if batch_size is None:
+        now = {**before, **{x["node_id"]: x["cursor"] for x in r}}
+        if batch_size is None or (now == before and not any(x["rejected"] for x in r)):
             break
+        before = now
     return out
 
 
 def multi_table_sync(spark: SparkSession, specs: Sequence[TableSpec], sources: Mapping[str, DataFrame],
-                     store: SyncStore, as_of, batch_size: int | None = None, parallelism: int = 3) -> DataFrame:
+                     store: SyncStore, as_of, batch_size: int | str | Mapping | None = None,
+                     parallelism: int = 3) -> DataFrame:
     """Every configured table in its own job (thread pool); a failing
-    table is recorded as an ``error`` audit row and does not stop the others."""
+    table is recorded as an ``error`` audit row and does not stop the others.
+    ``batch_size`` holds for all tables, or maps table ids to sizes; ``"auto"``
+    takes each table's own ``batch_sizes`` by phase."""
     validate_specs(specs)
 
     def run(spec):
         # each table's jobs go to their own scheduler pool (isolated under the FAIR scheduler)
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sync-{spec.table_id}")
         try:
-            res = incremental_sync(spark, spec, sources[spec.table_id], store, as_of, batch_size)
+            size = batch_size.get(spec.table_id) if isinstance(batch_size, Mapping) else batch_size
+            res = incremental_sync(spark, spec, sources[spec.table_id], store, as_of, size)
             return (spec.table_id, "ok", sum(r["pulled"] for r in res), sum(r["written"] for r in res),
                     sum(r["rejected"] for r in res), None)
         except Exception as exc:  # noqa: BLE001 - per-table isolation
             log.exception("sync of %s failed", spec.table_id)
             msg = f"{type(exc).__name__}: {exc}"[:500]
-            stamp = spark.range(1).select(ts_lit(as_of)).first()[0]
-            spark.createDataFrame([(f"error-{spec.table_id}", stamp, spec.table_id, None, "error", msg, None, None,
-                                    None, None, None, msg)], control.AUDIT_SCHEMA) \
-                .write.mode("append").parquet(store.audit)
+            stamp = _as_datetime(spark, as_of)
+            part = f"error-{uuid.uuid4().hex}"  # every failure is a row of its own
+            spark.createDataFrame([(f"{part}-{spec.table_id}", stamp, spec.table_id, None, "error", msg, None, None,
+                                    None, None, None, msg)], control.AUDIT_SCHEMA).coalesce(1) \
+                .write.mode("overwrite").parquet(store.folder(store.audit, spec.table_id, part))
             return (spec.table_id, "error", 0, 0, 0, msg)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -78,5 +78,6 @@ def validation_run(spark: SparkSession, specs: Sequence[TableSpec], sources: Map
         checks = checks.unionByName(p)
     rollup = monitor.health_rollup(checks)
     if write_audit:
-        monitor.validation_audit_row(checks, as_of, run_id).write.mode("append").parquet(store.audit)
+        monitor.validation_audit_row(checks, as_of, run_id).write.mode("overwrite").parquet(
+            store.folder(store.audit, "validation", run_id))
     return checks, rollup

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.functions.keys import HASH_COL, record_hash
+
 DAY_COL = "_day"
 MAX_RECORDS_PER_FILE = 1_000_000
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -20,10 +22,13 @@ class LoadError(RuntimeError):
     pass
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A table that may not exist yet reads as empty with its schema."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                  folders: bool = False) -> DataFrame:
+    """A table that may not exist yet reads as empty with its schema;
+    ``folders`` reads all folders below ``path`` (control logs)."""
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        reader = spark.read.schema(schema).format(fmt)
+        return (reader.option("recursiveFileLookup", "true") if folders else reader).load(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
 
@@ -49,31 +54,63 @@ def append_load(df: DataFrame, target_path: str, require_rows: bool = False,
     df.write.mode("append").option("maxRecordsPerFile", max_records_per_file).parquet(target_path)
 
 
+CORRUPT = "_corrupt"
+
+
 def strict_parse(spark: SparkSession, raw: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
-    """SNK2 check: parse JSON lines with the schema and flag rows with
-    unknown keys or values of the wrong type (FAILFAST does not see unknown keys)."""
-    parsed = F.from_json(F.col(text_col), schema, dict(JSON_OPTIONS, mode="PERMISSIVE"))
+    """SNK2 check: parse JSON lines with the schema, once, and flag lines
+    that are no JSON object or hold values of the wrong type, unknown keys,
+    and missing values of required fields."""
+    read_as = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields] +
+                           [T.StructField(CORRUPT, T.StringType(), True)])
+    options = dict(JSON_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    parsed = F.from_json(F.col(text_col), read_as, options)
     known = F.array(*[F.lit(n) for n in schema.names])
-    unknown = F.array_except(F.json_object_keys(F.col(text_col)), known)
-    bad_type = F.exists(
-        F.array(*[F.when(F.get_json_object(F.col(text_col), f"$.{n}").isNotNull()
-                         & F.col("_p").getField(n).isNull(), F.lit(True)).otherwise(F.lit(False))
-                  for n in schema.names]), lambda x: x)
-    return raw.select(F.col(text_col), parsed.alias("_p")).select(
-        "_p.*", (F.size(unknown) > 0).alias("_unknown_keys"), bad_type.alias("_bad_type"),
-        F.col(text_col).alias("_raw"))
+    unknown = F.size(F.array_except(F.json_object_keys(F.col(text_col)), known)) > 0
+    rows = raw.select(F.col(text_col).alias("_raw"), parsed.alias("_p"), unknown.alias("_unknown_keys"))
+    return rows.select(
+        *[F.col("_p").getField(n).alias(n) for n in schema.names],
+        # no keys: not a JSON object
+        F.coalesce("_unknown_keys", F.lit(True)).alias("_unknown_keys"),
+        F.coalesce(F.col("_p").getField(CORRUPT).isNotNull(), F.lit(True)).alias("_bad_type"),
+        _missing(schema, lambda n: F.col("_p").getField(n)).alias("_missing"), "_raw")
+
+
+def _missing(schema: T.StructType, value) -> Column:
+    out = F.lit(False)
+    for f in schema.fields:
+        if not f.nullable:
+            out = out | value(f.name).isNull()
+    return out
 
 
 def strict_stream_batch(batch: DataFrame, target_path: str, schema: T.StructType) -> int:
     """SNK2 sink for one micro-batch: all-or-nothing.  Any invalid row fails
     the whole batch with the number of offending rows; nothing is written."""
-    bad = batch.where(F.col("_unknown_keys") | F.col("_bad_type")).count()
+    bad = batch.where(F.col("_unknown_keys") | F.col("_bad_type") | F.col("_missing")).count()
     if bad:
         raise LoadError(f"{bad} rows rejected; batch not written")
     batch.select(*schema.names).write.mode("append").parquet(target_path)
     return 0
 
 
+def strict_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same check for typed rows: columns that the target lacks, values
+    that do not convert, and missing required values."""
+    unknown = [c for c in df.columns if c not in schema.names]
+    extra = F.lit(False)
+    for c in unknown:
+        extra = extra | F.col(c).isNotNull()
+    have = [f for f in schema.fields if f.name in df.columns]
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in have}
+    bad = F.lit(False)
+    for f in have:
+        bad = bad | (F.col(f.name).isNotNull() & cast[f.name].isNull())
+    value = lambda n: cast.get(n, F.lit(None))
+    return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], extra.alias("_unknown_keys"),
+                     bad.alias("_bad_type"), _missing(schema, value).alias("_missing"))
+
+
 def partition_value(ts, grain: str = "day"):
     """Partition column value of a timestamp: its day, or the first day of
     its month (for long, low-rate tables where day directories would be tiny)."""
@@ -109,23 +146,31 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
     """SNK4 + S10: write rows by primary key, idempotently; returns the
     number of rows that were new.
 
-    Duplicates inside the batch collapse on the key; keys already in the
-    target are skipped.  The key is a hash over the timestamp and record, so
-    an existing duplicate has the same timestamp: the probe of the target is
-    restricted to the batch's day partitions (partition pruning), never the
-    whole table.  ``grain`` is the partition granularity (``day``/``month``);
-    ``days`` (the batch's distinct partition values) may be passed when the
+    A record is identified by (timestamp, key, whole hash): the 53-bit key
+    alone would merge unrelated records of a very large table.  Duplicates
+    inside the batch collapse, records already in the target are skipped.
+    An existing duplicate has the same timestamp, so the probe of the target
+    is restricted to the batch's range of partitions, never the whole table.
+    ``grain`` is the partition granularity (``day``/``month``); ``days`` (first
+    and last, or all, partition values of the batch) may be passed when the
     caller already knows them; the new-row count is observed during the write
     (with ``count_by``, a column not written, per value of ``count_values``:
     the result is then a dict value -> new rows)."""
     spark = batch.sparkSession
-    b = with_day(batch.dropDuplicates([key]), ts_col, day_col, grain)
+    if HASH_COL not in batch.columns:
+        record = [c for c in batch.columns if c not in (key, "_synced_at", day_col, count_by)]
+        batch = batch.withColumn(HASH_COL, record_hash(batch, ts_col, record))
+    dated = with_day(batch, ts_col, day_col, grain)
     if days is None:
-        days = [r[0] for r in b.select(day_col).distinct().collect()]  # distinct days of one batch: bounded
-    if not days:
+        span = dated.agg(F.min(day_col), F.max(day_col)).first()
+    else:
+        span = (min(days), max(days)) if days else (None, None)
+    if span[0] is None:
         return {v: 0 for v in count_values} if count_by else 0
+    identity = [ts_col, key, HASH_COL]
+    b = dated.dropDuplicates(identity)
     stored = b.drop(count_by) if count_by else b
-    existing = read_or_empty(spark, target_path, stored.schema).where(F.col(day_col).isin(list(days)))
+    existing = read_or_empty(spark, target_path, stored.schema).where(F.col(day_col).between(span[0], span[1]))
     obs = Observation(f"keyed_write_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if count_by:
@@ -133,7 +178,7 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
                     for i, v in enumerate(count_values)]
     # rebalance on the day: AQE coalesces small day slices into few files and splits a hot day;
     # the metrics are observed above that shuffle, on exactly the rows written
-    new = b.join(existing.select(key), key, "left_anti").hint("rebalance", day_col).observe(obs, *metrics)
+    new = b.join(existing.select(*identity), identity, "left_anti").hint("rebalance", day_col).observe(obs, *metrics)
     out = new.drop(count_by) if count_by else new
     out.write.mode("append").partitionBy(day_col).parquet(target_path)
     got = obs.get
@@ -169,13 +214,18 @@ def drop_table(spark: SparkSession, name_or_path: str) -> bool:
     return True
 
 
-def insert(df: DataFrame, target_path: str, method: str = "batch") -> None:
+def insert(df: DataFrame, target_path: str, method: str = "batch", schema: T.StructType | None = None) -> None:
     """SNK3: per-table insert method; ``batch`` = bulk append (default),
-    ``stream`` = the strict all-or-nothing append path."""
+    ``stream`` = the strict all-or-nothing append: the rows are checked
+    against ``schema`` (default: the existing target's, or their own)."""
     if method == "batch":
         append_load(df, target_path)
     elif method == "stream":
-        strict_stream_batch(df.withColumn("_unknown_keys", F.lit(False)).withColumn("_bad_type", F.lit(False)),
-                            target_path, T.StructType([f for f in df.schema.fields]))
+        if schema is None:
+            try:
+                schema = df.sparkSession.read.parquet(target_path).schema
+            except AnalysisException:
+                schema = df.schema
+        strict_stream_batch(strict_rows(df, schema), target_path, schema)
     else:
         raise ValueError(f"unknown insert method {method!r}")

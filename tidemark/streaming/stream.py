@@ -10,13 +10,16 @@ absorbs the repeat).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.convert import quarantine_split
+from tidemark.functions.convert import quarantine_split, type_projection
+from tidemark.operators import control
 from tidemark.operators.sequence import latest_per_key
-from tidemark.plans.sync import SyncStore, quarantine_audit, stamp_synced
+from tidemark.plans.sync import BATCH_LOG_SCHEMA, SyncStore, _as_datetime, _phase_of, quarantine_audit, stamp_synced
 from tidemark.sources import sinks
 
 
@@ -28,22 +31,49 @@ def _start(writer, available_now: bool, interval: str | None):
 
 def stream_sync(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col: str, store: SyncStore,
                 target: str, table_id: str, as_of, checkpoint: str, max_files_per_trigger: int = 1,
-                available_now: bool = True, interval: str | None = None, fmt: str = "parquet"):
-    """S1 in stream mode: each micro-batch is converted, quarantined, keyed,
-    stamped and written idempotently; quarantined rows go to the audit table."""
+                available_now: bool = True, interval: str | None = None, fmt: str = "parquet",
+                target_schema: T.StructType | None = None):
+    """S1 in stream mode: each micro-batch is converted (with a target
+    schema), quarantined, keyed, stamped and written idempotently; quarantined
+    rows go to the audit table, and every batch writes its batch log row and
+    checkpoint (shard 0), last, as the batch mode does."""
     src = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger) \
         .load(source_dir)
+    as_of_ts = _as_datetime(spark, as_of)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
+        t0 = time.time()
+        if target_schema is not None:
+            batch = type_projection(batch, target_schema)
         # the micro-batch is read from the source once: staged per epoch (a replay overwrites it)
         stage = store.staging(table_id, 0, epoch) + "-stream"
-        quarantine_split(batch, ts_col).write.mode("overwrite").parquet(stage)
+        quarantine_split(batch, ts_col, "_conversion_error").write.mode("overwrite").parquet(stage)
         tagged = spark.read.parquet(stage)
-        valid = tagged.where(F.col("reason").isNull()).drop("reason")
-        sinks.keyed_write(stamp_synced(valid, ts_col, as_of), store.target(target), ts_col)
-        rejected = tagged.where(F.col("reason").isNotNull())
-        if not rejected.isEmpty():
-            quarantine_audit(rejected, table_id, 0, as_of, epoch).write.mode("append").parquet(store.audit)
+        valid = tagged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
+        written = sinks.keyed_write(stamp_synced(valid, ts_col, as_of, keep_hash=True), store.target(target), ts_col)
+        ok = F.when(F.col("reason").isNull(), F.col(ts_col))
+        r = tagged.agg(F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"), F.min(ok).alias("lo"),
+                       F.max(ok).alias("hi")).first()
+        if r["rejected"]:
+            quarantine_audit(tagged.where(F.col("reason").isNotNull()), table_id, 0, as_of, cycle=f"e{epoch}") \
+                .write.mode("overwrite").parquet(store.folder(store.audit, table_id, f"e{epoch}"))
+        if r["pulled"]:
+            # an epoch that runs again must not count its own rows twice: totals come from earlier checkpoints
+            log_ = store.read_log(spark, store.checkpoints, control.CHECKPOINT_SCHEMA)
+            prev = log_.where((F.col("table_id") == table_id) & (F.col("seq") < epoch + 1)).orderBy(F.col("seq").desc()).first()
+            last = max([t for t in (r["hi"], prev and prev["last_timestamp"]) if t], default=None)
+            phase = _phase_of(last, as_of_ts)
+            ingested = r["pulled"] - r["rejected"]
+            row = (f"{table_id}_0", table_id, 0, last, (prev["records_ingested"] if prev else 0) + ingested,
+                   (prev["records_pulled"] if prev else 0) + r["pulled"], as_of_ts, phase,
+                   control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE), epoch + 1, 1)
+            log_row = (table_id, 0, epoch + 1, r["pulled"], written, r["rejected"], r["lo"], r["hi"], phase, as_of_ts,
+                       time.time() - t0)
+            spark.createDataFrame([log_row], BATCH_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+                store.folder(store.batches, table_id, f"e{epoch}"))
+            spark.createDataFrame([row], control.CHECKPOINT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+                store.folder(store.checkpoints, table_id, f"e{epoch}"))
+        sinks.drop_table(spark, stage)
 
     q = _start(src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint),
                available_now, interval)
@@ -102,11 +132,14 @@ def rate_table(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def progress_frame(spark: SparkSession, query) -> DataFrame:
-    """S13 (stream): rows and rates per micro-batch from the query's progress."""
+    """S13 (stream): rows, rates and rows dropped behind the watermark, per
+    micro-batch, from the query's progress."""
     rows = [(p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0.0),
-             float(p.get("processedRowsPerSecond") or 0.0)) for p in query.recentProgress]
+             float(p.get("processedRowsPerSecond") or 0.0),
+             sum(int(s.get("numRowsDroppedByWatermark") or 0) for s in p.get("stateOperators") or []))
+            for p in query.recentProgress]
     return spark.createDataFrame(rows, "batch_id long, rows long, input_rows_per_sec double, "
-                                       "processed_rows_per_sec double")
+                                       "processed_rows_per_sec double, rows_dropped_by_watermark long")
 
 
 __all__ = ["stream_sync", "strict_stream_append", "rate_by_interval", "rate_by_interval_stream", "rate_table",
