@@ -33,15 +33,17 @@ def main() -> None:
 
     spark = local_session(cores=cpus, partitions=int(cpus) * 2, app="tidemark-bench")
     events_rows = read_table(spark, sf_dir, "events").count()
+    warm_failed: list[str] = []
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if warm_dir and os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir:
         # JIT / codegen warm-up on the smallest data set; not timed
         for name in names:
             try:
                 QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-            except Exception:  # noqa: BLE001
-                pass
-    timings, failures = {}, {}
+            except Exception as exc:  # noqa: BLE001 - reported, and the run fails
+                print(f"warm-up of {name} failed: {exc}", file=sys.stderr)
+                warm_failed.append(name)
+    timings, failures = {}, {f"warm-up {n}": "see stderr" for n in warm_failed}
     for name in names:
         t0 = time.time()
         try:
@@ -68,6 +70,8 @@ def main() -> None:
         out["failures"] = failures
     print(json.dumps(out))
     spark.stop()
+    if failures:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -325,13 +325,24 @@ def ingest_totals(spark, d):
 
 @query
 def sync_throughput(spark, d):
-    b = _synced(spark, d).read_batches(spark)
+    """Every shard row of a batch carries the batch's duration, so it is taken once per batch."""
+    b = _synced(spark, d).read_batches(spark).groupBy("table_id", "batch_id").agg(
+        F.sum("rows_pulled").alias("rows_pulled"), F.max("seconds").alias("seconds"))
     return b.groupBy("table_id").agg(
         F.sum("rows_pulled").alias("rows"), F.sum("seconds").alias("seconds"),
         (F.sum("rows_pulled") / F.sum("seconds")).alias("rows_per_sec"),
         F.avg("rows_pulled").alias("rows_per_batch"))
 
 
+@query
+def sync_batches(spark, d):
+    """S13 without the clock: rows and batches per table."""
+    b = _synced(spark, d).read_batches(spark)
+    return b.groupBy("table_id").agg(
+        F.sum("rows_pulled").alias("rows_pulled"), F.sum(F.col("rows_pulled") - F.col("rows_quarantined")).alias("rows_valid"),
+        F.countDistinct("batch_id").alias("batches"))
+
+
 @query
 def advance_checkpoint(spark, d):
     return _checkpoints(spark, d)
@@ -642,18 +653,25 @@ def truncate_keep_schema(spark, d):
     ev = _events(spark, d)
     target = fresh_path(spark, "truncate")
     ev.write.parquet(target)
-    return sinks.truncate_keep_schema(spark, target, ev.schema)
+    before = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows_before"))
+    before = before.first()["rows_before"]
+    after = sinks.truncate_keep_schema(spark, target, ev.schema)
+    return after.agg(F.lit(before).cast("bigint").alias("rows_before"), F.count(F.lit(1)).alias("rows_after"),
+                     F.lit(len(after.columns)).cast("bigint").alias("columns_kept"))
 
 
 @query
 def drop_table(spark, d):
-    """SNK8: a full copy is written, dropped twice (idempotent), and reads back empty."""
+    """SNK8: a full copy is written, dropped twice (idempotent), and reads back
+    empty: rows before and after."""
     ev = _events(spark, d)
     target = fresh_path(spark, "drop")
     ev.write.parquet(target)
+    before = spark.read.parquet(target).count()
     sinks.drop_table(spark, target)
     sinks.drop_table(spark, target)
-    return sinks.read_or_empty(spark, target, ev.schema)
+    return sinks.read_or_empty(spark, target, ev.schema).agg(
+        F.lit(before).cast("bigint").alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
 
 
 def _string_events(ev, junk_ts_mod=None):
@@ -710,6 +728,15 @@ def retention_delete(spark, d):
     return spark.read.parquet(path).drop(sinks.DAY_COL)
 
 
+@query
+def retention_all(spark, d):
+    """R1 over many tables: a day-partitioned and a month-partitioned copy."""
+    by_month = fresh_path(spark, "events-by-month")
+    sinks.with_day(_events(spark, d), "ts", grain="month").write.partitionBy(sinks.DAY_COL).parquet(by_month)
+    return coverage.retention_all(spark, {"by_day": (_partitioned_events(spark, d), "ts"),
+                                          "by_month": (by_month, "ts", "month")}, AS_OF, 10)
+
+
 @query
 def range_retained(spark, d):
     return coverage.retained(_events(spark, d), "ts", AS_OF, 10)

@@ -6,6 +6,8 @@ the same rows, column names and values as the Spark query of the same key.
 
 from __future__ import annotations
 
+from tidemark.operators.tracks import MAJOR_PORTS, SAMPLE_PORTS
+
 # ---------------------------------------------------------------- fragments
 
 EVENT_COLS = [("event_id", "long"), ("ts", "ts"), ("user_id", "long"), ("event_type", "string"),
@@ -168,21 +170,13 @@ def dead_reckon_sql(lat: str, lon: str, brg: str, nm: str) -> tuple[str, str]:
     return f"({p2} * 180 / pi())", f"({l2} * 180 / pi())"
 
 
-MAJOR_PORTS_SQL = """major_ports(port, plat, plon) AS (VALUES
-  ('Singapore', 1.2644, 103.8223), ('Shanghai', 31.2304, 121.4737), ('Hong Kong', 22.3193, 114.1694),
-  ('Busan', 35.1796, 129.0756), ('Guangzhou', 23.1291, 113.2644), ('Qingdao', 36.0671, 120.3826),
-  ('Tokyo', 35.6528, 139.8394), ('Port Klang', 3.0041, 101.3653), ('Kaohsiung', 22.6163, 120.2997),
-  ('Tianjin', 39.0842, 117.201), ('Rotterdam', 51.9225, 4.4792), ('Antwerp', 51.2194, 4.4025),
-  ('Hamburg', 53.5511, 9.9937), ('Valencia', 39.4699, -0.3763), ('Piraeus', 37.9472, 23.6472),
-  ('Felixstowe', 51.9542, 1.3511), ('Dubai', 25.2769, 55.2963), ('Jeddah', 21.5433, 39.1728),
-  ('Los Angeles', 33.7405, -118.272), ('Long Beach', 33.7683, -118.1956),
-  ('New York/New Jersey', 40.67, -74.04), ('Savannah', 32.0809, -81.0912), ('Houston', 29.7604, -95.3698),
-  ('Vancouver', 49.2827, -123.1207), ('Santos', -23.9618, -46.3322), ('Manzanillo', 19.0544, -104.3188),
-  ('Cape Town', -33.9249, 18.4241), ('Durban', -29.8587, 31.0218), ('Lagos', 6.4526, 3.3958))"""
+def _ports_sql(head: str, ports) -> str:
+    return f"{head} AS (VALUES " + ", ".join(f"('{n}', {lat}, {lon})" for n, lat, lon in ports) + ")"
+
+
+MAJOR_PORTS_SQL = _ports_sql("major_ports(port, plat, plon)", MAJOR_PORTS)
 
-SAMPLE_PORTS_SQL = """sample_ports(port_id, plat, plon) AS (VALUES
-  ('SFO', 37.7749, -122.4194), ('LAX', 33.7405, -118.272), ('SEA', 47.6062, -122.3321),
-  ('SIN', 1.2644, 103.8223), ('SHA', 31.2304, 121.4737))"""
+SAMPLE_PORTS_SQL = _ports_sql("sample_ports(port_id, plat, plon)", SAMPLE_PORTS)
 
 LEGS = """legs AS (
   SELECT *, lag(event_id) OVER w AS prev_event_id, lag(ts) OVER w AS prev_ts,
@@ -577,8 +571,16 @@ register("insert_method", "SELECT * FROM events")
 register("create_partitioned_table", """
 SELECT *, CAST(ts AS DATE) AS _day FROM events
 WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'""")
-register("truncate_keep_schema", "SELECT * FROM events WHERE false")
-register("drop_table", "SELECT * FROM events WHERE false")
+register("truncate_keep_schema", """
+SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after, CAST(6 AS BIGINT) AS columns_kept FROM events""")
+register("drop_table", """
+SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM events""")
+register("sync_batches", with_(FEED) + """
+SELECT 'events' AS table_id, count(*) AS rows_pulled, count(ts) AS rows_valid, CAST(1 AS BIGINT) AS batches FROM feed""")
+register("retention_all", f"""
+SELECT t AS table_name, TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AS cutoff,
+       count(*) FILTER (WHERE ts < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY) AS deleted, CAST(NULL AS VARCHAR) AS error
+FROM events, (VALUES ('by_day'), ('by_month')) v(t) GROUP BY t""")
 
 _TS_BACK = """CASE WHEN event_id % 3 = 0 THEN ts
             WHEN event_id % 3 = 1 THEN make_timestamp((epoch_us(ts) // 1000) * 1000)

@@ -178,7 +178,8 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
                     for i, v in enumerate(count_values)]
     # rebalance on the day: AQE coalesces small day slices into few files and splits a hot day;
     # the metrics are observed above that shuffle, on exactly the rows written
-    new = b.join(existing.select(*identity), identity, "left_anti").hint("rebalance", day_col).observe(obs, *metrics)
+    # a join by name moves its columns to the front; the stored order stays the batch's
+    new = b.join(existing.select(*identity), identity, "left_anti").select(*b.columns).hint("rebalance", day_col).observe(obs, *metrics)
     out = new.drop(count_by) if count_by else new
     out.write.mode("append").partitionBy(day_col).parquet(target_path)
     got = obs.get
