@@ -76,8 +76,10 @@ def test_chains_copies_and_shared_lines(spark, step):
     assert result(multimatch.jaccard_components(df)) == brute(rows)
 
 
-def test_pairs_missed_by_the_first_round_are_found(spark):
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_pairs_missed_by_the_pivots_are_found(spark, monkeypatch, rounds):
     """Near copies of several bases that share a passage: pivots of the passage belong to other groups."""
+    monkeypatch.setattr(multimatch, "ROUNDS", rounds)
     shared, rows = prose(24, 77), []
     for g in range(6):
         body = prose(30, 100 + g).split()
@@ -107,9 +109,12 @@ def test_odd_rows_and_empty_table(spark):
 def test_linked_sets_share_enough_prefix_tokens(a, b, seed):
     x, y = (np.array(sorted(s), np.uint64) << np.uint64(50) for s in (a, b))
     counters = np.random.default_rng(seed).integers(0, 9, 1 << multimatch.COUNTER_BITS)
-    (lx, px), (ly, py) = multimatch.prefix(x, counters, 1.0), multimatch.prefix(y, counters, 1.0)
+    if len(x) > len(y):
+        x, y = y, x
+    (lx, ix, px), (ly, _, py) = multimatch.prefix(x, counters, 1.0), multimatch.prefix(y, counters, 1.0)
+    assert ix <= len(px)
     if multimatch.links(x, y):
-        assert len(set(px.tolist()) & set(py.tolist())) >= min(lx, ly)
+        assert len(set(px[:ix].tolist()) & set(py.tolist())) >= min(lx, ly)
 
 
 def test_words_and_short_texts():

@@ -5,6 +5,10 @@ Two sets link when 100 * |intersection| >= 75 * |union|.  Linked sets share
 at least t = ceil(0.75 n) shingles, n the size of either, so under any common
 order of shingles they share at least l of their first n - t + l ones.
 
+The shorter one of two linked sets needs less: for it the overlap is at least
+2 * 0.75 / 1.75 of its size, so its first n - that + l shingles (its index
+prefix) share l with the longer one's prefix.
+
 1. A counter array of fixed size, filled from all documents, estimates how
    many documents hold a shingle.  Shingles are ordered by (estimate, hash):
    the rare ones come first, frequent lines and passages last.
@@ -12,14 +16,17 @@ order of shingles they share at least l of their first n - t + l ones.
    pair has to share l prefix shingles before it is verified.  The estimated
    cost of both decides.  Two documents must share min(l, l') prefix shingles.
 3. Documents with equal sets form one class, which takes part once.  Prefix
-   rows are reduced to shingles that at least two classes hold.
-4. For every shared shingle its smallest and largest class are verified
-   against the others (linear in the classes that hold it).  What links is
-   connected already; only pairs that share min(l, l') prefix shingles and
-   are not connected yet are verified after that.  So a large group of near
-   copies costs a few verifications per document, and no link between
-   documents of different components is lost.
-5. Components are found by alternating large-star and small-star steps over
+   rows are reduced to shingles that at least two classes hold, one of them
+   in its index prefix.
+4. In a few rounds, each shared shingle's pivots (by another hash in each
+   round) are verified against its other classes, linear in the classes that
+   hold it.  What links is connected and needs no more verification.
+5. Of all pairs that are not connected then, those are verified that share
+   min(l, l') prefix shingles and whose first common shingle leaves enough
+   room for the overlap.  So a large group of near copies costs a few
+   verifications per document, and no link between documents of different
+   components is lost.
+6. Components are found by alternating large-star and small-star steps over
    the links, as joins with partial minima.
 
 Verification computes both sets from the whole texts.  Texts are fetched for
@@ -39,7 +46,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +60,7 @@ MIN_PERCENT = 75
 COUNTER_BITS = 20
 FILTER_BITS = 21
 MAX_LEVEL = 8
+ROUNDS = 3
 VERIFY_COST = 40.0  # of one candidate, in prefix rows
 CACHE_WORDS = 300_000
 
@@ -59,14 +69,18 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 class _WordHashes(dict):
-    """64-bit hash of each word; emptied when full."""
+    """64-bit hash of each word, in two generations of bounded size."""
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    old: dict = {}
 
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self.old.get(word)
+        if value is None:
+            value = xxhash.xxh3_64_intdigest(word)
+        self[word] = value
         return value
 
 
@@ -105,12 +119,17 @@ def least_overlap(n: int) -> int:
     return -(-MIN_PERCENT * n // 100)
 
 
+def pair_overlap(total: int) -> int:
+    """Least overlap of two linked sets with ``total`` shingles together."""
+    return -(-MIN_PERCENT * total // (100 + MIN_PERCENT))
+
+
 def _cells(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
 
-def prefix(s: np.ndarray, counters: np.ndarray, noise: float) -> tuple[int, np.ndarray]:
-    """(l, the prefix for l) of a set: the l with the least estimated cost.
+def prefix(s: np.ndarray, counters: np.ndarray, noise: float) -> tuple[int, int, np.ndarray]:
+    """(l, length of the index prefix, the prefix for l) of a set: the l with the least estimated cost.
 
     Documents that share l of the prefix's shingles number at most the sum of
     the shingles' estimates over l; each costs a verification."""
@@ -123,30 +142,28 @@ def prefix(s: np.ndarray, counters: np.ndarray, noise: float) -> tuple[int, np.n
     met = np.cumsum(np.maximum(counts[order] - noise, 0.0))[length - 1]
     cost = length + met + VERIFY_COST * met / level
     best = int(np.argmin(cost))
-    return int(level[best]), s[order[: length[best]]]
+    return int(level[best]), n - pair_overlap(2 * n) + int(level[best]), s[order[: length[best]]]
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-_DOC = "doc_id long, n long, cls long, lvl int, tokens array<long>"
+_DOC = "doc_id long, n long, cls long, lvl int, idx_len int, tokens array<long>"
 
 
 def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
     """Per document: set size, class, level and prefix (the prefix once per class and task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         counters, noise = counters_broadcast.value
         seen: set[int] = set()
         for b in batches:
-            ns, classes, levels, tokens = [], [], [], []
+            ns, classes, levels, indexed, tokens = [], [], [], [], []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingles(text)
                 cls = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
-                lvl, head = prefix(s, counters, noise) if len(s) else (0, s)
+                lvl, idx_len, head = prefix(s, counters, noise) if len(s) else (0, 0, s)
                 if doc_id is None or cls in seen or not len(s):
                     head = head[:0]
                 else:
@@ -154,13 +171,14 @@ def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
                 ns.append(len(s))
                 classes.append(cls)
                 levels.append(lvl)
+                indexed.append(idx_len)
                 tokens.append(_signed(head))
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in tokens]))).astype(np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), pa.array(levels, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
-                names=["doc_id", "n", "cls", "lvl", "tokens"])
+                 pa.array(indexed, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
+                names=["doc_id", "n", "cls", "lvl", "idx_len", "tokens"])
 
     return docs.mapInArrow(run, _DOC)
 
@@ -185,21 +203,25 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
     return cells
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) of classes that link, by their whole texts."""
-    wanted = staged(pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(classes, "cls")
-                    .select("cls", F.col("rep").alias("rep_id")), f"{name}-wanted")
+def _texts(docs: DataFrame, candidates: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, text) of the candidate classes, one document for each.  A bit array lets
+    few other documents into the join."""
+    wanted = staged(candidates.join(classes, "cls").select("cls", F.col("rep").alias("rep_id")), "wanted")
     bits = np.packbits(counter_slices(wanted, ["rep_id"], _mark, 1 << FILTER_BITS) > 0)
     bits = docs.sparkSession.sparkContext.broadcast(bits)  # 2**FILTER_BITS bits
 
     @F.pandas_udf(T.BooleanType())
-    def maybe(ids):
+    def maybe(ids: pd.Series) -> pd.Series:
         at = _id_cells(ids.fillna(0).to_numpy())
-        return pa.array((bits.value[at >> 3] >> (7 - (at & 7))) & 1 == 1).to_pandas()
+        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
 
     near = docs.where(F.col("doc_id").isNotNull() & maybe("doc_id"))
-    texts = staged(near.join(wanted, near["doc_id"] == wanted["rep_id"]).groupBy("cls").agg(F.max("text").alias("text")), f"{name}-texts")
+    found = near.join(wanted, near["doc_id"] == wanted["rep_id"])
+    return staged(found.groupBy("cls").agg(F.max("text").alias("text")), "texts")
 
+
+def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """The pairs (a, b) of classes that link, by their whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
         for b in batches:
@@ -222,9 +244,13 @@ def _fits() -> Column:
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * MIN_PERCENT
 
 
-def _sized(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(_fits()).select("a", "b")
+def _against(met: DataFrame, pivot: str) -> DataFrame:
+    """Pairs of a shingle's pivot with its other classes that are not connected yet and whose sizes allow a link."""
+    pairs = met.select("cls", "n", "label", F.col(f"{pivot}.cls").alias("with"), F.col(f"{pivot}.n").alias("n_with"),
+                       F.col(f"{pivot}.label").alias("l_with"))
+    fits = F.least("n", "n_with") * 100 >= F.greatest("n", "n_with") * MIN_PERCENT
+    pairs = pairs.where((F.col("label") != F.col("l_with")) & fits)
+    return pairs.select(F.least("cls", "with").alias("a"), F.greatest("cls", "with").alias("b"))
 
 
 def _nearby_labels(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
@@ -273,27 +299,43 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     classes = staged(slim.where("n > 0 and doc_id is not null").groupBy("cls").agg(
         F.max("n").alias("n"), F.max("lvl").alias("lvl"), F.min("doc_id").alias("rep")), "classes")
 
-    rows = profiles.select(F.explode("tokens").alias("token"), "cls")
-    held = rows.groupBy("token").agg(F.min("cls").alias("p"), F.max("cls").alias("q")).where("p < q")
-    shared = staged(rows.join(held, "token").distinct(), "shared")
-
-    star = shared.select(F.col("p").alias("a"), F.col("cls").alias("b")).unionAll(
-        shared.select(F.col("q").alias("a"), F.col("cls").alias("b"))).where("a != b")
-    star = staged(_sized(star.distinct(), classes), "star")
-    found = _verified(docs, star, classes, "star")
-
-    label = _nearby_labels(classes, found)
-    tagged = shared.select("token", "cls").join(label, "cls")
-    mixed = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
-    tagged = staged(tagged.join(mixed, "token"), "mixed").join(classes.select("cls", "n", "lvl"), "cls")
-    left = tagged.select("token", *[F.col(c).alias(f"{c}_a") for c in ("cls", "label", "n", "lvl")])
-    right = tagged.select("token", *[F.col(c).alias(f"{c}_b") for c in ("cls", "label", "n", "lvl")])
-    met = left.join(right, "token").where((F.col("cls_a") < F.col("cls_b")) & (F.col("label_a") != F.col("label_b")) & _fits())
-    rest = met.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("met"), F.min(F.least("lvl_a", "lvl_b")).alias("need")).where("met >= need").select("a", "b")
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rows = profiles.select("cls", "idx_len", F.posexplode("tokens").alias("pos", "token"))
+    rows = rows.select("token", "cls", "pos", (F.col("pos") < F.col("idx_len")).alias("idx"))
+    held = rows.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max("idx").alias("any"))
+    held = held.where("lo < hi and any").select("token")
+    shared = staged(rows.join(held, "token").distinct().join(classes.select("cls", "n", "lvl"), "cls"), "shared")
+    texts = _texts(docs, shared.select("cls").distinct(), classes)
+
+    found, tried, mixed = None, None, shared.withColumn("label", F.col("cls"))
+    for i in range(ROUNDS):
+        rank = F.struct(F.xxhash64(F.lit(i), "cls").alias("h"), F.col("cls"), F.col("n"), F.col("label"))
+        pivots = mixed.where("idx").groupBy("token").agg(F.min(rank).alias("p"), F.max(rank).alias("q"))
+        met = mixed.select("token", "cls", "n", "label").join(pivots, "token")
+        pairs = _against(met, "p").unionAll(_against(met, "q")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, f"star-{i}")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        links_now = _verified(pairs, texts, f"star-{i}")
+        found = links_now if found is None else found.unionAll(links_now)
+        label = _nearby_labels(classes, found)
+        tagged = mixed.drop("label").join(label, "cls")
+        apart = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("idx").alias("any"))
+        mixed = staged(tagged.join(apart.where("x < y and any").select("token"), "token"), f"mixed-{i}")
+
+    left = mixed.where("idx").select("token", *[F.col(c).alias(f"{c}_a") for c in ("cls", "label", "n", "lvl", "pos")])
+    right = mixed.select("token", *[F.col(c).alias(f"{c}_b") for c in ("cls", "label", "n", "lvl", "pos")])
+    shorter = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("cls_a") < F.col("cls_b")))
+    met = left.join(right, "token").where(shorter & (F.col("label_a") != F.col("label_b")) & _fits())
+    rest = met.groupBy("cls_a", "cls_b", "n_a", "n_b").agg(
+        F.count(F.lit(1)).alias("met"), F.min(F.least("lvl_a", "lvl_b")).alias("need"),
+        F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b")).where("met >= need")
+    # what lies from the first common shingle on must have room for the overlap
+    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    rest = rest.where(room * (100 + MIN_PERCENT) >= (F.col("n_a") + F.col("n_b")) * MIN_PERCENT)
+    rest = rest.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"))
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    found = staged(found.unionAll(_verified(docs, rest, classes, "rest")), "links")
+    found = staged(found.unionAll(_verified(rest, texts, "rest")), "links")
 
     roots = components(found)
     placed = classes.join(roots, classes["cls"] == roots["node"], "left").select(
