@@ -18,7 +18,7 @@ equal in doc_id and split dimension stay on one side; an empty table gives no ro
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,58 +42,46 @@ def ordered_code(col: str, kind: T.DataType) -> Column:
 @dataclass
 class Box:
     leaves: int
-    first: int
-    dim: str | None = None
-    cut: tuple[int, int] | None = None  # rows with (dim, doc_id) <= cut go left
-    kids: list["Box"] = field(default_factory=list)
-
-
-def _shard_expr(box: Box, value) -> Column:
-    """Nested CASE down the tree; ``value(box)`` names what a leaf or an unsplit box yields."""
-    if not box.kids:
-        return F.lit(value(box))
-    v, tie = box.cut
-    left = (F.col(box.dim) < v) | ((F.col(box.dim) == v) & (F.col("tie") <= tie))
-    return F.when(left, _shard_expr(box.kids[0], value)).otherwise(_shard_expr(box.kids[1], value))
-
-
-def _refine(slim: DataFrame, root: Box, open_boxes: list[Box], spans: dict[str, int]) -> None:
-    """Split every open box once."""
-    name = {id(b): i for i, b in enumerate(open_boxes)}
-    dims = list(spans)
-    here = slim.withColumn("box", _shard_expr(root, lambda b: name.get(id(b), -1))).where("box >= 0")
-    stats = {r["box"]: r for r in here.groupBy("box").agg(
+    first: int  # shard of its first leaf; also the box's number while it has no split
+    number: int
+
+
+_PARAMS = "box int, axis int, lo long, hi long, step long, held_axis int, held long"
+
+
+def _cuts(here: DataFrame, boxes: list[Box], spans: list[int], tie: int) -> list[tuple]:
+    """(box, axis, value, tie value) of each box's split: rows with
+    (axis, tie) <= (value, tie value) go left.  ``axes`` of ``here`` holds the dimensions, the tie-break last.
+
+    Boxes and ranges come in as small tables (a row per box), so every pass has the same plan."""
+    spark = here.sparkSession
+    wanted = here.where(F.col("box").isin([b.number for b in boxes]))
+    axis = lambda i: F.get("axes", F.lit(i))
+    stats = {r["box"]: r for r in wanted.groupBy("box").agg(
         F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"),
-        *[f(d).alias(f"{k}_{d}") for d in [*dims, "tie"] for k, f in (("lo", F.min), ("hi", F.max))]).collect()}
-    state: dict[int, dict] = {}
-    for i, box in enumerate(open_boxes):
-        r = stats.get(i)
+        *[f(axis(i)).alias(f"{k}{i}") for i in range(tie + 1) for k, f in (("lo", F.min), ("hi", F.max))]).collect()}
+    state, out = {}, []
+    for box in boxes:
+        r = stats.get(box.number)
         if r is None or r["n"] < 2:
-            box.dim, box.cut = dims[0], (1 << 62, 1 << 62)  # nothing to split: all rows go left
+            out.append((box.number, 0, 1 << 62, 1 << 62))  # nothing to split: all rows go left
             continue
-        dim = max(dims, key=lambda d: (r[f"hi_{d}"] - r[f"lo_{d}"]) / max(1, spans[d]))
-        state[i] = {"dim": dim, "axis": dim, "lo": r[f"lo_{dim}"], "hi": r[f"hi_{dim}"], "tie": (r["lo_tie"], r["hi_tie"]),
-                    "base": 0, "want": r["w"] * (box.leaves // 2) / box.leaves,
-                    "slack": TOLERANCE * r["w"] / box.leaves, "value": None}
+        dim = max(range(tie), key=lambda i: (r[f"hi{i}"] - r[f"lo{i}"]) / max(1, spans[i]))
+        state[box.number] = {"dim": dim, "axis": dim, "lo": r[f"lo{dim}"], "hi": r[f"hi{dim}"], "tie": (r[f"lo{tie}"], r[f"hi{tie}"]),
+                             "base": 0, "want": r["w"] * (box.leaves // 2) / box.leaves,
+                             "slack": TOLERANCE * r["w"] / box.leaves, "value": None}
     while state:
-        def pick(f):
-            e = F.lit(None).cast("long")
-            for i, s in state.items():
-                e = F.when(F.col("box") == i, f(s)).otherwise(e)
-            return e
-
-        rows = here.where(F.col("box").isin(list(state)))
-        rows = rows.withColumn("v", pick(lambda s: F.col(s["axis"])))
-        rows = rows.withColumn("lo", pick(lambda s: F.lit(s["lo"]))).withColumn("step", pick(lambda s: F.lit(_step(s))))
-        held = pick(lambda s: F.lit(1) if s["value"] is None else (F.col(s["dim"]) == s["value"]).cast("long"))
-        rows = rows.where((held == 1) & (F.col("v") >= F.col("lo")) & (F.col("v") <= pick(lambda s: F.lit(s["hi"]))))
+        params = spark.createDataFrame([(n, s["axis"], s["lo"], s["hi"], _step(s), s["dim"], s["value"]) for n, s in state.items()], _PARAMS)
+        rows = here.join(F.broadcast(params), "box").withColumn("v", F.get("axes", "axis"))  # a row per box: at most the shards
+        rows = rows.where(F.col("v").between(F.col("lo"), F.col("hi")) &
+                          (F.col("held").isNull() | (F.get("axes", "held_axis") == F.col("held"))))
         cells = rows.groupBy("box", F.expr("(v - lo) div step").alias("cell")).agg(
             F.sum("size").alias("w"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
         by_box: dict[int, list] = {}
         for c in cells:
             by_box.setdefault(c["box"], []).append(c)
-        for i, s in list(state.items()):
-            for c in sorted(by_box[i], key=lambda c: c["cell"]):
+        for n, s in list(state.items()):
+            for c in sorted(by_box[n], key=lambda c: c["cell"]):
                 last = c
                 if s["base"] + c["w"] >= s["want"]:
                     break
@@ -101,17 +89,17 @@ def _refine(slim: DataFrame, root: Box, open_boxes: list[Box], spans: dict[str,
             else:
                 s["base"] -= last["w"]
             c = last
-            nearer_before = abs(s["base"] - s["want"]) <= abs(s["base"] + c["w"] - s["want"])
-            if c["lo"] == c["hi"] and s["axis"] != "tie" and c["w"] > s["slack"]:
-                s.update(axis="tie", value=c["lo"], lo=s["tie"][0], hi=s["tie"][1])  # one heavy value: split it by doc_id
+            if c["lo"] == c["hi"] and s["axis"] != tie and c["w"] > s["slack"]:
+                s.update(axis=tie, value=c["lo"], lo=s["tie"][0], hi=s["tie"][1])  # one heavy value: split it by doc_id
                 continue
             if c["lo"] < c["hi"] and c["w"] > s["slack"]:
                 s.update(lo=c["lo"], hi=c["hi"])
                 continue
+            nearer_before = abs(s["base"] - s["want"]) <= abs(s["base"] + c["w"] - s["want"])
             edge = c["lo"] - 1 if nearer_before else c["hi"]
-            open_boxes[i].dim = s["dim"]
-            open_boxes[i].cut = (s["value"], edge) if s["axis"] == "tie" else (edge, 1 << 62)
-            del state[i]
+            out.append((n, s["dim"], s["value"], edge) if s["axis"] == tie else (n, s["dim"], edge, 1 << 62))
+            del state[n]
+    return out
 
 
 def _step(s: dict) -> int:
@@ -124,27 +112,43 @@ def kd_shards(docs: DataFrame, shards: int = 40, dims: Sequence[str] = ("doc_id"
     name any column of ``docs`` and ``size`` (UTF-8 bytes plus ``overhead``)."""
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     text = F.coalesce(F.col("text"), F.lit(""))
+    spark = docs.sparkSession
     codes = [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"),
-             F.crc32(text.cast("binary")).alias("text_crc32"),
-             F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias("tie")]
-    axes = {}
+             F.crc32(text.cast("binary")).alias("text_crc32")]
+    axes = []
     for d in dims:
-        if d != "size" and d not in kinds:
-            continue
-        axes[d] = f"dim_{d}"
-        codes.append(((F.octet_length(text) + overhead).cast("long") if d == "size" else ordered_code(d, kinds[d])).alias(f"dim_{d}"))
-    slim = staged(docs.select(*codes), "kd-slim")
-    names = list(axes.values())
-    whole = slim.agg(F.count(F.lit(1)).alias("n"), *[(F.max(d) - F.min(d)).alias(d) for d in names]).first()
-    root = Box(shards, 0)
-    level = [root]
-    while whole["n"] and (open_boxes := [b for b in level if b.leaves > 1]):
-        _refine(slim, root, open_boxes, {d: whole[d] for d in names})
-        level = []
-        for b in open_boxes:
-            b.kids = [Box(b.leaves // 2, b.first), Box(b.leaves - b.leaves // 2, b.first + b.leaves // 2)]
-            level += b.kids
-    placed = slim.withColumn("shard", _shard_expr(root, lambda b: b.first).cast("int"))
+        if d == "size":
+            axes.append((F.octet_length(text) + overhead).cast("long"))
+        elif d in kinds:
+            axes.append(ordered_code(d, kinds[d]))
+    tie = len(axes)
+    axes.append(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")))
+    here = staged(docs.select(*codes, F.array(*axes).alias("axes"), F.lit(0).alias("box")), "kd-slim")
+    whole = here.agg(F.count(F.lit(1)).alias("n"), *[(F.max(F.get("axes", F.lit(i))) - F.min(F.get("axes", F.lit(i)))).alias(f"s{i}")
+                                                     for i in range(tie)]).first()
+    leaves, level, numbers = [], [Box(shards, 0, 0)], 0
+    while level:
+        leaves += [b for b in level if b.leaves == 1 or not whole["n"]]
+        level = [b for b in level if b.leaves > 1 and whole["n"]]
+        if not level:
+            break
+        cuts = {c[0]: c for c in _cuts(here, level, [whole[f"s{i}"] for i in range(tie)], tie)}
+        rows, below = [], []
+        for b in level:
+            half = b.leaves // 2
+            kids = [Box(half, b.first, numbers + 1), Box(b.leaves - half, b.first + half, numbers + 2)]
+            numbers += 2
+            rows.append((*cuts[b.number], kids[0].number, kids[1].number))
+            below += kids
+        moves = spark.createDataFrame(rows, "box int, dim int, value long, edge long, low int, high int")
+        v = F.get("axes", "dim")
+        left = (v < F.col("value")) | ((v == F.col("value")) & (F.get("axes", F.lit(tie)) <= F.col("edge")))
+        moved = here.join(F.broadcast(moves), "box", "left").withColumn(
+            "box", F.when(F.col("dim").isNull(), F.col("box")).when(left, F.col("low")).otherwise(F.col("high")))
+        here = staged(moved.select(*here.columns), f"kd-{numbers}")
+        level = below
+    shard_of = spark.createDataFrame([(b.number, b.first) for b in leaves], "box int, shard int")
+    placed = here.join(F.broadcast(shard_of), "box").drop("axes", "box")
     return _with_slots(placed, whole["n"], shards).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
