@@ -1,5 +1,7 @@
 import glob
+import gzip
 import hashlib
+import io
 import zipfile
 
 import pytest
@@ -34,6 +36,19 @@ def test_odd_pages(spark):
             assert z.testzip() is None and z.namelist() == [warc_zip.DATA, warc_zip.INDEX]
 
 
+@pytest.mark.parametrize("chunks", [[b"\n"], [b"a\nb", b"", b"c\n"], [b"x" * 70_000, b"\n", b"y\n" * 50_000, b"z\n"], [b"\n\n", b"\n"], [b"x" * 70_000 + b"\n"],
+                                    [b"a\n", b"x" * 70_000 + b"\n"]])
+def test_lines_give_the_stream_back(chunks):
+    assert b"".join(x + b"\n" for x in warc_zip.text_lines(iter(chunks))) == b"".join(chunks)
+
+
+def test_records_are_gzip_streams_of_one_member():
+    raw = b"".join(warc_zip.archive_chunks(iter([(1, "u", b"payload" * 300, None), (2, "u", b"payload" * 300, 1)])))
+    with zipfile.ZipFile(io.BytesIO(raw)) as z:
+        text = gzip.decompress(z.read(warc_zip.DATA))
+    assert text.count(b"WARC/1.1\r\n") == 3 and text.count(b"payload" * 300) == 1
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     folder = warc_zip.write_archives(df, fresh_path(spark, "warc-empty"))

@@ -1,12 +1,12 @@
 """WARC archives packaged as ZIP files: writer and range reader (operator 2).
 
 Writer.  Each task streams one archive: a ZIP file whose members are stored,
-``archive/data.warc`` with the records and ``indexes/index.cdx`` with the
-place of each record.  Sizes and offsets are given in ZIP64 fields, so an
+``archive/data.warc.gz`` with the records, each a gzip stream of its own, and
+``indexes/index.cdx`` with the place of each record.  Sizes and offsets are given in ZIP64 fields, so an
 archive may pass 4 GB, and sizes follow the data (data descriptors), so
 nothing is held back but the index lines.  Spark's text sink writes the bytes
-(every chunk ends with the line feed that the sink adds; the last one is the
-archive's one-byte comment), so archives go to any file system that Spark
+(the stream is cut where it has a line feed, which the sink adds again; the
+last one is the archive's one-byte comment), so archives go to any file system that Spark
 writes to, through its commit protocol: a lost task leaves nothing behind.
 
 Reader.  One task per archive reads the end of the file, the ZIP64 records
@@ -26,6 +26,7 @@ no records.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import struct
@@ -40,9 +41,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import shuffle_parts, small_batches, worker_path
 
 REVISIT_BYTES = 1000
-BLOCK_BYTES = 8 << 20  # records of one block are read by one task
+BLOCK_BYTES = 1 << 20  # records of one block are read by one task
+CHUNK_BYTES = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
-DATA, INDEX = "archive/data.warc", "indexes/index.cdx"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 INDEX_HEAD = b"!cdx offset length page_id\n"
 
 # Fixed values of the ZIP format: signatures, and markers of values kept in ZIP64 fields
@@ -121,17 +123,33 @@ def _directory(members: list[Member], at: int) -> bytes:
     return out + end64 + locator + end + b"\n"
 
 
+def text_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """A byte stream that ends with a line feed, as lines for a sink that ends
+    each with a line feed: cut after the last line feed of every CHUNK_BYTES or more."""
+    held = bytearray()
+    for chunk in chunks:
+        held += chunk
+        if len(held) >= CHUNK_BYTES and (at := held.rfind(b"\n")) >= 0:
+            yield bytes(held[:at])
+            del held[: at + 1]
+    if held:  # else the last cut took all
+        if held[-1:] != b"\n":
+            raise ValueError("the stream does not end with a line feed")
+        yield bytes(held[:-1])
+
+
 def archive_chunks(pages: Iterator[tuple]) -> Iterator[bytes]:
-    """Bytes of one archive, in chunks that each end with a line feed.  pages: (page_id, url, payload, refers_to)."""
+    """Bytes of one archive; the last is a line feed.  pages: (page_id, url, payload, refers_to)."""
     data = Member(DATA, STORED, 0, 0, 0)
     info = warc_record("warcinfo", [("WARC-Record-ID", "<urn:page:info>"), ("Content-Type", "application/warc-fields")],
                        b"format: WARC File Format 1.1\r\n")
+    info = gzip.compress(info, mtime=0)
     head = _local_header(DATA)
     data.crc, data.size = zlib.crc32(info), len(info)
     yield head + info
     lines = [INDEX_HEAD]
     for page_id, url, payload, refers_to in pages:
-        record = page_record(page_id, url, payload, refers_to)
+        record = gzip.compress(page_record(page_id, url, payload, refers_to), 6, mtime=0)
         lines.append(b"%d %d %s\n" % (data.size, len(record), b"-" if page_id is None else str(page_id).encode()))
         data.crc = zlib.crc32(record, data.crc)
         data.size += len(record)
@@ -164,8 +182,8 @@ def write_archives(pages: DataFrame, folder: str, revisit_bytes: int = REVISIT_B
             for b in batches:
                 yield from zip(*(b.column(i).to_pylist() for i in range(4)))
 
-        for chunk in archive_chunks(each()):
-            yield pa.RecordBatch.from_arrays([pa.array([chunk[:-1]], pa.binary())], names=["value"])
+        for line in text_lines(archive_chunks(each())):
+            yield pa.RecordBatch.from_arrays([pa.array([line], pa.binary())], names=["value"])
 
     chunks = placed.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
     chunks.write.option("compression", "none").option("maxRecordsPerFile", 0).text(folder)  # one file per task
@@ -320,7 +338,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                     if f is not None:
                         f.close()
                     path, f = at, RangeFile(at)
-                rows.append(parse_record(f.read(start, length)))
+                rows.append(parse_record(gzip.decompress(f.read(start, length))))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             cols = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
