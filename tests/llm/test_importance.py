@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,27 @@ def test_kth_largest(spark):
 def test_gumbel_noise_has_the_right_shape(spark):
     x = [r[0] for r in spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).select(importance.gumbel()).collect()]
     assert abs(np.mean(x) - 0.5772) < 0.03 and abs(np.std(x) - 1.2825) < 0.03
+
+
+def test_toxic_documents_are_rejected_in_each_language(spark):
+    """Held-out toxic labels per language: words that are toxic though their letters are common in clean words."""
+    sf = f"{os.path.dirname(SF_ORACLE)}/sf0.1"
+    if not os.path.isdir(sf):
+        pytest.skip("no sf0.1")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    marks = labels.groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
+    rows = importance.resample(docs, labels).join(importance._labelled(labels).join(marks, "label_id"), F.col("doc_id") == F.col("label_id"))
+    rows = rows.join(docs.select("doc_id", "lang"), "doc_id").select("lang", "fold", "good", "toxic", "selected").collect()
+    kept = lambda lang, **at: np.mean([r["selected"] for r in rows if r["lang"] == lang and all(r[k] == v for k, v in at.items())])
+    for lang in ("en", "de", "fr", "es"):
+        figures = kept(lang, toxic=1), kept(lang, toxic=1, fold=0), kept(lang, good=1, fold=0)
+        print(lang, [round(float(x), 3) for x in figures])
+        assert figures[0] < 0.3 and figures[1] < 0.35 and figures[2] > 0.9, (lang, figures)
+
+
+def test_word_cells(spark):
+    stems = len(importance.STEMS) + 1
+    a, b = importance.words("Größe, größe! 語 été"), importance.words("größer \U0001F600")
+    assert len(a) == 4 * stems and list(a[:stems]) == list(a[stems: 2 * stems])
+    assert list(a[:2]) == list(b[:2]) and a[stems - 1] != b[stems - 1]  # stems of 3 and 5 letters agree, the words do not
+    assert len(importance.words(" .,\n")) == 0 and importance.worst_window(np.zeros((0, 2), np.float32)) == 0.0
