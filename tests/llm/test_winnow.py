@@ -1,5 +1,7 @@
 import hashlib
 import random
+from collections import deque
+from functools import cache
 
 import pytest
 import xxhash
@@ -95,3 +97,33 @@ def test_shared_passage_is_always_found(spark):
 def test_plan_is_native(spark):
     plan = winnow.fingerprints_with_next(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@cache
+def chosen_linear(text):
+    """``chosen`` in linear time: a queue of keys that only grow."""
+    if not text:
+        return []
+    wide = text.encode("utf-32-be")
+    keys = [(xxhash.xxh64_intdigest(wide[4 * i: 4 * (i + K)], seed=42) & winnow._HASH_MASK) >> 31 for i in range(max(1, len(text) - K + 1))]
+    out, queue = [], deque()
+    for i, h in enumerate(keys):
+        while queue and keys[queue[-1]] >= h:  # of equals the rightmost one stays
+            queue.pop()
+        queue.append(i)
+        if queue[0] <= i - W:
+            queue.popleft()
+        if i >= min(W, len(keys)) - 1 and (keys[queue[0]], queue[0]) not in out[-1:]:
+            out.append((keys[queue[0]], queue[0]))
+    return out
+
+
+def test_registered_query_against_the_definition_with_long_texts(spark, monkeypatch):
+    """Every column of every row of a whole table, whatever the texts' lengths."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    short = [t or "" for _, t in docs if len(t or "") < 1000][:60] + ["", "a", "ab" * 100, "a" * 50, "日é🙂" * 9]
+    assert [chosen_linear(t) for t in short] == [chosen(t) for t in short]
+    assert max(len(t or "") for _, t in docs) >= 4000
+    got = result(LLM_QUERIES["op1_winnowing"](spark, SF_SMALL))
+    monkeypatch.setitem(globals(), "chosen", chosen_linear)
+    assert got == brute(docs)
