@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import fresh_path
+from tidemark.session import scratch_path
 
 BUCKET = "_tm_bucket"
 
@@ -49,9 +49,11 @@ def _with_bucket(df: DataFrame, ts_col: str, bucket_seconds: int | None,
     back, so every branch of the plan sees the same buckets."""
     if bucket_seconds is not None:
         return df.withColumn(BUCKET, bucket_of(F.col(ts_col), bucket_seconds))
-    ranged = df.repartitionByRange(*[F.col(c) for c in list(keys) + [ts_col] + list(order)])
+    # an explicit count: adaptive execution would merge range partitions, and with them the parts of a hot key
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(parts, *[F.col(c) for c in list(keys) + [ts_col] + list(order)])
     numbered = ranged.withColumn(BUCKET, F.spark_partition_id().cast("bigint"))
-    path = fresh_path(df.sparkSession, "sequence")
+    path = scratch_path(df.sparkSession, "sequence")
     numbered.write.parquet(path)
     return df.sparkSession.read.schema(numbered.schema).parquet(path)
 

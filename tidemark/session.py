@@ -34,9 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not (sc.master or "").startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="tidemark-")  # local mode only (tests)
-        spark.conf.set(CHECKPOINT_CONF, path)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+        sc.setCheckpointDir(path)  # remembered by the context; the setting itself is static
     return path.rstrip("/")
 
 
@@ -45,6 +44,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new location for an intermediate table, in a folder of the
+    application that the file system removes when the application ends
+    (results are evaluated lazily and may read it until then)."""
+    root = f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tidemark") -> SparkSession:
     """Session used by tests and the bench (local mode)."""
     spark = (
