@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import bearing_deg, dead_reckon, haversine_nm
-from tidemark.operators.sequence import BUCKET, bucket_of, neighbor_row, running_sum
+from tidemark.operators.asof import nearest_other
+from tidemark.operators.sequence import neighbor_row, running_sum
 
 # Major ports (name, latitude, longitude) used for nearest-port lookups.
 MAJOR_PORTS = [
@@ -142,25 +143,17 @@ def event_position_match(events: DataFrame, positions: DataFrame, tolerance_seco
     in time of the same vessel within ``tolerance_seconds`` (other than the
     event's own record), and its distance to the port.
 
-    Interval join made equi: time buckets of the tolerance width, the event
-    side probes its own and both neighbouring buckets; the nearest fix per
-    event is a partial ``min(struct)`` aggregate."""
-    tol_us = tolerance_seconds * 1_000_000
+    Linear in both tables (see ``asof``): events and fixes become one ordered
+    sequence per vessel, so neither a vessel with a third of all rows nor a
+    burst inside the tolerance multiplies rows."""
     ev = events.where(F.col("event_type").isin(list(event_types))).select(
-        "event_id", "vessel_mmsi", "event_time", "port_id",
-        F.explode(F.array(*[bucket_of(F.col("event_time"), tolerance_seconds) + F.lit(k) for k in (-1, 0, 1)]))
-        .alias(BUCKET))
-    pos = positions.select(F.col("event_id").alias("fix_id"), F.col("mmsi"), F.col("ts").alias("fix_ts"),
-                           "latitude", "longitude", bucket_of(F.col("ts"), tolerance_seconds).alias(BUCKET))
-    j = ev.join(pos, (ev.vessel_mmsi == pos.mmsi) & (ev[BUCKET] == pos[BUCKET]) & (ev.event_id != pos.fix_id))
-    dt = F.abs(F.unix_micros("fix_ts") - F.unix_micros("event_time"))
-    j = j.where(dt <= F.lit(tol_us))
-    best = j.groupBy("event_id", "vessel_mmsi", "event_time", "port_id").agg(
-        F.min(F.struct(dt.alias("dt"), F.col("fix_id"), F.col("latitude"), F.col("longitude"))).alias("b"))
+        "event_id", "vessel_mmsi", "event_time", "port_id").distinct()
+    best = nearest_other(ev, positions, ("vessel_mmsi", "mmsi"), ("event_time", "ts"), ("event_id", "event_id"),
+                         ["latitude", "longitude"], tolerance_seconds, out="b").where(F.col("b").isNotNull())
     port_lat = F.create_map(*[x for p, la, _ in ports for x in (F.lit(p), F.lit(la))])[F.col("port_id")]
     port_lon = F.create_map(*[x for p, _, lo in ports for x in (F.lit(p), F.lit(lo))])[F.col("port_id")]
     return best.select(
-        "event_id", "vessel_mmsi", "event_time", "port_id", F.col("b.fix_id").alias("fix_id"),
+        "event_id", "vessel_mmsi", "event_time", "port_id", F.col("b.id").alias("fix_id"),
         (F.col("b.dt") / F.lit(1e6)).alias("dt_seconds"),
         _r6(haversine_nm(F.col("b.latitude"), F.col("b.longitude"), port_lat, port_lon)).alias("distance_nm"),
     )
