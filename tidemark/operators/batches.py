@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import shard_of
 from tidemark.operators.filters import check_shard, cursor_filter, recent_filter, shard_filter
+from tidemark.operators.selection import kth_smallest
 from tidemark.operators.sequence import running_sum
 from tidemark.sources.tables import scan_columns
 
@@ -18,10 +19,11 @@ def next_batch(df: DataFrame, ts_col: str, batch_size: int, cursor=None, n_shard
     """O1 composed with SRC1, F1/F4, F2, F3: the next batch of one shard after
     the cursor, in timestamp order.
 
-    Tie-safe: the cut is ``hi = max(ts)`` of the first ``batch_size`` rows
-    (a bounded top-k), and the batch is every row with ``cursor < ts <= hi``.
-    Rows tied with the last row are therefore never split across batches
-    (the batch may exceed ``batch_size`` by one tie group)."""
+    Tie-safe: the cut ``hi`` is the timestamp of the ``batch_size``-th row
+    (found by counting, see ``selection``: no candidate row moves), and the
+    batch is every row with ``cursor < ts <= hi``, a range that reaches the
+    scan.  Rows tied with the last row are therefore never split across
+    batches (the batch may exceed ``batch_size`` by one tie group)."""
     check_shard(n_shards, shard)
     src = scan_columns(df, columns, ts_col)
     if n_shards > 1:
@@ -30,8 +32,21 @@ def next_batch(df: DataFrame, ts_col: str, batch_size: int, cursor=None, n_shard
         src = cursor_filter(src, ts_col, cursor)
     else:
         src = src.where(F.col(ts_col).isNotNull())
-    hi = src.select(ts_col).orderBy(F.col(ts_col).asc()).limit(batch_size).agg(F.max(ts_col))
-    return src.where(F.col(ts_col) <= hi.scalar()).orderBy(F.col(ts_col).asc())
+    hi = batch_ends(src, ts_col, batch_size).get(0)
+    end = F.col(ts_col) <= instant(hi) if hi is not None else F.lit(False)
+    return src.where(end).orderBy(F.col(ts_col).asc())
+
+
+def instant(us: int):
+    """Timestamp literal of microseconds since the epoch."""
+    return F.timestamp_micros(F.lit(us).cast("long"))
+
+
+def batch_ends(src: DataFrame, ts_col: str, batch_size, group: str | None = None) -> dict[int, int]:
+    """Timestamp (microseconds) of the ``batch_size``-th row of every group in
+    time order, of its last row if it has fewer."""
+    return kth_smallest(src, F.unix_micros(F.col(ts_col)), batch_size, group,
+                        within=lambda lo, hi: F.col(ts_col).between(instant(lo), instant(hi)))
 
 
 def latest_n(df: DataFrame, ts_col: str, n: int = 10, tiebreak: Sequence[str] = ()) -> DataFrame:

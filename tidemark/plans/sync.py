@@ -18,13 +18,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import quarantine_split, type_projection
 from tidemark.functions.keys import HASH_COL, shard_of, with_record_id
 from tidemark.operators import control
+from tidemark.operators.batches import batch_ends, instant
 from tidemark.operators.filters import ts_lit
 from tidemark.operators.sequence import latest_per_key
 from tidemark.plans.specs import TableSpec, validate_specs
@@ -197,10 +198,10 @@ def _phase_batch_size(spec: TableSpec, cursor, as_of_ts) -> int:
     return int(spec.batch_sizes.get(phase, control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE)))
 
 
-def _case_by_node(values: dict, default=None):
+def _case_by_node(values: dict, default=None, wrap=F.lit):
     expr = None
     for node, v in values.items():
-        lit = F.lit(v)
+        lit = wrap(v)
         expr = F.when(F.col("node_id") == node, lit) if expr is None else expr.when(F.col("node_id") == node, lit)
     return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
@@ -248,13 +249,9 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     elif batch_size is not None:
         sizes = {n: int(batch_size) for n in range(spec.n_shards)}
     if batch_size is not None:
-        # per-shard top-k in one scan: row_number <= k is planned as WindowGroupLimit, which keeps
-        # only k rows per shard in every map task before the shuffle
-        rn = F.row_number().over(Window.partitionBy("node_id").orderBy(ts))
-        top = src.where(after).select("node_id", spec.ts_col).withColumn("_rn", rn) \
-            .where((F.col("_rn") <= F.lit(max(sizes.values()))) & (F.col("_rn") <= _case_by_node(sizes)))
-        his = {r["node_id"]: r["hi"] for r in top.groupBy("node_id").agg(F.max(spec.ts_col).alias("hi")).collect()}
-        after = (after & (ts <= _case_by_node(his))) if his else F.lit(False)
+        # O1: each shard's batch end is counted, not gathered: no candidate row moves
+        his = batch_ends(src.where(after).select("node_id", spec.ts_col), spec.ts_col, sizes, "node_id")
+        after = (after & (ts <= _case_by_node(his, wrap=instant))) if his else F.lit(False)
     known = _known_rejects(store.read_audit(spark), spec.table_id)
     pulled = src.where(after).unionByName(_unreported(src.where(ts.isNull()), known))
     tagged = quarantine_split(pulled, spec.ts_col, "_conversion_error")
