@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.keys import HASH_COL, record_hash
+from tidemark.sources.versioned import VersionedTable
 
 DAY_COL = "_day"
 MAX_RECORDS_PER_FILE = 1_000_000
@@ -84,16 +85,31 @@ def _missing(schema: T.StructType, value) -> Column:
     return out
 
 
-def strict_stream_batch(batch: DataFrame, target_path: str, schema: T.StructType) -> int:
+def strict_stream_batch(batch: DataFrame, target_path: str, schema: T.StructType, epoch: int | None = None,
+                        writer: str = "stream") -> int:
     """SNK2 sink for one micro-batch: all-or-nothing.  Any invalid row fails
-    the whole batch with the number of offending rows; nothing is written."""
+    the whole batch with the number of offending rows; nothing is written.
+    With ``epoch`` the target is a versioned table and a replay of the epoch
+    replaces its own rows; without it the rows are appended, once per call."""
     bad = batch.where(F.col("_unknown_keys") | F.col("_bad_type") | F.col("_missing")).count()
     if bad:
         raise LoadError(f"{bad} rows rejected; batch not written")
-    batch.select(*schema.names).write.mode("append").parquet(target_path)
+    _append(batch.select(*schema.names), target_path, schema, epoch, writer)
     return 0
 
 
+def _append(rows: DataFrame, target_path: str, schema: T.StructType, epoch: int | None, writer: str) -> None:
+    if epoch is None:
+        rows.write.mode("append").parquet(target_path)
+    else:
+        VersionedTable(rows.sparkSession, target_path, schema).append(rows, epoch, writer)
+
+
+def read_epochs(spark: SparkSession, target_path: str, schema: T.StructType) -> DataFrame:
+    """Committed rows of a table written in epochs."""
+    return VersionedTable(spark, target_path, schema).read()
+
+
 def strict_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The same check for typed rows: columns that the target lacks, values
     that do not convert, and missing required values."""
@@ -215,18 +231,27 @@ def drop_table(spark: SparkSession, name_or_path: str) -> bool:
     return True
 
 
-def insert(df: DataFrame, target_path: str, method: str = "batch", schema: T.StructType | None = None) -> None:
+def insert(df: DataFrame, target_path: str, method: str = "batch", schema: T.StructType | None = None,
+           epoch: int | None = None, writer: str = "insert") -> None:
     """SNK3: per-table insert method; ``batch`` = bulk append (default),
     ``stream`` = the strict all-or-nothing append: the rows are checked
-    against ``schema`` (default: the existing target's, or their own)."""
-    if method == "batch":
-        append_load(df, target_path)
-    elif method == "stream":
-        if schema is None:
-            try:
-                schema = df.sparkSession.read.parquet(target_path).schema
-            except AnalysisException:
-                schema = df.schema
-        strict_stream_batch(strict_rows(df, schema), target_path, schema)
-    else:
+    against ``schema`` (default: the existing target's, or their own).
+
+    With ``epoch``, a number that grows from call to call and is the same when
+    a call is retried, the target is a versioned table: a retry replaces the
+    rows of its own epoch, whichever step the first try reached, so both
+    methods can be retried safely.  Read it with :func:`read_epochs`."""
+    if method not in ("batch", "stream"):
         raise ValueError(f"unknown insert method {method!r}")
+    if method == "batch":
+        if epoch is None:
+            append_load(df, target_path)
+        else:
+            _append(df, target_path, df.schema, epoch, writer)
+        return
+    if schema is None:
+        try:
+            schema = df.schema if epoch is not None else df.sparkSession.read.parquet(target_path).schema
+        except AnalysisException:
+            schema = df.schema
+    strict_stream_batch(strict_rows(df, schema), target_path, schema, epoch, writer)

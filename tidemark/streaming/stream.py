@@ -20,6 +20,7 @@ from tidemark.functions.convert import quarantine_split, type_projection
 from tidemark.operators import control
 from tidemark.operators.sequence import latest_per_key
 from tidemark.plans.sync import BATCH_LOG_SCHEMA, SyncStore, _as_datetime, _phase_of, quarantine_audit, stamp_synced
+from tidemark.session import scratch_path
 from tidemark.sources import sinks
 
 
@@ -84,13 +85,17 @@ def strict_stream_append(spark: SparkSession, source_dir: str, schema: T.StructT
                          checkpoint: str, available_now: bool = True):
     """SNK2: NDJSON lines appended all-or-nothing per micro-batch: a row with
     an unknown key or a value of the wrong type fails the batch (and the
-    query) with the number of rejected rows; nothing of it is written."""
+    query) with the number of rejected rows; nothing of it is written.
+
+    The target is a versioned table: a micro-batch that runs again after a
+    failure replaces its own rows (read it with ``sinks.read_epochs``)."""
     raw = spark.readStream.format("text").load(source_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        stage = f"{target_path}-staging/epoch={epoch}"  # read the micro-batch once (check + write)
-        sinks.strict_parse(spark, batch, schema).write.mode("overwrite").parquet(stage)
-        sinks.strict_stream_batch(spark.read.parquet(stage), target_path, schema)
+        stage = scratch_path(spark, "strict")  # read the micro-batch once (check + write)
+        sinks.strict_parse(spark, batch, schema).write.parquet(stage)
+        sinks.strict_stream_batch(spark.read.parquet(stage), target_path, schema, epoch)
+        sinks.drop_table(spark, stage)
 
     return _start(raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint),
                   available_now, None)
