@@ -19,7 +19,8 @@ class TableSpec:
     """One synchronised table: its id, source, timestamp column, selected
     columns, target name, sharding, batch sizes (overrides by phase) and the
     partition grain of its target (``day``, or ``month`` for long low-rate
-    tables)."""
+    tables).  ``allowed_lateness`` (an interval, ``"2 hours"``) makes every cycle
+    look again at that much time behind each shard's cursor (S11)."""
 
     table_id: str
     source: str
@@ -30,6 +31,7 @@ class TableSpec:
     shard_method: str = "fingerprint"
     batch_sizes: dict = field(default_factory=dict)
     partition_grain: str = "day"
+    allowed_lateness: str | None = None
 
     def selected(self) -> list[str]:
         return normalize_columns(self.columns, self.ts_col)

@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +27,11 @@ from tidemark.functions.keys import HASH_COL, shard_of, with_record_id
 from tidemark.operators import control
 from tidemark.operators.batches import batch_ends, instant
 from tidemark.operators.filters import ts_lit
-from tidemark.operators.sequence import latest_per_key
 from tidemark.plans.specs import TableSpec, validate_specs
 from tidemark.session import fresh_path
 from tidemark.sources import sinks
+from tidemark.sources.files import Files
+from tidemark.sources.versioned import VersionedTable
 from tidemark.sources.tables import scan_columns
 
 log = logging.getLogger(__name__)
@@ -45,6 +46,25 @@ BATCH_LOG_SCHEMA = T.StructType([
 ])
 
 
+REJECT_SCHEMA = T.StructType([T.StructField("record_hash", T.StringType()), T.StructField("occurrences", T.LongType())])
+
+
+def _newest_checkpoints(rows: DataFrame) -> DataFrame:
+    return control.upsert_checkpoint(rows, rows.limit(0))
+
+
+def _reject_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("record_hash").agg(F.sum("occurrences").alias("occurrences"))
+
+
+#: kind of control log: schema, and how older cycles fold (None: every row is kept)
+CONTROL_LOGS = {
+    "checkpoints": (control.CHECKPOINT_SCHEMA, _newest_checkpoints),
+    "batches": (BATCH_LOG_SCHEMA, None),
+    "rejects": (REJECT_SCHEMA, _reject_totals),
+}
+
+
 @dataclass(frozen=True)
 class SyncStore:
     """Layout of targets and control tables below one shared root."""
@@ -60,18 +80,10 @@ class SyncStore:
         base = (self.target_root or f"{self.root}/target").rstrip("/")
         return f"{base}/{name}"
 
-    @property
-    def checkpoints(self) -> str:
-        return f"{self.root}/control/checkpoints"
-
     @property
     def audit(self) -> str:
         return f"{self.root}/control/audit"
 
-    @property
-    def batches(self) -> str:
-        return f"{self.root}/control/batches"
-
     def staging(self, table_id: str, node: int, seq: int) -> str:
         return f"{self.root}/staging/{quote(table_id, safe='')}/node={node}/seq={seq}"
 
@@ -84,28 +96,50 @@ class SyncStore:
     def read_log(self, spark: SparkSession, log_root: str, schema: T.StructType) -> DataFrame:
         return sinks.read_or_empty(spark, log_root, schema, folders=True)
 
+    def _log(self, spark: SparkSession, kind: str, table_id: str) -> VersionedTable:
+        schema, fold = CONTROL_LOGS[kind]
+        return VersionedTable(spark, f"{self.root}/control/{kind}/{quote(str(table_id), safe='')}", schema, fold)
+
+    def _all(self, spark: SparkSession, kind: str) -> DataFrame:
+        """A control log of all tables.  Every table has a log of its own, so
+        tables that are synchronised at a time never share a commit."""
+        schema, fold = CONTROL_LOGS[kind]
+        tables = [self._log(spark, kind, unquote(t)) for t in Files(spark).names(f"{self.root}/control/{kind}")]
+        paths = [f"{t.root}/data/{f}" for t in tables for f in t.folders()]
+        rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return fold(rows) if fold else rows
+
+    def checkpoint_log(self, spark: SparkSession, table_id: str) -> VersionedTable:
+        """Checkpoints of a table, one epoch per cycle; older cycles fold into the newest row per shard."""
+        return self._log(spark, "checkpoints", table_id)
+
+    def batch_log(self, spark: SparkSession, table_id: str) -> VersionedTable:
+        return self._log(spark, "batches", table_id)
+
+    def reject_log(self, spark: SparkSession, table_id: str) -> VersionedTable:
+        """Occurrences of each rejected record that cycles have reported (the
+        audit table has the rows; cycles read this state instead)."""
+        return self._log(spark, "rejects", table_id)
+
     def read_checkpoints(self, spark: SparkSession) -> DataFrame:
-        log_ = self.read_log(spark, self.checkpoints, control.CHECKPOINT_SCHEMA)
-        return control.upsert_checkpoint(log_, spark.createDataFrame([], control.CHECKPOINT_SCHEMA))
+        return self._all(spark, "checkpoints")
 
     def read_audit(self, spark: SparkSession) -> DataFrame:
         """Audit rows; ids are deterministic (table, whole record, occurrence), so a cycle or micro-batch that ran twice after a failure counts once."""
         return self.read_log(spark, self.audit, control.AUDIT_SCHEMA).dropDuplicates(["id"])
 
     def read_batches(self, spark: SparkSession) -> DataFrame:
-        """Batch log, one row per (table, shard, cycle) even after a re-run."""
-        log_ = self.read_log(spark, self.batches, BATCH_LOG_SCHEMA)
-        return latest_per_key(log_, ["table_id", "node_id", "batch_id"], "as_of", ["seconds"])
+        """Batch log, one row per (table, shard, cycle): a cycle that runs again replaces its rows."""
+        return self._all(spark, "batches")
 
     def read_target(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.target(name)).drop(sinks.DAY_COL, HASH_COL)
 
     def next_seq(self, spark: SparkSession, table_id: str | None = None) -> int:
-        """Next cycle number (of a table: other tables' cycles do not matter)."""
-        rows = self.read_log(spark, self.checkpoints, control.CHECKPOINT_SCHEMA)
-        if table_id is not None:
-            rows = rows.where(F.col("table_id") == table_id)
-        return int(rows.agg(F.max("seq")).first()[0] or 0) + 1
+        """Next cycle number (of a table: other tables' cycles do not matter); no Spark job."""
+        names = [table_id] if table_id is not None else [
+            unquote(t) for t in Files(spark).names(f"{self.root}/control/checkpoints")]
+        return max([self.checkpoint_log(spark, t).last_epoch("main") for t in names] + [0]) + 1
 
 
 def _rejected_hash(rejected: DataFrame):
@@ -145,14 +179,6 @@ def quarantine_audit(rejected: DataFrame, table_id: str, node_id: int, as_of, cy
         F.lit(None).cast("string").alias("check_results"), F.lit(None).cast("string").alias("message"))
 
 
-def _known_rejects(audit: DataFrame, table_id: str) -> DataFrame:
-    """Occurrences of each rejected record that the audit table has: (record_hash, occurrences)."""
-    mine = audit.where((F.col("table_id") == table_id) & (F.col("status") == "skipped"))
-    part = lambda i: F.regexp_extract("id", "-([0-9a-f]{64})-([0-9]+)$", i)
-    return mine.select(part(1).alias("record_hash"), part(2).cast("bigint").alias("k")).groupBy("record_hash").agg(
-        F.max("k").alias("occurrences"))
-
-
 def _unreported(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Rows beyond the occurrences that are reported already: equal rows are
     folded and counted, and only the surplus is given out again."""
@@ -206,6 +232,27 @@ def _case_by_node(values: dict, default=None, wrap=F.lit):
     return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
 
+def late_window(spec: TableSpec, src: DataFrame, cursors: Mapping, store: SyncStore, as_of, known: DataFrame) -> DataFrame:
+    """S11 inside the sync: rows that arrived behind their shard's cursor, by
+    at most ``spec.allowed_lateness``, and are not in the target yet.
+
+    The window is a constant range of time, pushed to the scan of the source;
+    the target is read in the partitions of that range only.  Records are
+    recognised by (timestamp, id, whole hash); those that cannot be converted by
+    the occurrences that were reported (``known``)."""
+    ts = F.col(spec.ts_col)
+    late = F.expr(f"INTERVAL {spec.allowed_lateness}")
+    lo, hi = F.lit(min(cursors.values())) - late, F.lit(max(cursors.values()))
+    behind = (ts <= _case_by_node(cursors)) & (ts > _case_by_node(cursors) - late)
+    tagged = quarantine_split(src.where((ts > lo) & (ts <= hi)).where(behind), spec.ts_col, "_conversion_error")
+    valid = tagged.where(F.col("reason").isNull())
+    stamped = stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id", "reason", "_conversion_error"], keep_hash=True)
+    there = sinks.stored_identities(stamped, store.target(spec.target), spec.ts_col, lo, hi, grain=spec.partition_grain)
+    new = stamped.join(there, there.columns, "left_anti").select(*valid.columns).select(*src.columns)
+    rejected = tagged.where(F.col("reason").isNotNull()).select(*src.columns)
+    return new.unionByName(_unreported(rejected, known))
+
+
 def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: SyncStore, as_of,
                batch_size: int | str | None = None, seq: int | None = None, target_schema: T.StructType | None = None,
                start=None) -> list[dict]:
@@ -215,7 +262,9 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     (S3), so the pull is ``ts > cursor(shard)``, cut per shard at the tie-safe
     batch end (O1) when ``batch_size`` is given (``"auto"``: each shard's
     size follows its phase, S5/S6).  A shard without a checkpoint starts at
-    ``start``; by default nothing bounds it.  Rows whose timestamp is missing
+    ``start``; by default nothing bounds it.  With ``spec.allowed_lateness``
+    the cycle also takes rows that arrived behind the cursors (S11), whatever
+    the batch size.  Rows whose timestamp is missing
     can never pass a cursor: every cycle looks for those that the audit table
     does not have yet, and shard 0 reports them.  Returns one counter dict per
     shard that pulled rows (empty when caught up); in each, pulled = written
@@ -223,7 +272,9 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     t0 = time.time()
     seq = seq if seq is not None else store.next_seq(spark, spec.table_id)
     spark.sparkContext.setJobDescription(f"sync {spec.table_id} cycle {seq}")
-    checkpoints = store.read_checkpoints(spark)
+    # the state before this cycle: a cycle that runs again starts where its first try did
+    checkpoint_log, reject_log = store.checkpoint_log(spark, spec.table_id), store.reject_log(spark, spec.table_id)
+    checkpoints = checkpoint_log.read("main", before=seq)
     curs = control.load_checkpoint(checkpoints, spec.table_id, spec.n_shards, spark, start).collect()
     cursor = {r["node_id"]: r["cursor"] for r in curs}
     restarted = {r["node_id"]: bool(r["restarted"]) for r in curs}
@@ -252,8 +303,10 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         # O1: each shard's batch end is counted, not gathered: no candidate row moves
         his = batch_ends(src.where(after).select("node_id", spec.ts_col), spec.ts_col, sizes, "node_id")
         after = (after & (ts <= _case_by_node(his, wrap=instant))) if his else F.lit(False)
-    known = _known_rejects(store.read_audit(spark), spec.table_id)
+    known = reject_log.read("main", before=seq)
     pulled = src.where(after).unionByName(_unreported(src.where(ts.isNull()), known))
+    if spec.allowed_lateness and bounded:
+        pulled = pulled.unionByName(late_window(spec, src, bounded, store, as_of, known))
     tagged = quarantine_split(pulled, spec.ts_col, "_conversion_error")
     stage_path = store.staging(spec.table_id, 0, seq)
     tagged.hint("rebalance").write.mode("overwrite").parquet(stage_path)
@@ -262,10 +315,11 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     stats = staged.groupBy("node_id").agg(
         F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"),
         F.min(valid_ts).alias("lo"), F.max(valid_ts).alias("hi"),
-        F.collect_set(sinks.partition_value(valid_ts, spec.partition_grain)).alias("days")).collect()  # per shard
+        F.min(sinks.partition_value(valid_ts, spec.partition_grain)).alias("first_day"),
+        F.max(sinks.partition_value(valid_ts, spec.partition_grain)).alias("last_day")).collect()  # per shard
     if not stats:
         return []
-    days = sorted({d for r in stats for d in r["days"]})
+    days = [d for r in stats for d in (r["first_day"], r["last_day"]) if d is not None]
     valid = staged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
     nodes = [r["node_id"] for r in stats]
     written = sinks.keyed_write(stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"], keep_hash=True),
@@ -273,10 +327,10 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
                                 days=days, count_by="node_id", count_values=nodes, grain=spec.partition_grain)
     if any(r["rejected"] for r in stats):
         rej = staged.where(F.col("reason").isNotNull())
-        no_ts, other = rej.where(ts.isNull()), rej.where(ts.isNotNull())
-        rows = quarantine_audit(no_ts.drop("node_id"), spec.table_id, 0, as_of, known=known).unionByName(
-            quarantine_audit(other.drop("node_id"), spec.table_id, 0, as_of))
-        rows.write.mode("overwrite").parquet(store.folder(store.audit, spec.table_id, seq))
+        quarantine_audit(rej.drop("node_id"), spec.table_id, 0, as_of, known=known) \
+            .write.mode("overwrite").parquet(store.folder(store.audit, spec.table_id, seq))
+        reject_log.append(rej.groupBy(_rejected_hash(rej).alias("record_hash")).agg(
+            F.count(F.lit(1)).alias("occurrences")), seq)
     seconds = time.time() - t0
     cp_rows, log_rows, out = [], [], []
     for r in stats:
@@ -294,11 +348,9 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
         out.append({"table_id": spec.table_id, "node_id": n, "pulled": r["pulled"], "written": written[n],
                     "duplicates": ingested - written[n], "rejected": r["rejected"], "seq": seq, "seconds": seconds,
                     "cursor": last})
-    spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-        store.folder(store.batches, spec.table_id, seq))
+    store.batch_log(spark, spec.table_id).append(spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA).coalesce(1), seq)
     # the cursor moves only after data and audit are committed
-    spark.createDataFrame(cp_rows, control.CHECKPOINT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-        store.folder(store.checkpoints, spec.table_id, seq))
+    checkpoint_log.append(spark.createDataFrame(cp_rows, control.CHECKPOINT_SCHEMA).coalesce(1), seq)
     sinks.drop_table(spark, stage_path)  # committed everywhere: the stage is not needed again
     return out
 

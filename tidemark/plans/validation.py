@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import with_record_id
-from tidemark.operators import monitor, reconcile
+from tidemark.operators import control, monitor, reconcile
 from tidemark.operators.filters import recent_filter
 from tidemark.plans.specs import TableSpec, specs_frame
-from tidemark.plans.sync import SyncStore
+from tidemark.plans.sync import SyncStore, _as_datetime
 
 log = logging.getLogger(__name__)
 CHECK_COLUMNS = ["table_id", "check", "status"]
@@ -70,14 +70,22 @@ def validation_run(spark: SparkSession, specs: Sequence[TableSpec], sources: Map
                    store: SyncStore, as_of, run_id: str, sample: int = 5,
                    write_audit: bool = True) -> tuple[DataFrame, DataFrame]:
     """V4: checks of all tables, their rollup, and one audit row appended to
-    the store.  Returns (checks, rollup)."""
-    checkpoints = store.read_checkpoints(spark)
-    parts = [table_checks(spark, s, sources[s.table_id], store, as_of, checkpoints, sample) for s in specs]
-    checks = parts[0]
-    for p in parts[1:]:
-        checks = checks.unionByName(p)
-    rollup = monitor.health_rollup(checks)
-    if write_audit:
-        monitor.validation_audit_row(checks, as_of, run_id).write.mode("overwrite").parquet(
-            store.folder(store.audit, "validation", run_id))
+    the store.  Returns (checks, rollup).  A run that itself fails leaves an
+    audit row too, with status ``error`` and the message, and raises."""
+    folder = store.folder(store.audit, "validation", run_id)
+    try:
+        checkpoints = store.read_checkpoints(spark)
+        parts = [table_checks(spark, s, sources[s.table_id], store, as_of, checkpoints, sample) for s in specs]
+        checks = parts[0]
+        for p in parts[1:]:
+            checks = checks.unionByName(p)
+        rollup = monitor.health_rollup(checks)
+        if write_audit:
+            monitor.validation_audit_row(checks, as_of, run_id).write.mode("overwrite").parquet(folder)
+    except Exception as exc:
+        if write_audit:
+            text = f"{type(exc).__name__}: {exc}"[:500]
+            row = (f"validation-{run_id}", _as_datetime(spark, as_of), None, None, "error", text, None, None, None, None, None, text)
+            spark.createDataFrame([row], control.AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(folder)
+        raise
     return checks, rollup

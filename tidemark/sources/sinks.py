@@ -204,6 +204,16 @@ def keyed_write(batch: DataFrame, target_path: str, ts_col: str, key: str = "id"
     return int(got["rows"])
 
 
+def stored_identities(stamped: DataFrame, target_path: str, ts_col: str, lo: Column, hi: Column, key: str = "id",
+                      day_col: str = DAY_COL, grain: str = "day") -> DataFrame:
+    """(timestamp, key, whole hash) of the target's records from ``lo`` to ``hi``
+    (constants): only the partitions of that range are read."""
+    identity = [ts_col, key, HASH_COL]
+    schema = T.StructType([*stamped.select(*identity).schema.fields, T.StructField(day_col, T.DateType())])
+    there = read_or_empty(stamped.sparkSession, target_path, schema)
+    return there.where(F.col(day_col).between(partition_value(lo, grain), partition_value(hi, grain))).select(*identity)
+
+
 def truncate_keep_schema(spark: SparkSession, target_path: str, schema: T.StructType,
                          partition_cols: Sequence[str] = ()) -> DataFrame:
     """SNK7: remove all rows, keep the schema (overwrite with an empty frame)."""

@@ -11,17 +11,19 @@ absorbs the repeat).
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import quarantine_split, type_projection
+from tidemark.functions.keys import shard_of
 from tidemark.operators import control
-from tidemark.operators.sequence import latest_per_key
 from tidemark.plans.sync import BATCH_LOG_SCHEMA, SyncStore, _as_datetime, _phase_of, quarantine_audit, stamp_synced
 from tidemark.session import scratch_path
 from tidemark.sources import sinks
+from tidemark.sources.versioned import VersionedTable
 
 
 def _start(writer, available_now: bool, interval: str | None):
@@ -33,47 +35,56 @@ def _start(writer, available_now: bool, interval: str | None):
 def stream_sync(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col: str, store: SyncStore,
                 target: str, table_id: str, as_of, checkpoint: str, max_files_per_trigger: int = 1,
                 available_now: bool = True, interval: str | None = None, fmt: str = "parquet",
-                target_schema: T.StructType | None = None):
+                target_schema: T.StructType | None = None, n_shards: int = 1, shard_method: str = "fingerprint"):
     """S1 in stream mode: each micro-batch is converted (with a target
     schema), quarantined, keyed, stamped and written idempotently; quarantined
-    rows go to the audit table, and every batch writes its batch log row and
-    checkpoint (shard 0), last, as the batch mode does."""
+    rows go to the audit table, and every batch writes its batch log rows and
+    checkpoints (one per shard that had rows), last, as the batch mode does.
+    A row that arrives late is in some micro-batch like any other: it is written."""
     src = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger) \
         .load(source_dir)
     as_of_ts = _as_datetime(spark, as_of)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         t0 = time.time()
+        seq = epoch + 1
         if target_schema is not None:
             batch = type_projection(batch, target_schema)
+        node = shard_of(F.col(ts_col), n_shards, shard_method) if n_shards > 1 else F.lit(0)
+        batch = batch.withColumn("node_id", F.coalesce(node, F.lit(0)).cast("int"))
         # the micro-batch is read from the source once: staged per epoch (a replay overwrites it)
         stage = store.staging(table_id, 0, epoch) + "-stream"
         quarantine_split(batch, ts_col, "_conversion_error").write.mode("overwrite").parquet(stage)
         tagged = spark.read.parquet(stage)
-        valid = tagged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
-        written = sinks.keyed_write(stamp_synced(valid, ts_col, as_of, keep_hash=True), store.target(target), ts_col)
         ok = F.when(F.col("reason").isNull(), F.col(ts_col))
-        r = tagged.agg(F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"), F.min(ok).alias("lo"),
-                       F.max(ok).alias("hi")).first()
-        if r["rejected"]:
-            quarantine_audit(tagged.where(F.col("reason").isNotNull()), table_id, 0, as_of, cycle=f"e{epoch}") \
+        stats = tagged.groupBy("node_id").agg(
+            F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"), F.min(ok).alias("lo"),
+            F.max(ok).alias("hi")).collect()  # one row per shard
+        valid = tagged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
+        written = sinks.keyed_write(stamp_synced(valid, ts_col, as_of, exclude=["node_id"], keep_hash=True),
+                                    store.target(target), ts_col, count_by="node_id",
+                                    count_values=[r["node_id"] for r in stats]) if stats else {}
+        if any(r["rejected"] for r in stats):
+            quarantine_audit(tagged.where(F.col("reason").isNotNull()).drop("node_id"), table_id, 0, as_of, cycle=f"e{epoch}") \
                 .write.mode("overwrite").parquet(store.folder(store.audit, table_id, f"e{epoch}"))
-        if r["pulled"]:
-            # an epoch that runs again must not count its own rows twice: totals come from earlier checkpoints
-            log_ = store.read_log(spark, store.checkpoints, control.CHECKPOINT_SCHEMA)
-            prev = log_.where((F.col("table_id") == table_id) & (F.col("seq") < epoch + 1)).orderBy(F.col("seq").desc()).first()
-            last = max([t for t in (r["hi"], prev and prev["last_timestamp"]) if t], default=None)
-            phase = _phase_of(last, as_of_ts)
-            ingested = r["pulled"] - r["rejected"]
-            row = (f"{table_id}_0", table_id, 0, last, (prev["records_ingested"] if prev else 0) + ingested,
-                   (prev["records_pulled"] if prev else 0) + r["pulled"], as_of_ts, phase,
-                   control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE), epoch + 1, 1)
-            log_row = (table_id, 0, epoch + 1, r["pulled"], written, r["rejected"], r["lo"], r["hi"], phase, as_of_ts,
-                       time.time() - t0)
-            spark.createDataFrame([log_row], BATCH_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-                store.folder(store.batches, table_id, f"e{epoch}"))
-            spark.createDataFrame([row], control.CHECKPOINT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-                store.folder(store.checkpoints, table_id, f"e{epoch}"))
+        if stats:
+            # an epoch that runs again must not count its own rows twice: totals come from earlier epochs
+            checkpoints = store.checkpoint_log(spark, table_id)
+            earlier = {r["node_id"]: r for r in checkpoints.read("main", before=seq).where(
+                F.col("n_shards") == n_shards).collect()}
+            cp_rows, log_rows = [], []
+            for r in stats:
+                n, prev = r["node_id"], earlier.get(r["node_id"])
+                last = max([t for t in (r["hi"], prev and prev["last_timestamp"]) if t], default=None)
+                phase = _phase_of(last, as_of_ts)
+                ingested = r["pulled"] - r["rejected"]
+                cp_rows.append((f"{table_id}_{n}", table_id, n, last, (prev["records_ingested"] if prev else 0) + ingested,
+                                (prev["records_pulled"] if prev else 0) + r["pulled"], as_of_ts, phase,
+                                control.BATCH_SIZE.get(phase, control.OTHER_BATCH_SIZE), seq, n_shards))
+                log_rows.append((table_id, n, seq, r["pulled"], written[n], r["rejected"], r["lo"], r["hi"], phase,
+                                 as_of_ts, time.time() - t0))
+            store.batch_log(spark, table_id).append(spark.createDataFrame(log_rows, BATCH_LOG_SCHEMA).coalesce(1), seq)
+            checkpoints.append(spark.createDataFrame(cp_rows, control.CHECKPOINT_SCHEMA).coalesce(1), seq)
         sinks.drop_table(spark, stage)
 
     q = _start(src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint),
@@ -109,31 +120,55 @@ def rate_by_interval(df: DataFrame, ts_col: str, interval: str = "1 hour", key:
                       *([key] if key else []), "events")
 
 
+RATE_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
+                            T.StructField("events", T.LongType())])
+
+
+def _rate_log(spark: SparkSession, out_path: str) -> VersionedTable:
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window_start", "window_end").agg(F.sum("events").alias("events"))
+
+    return VersionedTable(spark, out_path, RATE_SCHEMA, fold)
+
+
 def rate_by_interval_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col: str,
                             out_path: str, checkpoint: str, interval: str = "1 hour",
-                            watermark: str = "40 days", available_now: bool = True):
-    """S12 (stream): tumbling-window counts with a watermark in update mode;
-    every micro-batch appends the updated windows with its epoch, and the
-    current count of a window is its newest version (see :func:`rate_table`).
-    The watermark bounds the state; size it to the real disorder of the
-    input (file order is not event order)."""
-    src = spark.readStream.schema(schema).format("parquet").option("maxFilesPerTrigger", 1).load(source_dir)
-    agg = src.where(F.col(ts_col).isNotNull()).withWatermark(ts_col, watermark) \
-        .groupBy(F.window(F.col(ts_col), interval).alias("w")).agg(F.count(F.lit(1)).alias("events"))
+                            watermark: str = "40 days", available_now: bool = True, max_files_per_trigger: int = 1):
+    """S12 (stream): rows per tumbling interval, of every row however late.
 
-    def per_batch(batch: DataFrame, epoch: int) -> None:
-        batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events",
-                     F.lit(epoch).cast("bigint").alias("epoch")).write.mode("append").parquet(out_path)
+    A windowed aggregate drops what lies behind its watermark.  Here each
+    micro-batch commits its own counts per window as an epoch (a replay
+    replaces them), and a window's count is their sum (:func:`rate_table`):
+    there is no state to bound.  The watermark, the newest time of earlier
+    micro-batches less the delay, only tells late rows: they count, and a side
+    output holds them (:func:`late_table`)."""
+    src = spark.readStream.schema(schema).format("parquet").option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)
 
-    return _start(agg.writeStream.outputMode("update").foreachBatch(per_batch)
-                  .option("checkpointLocation", checkpoint), available_now, None)
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        log_ = _rate_log(spark, out_path)
+        rows = batch.where(F.col(ts_col).isNotNull())
+        newest = Observation(f"newest_{uuid.uuid4().hex[:8]}")
+        seen = rows.observe(newest, F.max(F.unix_micros(ts_col)).alias("high"), F.count(F.lit(1)).alias("rows"))
+        folder = log_.stage(rate_by_interval(seen, ts_col, interval), epoch)
+        high = log_.notes("main", before=epoch).get("high")
+        if high is not None:
+            edge = F.timestamp_micros(F.lit(high)) - F.expr(f"INTERVAL {watermark}")
+            VersionedTable(spark, f"{out_path}-late", schema).append(rows.where(F.col(ts_col) < edge), epoch)
+        # the counts commit last: an epoch that broke off before is delivered again, to both outputs
+        got = newest.get
+        log_.commit(folder, epoch, notes={"high": got["high"]} if got["rows"] else {})
+
+    return _start(src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint), available_now, None)
 
 
 def rate_table(spark: SparkSession, out_path: str) -> DataFrame:
-    """Current count per window from the versions written by the stream."""
-    v = spark.read.parquet(out_path)
-    return latest_per_key(v, ["window_start"], "epoch", [], ["window_end", "events"]) \
-        .select("window_start", "window_end", "events")
+    """Current count per window: the sum over the stream's epochs."""
+    return _rate_log(spark, out_path).read()
+
+
+def late_table(spark: SparkSession, out_path: str, schema: T.StructType) -> DataFrame:
+    """S11 (stream): rows that were behind the watermark when they arrived."""
+    return VersionedTable(spark, f"{out_path}-late", schema).read()
 
 
 def progress_frame(spark: SparkSession, query) -> DataFrame:
@@ -147,5 +182,5 @@ def progress_frame(spark: SparkSession, query) -> DataFrame:
                                        "processed_rows_per_sec double, rows_dropped_by_watermark long")
 
 
-__all__ = ["stream_sync", "strict_stream_append", "rate_by_interval", "rate_by_interval_stream", "rate_table",
+__all__ = ["stream_sync", "strict_stream_append", "rate_by_interval", "rate_by_interval_stream", "rate_table", "late_table",
            "progress_frame"]
