@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_utc, fresh_path
+from tidemark.session import ensure_utc, scratch_path
 
 ARROW_ROWS = 256  # rows per Arrow batch: bounds a Python worker's memory when texts are long
 
@@ -42,8 +42,9 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: the
     lineage is cut, every later reader sees the same rows, and a lost
-    executor costs no more than a re-read."""
-    path = fresh_path(df.sparkSession, name)
+    executor costs no more than a re-read.  The folder goes when the
+    application ends."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
+from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, prefix_trie, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
 from tidemark.llm.common import table
 from tidemark.session import fresh_path
 
@@ -105,3 +105,34 @@ def op1_winnowing(spark: SparkSession, d: str) -> DataFrame:
 @_register("op9_wrapper_text")
 def op9_wrapper_text(spark: SparkSession, d: str) -> DataFrame:
     return wrappers.extract_main_text(table(spark, d, "pages"))
+
+
+#: unsigned crc32 of the decimal conv_id (DuckDB has no such function)
+_SQL_CRC32 = """xor(list_reduce(list_transform(split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, byte:
+    list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[], lambda a, bit: xor(a >> 1, (a & 1) * 3988292384), xor(crc, byte)),
+    4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+@_register("op12_prefix_trie", f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+         c AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST,
+                      sha256(octet_length(encode(r)) || ':' || r || x)) AS own FROM t GROUP BY conv_id),
+         h AS (SELECT *, ({_SQL_CRC32}) % 6 AS h FROM c),
+         s AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h + 1:]) AS seq
+               FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 100),
+         m AS (SELECT conv_id, unnest(range(0, len(seq) + 1)) AS depth, seq FROM s),
+         p AS (SELECT conv_id, depth, seq[1:depth] AS path, depth = len(seq) AS ending FROM m),
+         n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                      coalesce(string_agg(CASE WHEN ending THEN conv_id END, ',' ORDER BY conv_id), '') AS ends FROM p GROUP BY path, depth),
+         k AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+         v AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+                      CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.path[n.depth].x) END AS saved
+               FROM n LEFT JOIN k ON k.path = n.path AND k.depth = n.depth),
+         u AS (SELECT path[1:d] AS path, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+               FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM v) GROUP BY ALL)
+    SELECT v.conv_id, v.depth, q.conv_id AS parent_conv_id, v.n_convs, v.n_children, u.n_leaves,
+           u.saved_tokens::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+    FROM v JOIN u ON u.path = v.path AND u.depth = v.depth
+    LEFT JOIN v q ON q.depth = v.depth - 1 AND q.path = v.path[1:v.depth - 1]""")
+def op12_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, d, "conversations"))
