@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_template, harmonic, importance, kd_shards, multimatch, prefix_trie, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
+from tidemark.llm import chat_template, hard_negatives, harmonic, importance, kd_shards, multimatch, prefix_trie, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
 from tidemark.llm.common import table
 from tidemark.session import fresh_path
 
@@ -136,3 +136,22 @@ _SQL_CRC32 = """xor(list_reduce(list_transform(split(conv_id::VARCHAR, ''), lamb
     LEFT JOIN v q ON q.depth = v.depth - 1 AND q.path = v.path[1:v.depth - 1]""")
 def op12_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, d, "conversations"))
+
+
+@_register("op13_hard_negatives", """
+    WITH r AS (SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT a.uid, a.vec_id AS anchor_id, a.label AS own, b.uid AS other, b.vec_id, b.label,
+                      list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+               FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.uid <> b.uid AND len(a.v) = len(b.v)),
+         p AS (SELECT uid, anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+               QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) <= 5),
+         q AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                      row_number() OVER (PARTITION BY p.uid, positive_id, positive_score ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+               FROM p JOIN s ON s.uid = p.uid AND s.label <> s.own
+                AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM q WHERE rank <= 5""")
+def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, d, "embeddings"))
