@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_template, hard_negatives, harmonic, importance, kd_shards, multimatch, prefix_trie, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
+from tidemark.llm import chat_template, chosen_path, hard_negatives, harmonic, importance, kd_shards, multimatch, prefix_trie, spm_backtrack, trie_dedup, warc_zip, winnow, wrappers
 from tidemark.llm.common import table
 from tidemark.session import fresh_path
 
@@ -138,6 +138,11 @@ def op12_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, d, "conversations"))
 
 
+@_register("op11_chosen_path")
+def op11_chosen_path(spark: SparkSession, d: str) -> DataFrame:
+    return chosen_path.near_components(table(spark, d, "documents"))
+
+
 @_register("op13_hard_negatives", """
     WITH r AS (SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                       list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
