@@ -95,6 +95,16 @@ def test_odd_rows(spark):
     assert got(cp.near_components(lonely)) == [(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (None, 1, None, True)]
 
 
+def test_intersections_by_pair_and_for_all():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(70)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    x, y = np.nonzero(np.triu(np.ones((70, 70), bool), 1))
+    assert (cp._common_of_pairs(sets, x, y) == want[x, y]).all() and (cp._common_of_pairs(sets, x[:9], y[:9]) == want[x[:9], y[:9]]).all()
+    both = cp._common_of_all(sets, 32)
+    assert (both[x, y] == want[x, y]).all()
+
+
 def test_recall_of_trees_and_sketch():
     """Pairs at the threshold: each level of a tree keeps them with 0.96, all trees and the sketch with almost 1."""
     rng, kept, passed, n = np.random.default_rng(1), 0, 0, 1500

@@ -6,10 +6,9 @@ sets link when 100 * |intersection| >= 80 * |union|.
 Trees.  In each of ``TREES`` independent trees a document starts at the root and
 branches: at every level it picks ``BRANCH`` tokens, the minima of its set under
 hash functions of that tree, level and branch, and goes on to the child that each
-of them names.  Two sets of similarity J pick the same token with probability J.
+of them names, up to ``LEVELS`` levels.  Two sets of similarity J pick the same token with probability J.
 A node with at most ``LIMIT`` members is small: its members are compared
-exhaustively.  Larger ones branch again, up to ``LEVELS`` levels; what is still
-large then is split into pairs of chunks, which lose no pair.
+exhaustively.
 
 Recall.  Of a pair with J = 0.8 a level fails with probability 0.2**2 = 0.04, so
 that a tree keeps it to depth d with 0.96**d, and all six trees miss it with
@@ -20,15 +19,16 @@ J = 0.8 misses with probability 2e-7.
 
 Work per group of copies.  Documents with equal sets are one class.
 
-1. In each small node every class names its most similar partner; the best
-   one over all nodes is verified on the full sets.  In a node that stays large
-   every class is verified against the node's first class.  Both are linear in the
-   members, and what links is connected.
-2. Nodes in which candidates are still in different components are compared
-   again, with the full sets of those candidates: every pair of classes in
-   different components that passes the sketch is verified.  So a group of near
-   copies costs a few verifications per member, and pairs that do not link cost
-   theirs only inside small nodes.
+1. In each node of the first level (in chunks, if it is large) every class names
+   its most similar partner; the best one over all nodes is verified on the full
+   sets.  That is linear in the members, and what links is connected.
+2. Only pairs between different components are left.  A large node whose members
+   are one component but for at most ``OTHERS * LIMIT`` others is compared in chunks, with
+   the others in every chunk: linear again, and no pair is lost, so a group of
+   near copies of any size needs no deeper levels.  Other large nodes branch; one
+   that is large after ``LEVELS`` levels is split into pairs of chunks.
+3. In all these nodes the candidates in different components are found by their
+   sketches, and every such pair is verified on the full sets.
 
 Full sets come from whole texts.  Equal 64-bit hashes are taken as equal.
 
@@ -42,15 +42,17 @@ no rows; columns of other names are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shuffle_parts, small_batches, staged
-from tidemark.llm.multimatch import _HASHES, _mix, components
+from tidemark.llm.common import counter_slices, shuffle_parts, small_batches, staged
+from tidemark.llm.multimatch import FILTER_BITS, _HASHES, _id_cells, _mark, _mix, components
 
 WORDS_PER_SHINGLE = 2
 MIN_PERCENT = 80
@@ -58,6 +60,7 @@ TREES, LEVELS, BRANCH = 6, 6, 2
 MINS = 128
 LEAST_EQUAL = 80
 LIMIT = 1024
+OTHERS = 2  # x LIMIT: members outside a large node's main component that still join each of its chunks
 VERIFY_BLOCK = 4096  # partners of one class in a task
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(911)
@@ -163,20 +166,49 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
     return rows.mapInArrow(run, _NODE).distinct() if level else rows.mapInArrow(run, _NODE)
 
 
-def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(small, large): members (key, cls) of the nodes with two to ``LIMIT`` of
-    them, and of those that are larger at the last level."""
-    small, rows = None, _branch(classes.select("cls", "mins"), 0)
+def _sized(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of the nodes with two members or more, with the node's size."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return staged(rows.join(sizes, "key"), name)
+
+
+def _chunk(size, of):
+    """A member's chunk (of about LIMIT members) of a node, and the number of chunks."""
+    count = F.greatest(F.ceil(size / F.lit(LIMIT)).cast("int"), F.lit(1))
+    return F.pmod(F.xxhash64(F.lit("chunk"), of), count).cast("int"), count
+
+
+def _chunked(large: DataFrame) -> DataFrame:
+    return large.select(F.xxhash64("key", F.lit("part"), _chunk(F.col("size"), F.col("cls"))[0]).alias("key"), "cls")
+
+
+def _deeper(large: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, cls, label): small nodes that hold every pair between different
+    components of large first-level nodes (tree, key, cls): see steps 2 and 3."""
+    out, rows = [], large.select("tree", "key", "cls")
     for level in range(LEVELS):
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sized = staged(rows.join(sizes, "key"), f"paths-{level}")
-        done = sized.where(F.col("size") <= LIMIT).select("key", "cls")
-        small = done if small is None else small.unionAll(done)
-        large = sized.where(F.col("size") > LIMIT).select("tree", "key", "cls", "size")
-        if level == LEVELS - 1 or large.isEmpty():
-            return small, large.select("key", "cls", "size")
-        rows = _branch(large.drop("size").join(classes.select("cls", "mins"), "cls"), level + 1)
-    raise AssertionError
+        tagged = rows.join(label, "cls")
+        counts = tagged.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+        main = counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("size"))
+        main = main.where("size > m.c").select("key", "size", F.col("m.c").alias("most"), F.col("m.label").alias("main"))
+        tagged = staged(tagged.join(main, "key"), f"large-{level}")
+        near = tagged.where(F.col("size") - F.col("most") <= OTHERS * LIMIT)
+        mine, count = _chunk(F.col("most"), F.col("cls"))
+        every = F.sequence(F.lit(0), count - 1)
+        near = near.withColumn("chunk", F.explode(F.when(F.col("label") == F.col("main"), F.array(mine)).otherwise(every)))
+        out.append(near.select(F.xxhash64("key", F.lit("star"), "chunk").alias("key"), "cls", "label"))
+        far = tagged.where(F.col("size") - F.col("most") > OTHERS * LIMIT)
+        if far.isEmpty():
+            break
+        if level == LEVELS - 1:
+            out.append(_split(far.select("key", "cls", "size")).join(label, "cls").select("key", "cls", "label"))
+            break
+        sized = _sized(_branch(far.select("tree", "key", "cls").join(classes.select("cls", "mins"), "cls"), level + 1), f"paths-{level + 1}")
+        out.append(sized.where(F.col("size") <= LIMIT).join(label, "cls").select("key", "cls", "label"))
+        rows = sized.where(F.col("size") > LIMIT).select("tree", "key", "cls")
+        if rows.isEmpty():
+            break
+    return reduce(DataFrame.unionAll, out)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, dict]]:
@@ -199,13 +231,14 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield now, held
 
 
-def _alike(sketches: np.ndarray, sizes: np.ndarray, rows: slice) -> np.ndarray:
-    """Equal sketch bytes of some members with all members; 0 where the sizes allow no link."""
+def _alike(sketches: np.ndarray, sizes: np.ndarray, label: np.ndarray, rows: slice) -> np.ndarray:
+    """Equal sketch bytes of some members with all members; 0 where the sizes
+    allow no link, and between members that are connected."""
     some = sketches[rows]
     equal = np.zeros((len(some), len(sketches)), np.int16)
     for j in range(MINS):
         equal += some[:, j][:, None] == sketches[:, j][None, :]
-    equal[~fits(sizes[rows][:, None], sizes[None, :])] = 0
+    equal[~fits(sizes[rows][:, None], sizes[None, :]) | (label[rows][:, None] == label[None, :])] = 0
     return equal
 
 
@@ -213,7 +246,8 @@ _PARTNER = "key long, cls long, other long, equal int"
 
 
 def _partners(members: DataFrame) -> DataFrame:
-    """In each small node: the classes that have a candidate there, each with its most similar one."""
+    """In each small node (key, cls, n, label, sketch): the classes that have a
+    candidate with another label there, each with its most similar one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
 
@@ -222,18 +256,16 @@ def _partners(members: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
                                               names=["key", "cls", "other", "equal"])
 
-        for key, g in _grouped(batches, ["cls", "n", "sketch"]):
+        for key, g in _grouped(batches, ["cls", "n", "label", "sketch"]):
             if len(g["cls"]) < 2:
                 continue
             order = np.argsort(g["cls"], kind="stable")  # ties: the smallest class
             cls, sizes = np.array(g["cls"], np.int64)[order], np.array(g["n"], np.int64)[order]
-            sketches = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS)[order]
+            sketches, label = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS)[order], np.array(g["label"], np.int64)[order]
             for i in range(0, len(cls), 128):
-                equal = _alike(sketches, sizes, slice(i, i + 128))
-                at = np.arange(len(equal))
-                equal[at, at + i] = 0
+                equal = _alike(sketches, sizes, label, slice(i, i + 128))
                 best = equal.argmax(1)
-                top = equal[at, best]
+                top = equal[np.arange(len(equal)), best]
                 for k in np.flatnonzero(top >= LEAST_EQUAL):
                     out.append((key, int(cls[i + k]), int(cls[best[k]]), int(top[k])))
             if len(out) >= 8192:
@@ -258,7 +290,17 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             keep = pa.array([x is not None for x in out])
             yield pa.RecordBatch.from_arrays([b.column("cls").filter(keep), pa.array(out, pa.binary()).filter(keep)], names=["cls", "s"])
 
-    found = docs.join(wanted.select(F.col("rep").alias("doc_id"), "cls"), "doc_id").select("cls", "text")
+    wanted = staged(wanted.select(F.col("rep").alias("doc_id"), "cls"), "wanted")
+    bits = np.packbits(counter_slices(wanted, ["doc_id"], _mark, 1 << FILTER_BITS) > 0)
+    bits = docs.sparkSession.sparkContext.broadcast(bits)  # 2**FILTER_BITS bits: few other texts enter the join
+
+    @F.pandas_udf("boolean")
+    def maybe(ids: pd.Series) -> pd.Series:
+        at = _id_cells(ids.fillna(0).to_numpy())
+        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    near = docs.where(F.col("doc_id").isNotNull() & maybe("doc_id"))
+    found = near.join(wanted, "doc_id").select("cls", "text")
     return staged(found.mapInArrow(run, "cls long, s binary").dropDuplicates(["cls"]), "full-sets")
 
 
@@ -292,31 +334,67 @@ def _rest(members: DataFrame) -> DataFrame:
     """Links between the components of each node, exhaustively: (key, cls, n, label, sketch, s)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, g in _grouped(batches, ["cls", "n", "label", "sketch", "s"]):
-            root = {}
-
-            def find(x):
-                while root.get(x, x) != x:
-                    x = root[x]
-                return x
-
-            out, sizes, label = [], np.array(g["n"], np.int64), np.array(g["label"], np.int64)
+            sizes, label = np.array(g["n"], np.int64), np.array(g["label"], np.int64)
             sketches = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS)
-            for i in range(0, len(sizes), 128):
-                equal = _alike(sketches, sizes, slice(i, i + 128))
-                for x, y in zip(*np.nonzero((equal >= LEAST_EQUAL) & (label[i: i + 128, None] != label[None, :]))):
-                    x = x + i
-                    if x < y and (a := find(label[x])) != (b := find(label[y])) and links(
-                            np.frombuffer(g["s"][x], np.uint64), np.frombuffer(g["s"][y], np.uint64)):
-                        root[a] = b
-                        out.append(sorted((g["cls"][x], g["cls"][y])))
-            if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            m = len(sizes)
+            candidate = np.zeros((m, m), bool)
+            for i in range(0, m, 128):
+                candidate[i: i + 128] = _alike(sketches, sizes, label, slice(i, i + 128)) >= LEAST_EQUAL
+            x, y = np.nonzero(np.triu(candidate))
+            sets = [np.frombuffer(s, np.uint64) for s in g["s"]]
+            # two ways to the same counts: by pair, or for all pairs at once where most of them are candidates
+            common = _common_of_all(sets)[x, y] if len(x) > 8 * m else _common_of_pairs(sets, x, y)
+            linked = 100 * common >= MIN_PERCENT * (sizes[x] + sizes[y] - common)
+            x, y = x[linked], y[linked]
+            # one link for each two components
+            names, at = np.unique(label, return_inverse=True)
+            ends = np.stack([np.minimum(at[x], at[y]), np.maximum(at[x], at[y])], 1)
+            _, one = np.unique(ends, axis=0, return_index=True)
+            if len(one):
+                cls = np.array(g["cls"], np.int64)
+                a, b = cls[x[one]], cls[y[one]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     parts = shuffle_parts(members.sparkSession)
     return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def _common_of_pairs(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets x[i] and y[i], pairs in order of x."""
+    out = np.zeros(len(x), np.int64)
+    for i in np.unique(x).tolist():
+        mine = np.flatnonzero(x == i) if len(x) < 64 else np.arange(*np.searchsorted(x, [i, i + 1]))
+        for k in range(0, len(mine), 256):
+            part = mine[k: k + 256]
+            others = [sets[j] for j in y[part]]
+            flat, starts = np.concatenate(others), np.concatenate(([0], np.cumsum([len(o) for o in others])[:-1]))
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            out[part] = np.add.reduceat((sets[i][at] == flat).astype(np.int64), starts)
+    return out
+
+
+def _common_of_all(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of all pairs: products of 0/1 matrices of
+    members and shared tokens, ``width`` tokens at a time (exact in float32:
+    counts stay below 2**24)."""
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    tokens, at, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    place = np.full(len(tokens), -1)
+    place[shared] = np.arange(len(shared))
+    at = place[at]
+    owner, at = owner[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for i in range(0, len(shared), width):
+        lo, hi = np.searchsorted(at, [i, i + width])
+        x = np.zeros((len(sets), width), np.float32)
+        x[owner[lo:hi], at[lo:hi] - i] = 1
+        out += np.rint(x @ x.T).astype(np.int64)
+    return out
+
+
 def _split(rows: DataFrame) -> DataFrame:
     """A large node (key, cls, size) as pairs of chunks: two members meet in one of the new nodes."""
     chunks = F.ceil(F.col("size") * 2 / F.lit(LIMIT)).cast("int")
@@ -325,9 +403,8 @@ def _split(rows: DataFrame) -> DataFrame:
     return r.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "cls")
 
 
-def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
-    """Members, with labels, of the nodes that hold more than one component."""
-    tagged = members.join(label, "cls")
+def _mixed(tagged: DataFrame) -> DataFrame:
+    """Members (key, cls, label) of the nodes that hold more than one component."""
     apart = tagged.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     return tagged.join(apart, "key")
 
@@ -348,28 +425,31 @@ def near_components(docs: DataFrame) -> DataFrame:
         return mins.map(lambda m: np.frombuffer(m, np.uint32).astype(np.uint8).tobytes())
 
     sketches = staged(classes.select("cls", "n", sketch("mins").alias("sketch")), "sketches")
-    small, large = _nodes(classes)
+    paths = _sized(_branch(classes.select("cls", "mins"), 0), "paths-0")
+    small, large = paths.where(F.col("size") <= LIMIT).select("key", "cls"), paths.where(F.col("size") > LIMIT)
 
-    # 1. best partners in small nodes, the first class in large ones
-    partners = staged(_partners(small.join(sketches, "cls")), "partners")
+    # 1. every class and its best partner
+    first = small.unionAll(_chunked(large)).join(sketches, "cls").withColumn("label", F.col("cls"))
+    partners = staged(_partners(first), "partners")
     best = partners.groupBy("cls").agg(F.max(F.struct("equal", (-F.col("other")).alias("o"))).alias("b"))
-    first = large.groupBy("key").agg(F.min("cls").alias("other"))
-    pivots = large.join(first, "key").where("cls != other").select("cls", "other")
-    pairs = best.select("cls", (-F.col("b.o")).alias("other")).unionAll(pivots)
+    pairs = best.select("cls", (-F.col("b.o")).alias("other"))
     pairs = staged(pairs.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct(), "best")
-    wanted = partners.select("cls").unionAll(large.select("cls")).distinct()
-    sets = _full_sets(docs, reps.join(wanted, "cls"))
+    paired = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
+    sets = _full_sets(docs, reps.join(paired, "cls"))
     found = staged(_verified(pairs, sets), "best-links")
 
-    # 2. what the first links leave in different components
+    # 2., 3. what the first links leave in different components
     label = lambda edges: reps.select("cls").join(components(edges), F.col("cls") == F.col("node"), "left").select(
         "cls", F.coalesce("root", "cls").alias("label"))
     now = staged(label(found), "labels")
-    open_ = _mixed(partners.select("key", "cls"), now)
+    open_ = partners.select("key", "cls").join(now, "cls").select("key", "cls", "label")
     if not large.isEmpty():
-        heavy = staged(_mixed(large, now).drop("label"), "heavy")
-        open_ = open_.unionByName(_mixed(_split(heavy), now).select(open_.columns))
-    ready = open_.join(sketches, "cls").join(sets, "cls")
+        open_ = open_.unionAll(_deeper(large, classes, now))
+    open_ = _mixed(staged(open_, "open"))
+    cross = staged(_partners(open_.join(sketches, "cls")).select("key", "cls"), "cross")
+    more = cross.select("cls").distinct().join(paired, "cls", "left_anti")
+    sets = sets.unionAll(_full_sets(docs, reps.join(more, "cls")))
+    ready = cross.join(now, "cls").join(sketches, "cls").join(sets, "cls")
     found = found.unionAll(staged(_rest(ready), "rest-links"))
 
     same_id = known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("doc_id", "a")
