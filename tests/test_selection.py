@@ -49,3 +49,22 @@ def test_no_top_k_or_single_task_in_the_plan(spark, tmp_path):
     assert batch.count() == 1002  # the tie group at the end stays whole
     ends = batch_ends(df.withColumn("n", F.col("id") % 2), "ts", {0: 10, 1: 10**9}, "n")
     assert ends[0] == (1_704_067_200 + 18 // 3) * 1_000_000 and ends[1] == (1_704_067_200 + 49_999 // 3) * 1_000_000
+
+
+def test_hash_random_samples_find_differences_anywhere(spark):
+    """V3: both samples end at one hash, so they show exactly the sampled part of a full reconcile."""
+    from tidemark.operators import reconcile
+
+    at = lambda df: df.select(F.col("id"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id")).alias("ts"))
+    source = at(spark.range(4000).where("id % 10 != 3"))  # phantoms everywhere, not among the newest only
+    target = at(spark.range(4000).where("id % 10 != 7"))  # and missing ones
+    s, t = reconcile.hash_samples(source, target, "ts", 500)
+    assert abs(s.count() - 500) < 60 and s.count() + t.count() in (1000, 1001)  # both copies of the record at the bound are in
+    got = {(r["id"], r["issue"]) for r in reconcile.sampled_differences(source, target, "ts", 500).collect()}
+    ids = {r["id"] for r in s.collect()} | {r["id"] for r in t.collect()}
+    assert got == {(i, "phantom_record" if i % 10 == 3 else "missing_record") for i in ids if i % 10 in (3, 7)}
+    assert min(i for i, _ in got) < 400 and len(got) > 60
+    assert reconcile.sampled_differences(source, source, "ts", 10**6).count() == 0  # a sample of everything, no difference
+    assert reconcile.sampled_differences(source.limit(0), target.limit(0), "ts", 5).count() == 0
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "TakeOrdered" not in plan and "Exchange" not in plan

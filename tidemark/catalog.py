@@ -459,6 +459,12 @@ def spot_check(spark, d):
     return monitor.spot_check("events", ph, mi, t_sample, s_sample)
 
 
+@query
+def sampled_differences(spark, d):
+    """V3, hash-random: both sides' records up to one hash, wherever in time they lie."""
+    return reconcile.sampled_differences(with_record_id(_events(spark, d), "ts"), _target(spark, d), "ts", 2000)
+
+
 @query
 def count_drift(spark, d):
     return reconcile.count_drift(_events(spark, d), _target(spark, d), "ts", 3, ok_below=30, alert_above=40)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import shard_of
 from tidemark.operators.filters import recent_filter, shard_predicate, ts_lit
+from tidemark.operators.selection import kth_smallest
 
 
 def newest_sample(df: DataFrame, ts_col: str, n: int | None, key: str = "id") -> DataFrame:
@@ -21,6 +22,39 @@ def newest_sample(df: DataFrame, ts_col: str, n: int | None, key: str = "id") ->
     return df.orderBy(F.col(ts_col).desc(), F.col(key).desc()).limit(n)
 
 
+def hash_rank(key: str = "id", seed: int = 0):
+    """Pseudo-random order of records, the same in every copy of them: 60 bits of a SHA-256."""
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256)
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def hash_samples(source_keys: DataFrame, target: DataFrame, ts_col: str, n: int, key: str = "id",
+                 seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """V3, hash-random: the records of both sides among the ``n`` smallest hashes
+    of the two together.  Both samples end at the same hash, so a record of one
+    side is in the sample exactly if its copy on the other side would be: what
+    one sample lacks, its table lacks, wherever in time it lies.
+
+    The bound is found by counting (bottom-k as a partial aggregate, see
+    ``selection``): neither table is sorted or moved, and ids that occur on both
+    sides or repeatedly count once per row."""
+    rank = hash_rank(key, seed)
+    s, t = source_keys.where(F.col(key).isNotNull()), target.where(F.col(key).isNotNull())
+    both = s.select(rank.alias("_r")).unionAll(t.select(rank.alias("_r")))
+    bound = kth_smallest(both, F.col("_r"), 2 * n).get(0)
+    inside = rank <= F.lit(bound) if bound is not None else F.lit(False)
+    return s.where(inside).select(key, ts_col), t.where(inside).select(key, ts_col)
+
+
+def sampled_differences(source_keys: DataFrame, target: DataFrame, ts_col: str, n: int, key: str = "id",
+                        seed: int = 0) -> DataFrame:
+    """Phantom and missing records within the hash-random samples of both sides
+    (about ``n`` records of each), one row per id."""
+    s, t = hash_samples(source_keys, target, ts_col, n, key, seed)
+    found = full_reconcile(s, t, ts_col, key).where(F.col("status") != "ok")
+    return found.select(key, ts_col, F.col("status").alias("issue"))
+
+
 def phantom_records(target: DataFrame, source_keys: DataFrame, ts_col: str, sample: int | None = None,
                     key: str = "id") -> DataFrame:
     """Target rows (the ``sample`` newest, or all) without a source

@@ -464,6 +464,13 @@ spot AS (
          ph AS phantom_records, mi AS missing_records
   FROM (SELECT (SELECT count(*) FROM ts5 WHERE id NOT IN (SELECT id FROM source)) AS ph,
                (SELECT count(*) FROM ss WHERE id NOT IN (SELECT id FROM target)) AS mi))"""
+register("sampled_differences", with_(FEED, TARGET, SOURCE) + """,
+ranked AS (
+  SELECT id, ts, side, ('0x' || substr(sha256('0:' || id::VARCHAR), 1, 15))::BIGINT AS r
+  FROM (SELECT id, ts, 's' AS side FROM source UNION ALL SELECT id, ts, 't' FROM target)),
+sampled AS (SELECT * FROM ranked WHERE r <= (SELECT max(r) FROM (SELECT r FROM ranked ORDER BY r LIMIT 4000)))
+SELECT id, max(ts) AS ts, CASE WHEN min(side) = 't' THEN 'phantom_record' ELSE 'missing_record' END AS issue
+FROM sampled GROUP BY id HAVING count(DISTINCT side) = 1""")
 register("spot_check", with_(FEED, TARGET, SOURCE, SPOT) + "SELECT * FROM spot")
 
 register("count_drift", with_(FEED, TARGET) + f""",
