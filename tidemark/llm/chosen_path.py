@@ -28,7 +28,9 @@ Work per group of copies.  Documents with equal sets are one class.
    near copies of any size needs no deeper levels.  Other large nodes branch; one
    that is large after ``LEVELS`` levels is split into pairs of chunks.
 3. In all these nodes the candidates in different components are found by their
-   sketches, and every such pair is verified on the full sets.
+   sketches, and every such pair is verified on the full sets: once, as a pair,
+   or where a node has very many, all pairs of the node at once as a product of
+   matrices.
 
 Full sets come from whole texts.  Equal 64-bit hashes are taken as equal.
 
@@ -278,6 +280,34 @@ def _partners(members: DataFrame) -> DataFrame:
     return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, _PARTNER)
 
 
+_CANDIDATE = "key long, cls long, other long"
+DENSE = 4  # candidate pairs per member from which a node is verified as a whole
+
+
+def _candidates(members: DataFrame) -> DataFrame:
+    """In each small node (key, cls, n, label, sketch) the candidates with
+    different labels: as pairs, which meet their like from other nodes, where
+    they are few for each member; else as members of the node (``other`` null)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, g in _grouped(batches, ["cls", "n", "label", "sketch"]):
+            cls, sizes, label = (np.array(g[c], np.int64) for c in ("cls", "n", "label"))
+            sketches, m = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS), len(cls)
+            candidate = np.zeros((m, m), bool)
+            for i in range(0, m, 128):
+                candidate[i: i + 128] = _alike(sketches, sizes, label, slice(i, i + 128)) >= LEAST_EQUAL
+            x, y = np.nonzero(np.triu(candidate))
+            if len(x) <= DENSE * m:
+                a, b = np.minimum(cls[x], cls[y]), pa.array(np.maximum(cls[x], cls[y]))
+            else:
+                a = cls[candidate.any(1)]
+                b = pa.nulls(len(a), pa.int64())
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), key, np.int64)), pa.array(a), b], names=["key", "cls", "other"])
+
+    parts = shuffle_parts(members.sparkSession)
+    return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, _CANDIDATE)
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, s): the full sets of the wanted classes (cls, rep), one document for
     each; of several texts with that document's id the one of the class."""
@@ -446,11 +476,14 @@ def near_components(docs: DataFrame) -> DataFrame:
     if not large.isEmpty():
         open_ = open_.unionAll(_deeper(large, classes, now))
     open_ = _mixed(staged(open_, "open"))
-    cross = staged(_partners(open_.join(sketches, "cls")).select("key", "cls"), "cross")
-    more = cross.select("cls").distinct().join(paired, "cls", "left_anti")
+    cross = staged(_candidates(open_.join(sketches, "cls")), "cross")
+    rest = cross.where("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
+    rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "rest")  # a pair counts once, however many nodes it meets in
+    more = cross.select("cls").unionAll(rest.select("b")).distinct().join(paired, "cls", "left_anti")
     sets = sets.unionAll(_full_sets(docs, reps.join(more, "cls")))
-    ready = cross.join(now, "cls").join(sketches, "cls").join(sets, "cls")
-    found = found.unionAll(staged(_rest(ready), "rest-links"))
+    found = found.unionAll(staged(_verified(rest, sets), "pair-links"))
+    dense = cross.where("other is null").select("key", "cls")
+    found = found.unionAll(staged(_rest(dense.join(now, "cls").join(sketches, "cls").join(sets, "cls")), "rest-links"))
 
     same_id = known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("doc_id", "a")
     same_id = known.join(same_id, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")).distinct()
