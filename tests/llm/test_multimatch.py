@@ -121,3 +121,10 @@ def test_words_and_short_texts():
     assert len(multimatch.shingles("a b c")) == 1 and len(multimatch.shingles(" \t")) == 0
     assert (multimatch.shingles("A b C") == multimatch.shingles("a  b\nc")).all()
     assert len(multimatch.shingles("one two three four five six")) == 1
+
+
+def test_one_id_with_two_texts(spark):
+    a, b = prose(40, 3), prose(40, 4)
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (5, prose(40, 6)), (5, ""), (6, prose(40, 6)), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r[0], r[2]) for r in multimatch.jaccard_components(df).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (6, 6)}

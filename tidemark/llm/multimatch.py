@@ -37,8 +37,9 @@ different ones have about N^2 / 2^65 such pairs).
 
 Defined results: a null or empty text, or one of white space, has no
 shingles and is a component of its own; rows with the same doc_id are one
-document for linking; a null doc_id links with nothing and has a null
-component; an empty table gives no rows.
+document for linking (their texts are connected); a null doc_id links with
+nothing and has a null component; an empty table gives no rows; columns of
+other names are not read; long texts are read whole, batch by batch.
 """
 
 from __future__ import annotations
@@ -149,7 +150,7 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-_DOC = "doc_id long, n long, cls long, lvl int, idx_len int, tokens array<long>"
+_DOC = "doc_id long, n long, cls long, text_hash long, lvl int, idx_len int, tokens array<long>"
 
 
 def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
@@ -176,11 +177,11 @@ def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in tokens]))).astype(np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), pa.array(levels, pa.int32()),
+                [b.column(0), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), b.column(2), pa.array(levels, pa.int32()),
                  pa.array(indexed, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
-                names=["doc_id", "n", "cls", "lvl", "idx_len", "tokens"])
+                names=["doc_id", "n", "cls", "text_hash", "lvl", "idx_len", "tokens"])
 
-    return docs.mapInArrow(run, _DOC)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, _DOC)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
@@ -204,9 +205,10 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, candidates: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, text) of the candidate classes, one document for each.  A bit array lets
-    few other documents into the join."""
-    wanted = staged(candidates.join(classes, "cls").select("cls", F.col("rep").alias("rep_id")), "wanted")
+    """(cls, text) of the candidate classes, one document for each: of several texts
+    with that document's id the one of the class.  A bit array lets few other
+    documents into the join."""
+    wanted = staged(candidates.join(classes, "cls").select("cls", F.col("rep").alias("rep_id"), "text_hash"), "wanted")
     bits = np.packbits(counter_slices(wanted, ["rep_id"], _mark, 1 << FILTER_BITS) > 0)
     bits = docs.sparkSession.sparkContext.broadcast(bits)  # 2**FILTER_BITS bits
 
@@ -216,7 +218,7 @@ def _texts(docs: DataFrame, candidates: DataFrame, classes: DataFrame) -> DataFr
         return pd.Series((bits.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
 
     near = docs.where(F.col("doc_id").isNotNull() & maybe("doc_id"))
-    found = near.join(wanted, near["doc_id"] == wanted["rep_id"])
+    found = near.join(wanted, (near["doc_id"] == wanted["rep_id"]) & (F.xxhash64(near["text"]) == wanted["text_hash"]))
     return staged(found.groupBy("cls").agg(F.max("text").alias("text")), "texts")
 
 
@@ -285,6 +287,12 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
+def _same_id(known: DataFrame) -> DataFrame:
+    """Links between the classes of one doc_id, each with the least of them."""
+    several = known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("doc_id", "a")
+    return known.join(several, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -296,8 +304,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                                              base + 3 * base ** 0.5 + 1))  # 2**COUNTER_BITS counters
     profiles = staged(_profiles(docs, counters), "profiles")
     slim = profiles.select("doc_id", "n", "cls", "lvl")
-    classes = staged(slim.where("n > 0 and doc_id is not null").groupBy("cls").agg(
-        F.max("n").alias("n"), F.max("lvl").alias("lvl"), F.min("doc_id").alias("rep")), "classes")
+    known = profiles.where("n > 0 and doc_id is not null")
+    classes = known.groupBy("cls").agg(F.max("n").alias("n"), F.max("lvl").alias("lvl"), F.min(F.struct("doc_id", "text_hash")).alias("r"))
+    classes = staged(classes.select("cls", "n", "lvl", F.col("r.doc_id").alias("rep"), F.col("r.text_hash").alias("text_hash")), "classes")
 
     rows = profiles.select("cls", "idx_len", F.posexplode("tokens").alias("pos", "token"))
     rows = rows.select("token", "cls", "pos", (F.col("pos") < F.col("idx_len")).alias("idx"))
@@ -335,7 +344,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest = rest.where(room * (100 + MIN_PERCENT) >= (F.col("n_a") + F.col("n_b")) * MIN_PERCENT)
     rest = rest.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"))
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    found = staged(found.unionAll(_verified(rest, texts, "rest")), "links")
+    found = found.unionAll(_verified(rest, texts, "rest")).unionAll(_same_id(known))
+    found = staged(found, "links")
 
     roots = components(found)
     placed = classes.join(roots, classes["cls"] == roots["node"], "left").select(
