@@ -128,3 +128,19 @@ def test_one_id_with_two_texts(spark):
     rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (5, prose(40, 6)), (5, ""), (6, prose(40, 6)), (6, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r[0], r[2]) for r in multimatch.jaccard_components(df).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (6, 6)}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 1 << 40), max_size=300), st.sets(st.integers(0, 1 << 40), max_size=40), st.sets(st.integers(0, 1 << 40), max_size=40))
+def test_parities_differ_in_no_more_bits_than_the_sets(common, a, b):
+    x, y = (np.array(sorted(common | s), np.uint64) for s in (a, b))
+    bits = sum(int(v).bit_count() for v in (multimatch.parities(x) ^ multimatch.parities(y)).view(np.uint64))
+    assert bits <= len((common | a) ^ (common | b))
+
+
+def test_parities_keep_pairs_at_the_threshold(spark):
+    """Sets of 100 shingles in a union of 100 + k: similarity crosses 75 % inside the range."""
+    base = prose(104, 8)
+    rows = [(1, base)] + [(2 + k, base + " " + prose(k, 300 + k)) for k in range(20, 45)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(multimatch.jaccard_components(df)) == brute(rows)

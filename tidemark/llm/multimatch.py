@@ -18,15 +18,20 @@ prefix) share l with the longer one's prefix.
 3. Documents with equal sets form one class, which takes part once.  Prefix
    rows are reduced to shingles that at least two classes hold, one of them
    in its index prefix.
-4. In a few rounds, each shared shingle's pivots (by another hash in each
+4. Each class has ``PARITY_BITS`` parities: bit i is the number of its
+   shingles that fall into cell i, modulo 2.  Two sets whose parities differ
+   in d bits differ in at least d shingles, so a pair with more than the
+   difference that its sizes allow cannot link.  That is certain: it drops no link.
+5. In a few rounds, each shared shingle's pivots (by another hash in each
    round) are verified against its other classes, linear in the classes that
-   hold it.  What links is connected and needs no more verification.
-5. Of all pairs that are not connected then, those are verified that share
-   min(l, l') prefix shingles and whose first common shingle leaves enough
-   room for the overlap.  So a large group of near copies costs a few
-   verifications per document, and no link between documents of different
-   components is lost.
-6. Components are found by alternating large-star and small-star steps over
+   hold it, as far as the parities allow a link.  What links is connected and
+   needs no more verification.
+6. Of all pairs that are not connected then, those are verified whose
+   parities allow a link, that share min(l, l') prefix shingles, and whose
+   common shingles leave enough room for the overlap.  So a large group of
+   near copies costs a few verifications per document, and no link between
+   documents of different components is lost.
+7. Components are found by alternating large-star and small-star steps over
    the links, as joins with partial minima.
 
 Verification computes both sets from the whole texts.  Texts are fetched for
@@ -62,6 +67,7 @@ COUNTER_BITS = 20
 FILTER_BITS = 21
 MAX_LEVEL = 8
 ROUNDS = 3
+PARITY_BITS = 1024
 VERIFY_COST = 40.0  # of one candidate, in prefix rows
 CACHE_WORDS = 300_000
 
@@ -146,11 +152,26 @@ def prefix(s: np.ndarray, counters: np.ndarray, noise: float) -> tuple[int, int,
     return int(level[best]), n - pair_overlap(2 * n) + int(level[best]), s[order[: length[best]]]
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits of a set as longs: how many shingles fall into each cell, modulo 2."""
+    counts = np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(counts & 1).view(np.int64)
+
+
+def _alike(a: str, b: str, n_a: str, n_b: str) -> Column:
+    """Whether parities and sizes allow a link: sets of n and m shingles that link differ in at most
+    (n + m) (100 - p) / (100 + p) of them, p the least per cent, and in no more bits."""
+    differ = F.lit(0)
+    for i in range(PARITY_BITS // 64):
+        differ = differ + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
+    return differ * (100 + MIN_PERCENT) <= (F.col(n_a) + F.col(n_b)) * (100 - MIN_PERCENT)
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-_DOC = "doc_id long, n long, cls long, text_hash long, lvl int, idx_len int, tokens array<long>"
+_DOC = "doc_id long, n long, cls long, text_hash long, lvl int, idx_len int, tokens array<long>, bits array<long>"
 
 
 def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
@@ -160,15 +181,17 @@ def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
         counters, noise = counters_broadcast.value
         seen: set[int] = set()
         for b in batches:
-            ns, classes, levels, indexed, tokens = [], [], [], [], []
+            ns, classes, levels, indexed, tokens, bits = [], [], [], [], [], []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingles(text)
                 cls = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
                 lvl, idx_len, head = prefix(s, counters, noise) if len(s) else (0, 0, s)
                 if doc_id is None or cls in seen or not len(s):
                     head = head[:0]
+                    bits.append(None)
                 else:
                     seen.add(cls)
+                    bits.append(parities(s))
                 ns.append(len(s))
                 classes.append(cls)
                 levels.append(lvl)
@@ -178,8 +201,9 @@ def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), b.column(2), pa.array(levels, pa.int32()),
-                 pa.array(indexed, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
-                names=["doc_id", "n", "cls", "text_hash", "lvl", "idx_len", "tokens"])
+                 pa.array(indexed, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
+                 pa.array(bits, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "cls", "text_hash", "lvl", "idx_len", "tokens", "bits"])
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, _DOC)
 
@@ -246,6 +270,13 @@ def _fits() -> Column:
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * MIN_PERCENT
 
 
+def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parities allow a link."""
+    side = lambda x: bits.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return both.where(_alike("bits_a", "bits_b", "n_a", "n_b")).select("a", "b")
+
+
 def _against(met: DataFrame, pivot: str) -> DataFrame:
     """Pairs of a shingle's pivot with its other classes that are not connected yet and whose sizes allow a link."""
     pairs = met.select("cls", "n", "label", F.col(f"{pivot}.cls").alias("with"), F.col(f"{pivot}.n").alias("n_with"),
@@ -313,7 +344,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     held = rows.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max("idx").alias("any"))
     held = held.where("lo < hi and any").select("token")
     shared = staged(rows.join(held, "token").distinct().join(classes.select("cls", "n", "lvl"), "cls"), "shared")
-    texts = _texts(docs, shared.select("cls").distinct(), classes)
+    candidates = staged(shared.select("cls").distinct(), "candidates")
+    bits = profiles.where("bits is not null").select("cls", "n", "bits").join(candidates, "cls")
+    bits = staged(bits.dropDuplicates(["cls"]), "parities")
+    texts = _texts(docs, candidates, classes)
 
     found, tried, mixed = None, None, shared.withColumn("label", F.col("cls"))
     for i in range(ROUNDS):
@@ -325,23 +359,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, f"star-{i}")
         tried = pairs if tried is None else tried.unionAll(pairs)
-        links_now = _verified(pairs, texts, f"star-{i}")
+        links_now = _verified(staged(_possible(pairs, bits), f"possible-{i}"), texts, f"star-{i}")
         found = links_now if found is None else found.unionAll(links_now)
         label = _nearby_labels(classes, found)
         tagged = mixed.drop("label").join(label, "cls")
         apart = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("idx").alias("any"))
         mixed = staged(tagged.join(apart.where("x < y and any").select("token"), "token"), f"mixed-{i}")
 
-    left = mixed.where("idx").select("token", *[F.col(c).alias(f"{c}_a") for c in ("cls", "label", "n", "lvl", "pos")])
-    right = mixed.select("token", *[F.col(c).alias(f"{c}_b") for c in ("cls", "label", "n", "lvl", "pos")])
+    open_ = mixed.join(bits.select("cls", "bits"), "cls")
+    side = lambda df, x: df.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "label", "n", "lvl", "pos", "bits")])
     shorter = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("cls_a") < F.col("cls_b")))
-    met = left.join(right, "token").where(shorter & (F.col("label_a") != F.col("label_b")) & _fits())
-    rest = met.groupBy("cls_a", "cls_b", "n_a", "n_b").agg(
-        F.count(F.lit(1)).alias("met"), F.min(F.least("lvl_a", "lvl_b")).alias("need"),
-        F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b")).where("met >= need")
-    # what lies from the first common shingle on must have room for the overlap
-    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    rest = rest.where(room * (100 + MIN_PERCENT) >= (F.col("n_a") + F.col("n_b")) * MIN_PERCENT)
+    # the first min(l, l') common shingles: from each of them on there must be room for the rest of the overlap
+    need = F.least("lvl_a", "lvl_b")
+    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + need - 1
+    fits = _fits() & (room * (100 + MIN_PERCENT) >= (F.col("n_a") + F.col("n_b")) * MIN_PERCENT)
+    met = side(open_.where("idx"), "a").join(side(open_, "b"), "token").where(
+        shorter & (F.col("label_a") != F.col("label_b")) & fits & _alike("bits_a", "bits_b", "n_a", "n_b"))
+    rest = met.groupBy("cls_a", "cls_b").agg(F.count(F.lit(1)).alias("met"), F.min(need).alias("need")).where("met >= need")
     rest = rest.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"))
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     found = found.unionAll(_verified(rest, texts, "rest")).unionAll(_same_id(known))
