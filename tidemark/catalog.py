@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import fingerprint_shard, record_id
 from tidemark.functions import convert, geo
 from tidemark.functions.keys import shard_of, with_record_id
-from tidemark.operators import batches, control, coverage, filters, fleet, monitor, profile, reconcile, schema_plan, tracks
-from tidemark.session import fresh_path
+from tidemark.operators import batches, control, coverage, filters, fleet, layout, monitor, profile, reconcile, schema_plan, tracks
+from tidemark.session import fresh_path, scratch_path
 from tidemark.streaming import stream
 from tidemark.plans import sync as sync_plan
 from tidemark.plans import validation as validation_plan
@@ -93,6 +93,14 @@ def bounding_box(spark, d):
                                 ts_col="ts", as_of=AS_OF, lookback="7 days", n=1000, tiebreak=["event_id"])
 
 
+@query
+def z_ordered_box(spark, d):
+    """F7 over a Z-ordered copy (SNK6), across the antimeridian."""
+    dims = {"ts": None, "latitude": (-90.0, 90.0), "longitude": (-180.0, 180.0)}
+    t = layout.write_z_ordered(_positions(spark, d), scratch_path(spark, "z-order"), dims, ["ts", "event_id"])
+    return filters.bounding_box(t, "latitude", "longitude", -30, 30, 150, -150, n=None)
+
+
 @query
 def recent_filter(spark, d):
     return filters.recent_filter(_events(spark, d), "ts", AS_OF, "24 hours")
@@ -447,6 +455,16 @@ def full_reconcile(spark, d):
     return reconcile.full_reconcile(with_record_id(_events(spark, d), "ts"), _target(spark, d), "ts")
 
 
+@query
+def bucketed_reconcile(spark, d):
+    """J3 over two copies bucketed by id."""
+    copies, buckets = {}, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for side, df in (("source", with_record_id(_events(spark, d), "ts")), ("target", _target(spark, d))):
+        path = scratch_path(spark, f"bucketed_{side}")
+        copies[side] = layout.bucketed_copy(df.select("id", "ts"), path.rsplit("/", 1)[1].replace("-", "_"), path, "id", buckets)
+    return layout.reconcile_bucketed(copies["source"], copies["target"], "ts")
+
+
 @query
 def spot_check(spark, d):
     src = with_record_id(_events(spark, d), "ts")

@@ -28,10 +28,22 @@ def schema_diff(spark: SparkSession, existing: T.StructType, source: T.StructTyp
     return j.select("name", "existing_type", "source_type", kind.alias("kind"))
 
 
+def routed_name(existing: T.StructType, source: T.StructType, field: T.StructField) -> str:
+    """The target's column for a source column: itself, or after a type conflict the
+    first version ``_v2``, ``_v3``, ... that has its type or is free."""
+    types = {f.name: f.dataType for f in existing.fields}
+    name, version = field.name, 1
+    while types.get(name, field.dataType) != field.dataType or (version > 1 and name in source.names):
+        version += 1
+        name = f"{field.name}_v{version}"
+    return name
+
+
 def migration_plan(spark: SparkSession, existing: T.StructType | None, source: T.StructType) -> DataFrame:
     """SC4: ``create`` every column when the target is absent; else ``add``
-    new columns (nullable) and ``add`` ``{name}_v2`` for a type conflict;
-    nothing is ever dropped or altered.  No rows = nothing to do."""
+    new columns (nullable) and ``add`` ``{name}_v2`` for a type conflict
+    (``_v3`` and so on, where that is taken by another type); nothing is ever
+    dropped or altered.  No rows = nothing to do."""
     if existing is None:
         return spark.createDataFrame([("create", f.name, f.dataType.simpleString(), f.name) for f in source.fields],
                                      PLAN_SCHEMA)
@@ -39,9 +51,9 @@ def migration_plan(spark: SparkSession, existing: T.StructType | None, source: T
     new = d.where(F.col("kind") == "new").select(F.lit("add").alias("action"), F.col("name").alias("column_name"),
                                                  F.col("source_type").alias("data_type"),
                                                  F.col("name").alias("source_column"))
-    conflict = d.where(F.col("kind") == "type_changed").select(
-        F.lit("add").alias("action"), F.concat(F.col("name"), F.lit("_v2")).alias("column_name"),
-        F.col("source_type").alias("data_type"), F.col("name").alias("source_column"))
+    routed = [(f, routed_name(existing, source, f)) for f in source.fields]
+    conflict = spark.createDataFrame([("add", name, f.dataType.simpleString(), f.name) for f, name in routed
+                                      if name != f.name and name not in existing.names], PLAN_SCHEMA)
     return new.unionByName(conflict)
 
 
@@ -55,10 +67,10 @@ def plan_action(plan_rows: Sequence) -> str:
 def apply_migration(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """SC5: evolve the target to take ``incoming`` rows: missing columns are
     added (NULL for old rows), old columns are kept, and an incoming column
-    whose type conflicts is routed to ``{name}_v2`` (old rows keep theirs)."""
+    whose type conflicts is routed to its version of that type, ``{name}_v2``,
+    ``{name}_v3``, ... (old rows keep theirs)."""
     etypes = {f.name: f.dataType for f in existing.schema.fields}
-    renames = {f.name: f"{f.name}_v2" for f in incoming.schema.fields
-               if f.name in etypes and etypes[f.name] != f.dataType}
+    renames = {f.name: routed_name(existing.schema, incoming.schema, f) for f in incoming.schema.fields}
     inc = incoming.select(*[F.col(c).alias(renames.get(c, c)) for c in incoming.columns])
     # a column present only in the target must be NULL-typed like the target in the incoming rows
     for name, dt in etypes.items():

@@ -122,6 +122,8 @@ SELECT * FROM positions
 WHERE latitude BETWEEN -45 AND 45 AND longitude BETWEEN -90 AND 90
   AND ts >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY
 ORDER BY ts DESC, event_id LIMIT 1000""")
+register("z_ordered_box", with_(POSITIONS) + """
+SELECT * FROM positions WHERE latitude BETWEEN -30 AND 30 AND (longitude >= 150 OR longitude <= -150)""")
 register("recent_filter", f"SELECT * FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR")
 register("status_in", with_(POSITIONS) + "SELECT * FROM positions WHERE status IN ('AT_ANCHOR', 'MOORED')")
 register("pk_lookup", """
@@ -454,6 +456,12 @@ SELECT coalesce(s.id, t.id) AS id, coalesce(s.ts, t.ts) AS ts,
        CASE WHEN s.id IS NULL THEN 'phantom_record' WHEN t.id IS NULL THEN 'missing_record' ELSE 'ok' END AS status
 FROM source s FULL OUTER JOIN target t ON s.id = t.id""")
 
+register("bucketed_reconcile", with_(FEED, TARGET, SOURCE) + """
+SELECT coalesce(s.id, t.id) AS id, coalesce(s.ts, t.ts) AS ts,
+       CASE WHEN s.id IS NULL THEN 'phantom_record' WHEN t.id IS NULL THEN 'missing_record' ELSE 'ok' END AS status
+FROM (SELECT id, max(ts) AS ts FROM source GROUP BY id) s
+FULL OUTER JOIN (SELECT id, max(ts) AS ts FROM target GROUP BY id) t ON s.id = t.id""")
+
 SPOT = f"""ts5 AS (SELECT id, ts FROM target ORDER BY ts DESC, id DESC LIMIT 5),
 ss AS (SELECT id, ts FROM source WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 36 HOUR ORDER BY ts, id LIMIT 50),
 spot AS (
