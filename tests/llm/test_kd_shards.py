@@ -49,3 +49,12 @@ def test_box_tree_is_deterministic(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     place = lambda df: sorted((r["doc_id"], r["shard"], r["slot"]) for r in kd_shards.kd_shards(df, 12).collect())
     assert place(docs) == place(docs.repartition(7))
+
+
+def test_the_least_and_the_largest_ids(spark):
+    ids = [-(1 << 63), -(1 << 63) + 1, (1 << 63) - 1, (1 << 63) - 2, 0, 7, None] + [(i * 0x9E3779B97F4A7C15) % (1 << 64) - (1 << 63) for i in range(200)]
+    df = spark.createDataFrame([(i, "x" * 100, "s", "en") for i in ids], "doc_id long, text string, source string, lang string")
+    got = kd_shards.kd_shards(df, 8).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted((i is None, i or 0) for i in ids)
+    counts = [sum(r["shard"] == s for r in got) for s in range(8)]
+    assert max(counts) - min(counts) <= 2

@@ -12,7 +12,9 @@ bins (nodes x BINS rows, whatever the input) and the tree (one node per
 shard) come to the driver.
 
 Defined results: a null text has no bytes; a null dimension sorts lowest; rows
-equal in doc_id and split dimension stay on one side; an empty table gives no rows.
+equal in doc_id and split dimension stay on one side; doc_ids may be any longs;
+a text counts with its whole length, however long; an empty table gives no rows; columns that
+are not named in ``dims`` are not read, and no name of a column clashes with the operator's own.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from tidemark.llm.common import shuffle_parts, staged
 
 BINS = 1024
 ROWS_PER_SLOT_GROUP = 50_000
+MOST = (1 << 63) - 1  # the largest long
 TOLERANCE = 1e-3  # of a leaf's bytes: a split may stop at a bin lighter than this
 
 
@@ -64,7 +67,7 @@ def _cuts(here: DataFrame, boxes: list[Box], spans: list[int], tie: int) -> list
     for box in boxes:
         r = stats.get(box.number)
         if r is None or r["n"] < 2:
-            out.append((box.number, 0, 1 << 62, 1 << 62))  # nothing to split: all rows go left
+            out.append((box.number, 0, MOST, MOST))  # nothing to split: all rows go left
             continue
         dim = max(range(tie), key=lambda i: (r[f"hi{i}"] - r[f"lo{i}"]) / max(1, spans[i]))
         state[box.number] = {"dim": dim, "axis": dim, "lo": r[f"lo{dim}"], "hi": r[f"hi{dim}"], "tie": (r[f"lo{tie}"], r[f"hi{tie}"]),
@@ -75,7 +78,8 @@ def _cuts(here: DataFrame, boxes: list[Box], spans: list[int], tie: int) -> list
         rows = here.join(F.broadcast(params), "box").withColumn("v", F.get("axes", "axis"))  # a row per box: at most the shards
         rows = rows.where(F.col("v").between(F.col("lo"), F.col("hi")) &
                           (F.col("held").isNull() | (F.get("axes", "held_axis") == F.col("held"))))
-        cells = rows.groupBy("box", F.expr("(v - lo) div step").alias("cell")).agg(
+        # the difference of two longs may take 65 bits
+        cells = rows.groupBy("box", F.expr("(cast(v as decimal(20,0)) - lo) div step").alias("cell")).agg(
             F.sum("size").alias("w"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
         by_box: dict[int, list] = {}
         for c in cells:
@@ -96,8 +100,8 @@ def _cuts(here: DataFrame, boxes: list[Box], spans: list[int], tie: int) -> list
                 s.update(lo=c["lo"], hi=c["hi"])
                 continue
             nearer_before = abs(s["base"] - s["want"]) <= abs(s["base"] + c["w"] - s["want"])
-            edge = c["lo"] - 1 if nearer_before else c["hi"]
-            out.append((n, s["dim"], s["value"], edge) if s["axis"] == tie else (n, s["dim"], edge, 1 << 62))
+            edge = c["lo"] - 1 if nearer_before and c["lo"] > -MOST - 1 else c["hi"]
+            out.append((n, s["dim"], s["value"], edge) if s["axis"] == tie else (n, s["dim"], edge, MOST))
             del state[n]
     return out
 
@@ -124,15 +128,16 @@ def kd_shards(docs: DataFrame, shards: int = 40, dims: Sequence[str] = ("doc_id"
     tie = len(axes)
     axes.append(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")))
     here = staged(docs.select(*codes, F.array(*axes).alias("axes"), F.lit(0).alias("box")), "kd-slim")
-    whole = here.agg(F.count(F.lit(1)).alias("n"), *[(F.max(F.get("axes", F.lit(i))) - F.min(F.get("axes", F.lit(i)))).alias(f"s{i}")
-                                                     for i in range(tie)]).first()
+    whole = here.agg(F.count(F.lit(1)).alias("n"), *[f(F.get("axes", F.lit(i))).alias(f"{k}{i}")
+                                                     for i in range(tie) for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    spans = [whole[f"hi{i}"] - whole[f"lo{i}"] if whole["n"] else 0 for i in range(tie)]  # Python's integers do not overflow
     leaves, level, numbers = [], [Box(shards, 0, 0)], 0
     while level:
         leaves += [b for b in level if b.leaves == 1 or not whole["n"]]
         level = [b for b in level if b.leaves > 1 and whole["n"]]
         if not level:
             break
-        cuts = {c[0]: c for c in _cuts(here, level, [whole[f"s{i}"] for i in range(tie)], tie)}
+        cuts = {c[0]: c for c in _cuts(here, level, spans, tie)}
         rows, below = [], []
         for b in level:
             half = b.leaves // 2
