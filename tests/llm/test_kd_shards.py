@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -58,3 +59,53 @@ def test_the_least_and_the_largest_ids(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted((i is None, i or 0) for i in ids)
     counts = [sum(r["shard"] == s for r in got) for s in range(8)]
     assert max(counts) - min(counts) <= 2
+
+
+def tree(rows, spans, leaves, first, out):
+    """The k-d tree by its definition; rows: (codes, tie-break, size)."""
+    if leaves == 1:
+        out.update({r[1]: first for r in rows})
+        return
+    half = leaves // 2
+    low, high = rows, []
+    if len(rows) > 1:
+        widths = [(max(r[0][i] for r in rows) - min(r[0][i] for r in rows)) / max(1, s) for i, s in enumerate(spans)]
+        dim = widths.index(max(widths))
+        want, below = sum(r[2] for r in rows) * half / leaves, 0
+        for at in sorted({r[0][dim] for r in rows}):
+            here = [r for r in rows if r[0][dim] == at]
+            if below + sum(r[2] for r in here) >= want:
+                break
+            below += sum(r[2] for r in here)
+        for r in sorted(here, key=lambda r: r[1]):
+            if below + r[2] >= want:
+                edge = r[1] - 1 if abs(below - want) <= abs(below + r[2] - want) else r[1]
+                break
+            below += r[2]
+        goes_left = lambda r: r[0][dim] < at or (r[0][dim] == at and r[1] <= edge)
+        low, high = [r for r in rows if goes_left(r)], [r for r in rows if not goes_left(r)]
+    tree(low, spans, half, first, out)
+    tree(high, spans, leaves - half, first + half, out)
+
+
+def test_splits_against_a_tree_by_its_definition(spark):
+    """Weighted medians on the widest dimension; strings equal in their first bytes and fractions count by rank."""
+    rng = random.Random(3)
+    docs = [(i, "x" * rng.choice((3, 40, 41, 300)), None if i % 17 == 0 else f"https://example-{rng.randrange(30):03d}",
+             rng.randrange(40) / 97) for i in range(240)]
+    names = sorted({d[2] for d in docs if d[2]})
+    quality = sorted({d[3] for d in docs})
+    rows = [((names.index(s) if s else -1, quality.index(q), len(t) + 16), i, len(t) + 16) for i, t, s, q in docs]
+    spans = [max(r[0][i] for r in rows) - min(r[0][i] for r in rows) for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, quality double").repartition(5)
+    for shards in (2, 7, 16):
+        want: dict = {}
+        tree(rows, spans, shards, 0, want)
+        got = kd_shards.kd_shards(df, shards, dims=("source", "quality", "size")).collect()
+        assert {r["doc_id"]: r["shard"] for r in got} == want
+
+
+def test_value_ranks(spark):
+    values = [None, "", "a", "aaaaaaaa1", "aaaaaaaa2", "é", "aaaaaaaa1"]
+    got = kd_shards.value_ranks(spark.createDataFrame([(v,) for v in values], "rank string"), "rank").collect()
+    assert sorted((r["rank"], r["value"]) for r in got) == list(enumerate(["", "a", "aaaaaaaa1", "aaaaaaaa2", "é"]))

@@ -9,7 +9,8 @@ pass adds up bytes in ``BINS`` bins of the range that still holds the split
 value, and refines one bin per node.  Equal values are split by doc_id, so
 one value holding a third of all rows does not unbalance the shards.  Only
 bins (nodes x BINS rows, whatever the input) and the tree (one node per
-shard) come to the driver.
+shard) come to the driver.  A dimension that is not a whole number (strings,
+fractions, dates) counts by the ranks of its distinct values.
 
 Defined results: a null text has no bytes; a null dimension sorts lowest; rows
 equal in doc_id and split dimension stay on one side; doc_ids may be any longs;
@@ -22,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,12 +35,22 @@ MOST = (1 << 63) - 1  # the largest long
 TOLERANCE = 1e-3  # of a leaf's bytes: a split may stop at a bin lighter than this
 
 
-def ordered_code(col: str, kind: T.DataType) -> Column:
-    """A long that keeps the order of a column's values; strings by their first seven bytes."""
-    if isinstance(kind, T.StringType):
-        code = F.conv(F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
-        return F.coalesce(code, F.lit(-1).cast("long"))
-    return F.coalesce(F.col(col).cast("long"), F.lit(-1).cast("long"))
+def _whole(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def value_ranks(docs: DataFrame, col: str) -> DataFrame:
+    """(value, rank): the place of each distinct non-null value of ``col`` in their order, from 0.
+
+    The values are sorted by ranges across the cluster; only the number of values in each range meets in one task."""
+    parts = shuffle_parts(docs.sparkSession)
+    values = docs.select(F.col(col).alias("value")).where("value is not null").distinct()
+    ranges = staged(values.repartitionByRange(parts, "value").select("value", F.spark_partition_id().alias("part")), "kd-values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    at = F.row_number().over(Window.partitionBy("part").orderBy("value")) - 1
+    return staged(ranges.withColumn("at", at).join(first, "part").select("value", (F.col("first") + F.col("at")).alias("rank")), "kd-ranks")
 
 
 @dataclass
@@ -117,17 +128,19 @@ def kd_shards(docs: DataFrame, shards: int = 40, dims: Sequence[str] = ("doc_id"
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     text = F.coalesce(F.col("text"), F.lit(""))
     spark = docs.sparkSession
-    codes = [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"),
-             F.crc32(text.cast("binary")).alias("text_crc32")]
-    axes = []
-    for d in dims:
-        if d == "size":
-            axes.append((F.octet_length(text) + overhead).cast("long"))
-        elif d in kinds:
-            axes.append(ordered_code(d, kinds[d]))
-    tie = len(axes)
-    axes.append(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")))
-    here = staged(docs.select(*codes, F.array(*axes).alias("axes"), F.lit(0).alias("box")), "kd-slim")
+    size = (F.octet_length(text) + overhead).cast("long")
+    used = [d for d in dims if d == "size" or d in kinds]
+    ranked = {i: d for i, d in enumerate(used) if d != "size" and not _whole(kinds[d])}
+    tie = len(used)
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        *[F.col(d).alias(f"v{i}") if i in ranked else (size if d == "size" else F.col(d).cast("long")).alias(f"c{i}")
+          for i, d in enumerate(used)])
+    for i, d in ranked.items():  # a few values are broadcast by their known size, else a value of many rows is split by AQE
+        ranks = value_ranks(docs, d).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"c{i}"))
+        slim = slim.join(ranks, f"v{i}", "left").drop(f"v{i}")
+    axes = [F.coalesce(F.col(c), F.lit(-1).cast("long")) for c in [*(f"c{i}" for i in range(tie)), "doc_id"]]
+    here = staged(slim.select("doc_id", "size", "text_crc32", F.array(*axes).alias("axes"), F.lit(0).alias("box")), "kd-slim")
     whole = here.agg(F.count(F.lit(1)).alias("n"), *[f(F.get("axes", F.lit(i))).alias(f"{k}{i}")
                                                      for i in range(tie) for k, f in (("lo", F.min), ("hi", F.max))]).first()
     spans = [whole[f"hi{i}"] - whole[f"lo{i}"] if whole["n"] else 0 for i in range(tie)]  # Python's integers do not overflow
