@@ -1,5 +1,8 @@
+import random
+import re
 import struct
 import zlib
+from array import array
 from collections import defaultdict
 
 import pytest
@@ -80,3 +83,16 @@ def test_word_store_overflow_keeps_ids():
     texts = ["alpha beta gamma delta\nepsilon zeta", "beta beta\nbeta eta theta", "a"]
     assert [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in enc.encode_batch(texts)] == [
         enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_are_cut_where_the_library_cuts():
+    """Marks, white space and letters of several scripts in any order, by brute force."""
+    enc, rng = harmonic.WordEncoder(tokenizer_path("byte_bpe_50k.json")), random.Random(11)
+    alphabet = list("aZé日9٣ ,.\n'_)\"ś- \t½Ⅷ🙂 , . a b")
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 14))) for _ in range(20_000)]
+    assert enc.by_word
+    for text, got in zip(texts, enc.encode_batch(texts)):
+        assert got == array("I", enc._library(text)).tobytes(), text
+    for text in texts:
+        runs = re.search(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z", text)
+        assert harmonic.odd_space(text) == bool(runs), text
