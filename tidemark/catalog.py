@@ -831,6 +831,24 @@ def apply_migration(spark, d):
     return schema_plan.apply_migration(existing, incoming)
 
 
+def _three_shapes(spark, d):
+    """The events as a source gives them over time: as they are, then with text
+    values and a new column, then with whole-number values and no props."""
+    ev = _events(spark, d)
+    text = ev.withColumns({"value": F.col("value").cast("string"), "k": F.get_json_object("props", "$.k").cast("bigint")})
+    whole = ev.withColumn("value", F.floor(F.col("value") * 1000).cast("bigint")).drop("props")
+    return [ev.where(F.col("ts") < "2024-01-10"), text.where(F.col("ts") < "2024-01-20"), whole]
+
+
+@query
+def evolving_sync(spark, d):
+    """SC4 and SC5 inside S1: a column is added, retyped and retyped again over three runs."""
+    store, spec = SyncStore.fresh(spark, "evolving"), TableSpec("events", "events", "ts", "events_copy", n_shards=2)
+    for source in _three_shapes(spark, d):
+        sync_plan.incremental_sync(spark, spec, source, store, AS_OF)
+    return store.read_target(spark, "events_copy").drop("id", "_synced_at")
+
+
 # ------------------------------------------------------------ streaming
 
 def _feed_dir(spark, d, files=4):

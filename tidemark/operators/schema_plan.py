@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,57 @@ def routed_name(existing: T.StructType, source: T.StructType, field: T.StructFie
     return name
 
 
+@dataclass(frozen=True)
+class TargetSchema:
+    """A target's columns over all its cycles, and the source column that each holds.
+    A name has one type for ever, so files of every cycle read with this schema."""
+
+    schema: T.StructType = field(default_factory=T.StructType)
+    owners: dict[str, str] = field(default_factory=dict)  # column -> source column, both in lower case
+
+    def take(self, incoming: T.StructType) -> tuple[TargetSchema, dict[str, str]]:
+        """The schema after rows of ``incoming``, and the column that each of its columns goes
+        to: itself, or the first version ``_v2``, ``_v3``, ... that holds this source column
+        with this type, or is free."""
+        fields = {f.name.lower(): f for f in self.schema.fields}
+        owners, sources, routes = dict(self.owners), {f.name.lower() for f in incoming.fields}, {}
+        for f in incoming.fields:
+            source, name, version = f.name.lower(), f.name, 1
+            while True:
+                there = fields.get(name.lower())
+                fits = there is None or (there.dataType.simpleString() == f.dataType.simpleString()
+                                         and owners.get(name.lower(), name.lower()) == source)
+                if fits and (version == 1 or name.lower() not in sources):
+                    break
+                version += 1
+                name = f"{f.name}_v{version}"
+            routes[f.name] = there.name if there else name
+            if there is None:
+                fields[name.lower()] = T.StructField(name, f.dataType, True)
+            owners[name.lower()] = source
+        return TargetSchema(T.StructType(list(fields.values())), owners), routes
+
+    def versions(self, column: str) -> list[str]:
+        """The target's columns that hold a source column, oldest first."""
+        return [f.name for f in self.schema.fields if self.owners.get(f.name.lower(), f.name.lower()) == column.lower()]
+
+
+def merge_versions(target: DataFrame, known: TargetSchema, types: dict[str, str] | None = None) -> DataFrame:
+    """A target with one column per source column: the versions of a column are one
+    text (a row has a value in at most one of them), or the type given in ``types``
+    (values that do not convert are null)."""
+    out, done = [], set()
+    for c in target.columns:
+        owner = known.owners.get(c.lower(), c.lower())
+        if owner in done:
+            continue
+        done.add(owner)
+        all_ = [v for v in known.versions(owner) if v in target.columns] or [c]
+        kind = (types or {}).get(all_[0], "string" if len(all_) > 1 else None)
+        out.append((F.coalesce(*[F.col(v).try_cast(kind) for v in all_]) if kind else F.col(c)).alias(all_[0]))
+    return target.select(*out)
+
+
 def migration_plan(spark: SparkSession, existing: T.StructType | None, source: T.StructType) -> DataFrame:
     """SC4: ``create`` every column when the target is absent; else ``add``
     new columns (nullable) and ``add`` ``{name}_v2`` for a type conflict

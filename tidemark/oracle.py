@@ -656,6 +656,16 @@ SELECT event_id, ts, user_id, event_type, NULL, props, CAST(value AS VARCHAR),
        CAST(json_extract_string(props, '$.k') AS BIGINT)
 FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""")
 
+register("evolving_sync", """
+SELECT event_id, ts, user_id, event_type, props,
+       CASE WHEN ts < TIMESTAMP '2024-01-10' THEN value END AS value,
+       CASE WHEN ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' THEN CAST(value AS VARCHAR) END AS value_v2,
+       CASE WHEN ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
+            THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN CAST(floor(value * 1000) AS BIGINT) END AS value_v3
+FROM (SELECT * REPLACE (CASE WHEN ts < TIMESTAMP '2024-01-20' THEN props END AS props) FROM events)
+WHERE ts IS NOT NULL""")
+
 # ------------------------------------------------------------ streaming
 
 register("stream_sync", with_(FEED, TARGET) + "SELECT * FROM target")

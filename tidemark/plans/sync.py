@@ -10,6 +10,7 @@ two re-pulls the batch and the keyed write drops the repeats.
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 import uuid
@@ -27,6 +28,7 @@ from tidemark.functions.keys import HASH_COL, shard_of, with_record_id
 from tidemark.operators import control
 from tidemark.operators.batches import batch_ends, instant
 from tidemark.operators.filters import ts_lit
+from tidemark.operators.schema_plan import TargetSchema, merge_versions
 from tidemark.plans.specs import TableSpec, validate_specs
 from tidemark.session import fresh_path
 from tidemark.sources import sinks
@@ -132,8 +134,51 @@ class SyncStore:
         """Batch log, one row per (table, shard, cycle): a cycle that runs again replaces its rows."""
         return self._all(spark, "batches")
 
+    def _schemas(self, name: str) -> str:
+        return f"{self.root}/control/schemas/{quote(name, safe='')}"
+
+    def target_schema(self, spark: SparkSession, name: str) -> TargetSchema | None:
+        """The newest version of a target's schema (a small file per version; no Spark job)."""
+        files = Files(spark)
+        versions = [v for v in files.names(self._schemas(name)) if v.isdigit()]
+        if not versions:
+            return None
+        stored = json.loads(files.read(f"{self._schemas(name)}/{versions[-1]}"))
+        return TargetSchema(T.StructType.fromJson(stored["schema"]), stored["owners"])
+
+    def evolve(self, spark: SparkSession, stamped: DataFrame, name: str, ts_col: str, bookkeeping: Sequence[str] = ()) -> DataFrame:
+        """SC4, SC5 inside S1: ``stamped`` with its columns as the target takes them.
+
+        New columns and versions after a type conflict join the target's schema, whose
+        next version is committed before the rows: a cycle that breaks off in between
+        leaves columns without values, and its next try finds them.  The record's id and hash
+        were taken before, over the source's own columns."""
+        incoming = T.StructType([f for f in stamped.schema.fields if f.name not in bookkeeping])
+        known = self.target_schema(spark, name)
+        before = known
+        if known is None:  # the first cycle, or a target written before its schema was kept
+            there = sinks.existing_schema(spark, self.target(name))
+            before = TargetSchema(there) if there is not None else TargetSchema()
+        after, routes = before.take(incoming)
+        moved = [c for c in ("id", ts_col, HASH_COL, "_synced_at") if routes.get(c, c).lower() != c.lower()]
+        if moved:
+            raise TypeError(f"target {name!r}: the type of {', '.join(moved)} cannot change")
+        if after != known:
+            files, folder = Files(spark), self._schemas(name)
+            version = max([int(v) for v in files.names(folder) if v.isdigit()] + [0]) + 1
+            files.write_whole(f"{folder}/{version:018d}", json.dumps(
+                {"schema": after.schema.jsonValue(), "owners": after.owners}), uuid.uuid4().hex)
+        return stamped.withColumnsRenamed({c: r for c, r in routes.items() if c != r})
+
     def read_target(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.target(name)).drop(sinks.DAY_COL, HASH_COL)
+        """All rows with all columns that the target has had."""
+        known = self.target_schema(spark, name)
+        reader = spark.read.schema(known.schema) if known else spark.read
+        return reader.parquet(self.target(name)).drop(sinks.DAY_COL, HASH_COL)
+
+    def read_merged(self, spark: SparkSession, name: str, types: dict[str, str] | None = None) -> DataFrame:
+        """A target with the versions of each column merged (:func:`merge_versions`)."""
+        return merge_versions(self.read_target(spark, name), self.target_schema(spark, name) or TargetSchema(), types)
 
     def next_seq(self, spark: SparkSession, table_id: str | None = None) -> int:
         """Next cycle number (of a table: other tables' cycles do not matter); no Spark job."""
@@ -322,7 +367,8 @@ def sync_cycle(spark: SparkSession, spec: TableSpec, source: DataFrame, store: S
     days = [d for r in stats for d in (r["first_day"], r["last_day"]) if d is not None]
     valid = staged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
     nodes = [r["node_id"] for r in stats]
-    written = sinks.keyed_write(stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"], keep_hash=True),
+    stamped = stamp_synced(valid, spec.ts_col, as_of, exclude=["node_id"], keep_hash=True)
+    written = sinks.keyed_write(store.evolve(spark, stamped, spec.target, spec.ts_col, ["node_id"]),
                                 store.target(spec.target), spec.ts_col,
                                 days=days, count_by="node_id", count_values=nodes, grain=spec.partition_grain)
     if any(r["rejected"] for r in stats):

@@ -34,6 +34,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
+def existing_schema(spark: SparkSession, path: str, day_col: str = DAY_COL) -> T.StructType | None:
+    """Schema of a table without its day column; None if there is no table yet."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException:
+        return None
+    return T.StructType([f for f in found.fields if f.name != day_col])
+
+
 def load_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """SNK1 read side: NDJSON with an explicit schema, no inference, FAILFAST,
     timestamps at microsecond precision."""

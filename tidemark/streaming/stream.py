@@ -61,8 +61,8 @@ def stream_sync(spark: SparkSession, source_dir: str, schema: T.StructType, ts_c
             F.count(F.lit(1)).alias("pulled"), F.count("reason").alias("rejected"), F.min(ok).alias("lo"),
             F.max(ok).alias("hi")).collect()  # one row per shard
         valid = tagged.where(F.col("reason").isNull()).drop("reason", "_conversion_error")
-        written = sinks.keyed_write(stamp_synced(valid, ts_col, as_of, exclude=["node_id"], keep_hash=True),
-                                    store.target(target), ts_col, count_by="node_id",
+        stamped = stamp_synced(valid, ts_col, as_of, exclude=["node_id"], keep_hash=True)
+        written = sinks.keyed_write(store.evolve(spark, stamped, target, ts_col, ["node_id"]), store.target(target), ts_col, count_by="node_id",
                                     count_values=[r["node_id"] for r in stats]) if stats else {}
         if any(r["rejected"] for r in stats):
             quarantine_audit(tagged.where(F.col("reason").isNotNull()).drop("node_id"), table_id, 0, as_of, cycle=f"e{epoch}") \
