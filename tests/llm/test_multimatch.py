@@ -144,3 +144,24 @@ def test_parities_keep_pairs_at_the_threshold(spark):
     rows = [(1, base)] + [(2 + k, base + " " + prose(k, 300 + k)) for k in range(20, 45)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(multimatch.jaccard_components(df)) == brute(rows)
+
+
+def test_word_hashes_depend_on_the_word_alone_and_keep_nothing(monkeypatch):
+    """Equal words have equal hashes wherever they stand; words of all lengths differ; no table of words grows in a worker."""
+    import tracemalloc
+
+    words = [b"a" * i for i in range(1, 80)] + [b"b", b"ab", b"ba", "ä日".encode(), b"\x00", b"\x00\x00"]
+    raw = b"\x0b" + b" \t".join(words) + b"\n\r\x0c " + b" ".join(reversed(words))
+    for chunk in (1 << 15, 3):
+        monkeypatch.setattr(multimatch, "CHUNK", chunk)
+        h = multimatch.word_hashes(raw)
+        assert len(h) == 2 * len(words) and len(set(h.tolist())) == len(words) and (h == h[::-1]).all()
+        assert multimatch.word_hashes(words[40]) == h[40] and len(multimatch.word_hashes(b"")) == len(multimatch.word_hashes(b" \n")) == 0
+    monkeypatch.undo()
+    text = " ".join(f"word{i}" for i in range(100_000))
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    assert len(multimatch.shingles(text)) == 99_996
+    left = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert left < 1 << 20

@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import counter_slices, shuffle_parts, small_batches, staged
-from tidemark.llm.multimatch import FILTER_BITS, _HASHES, _id_cells, _mark, _mix, components
+from tidemark.llm.multimatch import FILTER_BITS, _id_cells, _mark, _mix, components, word_hashes
 
 WORDS_PER_SHINGLE = 2
 MIN_PERCENT = 80
@@ -74,12 +74,11 @@ _B = _rng.integers(0, 1 << 63, MINS, dtype=np.uint64)
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text.  Words end at the six ASCII white-space characters."""
-    words = (text or "").encode("utf-8").lower().split()
-    k = min(WORDS_PER_SHINGLE, len(words))
+    h = word_hashes((text or "").encode("utf-8").lower())
+    k = min(WORDS_PER_SHINGLE, len(h))
     if not k:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = len(words) - k + 1
+    n = len(h) - k + 1
     out = np.full(n, k, np.uint64)
     for i in range(k):
         out *= _MUL

@@ -69,50 +69,60 @@ MAX_LEVEL = 8
 ROUNDS = 3
 PARITY_BITS = 1024
 VERIFY_COST = 40.0  # of one candidate, in prefix rows
-CACHE_WORDS = 300_000
+SHORT = 32  # bytes of a word that is hashed by tables
+CHUNK = 1 << 15  # words hashed at once
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _WordHashes(dict):
-    """64-bit hash of each word, in two generations of bounded size."""
-
-    old: dict = {}
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX1
+    x = (x ^ (x >> np.uint64(27))) * _MIX2
+    return x ^ (x >> np.uint64(31))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.old = dict(self)
-            self.clear()
-        value = self.old.get(word)
-        if value is None:
-            value = xxhash.xxh3_64_intdigest(word)
-        self[word] = value
-        return value
 
+#: a random long for each byte at each place of a short word
+_TABLE = _mix(np.arange(1, SHORT * 256 + 1, dtype=np.uint64) * _MUL)
+_SPACE = np.array([i in b" \t\n\r\x0b\x0c" for i in range(256)])
 
-_HASHES = _WordHashes()
 
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hash of each word, in the order of the text.  Words end at the six ASCII white-space characters.
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX1
-    x = (x ^ (x >> np.uint64(27))) * _MIX2
-    return x ^ (x >> np.uint64(31))
+    A short word's hash is the sum of its bytes' longs (tabulation), found for
+    many words at once and without a table of words; long words, which are few, are hashed one by one."""
+    b = np.frombuffer(raw, np.uint8)
+    edges = np.flatnonzero(np.diff(_SPACE[b], prepend=True, append=True))
+    first, size = edges[::2], edges[1::2] - edges[::2]
+    out = np.empty(len(first), np.uint64)
+    long = np.flatnonzero(size > SHORT)
+    short = np.flatnonzero(size <= SHORT) if len(long) else np.arange(len(first))
+    for i in range(0, len(short), CHUNK):
+        now = short[i: i + CHUNK]
+        n = size[now]
+        at = np.cumsum(n) - n
+        place = np.arange(at[-1] + n[-1]) - np.repeat(at, n)
+        out[now] = np.add.reduceat(_TABLE[(place << 8) | b[place + np.repeat(first[now], n)]], at)
+    for i in long.tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[first[i]: first[i] + size[i]])
+    return out
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct shingle hashes of a whole text.  Words end at the six ASCII white-space characters."""
-    words = (text or "").encode("utf-8").lower().split()
-    k = min(WORDS_PER_SHINGLE, len(words))
+    """Sorted distinct shingle hashes of a whole text."""
+    h = word_hashes((text or "").encode("utf-8").lower())
+    k = min(WORDS_PER_SHINGLE, len(h))
     if not k:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = len(words) - k + 1
+    n = len(h) - k + 1
     out = np.full(n, k, np.uint64)
     for i in range(k):
         out *= _MUL
         out += h[i: i + n]
-    return np.unique(_mix(out))
+    out = _mix(out)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def links(a: np.ndarray, b: np.ndarray) -> bool:
