@@ -61,3 +61,33 @@ def test_odd_rows_and_empty_table(spark, both):
     assert got == {(r["doc_id"], len(i), " ".join(map(str, i))) for r in docs.collect()
                    for i in [both[1].encode(r["text"] or "") + [2]]}
     assert spm_backtrack.encode_documents(empty_documents(spark), PATH).collect() == []
+
+
+def test_a_text_with_a_new_stretch_is_looked_up_once(both):
+    """One unknown stretch must not send all stretches of its text through the cache again."""
+    enc, lib = both
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, k):
+            self.asked += 1
+            return super().get(k)
+
+        def __getitem__(self, k):
+            self.asked += 1
+            return super().__getitem__(k)
+
+        def __contains__(self, k):
+            self.asked += 1
+            return super().__contains__(k)
+
+    text = " ".join(["known"] * 1000)
+    enc.encode_text(text)
+    kept, enc.young = enc.young, Counting(enc.young)
+    try:
+        ids, decoded = enc.encode_text(text + " qqzzkvx")
+        assert enc.young.asked < 1100
+    finally:
+        enc.young = kept
+    assert decoded == text + " qqzzkvx" and list(map(int, ids.split())) == lib.encode(decoded) + [lib.eos_id()]

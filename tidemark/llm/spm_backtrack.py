@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import small_batches, worker_caches
 
 SPACE = "▁"
 CACHE_STRETCHES = 300_000  # per generation
@@ -169,39 +169,37 @@ class BacktrackingEncoder:
     def tokens(self, text: str) -> list[str]:
         """The merge result of a non-empty stretch, by backtracking."""
         n = len(text)
-        starts: dict[int, list[int]] = {}
+        starts = [[1] for _ in range(n)]
         for last, size in self.automaton.iter(text):
-            starts.setdefault(last - size + 1, []).append(size)
-        failed = bytearray((n >> 3) + 1)
-        borders, choice = [0], [0]  # borders[i]: where token i starts; choice[i]: next size to try there
+            starts[last - size + 1].append(size)  # ends ascend, so the sizes of a start do
+        failed, stuck = bytearray((n >> 3) + 1), False
+        borders, left = [0], [len(starts[0])]  # borders[i]: where token i starts; left[i]: how many sizes are left to try there
         out: list[str] = []
-        at = 0
+        at, before, known = 0, "", self.pairs.get
         while at < n:
-            sizes = starts.get(at)
-            if sizes is None:
-                sizes = starts[at] = [1]
-            elif sizes[-1] != 1:
-                sizes.sort(reverse=True)
-                sizes.append(1)
-            before = out[-1] if out else ""
-            for k in range(choice[-1], len(sizes)):
+            sizes, k = starts[at], left[-1]
+            while k:
+                k -= 1
                 end = at + sizes[k]
-                if failed[end >> 3] >> (end & 7) & 1:
+                if stuck and failed[end >> 3] >> (end & 7) & 1:
                     continue
                 token = text[at:end]
-                if self.compatible(before, token):
-                    choice[-1] = k + 1
+                fits = known((before, token))
+                if self.compatible(before, token) if fits is None else fits:
+                    left[-1] = k
                     out.append(token)
                     borders.append(end)
-                    choice.append(0)
-                    at = end
+                    if end < n:
+                        left.append(len(starts[end]))
+                    at, before = end, token
                     break
             else:
+                stuck = True
                 failed[at >> 3] |= 1 << (at & 7)
                 borders.pop()
-                choice.pop()
+                left.pop()
                 out.pop()
-                at = borders[-1]
+                at, before = borders[-1], out[-1] if out else ""
         return out
 
     def token_ids(self, token: str) -> list[int]:
@@ -224,7 +222,7 @@ class BacktrackingEncoder:
                 out.append(pending.decode("utf-8", "replace"))
                 pending.clear()
             if kind == NORMAL:
-                out.append(text.replace(SPACE, " "))
+                out.append(text.replace(SPACE, " ") if SPACE in text else text)
             elif kind == UNKNOWN:
                 out.append(f" {SPACE}⁇ "[0] + "⁇ ")
         if pending:
@@ -240,17 +238,17 @@ class BacktrackingEncoder:
             return ""
         return (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE)
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
+        """Put ``new`` stretches, which the young generation lacks, into it."""
         if len(self.young) > CACHE_STRETCHES:
             self.old, self.young = self.young, {}
-        for s in parts:
-            if s not in self.young:
-                kept = self.old.get(s)
-                if kept is None:
-                    ids = [i for t in self.tokens(s) for i in self.token_ids(t)]
-                    kept = " ".join(map(str, ids))
-                    self.faithful = self.faithful and self.decode_pieces(ids) == s.replace(SPACE, " ")
-                self.young[s] = kept
+        for s in new:
+            kept = self.old.get(s)
+            if kept is None:
+                ids = [i for t in self.tokens(s) for i in self.token_ids(t)]
+                kept = " ".join(map(str, ids))
+                self.faithful = self.faithful and self.decode_pieces(ids) == s.replace(SPACE, " ")
+            self.young[s] = kept
 
     def encode_text(self, text: str) -> tuple[str, str]:
         """(ids with the end id, joined by one space; decoded text).
@@ -260,11 +258,12 @@ class BacktrackingEncoder:
         pieces), the decoded text is the normalised one."""
         text = self.normalise(text)
         parts = self.stretch(text)
-        try:
-            known = list(map(self.young.__getitem__, parts))
-        except KeyError:
-            self._learn(parts)
-            known = list(map(self.young.__getitem__, parts))
+        known = list(map(self.young.get, parts))
+        if None in known:
+            missing = [i for i, ids in enumerate(known) if ids is None]
+            self._learn({parts[i] for i in missing})
+            for i in missing:
+                known[i] = self.young[parts[i]]
         known.append(str(self.end_id))
         ids = " ".join(known)
         if not self.faithful:
@@ -277,13 +276,11 @@ class BacktrackingEncoder:
         return [i for s in self.stretch(self.normalise(text)) for t in self.tokens(s) for i in self.token_ids(t)]
 
 
-_ENCODERS: dict[str, BacktrackingEncoder] = {}
-
-
 def encoder(path: str) -> BacktrackingEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = BacktrackingEncoder(path)
-    return _ENCODERS[path]
+    kept = worker_caches("pieces")
+    if path not in kept:
+        kept[path] = BacktrackingEncoder(path)
+    return kept[path]
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
