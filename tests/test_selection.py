@@ -68,3 +68,22 @@ def test_hash_random_samples_find_differences_anywhere(spark):
     assert reconcile.sampled_differences(source.limit(0), target.limit(0), "ts", 5).count() == 0
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "TakeOrdered" not in plan and "Exchange" not in plan
+
+
+def test_hash_random_samples_compute_each_key_once(spark):
+    """Keys are hashes of whole records: passes and filters must not compute them again."""
+    from pyspark.sql import types as T
+
+    from tidemark.operators import reconcile
+
+    asked = spark.sparkContext.accumulator(0)
+
+    def key(i):
+        asked.add(1)
+        return i
+
+    source = spark.range(3000).select(F.udf(key, T.LongType())("id").alias("id"), F.timestamp_seconds("id").alias("ts"))
+    target = spark.range(3000).where("id % 10 != 7").select("id", F.timestamp_seconds("id").alias("ts"))
+    found = reconcile.sampled_differences(source, target, "ts", 300).collect()
+    assert found and all(r["id"] % 10 == 7 and r["issue"] == "missing_record" for r in found)
+    assert asked.value == 3000

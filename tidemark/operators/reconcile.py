@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import shard_of
 from tidemark.operators.filters import recent_filter, shard_predicate, ts_lit
 from tidemark.operators.selection import kth_smallest
+from tidemark.session import scratch_path
 
 
 def newest_sample(df: DataFrame, ts_col: str, n: int | None, key: str = "id") -> DataFrame:
@@ -35,15 +36,21 @@ def hash_samples(source_keys: DataFrame, target: DataFrame, ts_col: str, n: int,
     side is in the sample exactly if its copy on the other side would be: what
     one sample lacks, its table lacks, wherever in time it lies.
 
-    The bound is found by counting (bottom-k as a partial aggregate, see
+    Keys may be hashes of whole records and filters would compute them again
+    and again, so key, time and hash of each row are written once.  The bound
+    is found there by counting (bottom-k as a partial aggregate, see
     ``selection``): neither table is sorted or moved, and ids that occur on both
     sides or repeatedly count once per row."""
-    rank = hash_rank(key, seed)
-    s, t = source_keys.where(F.col(key).isNotNull()), target.where(F.col(key).isNotNull())
-    both = s.select(rank.alias("_r")).unionAll(t.select(rank.alias("_r")))
-    bound = kth_smallest(both, F.col("_r"), 2 * n).get(0)
-    inside = rank <= F.lit(bound) if bound is not None else F.lit(False)
-    return s.where(inside).select(key, ts_col), t.where(inside).select(key, ts_col)
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(key, ts_col, hash_rank(key, seed).alias("_r"), F.lit(name).alias("_side"))
+
+    both = side(source_keys, "s").unionByName(side(target, "t"))
+    path = scratch_path(both.sparkSession, "hash-ranks")
+    both.write.parquet(path)
+    ranked = both.sparkSession.read.schema(both.schema).parquet(path)
+    bound = kth_smallest(ranked, F.col("_r"), 2 * n).get(0)
+    inside = ranked.where(F.col("_r") <= F.lit(-1 if bound is None else bound))  # ranks are not negative
+    return tuple(inside.where(F.col("_side") == x).select(key, ts_col) for x in ("s", "t"))
 
 
 def sampled_differences(source_keys: DataFrame, target: DataFrame, ts_col: str, n: int, key: str = "id",
