@@ -40,3 +40,22 @@ def test_odd_rows_pass_every_stage(spark):
 
 def test_run_has_the_stages(spark):
     assert [n for n, _ in cp.STAGES] == ["quality", "exact_dedup", "near_dedup", "packing"]
+
+
+def test_a_worker_holds_one_operators_caches():
+    """Spark gives a Python worker to one stage after another: what an earlier stage kept there goes."""
+    from tidemark.llm import common, harmonic, spm_backtrack
+    from tidemark.llm.queries import tokenizer_path
+
+    words = harmonic.encoder(tokenizer_path("byte_bpe_50k.json"))
+    assert harmonic.encoder(tokenizer_path("byte_bpe_50k.json")) is words  # kept from task to task
+    spm_backtrack.encoder(tokenizer_path("piece_bpe_32k.model"))
+    assert list(common._CACHES) == ["pieces"]
+    common.worker_caches("links")
+    assert common._CACHES == {"links": {}}
+
+
+def test_scoring_takes_one_python_worker_per_task(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plan = cp.quality(spark, docs, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, staged
+from tidemark.llm.common import small_batches, staged, worker_caches
 
 CAPACITY = 1024
 EXACT = (2, 4, 8)
@@ -157,13 +157,11 @@ class WordEncoder:
                 yield self._raw(first) + b"".join(rest)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    kept = worker_caches("packing")
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, exact: tuple[int, ...] = EXACT) -> list[int]:

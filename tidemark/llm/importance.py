@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import counter_slices, kth_largest, small_batches, staged
+from tidemark.llm.common import counter_slices, kth_largest, small_batches, staged, worker_caches
 
 BITS = 20
 GRAM = 5
@@ -131,7 +131,7 @@ class Resampler:
         self.ratio, self.cuts, self.cut = ratio, cuts, cut
 
     def key(self, weight: Column, lang: Column, noise: Column) -> Column:
-        return weight + noise if self.cuts is None else weight - cut_udf(self.cuts)(lang) + noise
+        return weight + noise if self.cuts is None else weight - cut_of(self.cuts, lang) + noise
 
 
 def _labelled(labels: DataFrame) -> DataFrame:
@@ -145,19 +145,20 @@ def _labelled(labels: DataFrame) -> DataFrame:
 def weight_udf(ratio_broadcast):
     @F.pandas_udf(T.DoubleType())
     def weigh(texts):
+        worker_caches("importance")
         table = ratio_broadcast.value
         return texts.map(lambda t: worst_window(table[grams(t)]))
 
     return weigh
 
 
-def cut_udf(cuts_broadcast):
-    @F.pandas_udf(T.DoubleType())
-    def cut_of(langs):
-        cuts, other = cuts_broadcast.value
-        return langs.map(lambda x: cuts.get(x, other)).astype(float)
-
-    return cut_of
+def cut_of(cuts: tuple[dict[str, float], float], lang: Column) -> Column:
+    """The cut of a language: a column without Python, so that scoring takes one Python worker per task and not two."""
+    own, other = cuts
+    if not own:
+        return F.lit(other)
+    known = F.create_map(*[F.lit(x) for pair in sorted(own.items()) for x in pair])
+    return F.coalesce(F.try_element_at(known, lang), F.lit(other))
 
 
 def _lang(docs: DataFrame) -> Column:
@@ -180,6 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple["Resampler", DataFrame | No
         F.broadcast(target.select(F.col("label_id").alias("doc_id"), F.lit(1).alias("hit"))), "doc_id", "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        worker_caches("importance")
         cells = np.zeros(2 << BITS, np.int64)
         for b in batches:
             hits = b.column(1).to_pylist()
@@ -206,14 +208,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple["Resampler", DataFrame | No
     own = hist.groupBy("lang").agg(*[F.sum(F.when(F.col("good") == g, F.col("count"))).alias(f"n{g}") for g in (0, 1)])
     own = own.where((F.col("n0") >= LEAST) & (F.col("n1") >= LEAST)).select("lang")
 
-    def cut_of(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+    def cut_in(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": [key[0]], "cell": [best_cut(cells.to_dict("records"))]})
 
-    found = hist.join(own, "lang").groupBy("lang").applyInPandas(cut_of, "lang string, cell int").collect()  # a row per language
+    found = hist.join(own, "lang").groupBy("lang").applyInPandas(cut_in, "lang string, cell int").collect()  # a row per language
     cuts = {r["lang"]: span["lo"] + step * r["cell"] for r in found}
     other = span["lo"] + step * best_cut(hist.groupBy("good", "cell").agg(F.sum("count").alias("count")).collect())
-    model = Resampler(ratio, spark.sparkContext.broadcast((cuts, other)))
-    k = scored.where(F.col("log_weight") >= cut_udf(model.cuts)("lang")).count()
+    model = Resampler(ratio, (cuts, other))
+    k = scored.where(F.col("log_weight") >= cut_of(model.cuts, F.col("lang"))).count()
     key = scored.select(model.key(F.col("log_weight"), F.col("lang"), F.col("noise")).alias("key"))
     model.cut = kth_largest(key, "key", k)
     return model, scored

@@ -59,7 +59,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import counter_slices, small_batches, staged
+from tidemark.llm.common import counter_slices, small_batches, staged, worker_caches
 
 WORDS_PER_SHINGLE = 5
 MIN_PERCENT = 75
@@ -188,6 +188,7 @@ def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
     """Per document: set size, class, level and prefix (the prefix once per class and task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_caches("links")
         counters, noise = counters_broadcast.value
         seen: set[int] = set()
         for b in batches:
@@ -219,6 +220,7 @@ def _profiles(docs: DataFrame, counters_broadcast) -> DataFrame:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    worker_caches("links")
     cells = np.zeros(1 << COUNTER_BITS, np.int64)
     for b in batches:
         found = [_cells(shingles(t)) for t in b.column(0).to_pylist()]
@@ -259,6 +261,7 @@ def _texts(docs: DataFrame, candidates: DataFrame, classes: DataFrame) -> DataFr
 def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) of classes that link, by their whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_caches("links")
         last, last_set = None, None
         for b in batches:
             ok = []

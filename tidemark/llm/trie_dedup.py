@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shuffle_parts, small_batches, staged
+from tidemark.llm.common import shuffle_parts, small_batches, staged, worker_caches
 
 BUDGET_BYTES = 96 << 20
 BATCH_ROWS = 1024
@@ -143,6 +143,7 @@ def trie_dedup(docs: DataFrame, owner: str = "largest", budget_bytes: int = BUDG
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        worker_caches("trie")
         base = TaskContext.get().partitionId() << 38
         for b in batches:
             trie, rows = PatriciaTrie(), []
@@ -200,6 +201,7 @@ _SOLVED = "term long, keep_id long, group_size long, terms array<long>, folded b
 
 def _owners(largest: bool, budget: int):
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_caches("trie")
         trie, cut = PatriciaTrie(), []
         for b in batches:
             out: list[tuple] = []
