@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tests.llm.fixtures import empty_documents, odd_documents, prose
@@ -117,3 +118,49 @@ def test_recall_of_trees_and_sketch():
         kept += (nodes[0] == nodes[1]).any(1).mean()
         passed += (both[0].astype(np.uint8) == both[1].astype(np.uint8)).sum() >= cp.LEAST_EQUAL
     assert abs(kept / n - 0.96) < 0.01 and passed == n
+
+
+def test_few_bytes_are_kept_and_moved(spark, monkeypatch):
+    """Per class: its minima once, the sketch twice, half sketches to the nodes of the first level, and texts instead of sets."""
+    rows = near_group(30) + [(5000 + i, prose(60, i)) for i in range(70)]
+    data = lambda df: df.select([F.octet_length(c).alias(c) for c, t in df.dtypes if t in ("binary", "string")])
+    total = lambda df: sum(x or 0 for r in data(df).collect() for x in r)
+    kept, nodes, verified = [], [], []
+    staged, partners, confirm = cp.staged, cp._partners, cp._verified
+
+    def keep(df, name):
+        out = staged(df, name)
+        kept.append(total(out))
+        return out
+
+    def meet(members):
+        nodes.append(max(x for r in data(members).collect() for x in r))
+        return partners(members)
+
+    def check(pairs, whole):
+        verified.append(total(whole))
+        return confirm(pairs, whole)
+
+    monkeypatch.setattr(cp, "staged", keep)
+    monkeypatch.setattr(cp, "_partners", meet)
+    monkeypatch.setattr(cp, "_verified", check)
+    assert got(cp.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows)
+    assert max(nodes) <= cp.MINS // 2
+    assert sum(kept) <= len(rows) * (2 * cp.MINS + 4 * cp.WIDTH * (cp.LEVELS + 1))
+    assert 0 < max(verified) <= sum(len(t.encode()) for _, t in rows)
+
+
+def test_low_halves_lose_no_equal_byte():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 256, (2, 50, cp.MINS)).astype(np.uint8)
+    b[rng.random(b.shape) < 0.6] = 7
+    a[rng.random(a.shape) < 0.6] = 7
+    x, y = (cp._unpacked(cp._halves(s)) for s in (a, b))
+    assert (x == a & 15).all() and ((a == b).sum(1) <= (x == y).sum(1)).all()
+
+
+def test_the_smallest_id_of_a_batch_stands_for_its_class(spark):
+    """Its text is fetched, also when other rows of the class come first and other texts share the id."""
+    same = prose(80, 31)
+    rows = [(900, same), (40, same.upper()), (500, same), (40, prose(50, 32)), (7, same + " x"), (3, "  " + same + " y")]
+    assert got(cp.near_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))) == brute(rows)

@@ -15,7 +15,9 @@ that a tree keeps it to depth d with 0.96**d, and all six trees miss it with
 probability 4e-9 at depth 1, 5e-7 at depth 2 and 1e-4 at depth 6; more similar
 pairs are missed far less.  Exhaustive comparison first looks at ``MINS`` sketch
 bytes: a pair passes with at least ``LEAST_EQUAL`` equal ones, which one with
-J = 0.8 misses with probability 2e-7.
+J = 0.8 misses with probability 2e-7.  To the nodes of the first level, where every
+class goes ``TREES * BRANCH`` times, only the low half of each byte travels: equal
+bytes have equal halves, so that no pair is missed that the bytes let pass.
 
 Work per group of copies.  Documents with equal sets are one class.
 
@@ -32,7 +34,9 @@ Work per group of copies.  Documents with equal sets are one class.
    or where a node has very many, all pairs of the node at once as a product of
    matrices.
 
-Full sets come from whole texts.  Equal 64-bit hashes are taken as equal.
+Full sets come from whole texts, where they are compared: a text takes less room
+than its set, so texts travel.  Minima stay with the profiles; each level takes its own
+few from there.  Equal 64-bit hashes are taken as equal.
 
 Defined results: a null or empty text, or one of white space, has no shingles and
 is a component of its own; a text of one word is the set of that word; rows with
@@ -53,12 +57,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import counter_slices, shuffle_parts, small_batches, staged
-from tidemark.llm.multimatch import FILTER_BITS, _id_cells, _mark, _mix, components, word_hashes
+from tidemark.llm.common import shuffle_parts, small_batches, staged
+from tidemark.llm.multimatch import _mix, _texts, components, word_hashes
 
 WORDS_PER_SHINGLE = 2
 MIN_PERCENT = 80
 TREES, LEVELS, BRANCH = 6, 6, 2
+WIDTH = TREES * BRANCH  # minima that all trees pick from at one level
 MINS = 128
 LEAST_EQUAL = 80
 LIMIT = 1024
@@ -110,50 +115,65 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def children(keys: np.ndarray, trees: np.ndarray, mins: np.ndarray, level: int) -> np.ndarray:
-    """(rows, BRANCH) names of the nodes that follow ``keys`` at ``level`` (from 0)."""
+    """(rows, BRANCH) names of the nodes that follow ``keys`` at ``level`` (from 0);
+    ``mins``: a set's minima in each row, all or the ``WIDTH`` ones of the level."""
     out = []
     for j in range(BRANCH):
-        f = (trees * LEVELS + level) * BRANCH + j
-        picked = mins[np.arange(len(mins)), f].astype(np.uint64)
+        f = level * WIDTH + trees * BRANCH + j
+        picked = mins[np.arange(len(mins)), f % mins.shape[1]].astype(np.uint64)
         out.append(_mix((keys * _MUL + f.astype(np.uint64)) * _MUL + picked))
     return np.stack(out, 1)
 
 
 # ------------------------------------------------------------------- stages
 
-_DOC = "doc_id long, n long, cls long, mins binary"
+_DOC = "doc_id long, n long, cls long, text_hash long, sketch binary, mins binary"
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """Per document: set size, class and minima (once per class and batch)."""
+    """Per document: set size and class; once per class and batch, with its
+    smallest doc_id there: the sketch and the minima by level."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ns, classes, mins, seen = [], [], [], set()
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            ids, ns, classes, held, found = b.column(0).to_pylist(), [], [], {}, {}
+            for k, (doc_id, text) in enumerate(zip(ids, b.column(1).to_pylist())):
                 s = shingles(text)
                 c = class_of(s)
-                new = len(s) > 0 and doc_id is not None and c not in seen
-                seen.add(c)
                 ns.append(len(s))
                 classes.append(c)
-                mins.append(minima(s).tobytes() if new else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()),
-                                              pa.array(mins, pa.binary())], names=["doc_id", "n", "cls", "mins"])
+                if not len(s) or doc_id is None:
+                    continue
+                if c not in held:
+                    m = minima(s)
+                    found[c] = m.astype(np.uint8).tobytes(), m[: LEVELS * WIDTH].tobytes()
+                if c not in held or doc_id < ids[held[c]]:
+                    held[c] = k
+            sketches, mins = [None] * len(ids), [None] * len(ids)
+            for c, k in held.items():
+                sketches[k], mins[k] = found[c]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), b.column(2), pa.array(sketches, pa.binary()),
+                 pa.array(mins, pa.binary())], names=["doc_id", "n", "cls", "text_hash", "sketch", "mins"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, _DOC)
 
-    return docs.mapInArrow(run, _DOC)
+
+def _of_level(level: int):
+    """The minima that the trees pick from at one level."""
+    return F.expr(f"substring(mins, {1 + 4 * WIDTH * level}, {4 * WIDTH})")
 
 
 _NODE = "tree int, key long, cls long"
 
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
-    """Children of (tree, key, cls, mins); at level 0 of the roots: (cls, mins)."""
+    """Children of (tree, key, cls, mins), the minima of that level; at level 0 of the roots: (cls, mins)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             cls = b.column("cls").to_numpy()
-            mins = np.frombuffer(b"".join(b.column("mins").to_pylist()), np.uint32).reshape(-1, MINS)
+            mins = np.frombuffer(b"".join(b.column("mins").to_pylist()), np.uint32).reshape(-1, WIDTH)
             if level:
                 trees, keys = b.column("tree").to_numpy().astype(np.int64), b.column("key").to_numpy().view(np.uint64)
             else:
@@ -183,7 +203,7 @@ def _chunked(large: DataFrame) -> DataFrame:
     return large.select(F.xxhash64("key", F.lit("part"), _chunk(F.col("size"), F.col("cls"))[0]).alias("key"), "cls")
 
 
-def _deeper(large: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
+def _deeper(large: DataFrame, profiles: DataFrame, label: DataFrame) -> DataFrame:
     """(key, cls, label): small nodes that hold every pair between different
     components of large first-level nodes (tree, key, cls): see steps 2 and 3."""
     out, rows = [], large.select("tree", "key", "cls")
@@ -204,7 +224,8 @@ def _deeper(large: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame
         if level == LEVELS - 1:
             out.append(_split(far.select("key", "cls", "size")).join(label, "cls").select("key", "cls", "label"))
             break
-        sized = _sized(_branch(far.select("tree", "key", "cls").join(classes.select("cls", "mins"), "cls"), level + 1), f"paths-{level + 1}")
+        mins = profiles.where("mins is not null").groupBy("cls").agg(F.max(_of_level(level + 1)).alias("mins"))
+        sized = _sized(_branch(far.select("tree", "key", "cls").join(mins, "cls"), level + 1), f"paths-{level + 1}")
         out.append(sized.where(F.col("size") <= LIMIT).join(label, "cls").select("key", "cls", "label"))
         rows = sized.where(F.col("size") > LIMIT).select("tree", "key", "cls")
         if rows.isEmpty():
@@ -243,12 +264,21 @@ def _alike(sketches: np.ndarray, sizes: np.ndarray, label: np.ndarray, rows: sli
     return equal
 
 
+def _halves(sketches: np.ndarray) -> np.ndarray:
+    """The low halves of sketch bytes, two to a byte."""
+    return (sketches[:, ::2] & 15) | (sketches[:, 1::2] << 4)
+
+
+def _unpacked(halves: np.ndarray) -> np.ndarray:
+    return np.stack([halves & 15, halves >> 4], 2).reshape(len(halves), -1)
+
+
 _PARTNER = "key long, cls long, other long, equal int"
 
 
 def _partners(members: DataFrame) -> DataFrame:
-    """In each small node (key, cls, n, label, sketch): the classes that have a
-    candidate with another label there, each with its most similar one."""
+    """In each small node (key, cls, n, half): the classes that have a candidate
+    there, by the low halves of their sketches, each with its most similar one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
 
@@ -257,14 +287,14 @@ def _partners(members: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
                                               names=["key", "cls", "other", "equal"])
 
-        for key, g in _grouped(batches, ["cls", "n", "label", "sketch"]):
+        for key, g in _grouped(batches, ["cls", "n", "half"]):
             if len(g["cls"]) < 2:
                 continue
             order = np.argsort(g["cls"], kind="stable")  # ties: the smallest class
             cls, sizes = np.array(g["cls"], np.int64)[order], np.array(g["n"], np.int64)[order]
-            sketches, label = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS)[order], np.array(g["label"], np.int64)[order]
+            sketches = _unpacked(np.frombuffer(b"".join(g["half"]), np.uint8).reshape(-1, MINS // 2)[order])
             for i in range(0, len(cls), 128):
-                equal = _alike(sketches, sizes, label, slice(i, i + 128))
+                equal = _alike(sketches, sizes, cls, slice(i, i + 128))
                 best = equal.argmax(1)
                 top = equal[np.arange(len(equal)), best]
                 for k in np.flatnonzero(top >= LEAST_EQUAL):
@@ -307,44 +337,17 @@ def _candidates(members: DataFrame) -> DataFrame:
     return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, _CANDIDATE)
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, s): the full sets of the wanted classes (cls, rep), one document for
-    each; of several texts with that document's id the one of the class."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cls, out = b.column("cls").to_pylist(), []
-            for c, text in zip(cls, b.column("text").to_pylist()):
-                s = shingles(text)
-                out.append(s.tobytes() if class_of(s) == c else None)
-            keep = pa.array([x is not None for x in out])
-            yield pa.RecordBatch.from_arrays([b.column("cls").filter(keep), pa.array(out, pa.binary()).filter(keep)], names=["cls", "s"])
-
-    wanted = staged(wanted.select(F.col("rep").alias("doc_id"), "cls"), "wanted")
-    bits = np.packbits(counter_slices(wanted, ["doc_id"], _mark, 1 << FILTER_BITS) > 0)
-    bits = docs.sparkSession.sparkContext.broadcast(bits)  # 2**FILTER_BITS bits: few other texts enter the join
-
-    @F.pandas_udf("boolean")
-    def maybe(ids: pd.Series) -> pd.Series:
-        at = _id_cells(ids.fillna(0).to_numpy())
-        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
-
-    near = docs.where(F.col("doc_id").isNotNull() & maybe("doc_id"))
-    found = near.join(wanted, "doc_id").select("cls", "text")
-    return staged(found.mapInArrow(run, "cls long, s binary").dropDuplicates(["cls"]), "full-sets")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link.  A set ``a`` travels once per ``VERIFY_BLOCK``
-    partners, and a class with very many partners is spread over tasks."""
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by the full sets of their texts.  A text ``a`` travels
+    once per ``VERIFY_BLOCK`` partners, and a class with very many partners is spread over tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, None
         for b in batches:
             out = []
-            for a, other, lane, s in zip(*[b.column(c).to_pylist() for c in ("a", "b", "lane", "s")]):
-                s = np.frombuffer(s, np.uint64)
+            for a, other, lane, text in zip(*[b.column(c).to_pylist() for c in ("a", "b", "lane", "text")]):
                 if other is None:
-                    now, own = (a, lane), s
-                elif (a, lane) == now and links(own, s):
+                    now, own = (a, lane), shingles(text)
+                elif (a, lane) == now and links(own, shingles(text)):
                     out.append((a, other))
             cols = list(zip(*out)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
@@ -352,17 +355,17 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     spark = pairs.sparkSession
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(VERIFY_BLOCK)).cast("int").alias("lanes"))
     laned = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("lanes")).cast("int").alias("lane"))
-    theirs = laned.join(sets.select(F.col("cls").alias("b"), "s"), "b").select("a", "b", "lane", "s")
-    own = many.join(sets.select(F.col("cls").alias("a"), "s"), "a").select(
-        "a", F.lit(None).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "s")
+    theirs = laned.join(texts.select(F.col("cls").alias("b"), "text"), "b").select("a", "b", "lane", "text")
+    own = many.join(texts.select(F.col("cls").alias("a"), "text"), "a").select(
+        "a", F.lit(None).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "text")
     rows = theirs.unionByName(own).repartition(shuffle_parts(spark), "a", "lane")
     return rows.sortWithinPartitions("a", "lane", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long")
 
 
 def _rest(members: DataFrame) -> DataFrame:
-    """Links between the components of each node, exhaustively: (key, cls, n, label, sketch, s)."""
+    """Links between the components of each node, exhaustively: (key, cls, n, label, sketch, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, g in _grouped(batches, ["cls", "n", "label", "sketch", "s"]):
+        for _, g in _grouped(batches, ["cls", "n", "label", "sketch", "text"]):
             sizes, label = np.array(g["n"], np.int64), np.array(g["label"], np.int64)
             sketches = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS)
             m = len(sizes)
@@ -370,7 +373,7 @@ def _rest(members: DataFrame) -> DataFrame:
             for i in range(0, m, 128):
                 candidate[i: i + 128] = _alike(sketches, sizes, label, slice(i, i + 128)) >= LEAST_EQUAL
             x, y = np.nonzero(np.triu(candidate))
-            sets = [np.frombuffer(s, np.uint64) for s in g["s"]]
+            sets = [shingles(t) for t in g["text"]]
             # two ways to the same counts: by pair, or for all pairs at once where most of them are candidates
             common = _common_of_all(sets)[x, y] if len(x) > 8 * m else _common_of_pairs(sets, x, y)
             linked = 100 * common >= MIN_PERCENT * (sizes[x] + sizes[y] - common)
@@ -445,27 +448,28 @@ def near_components(docs: DataFrame) -> DataFrame:
     profiles = staged(_profiles(docs), "profiles")
     slim = profiles.select("doc_id", "n", "cls")
     known = slim.where("n > 0 and doc_id is not null")
-    classes = staged(profiles.where("mins is not null").groupBy("cls").agg(
-        F.max("n").alias("n"), F.min("doc_id").alias("rep"), F.max("mins").alias("mins")), "classes")
-    reps = staged(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "reps")
+    classes = profiles.where("mins is not null").groupBy("cls").agg(
+        F.max("n").alias("n"), F.min(F.struct("doc_id", "text_hash")).alias("r"), F.max("sketch").alias("sketch"), F.max(_of_level(0)).alias("mins"))
+    classes = staged(classes.select("cls", "n", F.col("r.doc_id").alias("rep"), F.col("r.text_hash").alias("text_hash"), "sketch", "mins"), "classes")
+    sketches, reps = classes.select("cls", "n", "sketch"), classes.select("cls", "rep", "text_hash")
 
     @F.pandas_udf("binary")
-    def sketch(mins):
-        return mins.map(lambda m: np.frombuffer(m, np.uint32).astype(np.uint8).tobytes())
+    def half(sketch: pd.Series) -> pd.Series:
+        rows = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, MINS)
+        return pd.Series([x.tobytes() for x in _halves(rows)], sketch.index, object)
 
-    sketches = staged(classes.select("cls", "n", sketch("mins").alias("sketch")), "sketches")
     paths = _sized(_branch(classes.select("cls", "mins"), 0), "paths-0")
     small, large = paths.where(F.col("size") <= LIMIT).select("key", "cls"), paths.where(F.col("size") > LIMIT)
 
     # 1. every class and its best partner
-    first = small.unionAll(_chunked(large)).join(sketches, "cls").withColumn("label", F.col("cls"))
+    first = small.unionAll(_chunked(large)).join(classes.select("cls", "n", half("sketch").alias("half")), "cls")
     partners = staged(_partners(first), "partners")
     best = partners.groupBy("cls").agg(F.max(F.struct("equal", (-F.col("other")).alias("o"))).alias("b"))
     pairs = best.select("cls", (-F.col("b.o")).alias("other"))
     pairs = staged(pairs.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct(), "best")
     paired = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
-    sets = _full_sets(docs, reps.join(paired, "cls"))
-    found = staged(_verified(pairs, sets), "best-links")
+    texts = _texts(docs, paired, reps)
+    found = staged(_verified(pairs, texts), "best-links")
 
     # 2., 3. what the first links leave in different components
     label = lambda edges: reps.select("cls").join(components(edges), F.col("cls") == F.col("node"), "left").select(
@@ -473,16 +477,16 @@ def near_components(docs: DataFrame) -> DataFrame:
     now = staged(label(found), "labels")
     open_ = partners.select("key", "cls").join(now, "cls").select("key", "cls", "label")
     if not large.isEmpty():
-        open_ = open_.unionAll(_deeper(large, classes, now))
+        open_ = open_.unionAll(_deeper(large, profiles, now))
     open_ = _mixed(staged(open_, "open"))
     cross = staged(_candidates(open_.join(sketches, "cls")), "cross")
     rest = cross.where("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "rest")  # a pair counts once, however many nodes it meets in
     more = cross.select("cls").unionAll(rest.select("b")).distinct().join(paired, "cls", "left_anti")
-    sets = sets.unionAll(_full_sets(docs, reps.join(more, "cls")))
-    found = found.unionAll(staged(_verified(rest, sets), "pair-links"))
+    texts = texts.unionAll(_texts(docs, more, reps))
+    found = found.unionAll(staged(_verified(rest, texts), "pair-links"))
     dense = cross.where("other is null").select("key", "cls")
-    found = found.unionAll(staged(_rest(dense.join(now, "cls").join(sketches, "cls").join(sets, "cls")), "rest-links"))
+    found = found.unionAll(staged(_rest(dense.join(now, "cls").join(sketches, "cls").join(texts, "cls")), "rest-links"))
 
     same_id = known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("doc_id", "a")
     same_id = known.join(same_id, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")).distinct()
