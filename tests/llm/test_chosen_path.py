@@ -164,3 +164,48 @@ def test_the_smallest_id_of_a_batch_stands_for_its_class(spark):
     same = prose(80, 31)
     rows = [(900, same), (40, same.upper()), (500, same), (40, prose(50, 32)), (7, same + " x"), (3, "  " + same + " y")]
     assert got(cp.near_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))) == brute(rows)
+
+
+def test_candidates_and_close_pairs_of_a_node():
+    """By blocks of rows and the upper half only; parities drop no pair that links, and many that do not."""
+    rng, sets = np.random.default_rng(9), []
+    for _ in range(300):
+        base = sets[rng.integers(len(sets))] if len(sets) > 20 else rng.integers(0, 1 << 63, 150, dtype=np.uint64) * np.uint64(2)
+        keep = base[rng.random(len(base)) > rng.random() * 0.3]
+        sets.append(np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(1, 40), dtype=np.uint64)])))
+    sizes, label = np.array([len(s) for s in sets]), rng.integers(0, 200, len(sets))
+    sketches = np.stack([cp.minima(s).astype(np.uint8) for s in sets])
+    some = [(i, j) for i in range(300) for j in range(i + 1, 300) if label[i] != label[j] and cp.fits(sizes[i], sizes[j])]
+    want = [(i, j) for i, j in some if (sketches[i] == sketches[j]).sum() >= cp.LEAST_EQUAL]
+    x, y = cp._candidate_pairs(sketches, sizes, label)
+    assert list(zip(x.tolist(), y.tolist())) == want and len(want) > 50
+    x, y = (np.array(c) for c in zip(*some))
+    near = set(zip(*(c.tolist() for c in cp._close(sets, sizes, x, y))))
+    linked = {p for p in some if cp.links(sets[p[0]], sets[p[1]])}
+    assert linked and linked <= near and len(near) < len(want)
+
+
+def test_last_components_are_found_between_the_first_ones(spark, monkeypatch):
+    """The second time only links between components of the first time are left, and no class is connected again."""
+    seen, find = [], cp.components
+
+    def count(edges):
+        seen.append([(r["a"], r["b"]) for r in edges.collect()])
+        return find(edges)
+
+    monkeypatch.setattr(cp, "components", count)
+    rows = documents()
+    assert got(cp.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows)
+    first, last = seen
+    root = {x: x for e in first + last for x in e}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in first:
+        root[top(a)] = top(b)
+    assert last and all(top(a) != top(b) for a, b in last)
+    inner = {x for e in first for x in e}
+    assert all(x == min(y for y in inner if top(y) == top(x)) for x in {x for e in last for x in e} & inner)

@@ -165,3 +165,27 @@ def test_word_hashes_depend_on_the_word_alone_and_keep_nothing(monkeypatch):
     left = tracemalloc.get_traced_memory()[0] - before
     tracemalloc.stop()
     assert left < 1 << 20
+
+
+@pytest.mark.parametrize("name", ["stars", "path", "random", "none"])
+def test_components_of_graphs(spark, monkeypatch, name):
+    """Each step writes one table; stars need no step."""
+    rng = np.random.default_rng(4)
+    edges = {"stars": [(c, c + i) for c in (10, 100) for i in range(1, 40)] * 2 + [(5, 5)],
+             "path": [(int(a), int(b)) for p in [rng.permutation(200)] for a, b in zip(p, p[1:])],
+             "random": [(int(a), int(b)) for a, b in rng.integers(-300, 300, (350, 2))], "none": []}[name]
+    written, keep = [], multimatch.staged
+    monkeypatch.setattr(multimatch, "staged", lambda df, n: written.append(n) or keep(df, n))
+    root = {x: x for e in edges for x in e}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        lo, hi = sorted((top(a), top(b)))
+        root[hi] = lo
+    found = {r["node"]: r["root"] for r in multimatch.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {x: top(x) for x in root if top(x) != x}
+    assert len(written) == {"stars": 0, "none": 0}.get(name, len(set(written))) and len(written) <= 8

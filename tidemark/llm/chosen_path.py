@@ -31,8 +31,11 @@ Work per group of copies.  Documents with equal sets are one class.
    that is large after ``LEVELS`` levels is split into pairs of chunks.
 3. In all these nodes the candidates in different components are found by their
    sketches, and every such pair is verified on the full sets: once, as a pair,
-   or where a node has very many, all pairs of the node at once as a product of
-   matrices.
+   or where a node has very many, in the node: pairs whose parities (operator 10)
+   exclude a link are dropped, which is certain, and the rest are counted by pair
+   or at once as a product of matrices.
+4. What these links connect are the components of step 1: the last components are
+   found between those, not between classes again.
 
 Full sets come from whole texts, where they are compared: a text takes less room
 than its set, so texts travel.  Minima stay with the profiles; each level takes its own
@@ -58,7 +61,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import shuffle_parts, small_batches, staged
-from tidemark.llm.multimatch import _mix, _texts, components, word_hashes
+from tidemark.llm.multimatch import _mix, _texts, components, parities, word_hashes
 
 WORDS_PER_SHINGLE = 2
 MIN_PERCENT = 80
@@ -167,7 +170,7 @@ _NODE = "tree int, key long, cls long"
 
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
-    """Children of (tree, key, cls, mins), the minima of that level; at level 0 of the roots: (cls, mins)."""
+    """Children of (tree, key, cls, label, mins), the minima of that level; at level 0 of the roots: (cls, mins), without labels."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -180,11 +183,12 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
                 trees = np.tile(np.arange(TREES), len(cls))
                 keys, cls, mins = trees.astype(np.uint64), np.repeat(cls, TREES), np.repeat(mins, TREES, axis=0)
             found = children(keys, trees, mins, level)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(trees, BRANCH).astype(np.int32)), pa.array(found.reshape(-1).view(np.int64)),
-                 pa.array(np.repeat(cls, BRANCH))], names=["tree", "key", "cls"])
+            cols = {"tree": np.repeat(trees, BRANCH).astype(np.int32), "key": found.reshape(-1).view(np.int64), "cls": np.repeat(cls, BRANCH)}
+            if level:
+                cols["label"] = np.repeat(b.column("label").to_numpy(), BRANCH)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols.values()], names=list(cols))
 
-    return rows.mapInArrow(run, _NODE).distinct() if level else rows.mapInArrow(run, _NODE)
+    return rows.mapInArrow(run, _NODE + ", label long" if level else _NODE)
 
 
 def _sized(rows: DataFrame, name: str) -> DataFrame:
@@ -206,13 +210,14 @@ def _chunked(large: DataFrame) -> DataFrame:
 def _deeper(large: DataFrame, profiles: DataFrame, label: DataFrame) -> DataFrame:
     """(key, cls, label): small nodes that hold every pair between different
     components of large first-level nodes (tree, key, cls): see steps 2 and 3."""
-    out, rows = [], large.select("tree", "key", "cls")
+    out, rows = [], large.select("tree", "key", "cls").join(label, "cls")
     for level in range(LEVELS):
-        tagged = rows.join(label, "cls")
-        counts = tagged.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+        counts = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
         main = counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("size"))
         main = main.where("size > m.c").select("key", "size", F.col("m.c").alias("most"), F.col("m.label").alias("main"))
-        tagged = staged(tagged.join(main, "key"), f"large-{level}")
+        tagged = staged(rows.join(main, "key"), f"large-{level}")  # the nodes of one component are done
+        out.append(tagged.where(F.col("size") <= LIMIT).select("key", "cls", "label"))
+        tagged = tagged.where(F.col("size") > LIMIT)
         near = tagged.where(F.col("size") - F.col("most") <= OTHERS * LIMIT)
         mine, count = _chunk(F.col("most"), F.col("cls"))
         every = F.sequence(F.lit(0), count - 1)
@@ -222,14 +227,10 @@ def _deeper(large: DataFrame, profiles: DataFrame, label: DataFrame) -> DataFram
         if far.isEmpty():
             break
         if level == LEVELS - 1:
-            out.append(_split(far.select("key", "cls", "size")).join(label, "cls").select("key", "cls", "label"))
+            out.append(_split(far))
             break
         mins = profiles.where("mins is not null").groupBy("cls").agg(F.max(_of_level(level + 1)).alias("mins"))
-        sized = _sized(_branch(far.select("tree", "key", "cls").join(mins, "cls"), level + 1), f"paths-{level + 1}")
-        out.append(sized.where(F.col("size") <= LIMIT).join(label, "cls").select("key", "cls", "label"))
-        rows = sized.where(F.col("size") > LIMIT).select("tree", "key", "cls")
-        if rows.isEmpty():
-            break
+        rows = staged(_branch(far.select("tree", "key", "cls", "label").join(mins, "cls"), level + 1), f"paths-{level + 1}")
     return reduce(DataFrame.unionAll, out)
 
 
@@ -253,17 +254,32 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield now, held
 
 
-def _alike(sketches: np.ndarray, sizes: np.ndarray, label: np.ndarray, rows: slice) -> np.ndarray:
-    """Equal sketch bytes of some members with all members; 0 where the sizes
-    allow no link, and between members that are connected."""
-    some = sketches[rows]
-    equal = np.zeros((len(some), len(sketches)), np.int16)
-    for j in range(MINS):
-        equal += some[:, j][:, None] == sketches[:, j][None, :]
-    equal[~fits(sizes[rows][:, None], sizes[None, :]) | (label[rows][:, None] == label[None, :])] = 0
+def _alike(planes: np.ndarray, sizes: np.ndarray, label: np.ndarray, rows: slice, first: int = 0) -> np.ndarray:
+    """Equal sketch bytes (``planes``: a row for each byte, a column for each member) of
+    some members with all members from the ``first`` on; 0 where the sizes allow no link,
+    and between members that are connected."""
+    equal = np.zeros((len(sizes[rows]), len(sizes) - first), np.uint8)  # MINS fits
+    hit = np.empty(equal.shape, bool)
+    for plane in planes:
+        np.equal(plane[rows][:, None], plane[None, first:], out=hit)
+        np.add(equal, hit.view(np.uint8), out=equal)
+    equal[~fits(sizes[rows][:, None], sizes[None, first:]) | (label[rows][:, None] == label[None, first:])] = 0
     return equal
 
 
+def _planes(sketches: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(sketches.T)
+
+
+def _candidate_pairs(sketches: np.ndarray, sizes: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The candidates x < y of a node with different labels, in order."""
+    planes, found = _planes(sketches), []
+    for i in range(0, len(sizes), 128):
+        x, y = np.nonzero(np.triu(_alike(planes, sizes, label, slice(i, i + 128), i) >= LEAST_EQUAL))
+        found.append((x + i, y + i))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def _halves(sketches: np.ndarray) -> np.ndarray:
     """The low halves of sketch bytes, two to a byte."""
     return (sketches[:, ::2] & 15) | (sketches[:, 1::2] << 4)
@@ -292,9 +308,9 @@ def _partners(members: DataFrame) -> DataFrame:
                 continue
             order = np.argsort(g["cls"], kind="stable")  # ties: the smallest class
             cls, sizes = np.array(g["cls"], np.int64)[order], np.array(g["n"], np.int64)[order]
-            sketches = _unpacked(np.frombuffer(b"".join(g["half"]), np.uint8).reshape(-1, MINS // 2)[order])
+            planes = _planes(_unpacked(np.frombuffer(b"".join(g["half"]), np.uint8).reshape(-1, MINS // 2)[order]))
             for i in range(0, len(cls), 128):
-                equal = _alike(sketches, sizes, cls, slice(i, i + 128))
+                equal = _alike(planes, sizes, cls, slice(i, i + 128))
                 best = equal.argmax(1)
                 top = equal[np.arange(len(equal)), best]
                 for k in np.flatnonzero(top >= LEAST_EQUAL):
@@ -320,15 +336,11 @@ def _candidates(members: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, g in _grouped(batches, ["cls", "n", "label", "sketch"]):
             cls, sizes, label = (np.array(g[c], np.int64) for c in ("cls", "n", "label"))
-            sketches, m = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS), len(cls)
-            candidate = np.zeros((m, m), bool)
-            for i in range(0, m, 128):
-                candidate[i: i + 128] = _alike(sketches, sizes, label, slice(i, i + 128)) >= LEAST_EQUAL
-            x, y = np.nonzero(np.triu(candidate))
-            if len(x) <= DENSE * m:
+            x, y = _candidate_pairs(np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS), sizes, label)
+            if len(x) <= DENSE * len(cls):
                 a, b = np.minimum(cls[x], cls[y]), pa.array(np.maximum(cls[x], cls[y]))
             else:
-                a = cls[candidate.any(1)]
+                a = cls[np.union1d(x, y)]
                 b = pa.nulls(len(a), pa.int64())
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), key, np.int64)), pa.array(a), b], names=["key", "cls", "other"])
@@ -367,21 +379,16 @@ def _rest(members: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, g in _grouped(batches, ["cls", "n", "label", "sketch", "text"]):
             sizes, label = np.array(g["n"], np.int64), np.array(g["label"], np.int64)
-            sketches = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS)
-            m = len(sizes)
-            candidate = np.zeros((m, m), bool)
-            for i in range(0, m, 128):
-                candidate[i: i + 128] = _alike(sketches, sizes, label, slice(i, i + 128)) >= LEAST_EQUAL
-            x, y = np.nonzero(np.triu(candidate))
+            x, y = _candidate_pairs(np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, MINS), sizes, label)
             sets = [shingles(t) for t in g["text"]]
+            x, y = _close(sets, sizes, x, y)
             # two ways to the same counts: by pair, or for all pairs at once where most of them are candidates
-            common = _common_of_all(sets)[x, y] if len(x) > 8 * m else _common_of_pairs(sets, x, y)
+            common = _common_of_all(sets)[x, y] if len(x) > 8 * len(sets) else _common_of_pairs(sets, x, y)
             linked = 100 * common >= MIN_PERCENT * (sizes[x] + sizes[y] - common)
             x, y = x[linked], y[linked]
             # one link for each two components
             names, at = np.unique(label, return_inverse=True)
-            ends = np.stack([np.minimum(at[x], at[y]), np.maximum(at[x], at[y])], 1)
-            _, one = np.unique(ends, axis=0, return_index=True)
+            _, one = np.unique(np.minimum(at[x], at[y]) * len(names) + np.maximum(at[x], at[y]), return_index=True)
             if len(one):
                 cls = np.array(g["cls"], np.int64)
                 a, b = cls[x[one]], cls[y[one]]
@@ -391,6 +398,16 @@ def _rest(members: DataFrame) -> DataFrame:
     return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def _close(sets: list[np.ndarray], sizes: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose parities (see operator 10) allow a link.  Certain: sets differ in no fewer shingles than bits."""
+    bits, possible = np.stack([parities(s) for s in sets]).view(np.uint64), np.zeros(len(x), bool)
+    for i in range(0, len(x), 1 << 15):
+        a, b = x[i: i + (1 << 15)], y[i: i + (1 << 15)]
+        differ = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
+        possible[i: i + (1 << 15)] = differ * (100 + MIN_PERCENT) <= (sizes[a] + sizes[b]) * (100 - MIN_PERCENT)
+    return x[possible], y[possible]
+
+
 def _common_of_pairs(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of sets x[i] and y[i], pairs in order of x."""
     out = np.zeros(len(x), np.int64)
@@ -428,11 +445,11 @@ def _common_of_all(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """A large node (key, cls, size) as pairs of chunks: two members meet in one of the new nodes."""
+    """A large node (key, cls, label, size) as pairs of chunks: two members meet in one of the new nodes."""
     chunks = F.ceil(F.col("size") * 2 / F.lit(LIMIT)).cast("int")
     r = rows.withColumn("chunks", chunks).withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
     r = r.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return r.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "cls")
+    return r.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "cls", "label")
 
 
 def _mixed(tagged: DataFrame) -> DataFrame:
@@ -472,9 +489,9 @@ def near_components(docs: DataFrame) -> DataFrame:
     found = staged(_verified(pairs, texts), "best-links")
 
     # 2., 3. what the first links leave in different components
-    label = lambda edges: reps.select("cls").join(components(edges), F.col("cls") == F.col("node"), "left").select(
-        "cls", F.coalesce("root", "cls").alias("label"))
-    now = staged(label(found), "labels")
+    firsts = components(found)
+    now = reps.select("cls").join(firsts, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("root", "cls").alias("label"))
+    now = staged(now, "labels")
     open_ = partners.select("key", "cls").join(now, "cls").select("key", "cls", "label")
     if not large.isEmpty():
         open_ = open_.unionAll(_deeper(large, profiles, now))
@@ -484,14 +501,18 @@ def near_components(docs: DataFrame) -> DataFrame:
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "rest")  # a pair counts once, however many nodes it meets in
     more = cross.select("cls").unionAll(rest.select("b")).distinct().join(paired, "cls", "left_anti")
     texts = texts.unionAll(_texts(docs, more, reps))
-    found = found.unionAll(staged(_verified(rest, texts), "pair-links"))
+    found = staged(_verified(rest, texts), "pair-links")
     dense = cross.where("other is null").select("key", "cls")
     found = found.unionAll(staged(_rest(dense.join(now, "cls").join(sketches, "cls").join(texts, "cls")), "rest-links"))
 
     same_id = known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("doc_id", "a")
     same_id = known.join(same_id, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")).distinct()
-    roots = label(staged(found.unionAll(same_id), "links"))
-    placed = staged(reps.select("cls", "rep").join(roots, "cls"), "placed")
+    # what is left to connect are the components of the first links
+    at = lambda x: now.select(F.col("cls").alias(x), F.col("label").alias(f"at_{x}"))
+    between = found.unionAll(same_id).join(at("a"), "a").join(at("b"), "b").where("at_a != at_b")
+    lasts = components(staged(between.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")), "links"))
+    roots = now.join(lasts, F.col("label") == F.col("node"), "left").select("cls", F.coalesce("root", "label").alias("label"))
+    placed = reps.select("cls", "rep").join(roots, "cls")
     least = placed.groupBy("label").agg(F.min("rep").alias("component"))
     named = placed.join(least, "label").select(F.col("cls").alias("of"), "component")
     linked = (F.col("cls") == F.col("of")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()

@@ -309,26 +309,34 @@ def _nearby_labels(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataF
     return label
 
 
+def _neighbours(edges: DataFrame) -> DataFrame:
+    """(c, lo, hi): the least and the largest neighbour of every node."""
+    ways = F.array(F.struct(F.col("u").alias("c"), F.col("v").alias("d")), F.struct(F.col("v").alias("c"), F.col("u").alias("d")))
+    return edges.select(F.inline(ways)).groupBy("c").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+
+
+def _alternated(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, after one large-star and one small-star step."""
+    large = edges.join(_neighbours(edges), F.col("v") == F.col("c")).select("u", F.least("lo", "c").alias("v"))
+    low = large.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
+    end = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return large.join(low, F.col("u") == F.col("c")).select(end.alias("u"), F.col("m").alias("v")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with a link, by alternating large-star and
-    small-star until nothing changes.  Minima are partial aggregates and the
-    rest are joins, so a node with very many links is never gathered."""
-    now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "cc")
-    print_of = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    before, step = None, 0
-    mark = print_of(now)
-    while mark != before:
-        before, step = mark, step + 1
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).withColumn("m", F.least("m", "c"))
-        large = both.where("v > u").join(low, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u > v").distinct(), f"cc-large-{step}")
-        low = large.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
-        small = large.join(low, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionAll(low.select(F.col("c").alias("u"), F.col("m").alias("v")))
-        now = staged(small.where("u > v").distinct(), f"cc-{step}")
-        mark = print_of(now)
-    return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    small-star until all that is left are stars around their least nodes.
+    Minima are partial aggregates and the rest are joins, so a node with very
+    many links is never gathered.  ``edges`` (a, b) are read several times; each
+    step writes once."""
+    now, step = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"), 0
+    while True:
+        near = _neighbours(now)
+        # stars: no node has several neighbours, unless it lies below all of them
+        if not near.agg(F.bool_or((F.col("lo") < F.col("c")) & (F.col("lo") < F.col("hi")))).first()[0]:
+            return near.where("lo < c").select(F.col("c").alias("node"), F.col("lo").alias("root"))
+        step += 1
+        now = staged(_alternated(now), f"cc-{step}")
 
 
 def _same_id(known: DataFrame) -> DataFrame:
