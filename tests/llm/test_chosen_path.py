@@ -209,3 +209,18 @@ def test_last_components_are_found_between_the_first_ones(spark, monkeypatch):
     assert last and all(top(a) != top(b) for a, b in last)
     inner = {x for e in first for x in e}
     assert all(x == min(y for y in inner if top(y) == top(x)) for x in {x for e in last for x in e} & inner)
+
+
+def test_links_of_a_dense_node_are_a_forest(spark):
+    """40 near copies, each a component of its own, all linked with each other: 39 links, not 780."""
+    base = prose(120, 3).split()
+    texts = [" ".join(base[:i] + ["other"] + base[i + 1:]) for i in range(40)] + [prose(90, 77)]
+    sets = [cp.shingles(t) for t in texts]
+    rows = [(1, i + 100, len(s), i, cp.minima(s).astype(np.uint8).tobytes(), t) for i, (s, t) in enumerate(zip(sets, texts))]
+    df = spark.createDataFrame([tuple(bytearray(x) if isinstance(x, bytes) else x for x in r) for r in rows],
+                               "key long, cls long, n long, label long, sketch binary, text string")
+    links = [(r["a"], r["b"]) for r in cp._rest(df).collect()]
+    joined = {100}
+    for _ in links:
+        joined |= {x for e in links for x in e if joined & set(e)}
+    assert len(links) == 39 and joined == set(range(100, 140))

@@ -386,9 +386,9 @@ def _rest(members: DataFrame) -> DataFrame:
             common = _common_of_all(sets)[x, y] if len(x) > 8 * len(sets) else _common_of_pairs(sets, x, y)
             linked = 100 * common >= MIN_PERCENT * (sizes[x] + sizes[y] - common)
             x, y = x[linked], y[linked]
-            # one link for each two components
             names, at = np.unique(label, return_inverse=True)
-            _, one = np.unique(np.minimum(at[x], at[y]) * len(names) + np.maximum(at[x], at[y]), return_index=True)
+            pairs, one = np.unique(np.minimum(at[x], at[y]) * len(names) + np.maximum(at[x], at[y]), return_index=True)
+            one = one[_forest(pairs // len(names), pairs % len(names), len(names))]
             if len(one):
                 cls = np.array(g["cls"], np.int64)
                 a, b = cls[x[one]], cls[y[one]]
@@ -398,6 +398,23 @@ def _rest(members: DataFrame) -> DataFrame:
     return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
+    """Places of links a[i], b[i] between ``n`` components of a node that connect
+    what all of them connect, fewer than ``n``."""
+    root, out = list(range(n)), []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[y] = x
+            out.append(i)
+            if len(out) == n - 1:
+                break
+    return out
+
+
 def _close(sets: list[np.ndarray], sizes: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pairs whose parities (see operator 10) allow a link.  Certain: sets differ in no fewer shingles than bits."""
     bits, possible = np.stack([parities(s) for s in sets]).view(np.uint64), np.zeros(len(x), bool)
@@ -510,7 +527,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     # what is left to connect are the components of the first links
     at = lambda x: now.select(F.col("cls").alias(x), F.col("label").alias(f"at_{x}"))
     between = found.unionAll(same_id).join(at("a"), "a").join(at("b"), "b").where("at_a != at_b")
-    lasts = components(staged(between.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")), "links"))
+    between = between.select(F.least("at_a", "at_b").alias("a"), F.greatest("at_a", "at_b").alias("b"))
+    lasts = components(staged(between.distinct(), "links"))
     roots = now.join(lasts, F.col("label") == F.col("node"), "left").select("cls", F.coalesce("root", "label").alias("label"))
     placed = reps.select("cls", "rep").join(roots, "cls")
     least = placed.groupBy("label").agg(F.min("rep").alias("component"))
