@@ -311,8 +311,8 @@ def _nearby_labels(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataF
 
 def _neighbours(edges: DataFrame) -> DataFrame:
     """(c, lo, hi): the least and the largest neighbour of every node."""
-    ways = F.array(F.struct(F.col("u").alias("c"), F.col("v").alias("d")), F.struct(F.col("v").alias("c"), F.col("u").alias("d")))
-    return edges.select(F.inline(ways)).groupBy("c").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
 
 
 def _alternated(edges: DataFrame) -> DataFrame:
