@@ -90,3 +90,29 @@ def test_query_against_sql(spark, check):
     assert not problems, problems
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert n == len(brute(rows))
+
+
+def test_no_growing_table_is_broadcast(spark, monkeypatch):
+    """Anchors were copied to every lane and broadcast: with few distinct vectors their files look small whatever their rows take."""
+    plans = []
+
+    def plan_of(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(hn, "staged", lambda df, name, own=hn.staged: own(plan_of(df), name))
+    rows = vectors(300, 16, 3)
+    df = spark.createDataFrame([(i + 1000 * k, v, label) for k in range(3) for i, v, label in rows], SCHEMA)
+    plan_of(hn.hard_negatives(df))
+    assert len(plans) == 4 and not [p for p in plans if "Broadcast" in p or "Cartesian" in p]
+
+
+@pytest.mark.parametrize("cells, anchors, piece", [(64 * 40, 3, 64 * 7), (1 << 24, 512, 1 << 17)])
+def test_lanes_give_the_same_rows(spark, monkeypatch, cells, anchors, piece):
+    monkeypatch.setattr(hn, "LANE_CELLS", cells)
+    monkeypatch.setattr(hn, "ANCHORS", anchors)
+    monkeypatch.setattr(hn, "BLOCK_CELLS", piece)
+    rows = [(i, v, i % 3) for i, v, _ in vectors(330, 64, 5)] + [(100 * i, [200.0 * x for x in v], 1) for i, v, _ in vectors(6, 64, 6)]
+    rows += [(100, rows[100][1], 1), (200, rows[200][1], 2)]
+    want = brute(rows)
+    assert len(want) > 20 and got(spark, rows) == want

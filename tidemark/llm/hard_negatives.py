@@ -19,9 +19,12 @@ of popcounts of planes and code.  With e, the part of q below the planes,
 where s is the last code: what is left is orthogonal to it (Cauchy-Schwarz).
 This is an interval for each score, not a probable one.
 
-Search.  Rows are packed into blocks, anchors too; a cell is a block of rows
-with a block of anchors, and cells are dealt over the cluster.  A task keeps
-the best five of each anchor over its cells and gives out no more than those.
+Search.  Rows are packed into blocks, anchors too.  Rows are dealt over lanes of
+at most about ``LANE_CELLS`` components, every anchor block goes to all lanes.
+A task holds its lane's rows, ordered by label, reads anchor blocks one after
+another, and gives out no more than the best five of each anchor.  No pair of
+blocks is ever a row, and no table that grows with the input is broadcast: the
+driver holds counts only, an executor a lane and an anchor block.
 
 1. Positives: of the rows with the anchor's label, those whose upper bound
    reaches the fifth best score so far (and the fifth greatest lower bound of the
@@ -57,12 +60,13 @@ TOP = 5
 LOW_PERCENT = 80
 BLOCK_CELLS = 1 << 17  # rows x components of a block
 ANCHORS = 512  # per block
+LANE_CELLS = 1 << 24  # rows x components of a lane, which a task holds: 262,144 rows of 64
 LIMIT = 1 << 30
 SEED = 20240131
 SLACK = 1e-9  # relative; more than the rounding of the bounds
 
 _ROWS = "dim int, block long, n int, ids binary, labels binary, ints binary, codes binary, aligns binary, norms binary"
-_ANCHORS = "dim int, ablock long, n int, ids binary, labels binary, uids binary, ints binary, limits binary"
+_ANCHORS = "dim int, block long, n int, labels binary, uids binary, ints binary, limits binary"
 
 
 # ------------------------------------------------------------------- codes
@@ -152,6 +156,15 @@ def scores(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------- blocks
 
+def _bytes(ints: np.ndarray) -> bytes:
+    """Components (at most ``LIMIT``) in two bytes each, or in four."""
+    return ints.astype("<i2" if np.abs(ints).max(initial=0) < 1 << 15 else "<i4").tobytes()
+
+
+def _ints(data: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, f"<i{len(data) // (n * dim)}").reshape(n, dim)
+
+
 def _blocks(vectors: DataFrame) -> DataFrame:
     """Rows that take part, as packed blocks of rows of one length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +179,9 @@ def _blocks(vectors: DataFrame) -> DataFrame:
             first = rows[0][3] + made  # a number of its own: the task's id and a count
             return pa.RecordBatch.from_arrays(
                 [pa.array([dim], pa.int32()), pa.array([first], pa.int64()), pa.array([len(rows)], pa.int32()),
-                 *[pa.array([np.asarray(x).tobytes()], pa.binary()) for x in (
-                     np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), ints, codes, aligns, norms)]],
+                 *[pa.array([x], pa.binary()) for x in (
+                     np.array([r[0] for r in rows], np.int64).tobytes(), np.array([r[1] for r in rows], np.int64).tobytes(),
+                     _bytes(ints), codes.tobytes(), aligns.tobytes(), norms.tobytes())]],
                 names=[c.split()[0] for c in _ROWS.split(", ")])
 
         for b in batches:
@@ -198,7 +212,7 @@ def _read(b: pa.RecordBatch, i: int) -> dict:
     get = lambda c, t: np.frombuffer(b.column(c)[i].as_py(), t)
     n, dim = b.column("n")[i].as_py(), b.column("dim")[i].as_py()
     return {"block": b.column("block")[i].as_py(), "ids": get("ids", np.int64), "labels": get("labels", np.int64),
-            "ints": get("ints", np.int64).reshape(n, dim), "codes": get("codes", np.uint64).reshape(n, STAGES, -1),
+            "ints": _ints(b.column("ints")[i].as_py(), n, dim), "codes": get("codes", np.uint64).reshape(n, STAGES, -1),
             "aligns": get("aligns", np.float64).reshape(n, STAGES), "norms": get("norms", np.float64).reshape(n, 2)}
 
 
@@ -214,7 +228,7 @@ def _anchors(blocks: DataFrame) -> DataFrame:
                 at = np.flatnonzero(r["ids"] % 100 == 0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r["ints"].shape[1]] * len(at), pa.int32()), pa.array([f"{r['block']}:{k}" for k in at], pa.string()),
-                     pa.array(r["ids"][at]), pa.array(r["labels"][at]), pa.array([r["ints"][k].tobytes() for k in at], pa.binary())],
+                     pa.array(r["ids"][at]), pa.array(r["labels"][at]), pa.array([_bytes(r["ints"][k].astype(np.int64)) for k in at], pa.binary())],
                     names=[c.split()[0] for c in _ANCHOR.split(", ")])
 
     return blocks.mapInArrow(run, _ANCHOR)
@@ -233,8 +247,8 @@ def _anchor_blocks(anchors: DataFrame, parts: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([dim], pa.int32()), pa.array([rows[0]["number"]], pa.int64()), pa.array([len(rows)], pa.int32()),
                  *[pa.array([x], pa.binary()) for x in (
-                     np.array([r["vec_id"] for r in rows], np.int64).tobytes(), np.array([r["label"] for r in rows], np.int64).tobytes(),
-                     uids, b"".join(r["ints"] for r in rows), limits.tobytes())]], names=[c.split()[0] for c in _ANCHORS.split(", ")])
+                     np.array([r["label"] for r in rows], np.int64).tobytes(), uids,
+                     _bytes(np.concatenate([_ints(r["ints"], 1, dim) for r in rows]).astype(np.int64)), limits.tobytes())]], names=[c.split()[0] for c in _ANCHORS.split(", ")])
 
         for b in batches:
             for r in b.to_pylist():
@@ -273,79 +287,111 @@ def _floor_of(low: np.ndarray) -> float:
     return np.partition(low, len(low) - TOP)[len(low) - TOP] if len(low) >= TOP else -np.inf
 
 
-_FOUND = "uid string, lim long, vec_id long, score long"
+class _Lane:
+    """The rows of one length that a task holds, ordered by label."""
+
+    def __init__(self, blocks: list[dict]):
+        sizes = [len(r["ids"]) for r in blocks]
+        firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        whole = {c: np.concatenate([r.pop(c) for r in blocks]) for c in ("ids", "labels", "ints", "codes", "aligns", "norms")}
+        order = np.argsort(whole["labels"], kind="stable")
+        for c in list(whole):
+            setattr(self, c, whole.pop(c)[order])
+        self.firsts = {r["block"]: first for r, first in zip(blocks, firsts.tolist())}
+        self.places = np.empty(len(order), np.int64)
+        self.places[order] = np.arange(len(order))
+        self.piece = max(1, BLOCK_CELLS // self.ints.shape[1])
+
+    def own(self, uid: str) -> int:
+        """Where the anchor's own row is, -1 if it is in another lane."""
+        block, place = map(int, uid.split(":"))
+        return int(self.places[self.firsts[block] + place]) if block in self.firsts else -1
+
+    def pieces(self, label: int, other: bool) -> Iterator[slice]:
+        """All rows with the label, or all with another one, piece by piece."""
+        lo, hi = (int(np.searchsorted(self.labels, label, side)) for side in ("left", "right"))
+        for start, stop in ((0, lo), (hi, len(self.labels))) if other else ((lo, hi),):
+            for at in range(start, stop, self.piece):
+                yield slice(at, min(at + self.piece, stop))
+
+
+def _best_of(lane: _Lane, uid: str, label: int, ints: np.ndarray, limits: list[int], negatives: bool) -> dict[int, _Best]:
+    """The best rows of the lane for one anchor, for each of its limits."""
+    code, best, own = Anchor(ints), {lim: _Best() for lim in limits}, -1 if negatives else lane.own(uid)
+    for piece in lane.pieces(label, negatives) if limits else ():
+        low, high = code.bounds(lane.codes[piece], lane.aligns[piece], lane.norms[piece])
+        if piece.start <= own < piece.stop:
+            low[own - piece.start] = high[own - piece.start] = -np.inf  # not its own positive
+        want, least = np.zeros(len(low), bool), {}
+        for lim in limits:
+            if negatives:
+                floor = -(-LOW_PERCENT * lim // 100)
+                sure = low[(low >= floor) & (high <= lim)]
+                least[lim] = max(floor, best[lim].floor(), _floor_of(sure))
+                want |= (high >= least[lim]) & (low <= lim)
+            else:
+                least[lim] = max(best[lim].floor(), _floor_of(low))
+                want |= high >= least[lim]
+        if piece.start <= own < piece.stop:
+            want[own - piece.start] = False
+        chosen = np.flatnonzero(want) + piece.start
+        if not len(chosen):
+            continue
+        exact, ids = scores(lane.ints[chosen].astype(np.int64), ints), lane.ids[chosen]
+        for lim in limits:
+            fits = exact >= least[lim]
+            if negatives:
+                fits &= exact <= lim
+            if fits.any():
+                best[lim].add(exact[fits], ids[fits])
+    return best
 
 
-def _search(cells: DataFrame, negatives: bool) -> DataFrame:
-    """Best rows per anchor (and limit) of each task; cells of an anchor block come one after another."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, anchors, best = None, None, {}
+_FOUND = "uid string, lim long, vec_id long, score long"
 
-        def out():
-            rows = [(anchors["uids"][k], lim, i, s) for (k, lim), x in best.items() for s, i in zip(x.scores.tolist(), x.ids.tolist())]
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
-                                              names=["uid", "lim", "vec_id", "score"])
 
+def _search(blocks: DataFrame, anchor_blocks: DataFrame, lanes: int, negatives: bool) -> DataFrame:
+    """Best rows per anchor (and limit) of each lane.  Every block of rows goes
+    to one lane and every block of anchors to all; in a lane, rows of one
+    length come first, then the anchors of that length."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting, lane = None, [], None
         for b in batches:
             for i in range(b.num_rows):
-                if b.column("ablock")[i].as_py() != now:
-                    if now is not None:
-                        yield out()
-                    now, best = b.column("ablock")[i].as_py(), {}
-                    get = lambda c, t: np.frombuffer(b.column(c)[i].as_py(), t)
-                    n, dim = b.column("an")[i].as_py(), b.column("dim")[i].as_py()
-                    ints = get("aints", np.int64).reshape(n, dim)
-                    anchors = {"labels": get("alabels", np.int64), "uids": b.column("uids")[i].as_py().decode().split("\n"),
-                               "ints": ints, "limits": get("limits", np.int64).reshape(n, TOP), "codes": [Anchor(x) for x in ints]}
-                rows = _read(b, i)
-                for k, code in enumerate(anchors["codes"]):
-                    same = rows["labels"] == anchors["labels"][k]
-                    if not negatives:
-                        block, place = anchors["uids"][k].split(":")
-                        if int(block) == rows["block"]:
-                            same[int(place)] = False
-                    pool = np.flatnonzero(~same if negatives else same)
-                    if not len(pool):
-                        continue
-                    low, high = code.bounds(rows["codes"][pool], rows["aligns"][pool], rows["norms"][pool])
-                    limits = [int(x) for x in np.unique(anchors["limits"][k]) if x >= 0] if negatives else [0]
-                    want, least = np.zeros(len(pool), bool), {}
-                    for lim in limits:
-                        kept = best.setdefault((k, lim), _Best())
-                        if negatives:
-                            floor = -(-LOW_PERCENT * lim // 100)
-                            sure = low[(low >= floor) & (high <= lim)]
-                            least[lim] = max(floor, kept.floor(), _floor_of(sure))
-                            want |= (high >= least[lim]) & (low <= lim)
-                        else:
-                            least[lim] = max(kept.floor(), _floor_of(low))
-                            want |= high >= least[lim]
-                    chosen = pool[want]
-                    if not len(chosen):
-                        continue
-                    exact, ids = scores(rows["ints"][chosen], anchors["ints"][k]), rows["ids"][chosen]
-                    for lim in limits:
-                        fits = exact >= least[lim]
-                        if negatives:
-                            fits &= exact <= lim
-                        if fits.any():
-                            best[k, lim].add(exact[fits], ids[fits])
-        if now is not None:
-            yield out()
-
-    return cells.mapInArrow(run, _FOUND)
-
-
-def _cells(blocks: DataFrame, anchor_blocks: DataFrame, lanes: int) -> DataFrame:
-    """Every block of rows with every block of anchors of the same length: rows
-    keep to one lane, anchors go to all lanes, and an anchor block's cells of a
-    lane come one after another."""
-    asked = anchor_blocks.select(
-        "dim", "ablock", F.col("n").alias("an"), F.col("labels").alias("alabels"), "uids", F.col("ints").alias("aints"), "limits",
-        F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-    laned = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
-    return laned.join(asked, ["dim", "lane"]).sortWithinPartitions("lane", "ablock")
+                at = b.column("lane")[i].as_py(), b.column("dim")[i].as_py()
+                if at != now:
+                    now, waiting, lane = at, [], None
+                if not b.column("asks")[i].as_py():
+                    waiting.append(_read(b, i))
+                    continue
+                if waiting:
+                    lane, waiting = _Lane(waiting), []
+                if lane is None:  # no rows of this length here
+                    continue
+                get = lambda c, t: np.frombuffer(b.column(c)[i].as_py(), t)
+                n = b.column("n")[i].as_py()
+                labels, limits = get("labels", np.int64), get("limits", np.int64).reshape(n, TOP)
+                ints = _ints(b.column("ints")[i].as_py(), n, at[1]).astype(np.int64)
+                rows = []
+                for k, uid in enumerate(b.column("uids")[i].as_py().decode().split("\n")):
+                    asked = [int(x) for x in np.unique(limits[k]) if x >= 0] if negatives else [0]
+                    for lim, x in _best_of(lane, uid, int(labels[k]), ints[k], asked, negatives).items():
+                        rows += [(uid, lim, vec_id, s) for s, vec_id in zip(x.scores.tolist(), x.ids.tolist())]
+                cols = list(zip(*rows)) if rows else [[], [], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
+                                                 names=["uid", "lim", "vec_id", "score"])
+
+    laned = blocks.select(F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"), F.lit(False).alias("asks"), "*")
+    asked = anchor_blocks.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.lit(True).alias("asks"), "*")
+    dealt = laned.unionByName(asked, allowMissingColumns=True).repartitionById(lanes, F.col("lane"))
+    return dealt.sortWithinPartitions("lane", "dim", "asks").mapInArrow(run, _FOUND)
+
+
+def _lanes(blocks: DataFrame) -> int:
+    """As many as hold ``LANE_CELLS`` each, or as keep the cluster busy; every anchor goes to each, so not more."""
+    spark = blocks.sparkSession
+    cells = blocks.agg(F.sum(F.col("n").cast("long") * F.col("dim"))).first()[0] or 0
+    return max(1, -(-cells // LANE_CELLS), min(shuffle_parts(spark), 2 * spark.sparkContext.defaultParallelism))
 
 
 def _first(found: DataFrame) -> DataFrame:
@@ -363,15 +409,16 @@ def hard_negatives(vectors: DataFrame) -> DataFrame:
     count = anchors.count()
     if not count:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
-    parts, lanes = max(1, -(-count // ANCHORS)), shuffle_parts(spark)
+    parts, lanes = max(1, -(-count // ANCHORS)), _lanes(blocks)
     none = anchors.withColumn("limits", F.lit(None).cast("array<long>"))
-    positives = staged(_first(_search(_cells(blocks, _anchor_blocks(none, parts), lanes), False)), "hard-positives")
+    positives = staged(_first(_search(blocks, _anchor_blocks(none, parts), lanes, False)), "hard-positives")
     limits = positives.groupBy("uid").agg(F.collect_list("score").alias("limits"))  # at most TOP
-    asking = _anchor_blocks(anchors.join(limits, "uid"), parts)
-    negatives = _first(_search(_cells(blocks, asking, lanes), True))
-    pos = positives.select("uid", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
+    # all sides grow with the input, and their files can be far smaller than their rows: merge joins, never a broadcast
+    asking = _anchor_blocks(anchors.hint("merge").join(limits, "uid"), parts)
+    negatives = _first(_search(blocks, asking, lanes, True))
+    pos = anchors.select("uid", F.col("vec_id").alias("anchor_id")).hint("merge").join(
+        positives.select("uid", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "uid")
     neg = negatives.select(F.col("uid").alias("n_uid"), F.col("lim"), F.col("rank").cast("int").alias("rank"),
                            F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
-    both = pos.join(neg, (F.col("uid") == F.col("n_uid")) & (F.col("positive_score") == F.col("lim")))
-    return both.join(anchors.select("uid", F.col("vec_id").alias("anchor_id")), "uid").select(
-        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    both = pos.hint("merge").join(neg, (F.col("uid") == F.col("n_uid")) & (F.col("positive_score") == F.col("lim")))
+    return both.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
