@@ -3,6 +3,8 @@ import json
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tests.conftest import SF_ORACLE
 from tidemark.llm import wrappers as w
@@ -110,3 +112,59 @@ def test_a_match_that_runs_out_of_time_loses_no_text(monkeypatch):
     monkeypatch.setattr(w, "MATCH_SECONDS", 1e-9)
     assert wrapper.main_slots(w.tokens(long)) is None
     assert w.extract(long, wrapper) == w.extract(long, None) == want
+
+
+P = ["m:p", "m:#", "m:/p"]
+
+
+def test_every_page_is_matched_to_its_end(monkeypatch):
+    """A search tries each way to split the paragraphs among nested groups before it skips the optional one; it was given up."""
+    wrapper = ["m:article", ["?", [["+", [["+", P], ["?", ["m:br"]]]], "m:hr"]], ["+", P], "m:h2", "m:#", "m:/h2", "m:/article"]
+    page = f"<article>{''.join(f'<p>a{i}</p>' for i in range(300))}<h2>z</h2></article>"
+    stream = w.tokens(page)
+    want = [i for i, (t, _) in enumerate(stream) if t == "m:#"]
+    assert len(want) == 301 and w.Wrapper(wrapper).main_slots(stream) == want
+    monkeypatch.setattr(w, "own_slots", lambda stream: pytest.fail("the host's wrapper was left out"))
+    assert w.extract(page, w.Wrapper(wrapper)) == " ".join([*(f"a{i}" for i in range(300)), "z"])
+
+
+def test_hosts_with_very_many_tokens_and_a_page_of_many(monkeypatch):
+    monkeypatch.setattr(w, "HELD", 50)  # states are made anew on the way
+    ids = [f"m:div id={i}" for i in range(140_000)]
+    wrapper = w.Wrapper(["m:article", *(["?", [x, "m:#", "m:/div"]] for x in ids), "m:/article"])
+    stream = [(t, "x") for t in ["m:article", *(t for x in ids[::7] for t in (x, "m:#", "m:/div")), "m:/article"]]
+    assert wrapper.main_slots(stream) == list(range(2, len(stream), 3))
+    assert wrapper.main_slots([stream[0], *stream[4:7], *stream[1:4], stream[-1]]) is None  # not in the wrapper's order
+
+
+def by_re(nodes):
+    """An independent reading of a wrapper, for short pages of one-letter tokens."""
+    return "".join(x[2:] if isinstance(x, str) else f"(?:{by_re(x[1])}){x[0]}" for x in nodes)
+
+
+TOKEN = st.sampled_from(["m:a", "m:b", "m:#", "b:c"])
+NODES = st.recursive(st.lists(TOKEN, min_size=1, max_size=4), lambda inner: st.lists(
+    TOKEN | st.tuples(st.sampled_from("?+"), inner).map(list), min_size=1, max_size=4), max_leaves=8)
+
+
+@settings(max_examples=300, deadline=None)
+@given(NODES, st.lists(st.lists(TOKEN, max_size=7), min_size=1, max_size=8), st.sampled_from([0, 1 << 16]))
+def test_automaton_against_regular_expressions(nodes, streams, held):
+    wrapper, was = w.Wrapper(nodes), w.HELD
+    w.HELD = held
+    try:
+        for s in streams:
+            want = re.fullmatch(by_re(nodes), "".join(t[2:] for t in s)) is not None
+            got = wrapper.main_slots([(t, "x") for t in s])
+            assert got == (w.own_slots([(t, "x") for t in s]) if want else None)
+    finally:
+        w.HELD = was
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.lists(TOKEN, min_size=1, max_size=3).flatmap(lambda x: st.integers(1, 3).map(lambda n: x * n)), min_size=1, max_size=4)
+                .map(lambda x: sum(x, [])), min_size=1, max_size=6))
+def test_a_host_wrapper_matches_all_its_pages(streams):
+    merged = w.merge_forms([json.dumps(w.fold(list(s))) for s in streams])
+    wrapper = w.Wrapper(json.loads(merged))
+    assert all(wrapper.main_slots([(t, "x") for t in s]) is not None for s in streams)
