@@ -107,11 +107,15 @@ def encode(ints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, aligns, np.stack([np.linalg.norm(left, axis=1), np.linalg.norm(whole - left, axis=1)], 1)
 
 
+_WEIGHTS = 2.0 ** np.arange(PLANES, dtype=np.float32)
+
+
 class Anchor:
     """An anchor's bit planes and the norms of its bounds."""
 
-    def __init__(self, ints: np.ndarray):
-        q = rotate(ints[None, :])[0]
+    def __init__(self, ints: np.ndarray, q: np.ndarray | None = None):
+        """``q``: the rotated vector, if it is known."""
+        q = rotate(ints[None, :])[0] if q is None else q
         self.p = len(q)
         top = max(1.0, float(np.abs(q).max()))
         self.unit = 2.0 ** max(0, int(np.ceil(np.log2(top + 1))) - (PLANES - 1))
@@ -119,20 +123,26 @@ class Anchor:
         kept = np.floor(q / self.unit)  # -offset .. offset - 1
         u = (kept + self.offset).astype(np.uint64)
         self.planes = np.stack([_pack_bits(((u >> np.uint64(j)) & np.uint64(1)).astype(bool)[None, :])[0] for j in range(PLANES)])
-        self.counts = np.bitwise_count(self.planes).sum(1, dtype=np.int64)
+        counts = np.bitwise_count(self.planes).sum(1, dtype=np.int64)
+        self.count = int((counts << np.arange(PLANES)).sum())
         self.below = float(np.linalg.norm(q - kept * self.unit))
         self.square = float((q * q).sum())
 
+    def _dots(self, s: np.ndarray) -> np.ndarray:
+        """<q, s> without what lies below the planes, for codes s (n, words)."""
+        under, ones = np.zeros(len(s)), np.zeros(len(s))
+        for w in range(s.shape[1]):
+            word = np.ascontiguousarray(s[:, w])
+            under += _WEIGHTS @ np.bitwise_count(word & self.planes[:, w: w + 1]).astype(np.float32)  # of a word less than 2**14: exact
+            ones += np.bitwise_count(word)
+        # <u, s> = sum 2**b (2 |plane & s| - |plane|); <1, s> = 2 |s| - P
+        return self.unit * (2 * under - self.count - self.offset * (2 * ones - self.p))
+
     def bounds(self, codes: np.ndarray, aligns: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest possible score with every row of a block, from popcounts."""
         estimate, last = np.zeros(len(codes)), np.zeros(len(codes))
         for j in range(STAGES):
-            s = codes[:, j]
-            ones = np.bitwise_count(s).sum(1, dtype=np.int64)
-            # <u, s> = sum 2**b (2 |plane & s| - |plane|); <1, s> = 2 |s| - P
-            dot = sum((2 * np.bitwise_count(s & plane).sum(1, dtype=np.int64) - count) << b
-                      for b, (plane, count) in enumerate(zip(self.planes, self.counts)))
-            last = self.unit * (dot - self.offset * (2 * ones - self.p))
+            last = self._dots(codes[:, j])
             estimate += aligns[:, j] * last
         # |<q', s>| is at least |last| less what lies below the planes
         along = np.maximum(0.0, np.abs(last) - self.below * self.p ** 0.5)
@@ -300,7 +310,7 @@ class _Lane:
         self.firsts = {r["block"]: first for r, first in zip(blocks, firsts.tolist())}
         self.places = np.empty(len(order), np.int64)
         self.places[order] = np.arange(len(order))
-        self.piece = max(1, BLOCK_CELLS // self.ints.shape[1])
+        self.piece = max(1, 4 * BLOCK_CELLS // self.ints.shape[1])
 
     def own(self, uid: str) -> int:
         """Where the anchor's own row is, -1 if it is in another lane."""
@@ -315,9 +325,9 @@ class _Lane:
                 yield slice(at, min(at + self.piece, stop))
 
 
-def _best_of(lane: _Lane, uid: str, label: int, ints: np.ndarray, limits: list[int], negatives: bool) -> dict[int, _Best]:
-    """The best rows of the lane for one anchor, for each of its limits."""
-    code, best, own = Anchor(ints), {lim: _Best() for lim in limits}, -1 if negatives else lane.own(uid)
+def _best_of(lane: _Lane, uid: str, label: int, ints: np.ndarray, q: np.ndarray, limits: list[int], negatives: bool) -> dict[int, _Best]:
+    """The best rows of the lane for one anchor (``q``: rotated), for each of its limits."""
+    code, best, own = Anchor(ints, q), {lim: _Best() for lim in limits}, -1 if negatives else lane.own(uid)
     for piece in lane.pieces(label, negatives) if limits else ():
         low, high = code.bounds(lane.codes[piece], lane.aligns[piece], lane.norms[piece])
         if piece.start <= own < piece.stop:
@@ -372,10 +382,10 @@ def _search(blocks: DataFrame, anchor_blocks: DataFrame, lanes: int, negatives:
                 n = b.column("n")[i].as_py()
                 labels, limits = get("labels", np.int64), get("limits", np.int64).reshape(n, TOP)
                 ints = _ints(b.column("ints")[i].as_py(), n, at[1]).astype(np.int64)
-                rows = []
+                rows, rotated = [], rotate(ints)
                 for k, uid in enumerate(b.column("uids")[i].as_py().decode().split("\n")):
                     asked = [int(x) for x in np.unique(limits[k]) if x >= 0] if negatives else [0]
-                    for lim, x in _best_of(lane, uid, int(labels[k]), ints[k], asked, negatives).items():
+                    for lim, x in _best_of(lane, uid, int(labels[k]), ints[k], rotated[k], asked, negatives).items():
                         rows += [(uid, lim, vec_id, s) for s, vec_id in zip(x.scores.tolist(), x.ids.tolist())]
                 cols = list(zip(*rows)) if rows else [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
